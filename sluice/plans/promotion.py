@@ -100,3 +100,24 @@ def run_all(
     if combined:
         write_parquet(all_issues(spark, specs, layers), layers.all_issues(), partition_by=["dataset_name"])
     return report
+
+
+def table_issues(
+    tables: Mapping[str, DataFrame],
+    specs: Mapping[str, DatasetSpec],
+    **fk_options,
+) -> DataFrame:
+    """Check mode: every spec's rules over tables as they are, nothing written.
+
+    Rows are cleaned (one projection) but not deduplicated; row and unique
+    rules read the cleaned rows and foreign keys compare cleaned children with
+    cleaned parents. Returns one issue DataFrame.
+    """
+    cleaned = {name: specs[name].clean(tables[name]) for name in specs}
+    frames = []
+    for name, spec in specs.items():
+        own = spec.issues(cleaned[name])
+        if own is not None:
+            frames.append(own)
+        frames += spec.foreign_key_issues(cleaned[name], cleaned, specs, **fk_options)
+    return I.union_issues(frames)

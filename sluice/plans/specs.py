@@ -46,7 +46,7 @@ class DatasetSpec:
     """
 
     name: str
-    schema: StructType
+    schema: StructType | None
     key: tuple[str, ...]
     cleaners: Mapping[str, Cleaner] = field(default_factory=dict)
     derived: Mapping[str, Callable[[], Column]] = field(default_factory=dict)
