@@ -220,6 +220,14 @@ def q_issue_foreign_key_direct(spark, d):
     )
 
 
+def q_issue_foreign_key_keys(spark, d):
+    """Two-phase plan: distinct keys first, then a size-checked broadcast semi-join."""
+    return S.foreign_key_issues(
+        _t(spark, d, "orders"), _t(spark, d, "lineitem"), "o_orderkey", "o_orderkey", "orders",
+        parent_key="l_orderkey", parent_name="lineitem", strategy="keys",
+    )
+
+
 def _dirty_custkey():
     k = F.col("o_orderkey")
     return F.when(k % 11 == 0, F.lit(None)).when(k % 13 == 0, F.lit(-1)).otherwise(F.col("o_custkey"))
@@ -374,6 +382,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "issue_fused_rules": q_issue_fused_rules,
     "issue_foreign_key": q_issue_foreign_key,
     "issue_foreign_key_direct": q_issue_foreign_key_direct,
+    "issue_foreign_key_keys": q_issue_foreign_key_keys,
     "fk_null_is_orphan": q_fk_null_is_orphan,
     "fk_composite": q_fk_composite,
     "issue_union_summary": q_issue_union_summary,
@@ -542,6 +551,8 @@ _ORACLE: dict[str, str] = {
     ),
     "issue_foreign_key": _fk_sql("orders", "CAST(o_orderkey AS VARCHAR)", "o_orderkey", "lineitem", "l_orderkey",
                                  "o_orderkey does not exist in lineitem dataset"),
+    "issue_foreign_key_keys": _fk_sql("orders", "CAST(o_orderkey AS VARCHAR)", "o_orderkey", "lineitem",
+                                      "l_orderkey", "o_orderkey does not exist in lineitem dataset"),
     "issue_foreign_key_direct": _fk_sql("orders", "CAST(o_orderkey AS VARCHAR)", "o_orderkey", "lineitem",
                                         "l_orderkey", "o_orderkey does not exist in lineitem dataset"),
     "fk_null_is_orphan": (

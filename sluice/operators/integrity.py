@@ -4,23 +4,28 @@ Semantics: the child column(s) are compared for equality with the parent key;
 a child row whose key is null matches nothing and is an orphan (like
 ``NOT EXISTS``, unlike ``NOT IN``); duplicate parents never multiply rows.
 
-Plan (``strategy="keys"``, the default), built for a child of billions of rows
-where one key may hold a third of them:
-
-1. Rows with a null key are orphans by definition: they are split off with a
-   filter and never enter a join, so the null "key" cannot skew a partition.
-2. Distinct child keys are anti-joined with distinct parent keys. Both sides
-   are aggregated map-side first, so only distinct keys cross the shuffle and
-   a hot key costs one row per map task, on either side.
-3. The missing-key set is checkpointed (computed once, lineage cut) and
-   counted. If it is at most ``max_broadcast_keys`` keys, the child is
-   semi-joined against its broadcast in a map-only scan: the child's rows are
-   never shuffled. A larger set takes a shuffled semi-join, where AQE splits
-   a skewed child partition.
-
-``strategy="direct"`` is the plain one-shot ``left_anti`` join (the child's
-rows are shuffled; Spark and AQE pick the physical join). It runs no action
-while the plan is built.
+Three plans, all built for a child of billions of rows where one key may hold
+a third of them. In every plan, rows with a null key are orphans by definition:
+they are split off with a filter and never enter a join, so the null "key"
+cannot pile up in one partition.
+
+``strategy="auto"`` (default): one lazy job. The child's rows are anti-joined
+with the DISTINCT parent keys. Spark picks the physical join from sizes: a
+small parent is broadcast (the child is scanned once, map-only); a large
+parent gives a sort-merge anti-join whose parent side is aggregated map-side
+before the shuffle (a hot parent key collapses to one row per map task, and
+the aggregate reuses the join's exchange) while AQE's skew handling splits a
+hot child partition into several tasks.
+
+``strategy="keys"``: two phases, for a huge child with few orphans. Distinct
+child keys are anti-joined with distinct parent keys (only distinct keys cross
+the shuffle, on both sides). The missing-key set is checkpointed (computed
+once, lineage cut) and counted; up to ``max_broadcast_keys`` keys it is
+broadcast and the child is semi-joined in a map-only scan, so the child's rows
+never move. A larger set takes a shuffled semi-join (AQE splits skew).
+
+``strategy="direct"``: the plain ``left_anti`` join on the parent's key
+column, as written by hand.
 """
 
 from __future__ import annotations
@@ -52,7 +57,7 @@ def orphans(
     foreign_key: str | Sequence[str],
     parent_key: str | Sequence[str] | None = None,
     null_is_orphan: bool = True,
-    strategy: str = "keys",
+    strategy: str = "auto",
     max_broadcast_keys: int = DEFAULT_MAX_BROADCAST_KEYS,
 ) -> DataFrame:
     """Child rows whose foreign key has no match in ``parent``."""
@@ -65,7 +70,9 @@ def orphans(
     # Parent keys renamed to the child's names, so the join is USING-style.
     pkeys = parent.select(*[F.col(p).alias(f) for p, f in zip(pks, fks)])
 
-    if strategy == "direct":
+    if strategy == "auto":
+        found = keyed.join(pkeys.distinct(), on=fks, how="left_anti")
+    elif strategy == "direct":
         found = keyed.join(pkeys, on=fks, how="left_anti")
     elif strategy == "keys":
         missing = keyed.select(*fks).distinct().join(pkeys.distinct(), on=fks, how="left_anti")
@@ -95,7 +102,7 @@ def foreign_key_issues(
     parent_key: str | Sequence[str] | None = None,
     parent_name: str = "parent",
     null_is_orphan: bool = True,
-    strategy: str = "keys",
+    strategy: str = "auto",
     severity: str = I.HIGH,
     max_broadcast_keys: int = DEFAULT_MAX_BROADCAST_KEYS,
 ) -> DataFrame:

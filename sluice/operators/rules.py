@@ -3,7 +3,8 @@
 Row rules (missing value, failed cast, business predicate) look at one row at
 a time. All row rules of a table run in ONE scan: the rows that break at
 least one rule are filtered first, so the common clean row costs one OR of
-predicates, and each surviving row emits one issue per broken rule.
+predicates, and each surviving row emits one issue per broken rule. The whole
+fused plan is one whole-stage-codegen span (scan, filter, explode, project).
 
 Set rules need a shuffle: the unique-key rule groups by the key (partial
 aggregation first, so a hot key collapses map-side before the exchange) and
@@ -132,13 +133,31 @@ def row_rule_issues(
         return df.where(r.predicate()).select(
             *I.issue_fields(dataset, rid, r.field, r.issue_type, r.text(), r.severity)
         )
+    # One scan: keep rows that break any rule, emit the index of every broken
+    # rule (explode stays inside whole-stage codegen), then map the index to
+    # the rule's literal fields. The record id is built once per issue.
     preds = [r.predicate() for r in rules]
-    hits = [
-        F.when(p, F.struct(*I.issue_fields(dataset, rid, r.field, r.issue_type, r.text(), r.severity)))
-        for p, r in zip(preds, rules)
-    ]
-    return df.where(reduce(lambda a, b: a | b, preds)).select(
-        F.inline(F.array_compact(F.array(*hits)))
+    broken = F.array(*[F.when(p, F.lit(i)) for i, p in enumerate(preds)])
+    hits = (
+        df.where(reduce(lambda a, b: a | b, preds))
+        .select(rid.alias("__rid"), F.explode(broken).alias("__rule"))
+        .where(F.col("__rule").isNotNull())
+    )
+    idx = F.col("__rule")
+
+    def by_rule(values: list[str]) -> Column:
+        expr = None
+        for i, v in enumerate(values):
+            expr = F.when(idx == i, F.lit(v)) if expr is None else expr.when(idx == i, F.lit(v))
+        return expr
+
+    return hits.select(
+        F.lit(dataset).alias("dataset_name"),
+        F.col("__rid").cast("string").alias("record_id"),
+        by_rule([r.field for r in rules]).alias("field_name"),
+        by_rule([r.issue_type for r in rules]).alias("issue_type"),
+        by_rule([r.text() for r in rules]).alias("issue_description"),
+        by_rule([r.severity for r in rules]).alias("severity"),
     )
 
 
