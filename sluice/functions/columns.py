@@ -86,6 +86,11 @@ def normalize_flag(c: ColumnOrName, synonyms: Mapping[str, str] = FLAG_FOUR_SYNO
 
 
 _LETTER_RUN = re.compile(r"'[^']*'|([A-Za-z])\1*|.", re.S)
+_REGEX_META = set(".^$*+?()[]{}|\\")
+
+
+def _literal(text: str) -> str:
+    return "".join("\\" + ch if ch in _REGEX_META else ch for ch in text)
 
 
 def date_shape(fmt: str) -> str | None:
@@ -99,7 +104,7 @@ def date_shape(fmt: str) -> str | None:
     for m in _LETTER_RUN.finditer(fmt):
         tok = m.group(0)
         if tok.startswith("'"):
-            out.append(re.escape(tok[1:-1] if len(tok) > 2 else "'"))
+            out.append(_literal(tok[1:-1] if len(tok) > 2 else "'"))
         elif tok[0].isalpha():
             letter, n = tok[0], len(tok)
             if letter == "y" and n in (2, 4):
@@ -111,7 +116,7 @@ def date_shape(fmt: str) -> str | None:
             else:
                 return None
         else:
-            out.append(re.escape(tok))
+            out.append(_literal(tok))
     return "^" + "".join(out) + r"\z"
 
 
