@@ -341,7 +341,7 @@ def _clinical_ids(spark, d):
 def _clinical_layers(spark, d):
     layers = S.LayerPaths(scratch_path(spark, "clinical"))
     synth.save_landing(synth.clinical_tables(spark, _clinical_ids(spark, d)), layers.landing)
-    run_all(spark, CLINICAL_SPECS, layers)
+    run_all(spark, CLINICAL_SPECS, layers, parallel=len(CLINICAL_SPECS))
     return layers
 
 

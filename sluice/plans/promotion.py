@@ -8,7 +8,8 @@ Row counts ride on the writes as observations, not as extra scans.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,14 +28,27 @@ class RunReport:
     cleaned_rows: dict[str, int] = field(default_factory=dict)
 
 
-def landing_to_raw(spark: SparkSession, specs: Mapping[str, DatasetSpec], layers: LayerPaths) -> dict[str, int]:
+def _each(names, work: Callable[[str], object], parallel: int) -> dict[str, object]:
+    """Run one job per dataset; ``parallel`` > 1 submits them from driver
+    threads so that small tables share the cluster instead of queueing."""
+    names = list(names)
+    if parallel <= 1 or len(names) <= 1:
+        return {n: work(n) for n in names}
+    with ThreadPoolExecutor(max_workers=min(parallel, len(names))) as pool:
+        return dict(zip(names, pool.map(work, names)))
+
+
+def landing_to_raw(
+    spark: SparkSession, specs: Mapping[str, DatasetSpec], layers: LayerPaths, parallel: int = 1
+) -> dict[str, int]:
     """Typed CSV read of every dataset, written as raw Parquet; rows per dataset."""
-    rows = {}
-    for name, spec in specs.items():
-        df, obs = counted(read_csv(spark, layers.landing(name), spec.schema), f"landing_{name}")
+
+    def one(name: str) -> int:
+        df, obs = counted(read_csv(spark, layers.landing(name), specs[name].schema), f"landing_{name}")
         write_parquet(df, layers.raw(name))
-        rows[name] = observed_rows(obs)
-    return rows
+        return observed_rows(obs)
+
+    return _each(specs, one, parallel)
 
 
 def profile_landing(spark: SparkSession, specs: Mapping[str, DatasetSpec], layers: LayerPaths) -> DataFrame:
@@ -84,16 +98,19 @@ def run_all(
     specs: Mapping[str, DatasetSpec],
     layers: LayerPaths,
     combined: bool = False,
+    parallel: int = 1,
     **fk_options,
 ) -> RunReport:
     """The whole promotion for every dataset, in dependency order.
 
-    ``combined=True`` also writes one issue table partitioned by dataset_name.
+    Datasets are independent until the integrity check, so with
+    ``parallel`` > 1 their jobs run concurrently. ``combined=True`` also
+    writes one issue table partitioned by dataset_name.
     """
     report = RunReport()
-    report.landing_rows = landing_to_raw(spark, specs, layers)
-    for name, spec in specs.items():
-        before, after = clean_dataset(spark, spec, layers)
+    report.landing_rows = landing_to_raw(spark, specs, layers, parallel)
+    counts = _each(specs, lambda n: clean_dataset(spark, specs[n], layers), parallel)
+    for name, (before, after) in counts.items():
         report.cleaned_rows_before_dedup[name] = before
         report.cleaned_rows[name] = after
     check_integrity(spark, specs, layers, **fk_options)

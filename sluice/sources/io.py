@@ -15,15 +15,21 @@ from pyspark.sql.types import StructType
 
 @dataclass(frozen=True)
 class LayerPaths:
-    """Folder layout under one root (local path or any Hadoop URI)."""
+    """Folder layout under one root (local path or any Hadoop URI).
+
+    ``landing_root`` lets the landing files live apart from the layers built
+    from them (several runs over the same landing drop).
+    """
 
     root: str
+    landing_root: str | None = None
 
     def _join(self, *parts: str) -> str:
         return "/".join([self.root.rstrip("/"), *parts])
 
     def landing(self, name: str) -> str:
-        return self._join("landing", f"{name}.csv")
+        base = (self.landing_root or self.root).rstrip("/")
+        return f"{base}/landing/{name}.csv"
 
     def raw(self, name: str) -> str:
         return self._join("raw", name)

@@ -23,10 +23,14 @@ EXPECTED = {
 }
 
 
-def test_golden_pipeline(spark, workdir):
+import pytest
+
+
+@pytest.mark.parametrize("parallel", [1, 5])
+def test_golden_pipeline(spark, workdir, parallel):
     layers = LayerPaths(workdir)
     synth.save_landing(synth.clinical_tables(spark), layers.landing)
-    report = run_all(spark, CLINICAL_SPECS, layers, combined=True)
+    report = run_all(spark, CLINICAL_SPECS, layers, combined=True, parallel=parallel)
 
     assert report.landing_rows == {
         "patients": 101, "visits": 251, "adverse_events": 61, "lab_results": 401, "medications": 181,
