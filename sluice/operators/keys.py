@@ -24,22 +24,25 @@ def dedup(
     keys: Sequence[str],
     order_by: Sequence[str] = (),
     keep: str = "first",
+    count_col: str | None = None,
 ) -> DataFrame:
     """One row per key value; null keys form one group.
 
     ``keep="first"`` keeps the row with the smallest ``order_by`` values,
     ``"last"`` the largest; remaining ties are broken on all other columns.
-    Column order of ``df`` is kept.
+    Column order of ``df`` is kept. ``count_col`` adds the number of input
+    rows of each key (from the same aggregation).
     """
     keys = list(keys)
     order_by = [c for c in order_by if c not in keys]
     maps = {f.name for f in df.schema.fields if isinstance(f.dataType, MapType)}
     rest = [c for c in df.columns if c not in keys and c not in order_by and c not in maps]
     payload = order_by + rest
-    if not payload and not maps:
-        return df.select(*keys).distinct()
     pick = F.min if keep == "first" else F.max
-    aggs = []
+    aggs = [F.count(F.lit(1)).alias(count_col)] if count_col else []
+    if not payload and not maps:
+        out = df.groupBy(*keys).agg(*aggs) if aggs else df.select(*keys).distinct()
+        return out.select(*df.columns, *([count_col] if count_col else []))
     if payload:
         aggs.append(pick(F.struct(*[F.col(c) for c in payload])).alias("__kept"))
     order_struct = F.struct(*[F.col(c) for c in payload]) if payload else None
@@ -49,7 +52,7 @@ def dedup(
         aggs.append((F.min_by if keep == "first" else F.max_by)(F.col(m), by).alias(m))
     out = df.groupBy(*keys).agg(*aggs)
     cols = [F.col(f"__kept.{c}").alias(c) if c in payload else F.col(c) for c in df.columns]
-    return out.select(*cols)
+    return out.select(*cols, *([F.col(count_col)] if count_col else []))
 
 
 def distinct_values(df: DataFrame, column: ColumnOrName) -> DataFrame:

@@ -12,10 +12,11 @@ from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.operators import issues as I
+from sluice.operators.keys import dedup
 from sluice.operators.profile import counted, observed_rows, profile
 from sluice.plans.specs import DatasetSpec
 from sluice.sources.io import LayerPaths, read_csv, read_parquet, write_parquet
@@ -63,14 +64,24 @@ def profile_landing(spark: SparkSession, specs: Mapping[str, DatasetSpec], layer
 
 
 def clean_dataset(spark: SparkSession, spec: DatasetSpec, layers: LayerPaths) -> tuple[int, int]:
-    """Clean, dedup and check one dataset; returns rows before and after dedup."""
+    """Clean, dedup and check one dataset; returns rows before and after dedup.
+
+    Both counts are observed on the cleaned write itself (its result stage):
+    the dedup aggregate carries each key's row count, so no counter sits in
+    a shuffle map stage that a lost executor could make run twice.
+    """
     cleaned = spec.clean(read_parquet(spark, layers.raw(spec.name)))
-    before, obs_before = counted(cleaned, f"{spec.name}_before")
-    after, obs_after = counted(spec.deduplicate(before), f"{spec.name}_after")
-    write_parquet(after, layers.cleaned(spec.name))
+    obs = Observation(f"{spec.name}_rows")
+    if spec.dedup:
+        kept = dedup(cleaned, spec.key, spec.dedup_order, count_col="__rows")
+        kept = kept.observe(obs, F.count(F.lit(1)).alias("after"),
+                            F.coalesce(F.sum("__rows"), F.lit(0)).alias("before")).drop("__rows")
+    else:
+        kept = cleaned.observe(obs, F.count(F.lit(1)).alias("after"), F.count(F.lit(1)).alias("before"))
+    write_parquet(kept, layers.cleaned(spec.name))
     issues = spec.issues(cleaned)
     write_parquet(issues if issues is not None else I.empty_issues(spark), layers.issues(spec.name))
-    return observed_rows(obs_before), observed_rows(obs_after)
+    return int(obs.get["before"]), int(obs.get["after"])
 
 
 def check_integrity(

@@ -46,3 +46,11 @@ def test_lookup_constant(spark):
     table = {"ALT": {"unit": "U/L", "low": 7, "high": 56}, "CREATININE": {"unit": "mg/dL", "low": 0.6, "high": 1.3}}
     got = [tuple(r) for r in df.select("t", *S.lookup_constant("t", table, ["unit", "low", "high"])).collect()]
     assert got == [("ALT", "U/L", 7.0, 56.0), ("CREATININE", "mg/dL", 0.6, 1.3), ("XYZ", None, None, None)]
+
+
+def test_dedup_count_col(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), (None, 4)], "k string, v int")
+    got = {r.k: (r.v, r.n) for r in S.dedup(df, ["k"], count_col="n").collect()}
+    assert got == {"a": (1, 2), "b": (3, 1), None: (4, 1)}
+    keys_only = {r.k: r.n for r in S.dedup(df.select("k"), ["k"], count_col="n").collect()}
+    assert keys_only == {"a": 2, "b": 1, None: 1}

@@ -35,6 +35,7 @@ def test_golden_pipeline(spark, workdir, parallel):
     assert report.landing_rows == {
         "patients": 101, "visits": 251, "adverse_events": 61, "lab_results": 401, "medications": 181,
     }
+    assert report.cleaned_rows_before_dedup == report.landing_rows
     assert report.cleaned_rows == {
         "patients": 100, "visits": 250, "adverse_events": 60, "lab_results": 401, "medications": 180,
     }
