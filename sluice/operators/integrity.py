@@ -17,12 +17,17 @@ before the shuffle (a hot parent key collapses to one row per map task, and
 the aggregate reuses the join's exchange) while AQE's skew handling splits a
 hot child partition into several tasks.
 
-``strategy="keys"``: two phases, for a huge child with few orphans. Distinct
-child keys are anti-joined with distinct parent keys (only distinct keys cross
-the shuffle, on both sides). The missing-key set is checkpointed (computed
-once, lineage cut) and counted; up to ``max_broadcast_keys`` keys it is
-broadcast and the child is semi-joined in a map-only scan, so the child's rows
-never move. A larger set takes a shuffled semi-join (AQE splits skew).
+``strategy="keys"``: two phases, for a huge child, and skew-proof without
+relying on AQE. Child keys are counted (map-side partial aggregation, so a
+hot key is one row per map task) and anti-joined with distinct parent keys:
+only distinct keys cross the shuffle, on both sides. The missing keys, with
+their child row counts, are checkpointed (computed once, lineage cut) and
+counted. Up to ``max_broadcast_keys`` of them are broadcast and the child is
+semi-joined in a map-only scan, so the child's rows never move. A larger set
+is split: missing keys with more than ``hot_key_rows`` child rows (at most
+child rows / ``hot_key_rows`` keys, counted before it is broadcast) are
+matched map-only as above; the rest go through a shuffled semi-join in which
+no key holds more than ``hot_key_rows`` rows.
 
 ``strategy="direct"``: the plain ``left_anti`` join on the parent's key
 column, as written by hand.
@@ -43,6 +48,9 @@ from sluice.sources.scratch import materialize
 # Keys per broadcast semi-join: 4M long keys are ~64 MB in a hashed relation,
 # well under Spark's 8 GB broadcast limit and executor memory.
 DEFAULT_MAX_BROADCAST_KEYS = 4_000_000
+# A key with more child rows than this is "hot": about what one task should
+# hold of a single key.
+DEFAULT_HOT_KEY_ROWS = 1_000_000
 
 
 def _names(x: str | Sequence[str] | None) -> list[str] | None:
@@ -59,6 +67,7 @@ def orphans(
     null_is_orphan: bool = True,
     strategy: str = "auto",
     max_broadcast_keys: int = DEFAULT_MAX_BROADCAST_KEYS,
+    hot_key_rows: int = DEFAULT_HOT_KEY_ROWS,
 ) -> DataFrame:
     """Child rows whose foreign key has no match in ``parent``."""
     fks = _names(foreign_key)
@@ -75,15 +84,7 @@ def orphans(
     elif strategy == "direct":
         found = keyed.join(pkeys, on=fks, how="left_anti")
     elif strategy == "keys":
-        missing = keyed.select(*fks).distinct().join(pkeys.distinct(), on=fks, how="left_anti")
-        missing = materialize(missing)
-        n_missing = missing.count()
-        if n_missing == 0:
-            found = keyed.where(F.lit(False))
-        elif n_missing <= max_broadcast_keys:
-            found = keyed.join(F.broadcast(missing), on=fks, how="left_semi")
-        else:
-            found = keyed.join(missing, on=fks, how="left_semi")
+        found = _missing_key_rows(keyed, pkeys, fks, max_broadcast_keys, hot_key_rows)
     else:
         raise ValueError(f"unknown strategy {strategy!r}")
 
@@ -92,6 +93,30 @@ def orphans(
     return found.unionByName(child.where(any_null))
 
 
+def _missing_key_rows(
+    keyed: DataFrame, pkeys: DataFrame, fks: list[str], max_broadcast_keys: int, hot_key_rows: int
+) -> DataFrame:
+    counts = keyed.groupBy(*fks).agg(F.count(F.lit(1)).alias("__rows"))
+    missing = materialize(counts.join(pkeys.distinct(), on=fks, how="left_anti"))
+    n_missing = missing.count()
+    if n_missing == 0:
+        return keyed.where(F.lit(False))
+    if n_missing <= max_broadcast_keys:
+        return keyed.join(F.broadcast(missing.select(*fks)), on=fks, how="left_semi")
+    hot = missing.where(F.col("__rows") > hot_key_rows).select(*fks)
+    n_hot = hot.count()
+    cold = missing.where(F.col("__rows") <= hot_key_rows).select(*fks)
+    if n_hot == 0:
+        return keyed.join(cold, on=fks, how="left_semi")
+    if n_hot > max_broadcast_keys:
+        # Only when hot_key_rows is far below rows / max_broadcast_keys.
+        return keyed.join(missing.select(*fks), on=fks, how="left_semi")
+    hot_b = F.broadcast(hot)
+    hot_rows = keyed.join(hot_b, on=fks, how="left_semi")
+    cold_rows = keyed.join(hot_b, on=fks, how="left_anti").join(cold, on=fks, how="left_semi")
+    return hot_rows.unionByName(cold_rows)
+
+
 def foreign_key_issues(
     child: DataFrame,
     parent: DataFrame,
@@ -105,6 +130,7 @@ def foreign_key_issues(
     strategy: str = "auto",
     severity: str = I.HIGH,
     max_broadcast_keys: int = DEFAULT_MAX_BROADCAST_KEYS,
+    hot_key_rows: int = DEFAULT_HOT_KEY_ROWS,
 ) -> DataFrame:
     """INVALID_FOREIGN_KEY issues, one per orphan child row."""
     fks = _names(foreign_key)
@@ -113,5 +139,5 @@ def foreign_key_issues(
     rid_cols = [record_id] if isinstance(record_id, str) or not isinstance(record_id, Sequence) else list(record_id)
     rid_names = [c for c in rid_cols if isinstance(c, str)]
     slim = child.select(*dict.fromkeys(fks + rid_names)) if len(rid_names) == len(rid_cols) else child
-    found = orphans(slim, parent, fks, parent_key, null_is_orphan, strategy, max_broadcast_keys)
+    found = orphans(slim, parent, fks, parent_key, null_is_orphan, strategy, max_broadcast_keys, hot_key_rows)
     return I.to_issues(found, dataset, rid_cols, field, I.INVALID_FOREIGN_KEY, text, severity)

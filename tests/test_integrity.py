@@ -47,6 +47,18 @@ def test_keys_strategy_shuffled_semi_join_path(spark):
     assert got == ["V2", "V3", "V6"]
 
 
+def test_keys_strategy_hot_key_split(spark):
+    """Missing set too large to broadcast: hot missing keys are matched map-only."""
+    child = spark.range(0, 3000).selectExpr(
+        "id", "CASE WHEN id % 3 = 0 THEN 7 WHEN id % 3 = 1 THEN NULL ELSE id END AS fk")
+    parent = spark.range(0, 2000).selectExpr("id * 2 AS pk")
+    want = sorted(r.id for r in S.orphans(child, parent, "fk", parent_key="pk", strategy="direct").collect())
+    for max_keys, hot in [(3, 10), (0, 10), (3, 5000)]:
+        got = sorted(r.id for r in S.orphans(child, parent, "fk", parent_key="pk", strategy="keys",
+                                             max_broadcast_keys=max_keys, hot_key_rows=hot).collect())
+        assert got == want
+
+
 @pytest.mark.parametrize("strategy", STRATEGIES)
 def test_composite_key_and_renamed_parent(spark, strategy):
     child = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (2, None, "c"), (3, 1, "d")], "o long, l int, id string")
