@@ -338,6 +338,19 @@ def _clinical_ids(spark, d):
     }
 
 
+def q_synth_patients(spark, d):
+    """Generated patients (one per customer) with the injected defects."""
+    return synth.patients(spark, _clinical_ids(spark, d)["patients"])
+
+
+def q_synth_lab_results(spark, d):
+    """Generated lab results (one per lineitem row) sampling generated visits."""
+    ids = _clinical_ids(spark, d)
+    p = synth.patients(spark, ids["patients"])
+    v = synth.visits(spark, p, ids["visits"])
+    return synth.lab_results(spark, v, ids["lab_results"])
+
+
 def _clinical_layers(spark, d):
     layers = S.LayerPaths(scratch_path(spark, "clinical"))
     synth.save_landing(synth.clinical_tables(spark, _clinical_ids(spark, d)), layers.landing)
@@ -398,6 +411,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lookup_constant": q_lookup_constant,
     "inject_defects": q_inject_defects,
     "sample_parent": q_sample_parent,
+    "synth_patients": q_synth_patients,
+    "synth_lab_results": q_synth_lab_results,
     "clinical_issues": q_clinical_issues,
     "clinical_landing_profile": q_clinical_landing_profile,
 }
@@ -612,6 +627,7 @@ _ORACLE: dict[str, str] = {
 
 
 def oracle_sql() -> dict[str, str]:
-    """DuckDB SQL per query; the clinical layer queries (files written and
-    re-read through several Spark jobs from generated data) have none."""
+    """DuckDB SQL per query. The generated-data queries have none: their
+    values are seeded Spark hash draws, and the clinical layer queries write
+    and re-read several folders."""
     return dict(_ORACLE)
