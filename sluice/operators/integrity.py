@@ -4,33 +4,34 @@ Semantics: the child column(s) are compared for equality with the parent key;
 a child row whose key is null matches nothing and is an orphan (like
 ``NOT EXISTS``, unlike ``NOT IN``); duplicate parents never multiply rows.
 
-Three plans, all built for a child of billions of rows where one key may hold
-a third of them. In every plan, rows with a null key are orphans by definition:
+Three plans. In every plan, rows with a null key are orphans by definition:
 they are split off with a filter and never enter a join, so the null "key"
 cannot pile up in one partition.
 
-``strategy="auto"`` (default): one lazy job. The child's rows are anti-joined
-with the DISTINCT parent keys. Spark picks the physical join from sizes: a
-small parent is broadcast (the child is scanned once, map-only); a large
-parent gives a sort-merge anti-join whose parent side is aggregated map-side
-before the shuffle (a hot parent key collapses to one row per map task, and
-the aggregate reuses the join's exchange) while AQE's skew handling splits a
-hot child partition into several tasks.
-
-``strategy="keys"``: two phases, for a huge child, and skew-proof without
-relying on AQE. Child keys are counted (map-side partial aggregation, so a
-hot key is one row per map task) and anti-joined with distinct parent keys:
-only distinct keys cross the shuffle, on both sides. The missing keys, with
-their child row counts, are checkpointed (computed once, lineage cut) and
+``strategy="auto"`` (default) is skew-proof by construction, without relying
+on AQE. The distinct parent keys are computed once (map-side partial
+aggregation, so a hot parent key is one row per map task), checkpointed and
 counted. Up to ``max_broadcast_keys`` of them are broadcast and the child is
-semi-joined in a map-only scan, so the child's rows never move. A larger set
-is split: missing keys with more than ``hot_key_rows`` child rows (at most
-child rows / ``hot_key_rows`` keys, counted before it is broadcast) are
-matched map-only as above; the rest go through a shuffled semi-join in which
-no key holds more than ``hot_key_rows`` rows.
-
-``strategy="direct"``: the plain ``left_anti`` join on the parent's key
-column, as written by hand.
+anti-joined in a map-only scan: the child's rows never move and no task holds
+more than its own input split. A larger parent goes to the ``keys`` plan
+below, reusing the same distinct keys.
+
+``strategy="keys"``: two phases, for a child and a parent that are both huge.
+Child keys are counted (map-side partial aggregation, so a hot key is one row
+per map task) and anti-joined with the distinct parent keys: only distinct
+keys cross the shuffle, on both sides. The missing keys, with their child row
+counts, are checkpointed (computed once, lineage cut) and counted. Up to
+``max_broadcast_keys`` of them are broadcast and the child is semi-joined in a
+map-only scan. A larger set is split: missing keys with more than
+``hot_key_rows`` child rows (at most child rows / ``hot_key_rows`` keys,
+counted before they are broadcast) are matched map-only as above; the rest go
+through a shuffled semi-join in which no key holds more than ``hot_key_rows``
+rows.
+
+``strategy="direct"``: the plain one-job ``left_anti`` join on the parent's
+key column, as written by hand; Spark and AQE pick the physical join. It runs
+no action while the plan is built, but a hot child key lands in one task when
+the parent is too large to broadcast (``tools/skew_report.py`` measures it).
 """
 
 from __future__ import annotations
@@ -45,9 +46,10 @@ from sluice.functions.columns import ColumnOrName
 from sluice.operators import issues as I
 from sluice.sources.scratch import materialize
 
-# Keys per broadcast semi-join: 4M long keys are ~64 MB in a hashed relation,
-# well under Spark's 8 GB broadcast limit and executor memory.
-DEFAULT_MAX_BROADCAST_KEYS = 4_000_000
+# Keys per broadcast join: 2M keys are ~32 MB (longs) to ~100 MB (short
+# strings) as a hashed relation, well under Spark's 8 GB broadcast limit and
+# executor memory.
+DEFAULT_MAX_BROADCAST_KEYS = 2_000_000
 # A key with more child rows than this is "hot": about what one task should
 # hold of a single key.
 DEFAULT_HOT_KEY_ROWS = 1_000_000
@@ -80,11 +82,15 @@ def orphans(
     pkeys = parent.select(*[F.col(p).alias(f) for p, f in zip(pks, fks)])
 
     if strategy == "auto":
-        found = keyed.join(pkeys.distinct(), on=fks, how="left_anti")
+        parent_keys = materialize(pkeys.distinct())
+        if parent_keys.count() <= max_broadcast_keys:
+            found = keyed.join(F.broadcast(parent_keys), on=fks, how="left_anti")
+        else:
+            found = _missing_key_rows(keyed, parent_keys, fks, max_broadcast_keys, hot_key_rows)
     elif strategy == "direct":
         found = keyed.join(pkeys, on=fks, how="left_anti")
     elif strategy == "keys":
-        found = _missing_key_rows(keyed, pkeys, fks, max_broadcast_keys, hot_key_rows)
+        found = _missing_key_rows(keyed, pkeys.distinct(), fks, max_broadcast_keys, hot_key_rows)
     else:
         raise ValueError(f"unknown strategy {strategy!r}")
 
@@ -94,10 +100,11 @@ def orphans(
 
 
 def _missing_key_rows(
-    keyed: DataFrame, pkeys: DataFrame, fks: list[str], max_broadcast_keys: int, hot_key_rows: int
+    keyed: DataFrame, parent_keys: DataFrame, fks: list[str], max_broadcast_keys: int, hot_key_rows: int
 ) -> DataFrame:
+    """Child rows whose key is not among ``parent_keys`` (already distinct)."""
     counts = keyed.groupBy(*fks).agg(F.count(F.lit(1)).alias("__rows"))
-    missing = materialize(counts.join(pkeys.distinct(), on=fks, how="left_anti"))
+    missing = materialize(counts.join(parent_keys, on=fks, how="left_anti"))
     n_missing = missing.count()
     if n_missing == 0:
         return keyed.where(F.lit(False))
