@@ -11,12 +11,14 @@ partitioning and input order.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
 
 from sluice.functions.columns import ColumnOrName, col_of
+from sluice.sources.scratch import materialize
 
 
 def dedup(
@@ -66,6 +68,12 @@ def distinct_keys(df: DataFrame, keys: Sequence[str] | str) -> DataFrame:
     return df.select(*keys).dropna(how="any").distinct()
 
 
+# Parent rows per broadcast lookup (deduplicated rows, counted first).
+DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+# A child key with more rows than this is "hot".
+DEFAULT_HOT_KEY_ROWS = 1_000_000
+
+
 def lookup_first(
     child: DataFrame,
     parent: DataFrame,
@@ -73,13 +81,23 @@ def lookup_first(
     columns: Sequence[str],
     parent_key: str | Sequence[str] | None = None,
     order_by: Sequence[str] = (),
+    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    hot_key_rows: int = DEFAULT_HOT_KEY_ROWS,
 ) -> DataFrame:
     """Add parent ``columns`` to each child row by key; one parent row per key.
 
     Parents are deduplicated first (``order_by`` picks the row), so a child row
-    never multiplies; a child without a parent keeps nulls. Spark chooses the
-    join from measured sizes (AQE turns it into a broadcast when the
-    deduplicated parent is small).
+    never multiplies; a child without a parent, or with a null key, keeps
+    nulls. The deduplicated parent is checkpointed and counted:
+
+    - up to ``max_broadcast_rows`` rows it is broadcast and the lookup is
+      map-only (the child never moves);
+    - a larger parent is joined with a shuffle, except for child keys with
+      more than ``hot_key_rows`` rows (counted map-side first; at most
+      child rows / ``hot_key_rows`` of them): their parent rows are broadcast
+      and matched map-only, so no task receives a hot key.
+
+    Null child keys never enter a join.
     """
     ck = [key] if isinstance(key, str) else list(key)
     pk = ([parent_key] if isinstance(parent_key, str) else list(parent_key)) if parent_key else ck
@@ -88,8 +106,28 @@ def lookup_first(
         *[F.col(c) for c in columns],
         *[F.col(o) for o in order_by if o not in columns and o not in pk],
     )
-    one = dedup(renamed, ck, order_by).select(*ck, *columns)
-    return child.join(one, on=ck, how="left")
+    any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in ck])
+    one = materialize(dedup(renamed.where(~any_null), ck, order_by).select(*ck, *columns))
+    types = dict(one.dtypes)
+    keyed = child.where(~any_null)
+    unkeyed = child.where(any_null).select(
+        *[F.col(c) for c in ck], *[F.col(c) for c in child.columns if c not in ck],
+        *[F.lit(None).cast(types[c]).alias(c) for c in columns],
+    )
+    if one.count() <= max_broadcast_rows:
+        return keyed.join(F.broadcast(one), on=ck, how="left").unionByName(unkeyed)
+    hot = materialize(
+        keyed.groupBy(*ck).agg(F.count(F.lit(1)).alias("__rows"))
+        .where(F.col("__rows") > hot_key_rows).select(*ck)
+    )
+    n_hot = hot.count()
+    if n_hot == 0 or n_hot > max_broadcast_rows:
+        return keyed.join(one, on=ck, how="left").unionByName(unkeyed)
+    hot_b = F.broadcast(hot)
+    hot_parent = F.broadcast(one.join(hot_b, on=ck, how="left_semi"))
+    hot_rows = keyed.join(hot_b, on=ck, how="left_semi").join(hot_parent, on=ck, how="left")
+    cold_rows = keyed.join(hot_b, on=ck, how="left_anti").join(one, on=ck, how="left")
+    return hot_rows.unionByName(cold_rows).unionByName(unkeyed)
 
 
 def lookup_constant(

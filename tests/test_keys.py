@@ -54,3 +54,16 @@ def test_dedup_count_col(spark):
     assert got == {"a": (1, 2), "b": (3, 1), None: (4, 1)}
     keys_only = {r.k: r.n for r in S.dedup(df.select("k"), ["k"], count_col="n").collect()}
     assert keys_only == {"a": 2, "b": 1, None: 1}
+
+
+def test_lookup_first_null_keys_and_large_parent_paths(spark):
+    child = spark.range(0, 600).selectExpr(
+        "id", "CASE WHEN id % 3 = 0 THEN 7 WHEN id % 3 = 1 THEN NULL ELSE id % 50 END AS k")
+    parent = spark.range(0, 40).selectExpr("id AS pk", "CONCAT('n', CAST(id AS STRING)) AS name")
+    want = {r.id: r.name for r in S.lookup_first(child, parent, "k", ["name"], parent_key="pk").collect()}
+    assert want[0] == "n7" and want[1] is None and want[2] == "n2" and want[47] is None  # 47 % 50 = 47 > 39
+    for max_rows, hot in [(5, 50), (5, 10_000), (0, 0)]:
+        got = S.lookup_first(child, parent, "k", ["name"], parent_key="pk",
+                             max_broadcast_rows=max_rows, hot_key_rows=hot)
+        assert got.count() == 600
+        assert {r.id: r.name for r in got.collect()} == want
