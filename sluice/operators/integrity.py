@@ -70,8 +70,14 @@ def orphans(
     strategy: str = "auto",
     max_broadcast_keys: int = DEFAULT_MAX_BROADCAST_KEYS,
     hot_key_rows: int = DEFAULT_HOT_KEY_ROWS,
+    parent_keys_ready: bool = False,
 ) -> DataFrame:
-    """Child rows whose foreign key has no match in ``parent``."""
+    """Child rows whose foreign key has no match in ``parent``.
+
+    ``parent_keys_ready=True`` says ``parent`` already holds only its
+    distinct non-null keys, materialized (see ``distinct_parent_keys``), so
+    several checks against one parent share that work.
+    """
     fks = _names(foreign_key)
     pks = _names(parent_key) or fks
     if len(fks) != len(pks):
@@ -82,7 +88,7 @@ def orphans(
     pkeys = parent.select(*[F.col(p).alias(f) for p, f in zip(pks, fks)])
 
     if strategy == "auto":
-        parent_keys = materialize(pkeys.distinct())
+        parent_keys = pkeys if parent_keys_ready else materialize(pkeys.distinct())
         if parent_keys.count() <= max_broadcast_keys:
             found = keyed.join(F.broadcast(parent_keys), on=fks, how="left_anti")
         else:
@@ -90,7 +96,8 @@ def orphans(
     elif strategy == "direct":
         found = keyed.join(pkeys, on=fks, how="left_anti")
     elif strategy == "keys":
-        found = _missing_key_rows(keyed, pkeys.distinct(), fks, max_broadcast_keys, hot_key_rows)
+        found = _missing_key_rows(keyed, pkeys if parent_keys_ready else pkeys.distinct(), fks,
+                                  max_broadcast_keys, hot_key_rows)
     else:
         raise ValueError(f"unknown strategy {strategy!r}")
 
@@ -99,6 +106,13 @@ def orphans(
     return found.unionByName(child.where(any_null))
 
 
+def distinct_parent_keys(parent: DataFrame, parent_key: str | Sequence[str]) -> DataFrame:
+    """A parent's distinct non-null keys, computed once into a checkpoint."""
+    pks = _names(parent_key)
+    not_null = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in pks])
+    return materialize(parent.select(*pks).where(not_null).distinct())
+
+
 def _missing_key_rows(
     keyed: DataFrame, parent_keys: DataFrame, fks: list[str], max_broadcast_keys: int, hot_key_rows: int
 ) -> DataFrame:
@@ -138,6 +152,7 @@ def foreign_key_issues(
     severity: str = I.HIGH,
     max_broadcast_keys: int = DEFAULT_MAX_BROADCAST_KEYS,
     hot_key_rows: int = DEFAULT_HOT_KEY_ROWS,
+    parent_keys_ready: bool = False,
 ) -> DataFrame:
     """INVALID_FOREIGN_KEY issues, one per orphan child row."""
     fks = _names(foreign_key)
@@ -146,5 +161,6 @@ def foreign_key_issues(
     rid_cols = [record_id] if isinstance(record_id, str) or not isinstance(record_id, Sequence) else list(record_id)
     rid_names = [c for c in rid_cols if isinstance(c, str)]
     slim = child.select(*dict.fromkeys(fks + rid_names)) if len(rid_names) == len(rid_cols) else child
-    found = orphans(slim, parent, fks, parent_key, null_is_orphan, strategy, max_broadcast_keys, hot_key_rows)
+    found = orphans(slim, parent, fks, parent_key, null_is_orphan, strategy, max_broadcast_keys, hot_key_rows,
+                    parent_keys_ready)
     return I.to_issues(found, dataset, rid_cols, field, I.INVALID_FOREIGN_KEY, text, severity)

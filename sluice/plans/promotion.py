@@ -89,9 +89,9 @@ def check_integrity(
 ) -> DataFrame:
     """Foreign-key issues over the cleaned layer, written and read back."""
     cleaned = {name: read_parquet(spark, layers.cleaned(name)) for name in specs}
-    frames = []
+    frames, key_cache = [], {}
     for name, spec in specs.items():
-        frames += spec.foreign_key_issues(cleaned[name], cleaned, specs, **fk_options)
+        frames += spec.foreign_key_issues(cleaned[name], cleaned, specs, key_cache=key_cache, **fk_options)
     issues = I.union_issues(frames) if frames else I.empty_issues(spark)
     write_parquet(issues, layers.integrity_issues())
     return read_parquet(spark, layers.integrity_issues())
@@ -142,10 +142,10 @@ def table_issues(
     cleaned parents. Returns one issue DataFrame.
     """
     cleaned = {name: specs[name].clean(tables[name]) for name in specs}
-    frames = []
+    frames, key_cache = [], {}
     for name, spec in specs.items():
         own = spec.issues(cleaned[name])
         if own is not None:
             frames.append(own)
-        frames += spec.foreign_key_issues(cleaned[name], cleaned, specs, **fk_options)
+        frames += spec.foreign_key_issues(cleaned[name], cleaned, specs, key_cache=key_cache, **fk_options)
     return I.union_issues(frames)

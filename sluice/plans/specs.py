@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from sluice.operators import issues as I
-from sluice.operators.integrity import foreign_key_issues
+from sluice.operators.integrity import distinct_parent_keys, foreign_key_issues
 from sluice.operators.keys import dedup
 from sluice.operators.rules import RowRule, UniqueRule, row_rule_issues, unique_issues
 
@@ -81,16 +81,32 @@ class DatasetSpec:
         return I.union_issues(frames) if frames else None
 
     def foreign_key_issues(
-        self, child: DataFrame, parents: Mapping[str, DataFrame], specs: Mapping[str, "DatasetSpec"], **kw
+        self,
+        child: DataFrame,
+        parents: Mapping[str, DataFrame],
+        specs: Mapping[str, "DatasetSpec"],
+        key_cache: dict | None = None,
+        **kw,
     ) -> list[DataFrame]:
+        """Issues of every foreign key. ``key_cache`` shares each parent's
+        distinct keys between checks (pass one dict for a whole run)."""
         out = []
+        shared = kw.get("strategy", "auto") != "direct"
         for fk in self.foreign_keys:
-            parent_key = fk.parent_key or tuple(specs[fk.parent].key)
+            pk = fk.parent_key or tuple(specs[fk.parent].key)
+            pk = [pk] if isinstance(pk, str) else list(pk)
+            parent = parents[fk.parent]
+            if shared:
+                cache = key_cache if key_cache is not None else {}
+                slot = (fk.parent, tuple(pk))
+                if slot not in cache:
+                    cache[slot] = distinct_parent_keys(parent, pk)
+                parent = cache[slot]
             out.append(
                 foreign_key_issues(
-                    child, parents[fk.parent], fk.columns, list(self.key), self.name,
-                    description=fk.text(), parent_key=parent_key,
-                    null_is_orphan=fk.null_is_orphan, **kw,
+                    child, parent, fk.columns, list(self.key), self.name,
+                    description=fk.text(), parent_key=pk,
+                    null_is_orphan=fk.null_is_orphan, parent_keys_ready=shared, **kw,
                 )
             )
         return out
