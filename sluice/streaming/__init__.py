@@ -6,10 +6,12 @@ rules look at one row at a time, so each new landing file can be cleaned and
 checked as it arrives. Dedup, the unique-key rule and foreign keys need the
 whole table and stay in the batch pipeline.
 
-``promote_landing_stream`` reads new CSV files in the landing folder, appends
-cleaned rows to the cleaned folder and row-rule issues to the issue folder,
-once per micro-batch, with exactly-once file output through the streaming
-checkpoint (which must sit on shared storage on a cluster).
+``promote_landing_stream`` reads new CSV files in the landing folder and, per
+micro-batch, writes cleaned rows and row-rule issues into a ``batch_id=<n>``
+folder of each output (overwrite mode). A batch replayed after a failure
+rewrites its own folder instead of appending twice, so the output is
+exactly-once; readers see ``batch_id`` as a partition column. The streaming
+checkpoint must sit on shared storage on a cluster.
 """
 
 from __future__ import annotations
@@ -43,6 +45,20 @@ def row_issue_stream(spec: DatasetSpec, cleaned: DataFrame) -> DataFrame | None:
     return row_rule_issues(cleaned, spec.name, list(spec.key), list(spec.row_rules))
 
 
+def batch_writer(spec: DatasetSpec, cleaned_path: str, issues_path: str):
+    """The micro-batch sink: cleaned rows and row-rule issues of one batch,
+    each into its own ``batch_id=<n>`` folder (a replay overwrites it)."""
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        part = f"batch_id={batch_id}"
+        batch.write.mode("overwrite").parquet(f"{cleaned_path.rstrip('/')}/{part}")
+        issues = row_issue_stream(spec, batch)
+        if issues is not None:
+            issues.write.mode("overwrite").parquet(f"{issues_path.rstrip('/')}/{part}")
+
+    return write_batch
+
+
 def promote_landing_stream(
     spark: SparkSession,
     spec: DatasetSpec,
@@ -55,13 +71,6 @@ def promote_landing_stream(
     """Start the incremental promotion; ``available_now`` processes the
     files present now and stops (a scheduled incremental batch)."""
     cleaned = clean_stream(spec, read_landing_stream(spark, spec, landing_folder))
-
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("append").parquet(cleaned_path)
-        issues = row_issue_stream(spec, batch)
-        if issues is not None:
-            issues.write.mode("append").parquet(issues_path)
-
-    writer = cleaned.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+    writer = cleaned.writeStream.foreachBatch(batch_writer(spec, cleaned_path, issues_path)).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()

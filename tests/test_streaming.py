@@ -26,3 +26,19 @@ def test_stream_promotes_new_files(spark, workdir):
     assert str(cleaned["M1"].administration_date) == "2025-07-11"
     issues = sorted(r.record_id for r in read_parquet(spark, iss).collect())
     assert issues == ["M1", "M3"]
+    assert sorted({r.batch_id for r in read_parquet(spark, out).collect()}) == [0, 1]
+
+
+def test_replayed_batch_does_not_duplicate(spark, workdir):
+    """The same batch id written twice (a replay after a failure) is stored once."""
+    from sluice.streaming import batch_writer, clean_stream
+
+    batch = clean_stream(MEDICATIONS, spark.createDataFrame(
+        [("M1", "P1", "V1", "Drug", -5, "mg", "2025-01-01", "IV")], MEDICATIONS.schema))
+    out, iss = os.path.join(workdir, "cleaned"), os.path.join(workdir, "issues")
+    write = batch_writer(MEDICATIONS, out, iss)
+    write(batch, 0)
+    write(batch, 0)
+    write(batch, 1)
+    assert read_parquet(spark, out).count() == 2
+    assert read_parquet(spark, iss).where("batch_id = 0").count() == 1
