@@ -1,8 +1,9 @@
 """Key operators: dedup, first-match lookups, distinct keys and values.
 
 Dedup keeps one row per key as the minimum of a struct of (order columns,
-then every other column). That is a hash-partitioned aggregate with partial
-aggregation before the shuffle: a key that holds a third of the table is
+then every other column); a single fixed-width payload column is a plain
+min/max, which keeps a hash aggregate. Either way it is an aggregate with
+partial aggregation before the shuffle: a key that holds a third of the table is
 reduced to one row per map task, where a ``row_number`` window would sort all
 of its rows in one task. The full tie-break makes the kept row independent of
 partitioning and input order.
@@ -15,7 +16,18 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType
+from pyspark.sql.types import (
+    BooleanType,
+    DateType,
+    DoubleType,
+    FloatType,
+    IntegralType,
+    MapType,
+    TimestampNTZType,
+    TimestampType,
+)
+
+_FIXED_WIDTH = (IntegralType, DoubleType, FloatType, BooleanType, DateType, TimestampType, TimestampNTZType)
 
 from sluice.functions.columns import ColumnOrName, col_of
 from sluice.sources.scratch import materialize
@@ -45,6 +57,16 @@ def dedup(
     if not payload and not maps:
         out = df.groupBy(*keys).agg(*aggs) if aggs else df.select(*keys).distinct()
         return out.select(*df.columns, *([count_col] if count_col else []))
+    types = {f.name: f.dataType for f in df.schema.fields}
+    if len(payload) == 1 and not maps and isinstance(types[payload[0]], _FIXED_WIDTH):
+        # One fixed-width column: a plain min/max keeps a hash aggregate.
+        # Nulls order first, as in the struct form: "first" keeps a null.
+        c = F.col(payload[0])
+        value = pick(c)
+        if keep == "first":
+            value = F.when(F.count(F.lit(1)) > F.count(c), F.lit(None)).otherwise(value)
+        out = df.groupBy(*keys).agg(value.alias(payload[0]), *aggs)
+        return out.select(*df.columns, *([count_col] if count_col else []))
     if payload:
         aggs.append(pick(F.struct(*[F.col(c) for c in payload])).alias("__kept"))
     order_struct = F.struct(*[F.col(c) for c in payload]) if payload else None

@@ -1,5 +1,7 @@
 """Dedup, distinct values and keys, lookups."""
 
+from pyspark.sql import functions as F
+
 import sluice as S
 
 
@@ -67,3 +69,11 @@ def test_lookup_first_null_keys_and_large_parent_paths(spark):
                              max_broadcast_rows=max_rows, hot_key_rows=hot)
         assert got.count() == 600
         assert {r.id: r.name for r in got.collect()} == want
+
+
+def test_dedup_single_column_matches_struct_form(spark):
+    df = spark.createDataFrame([("a", None), ("a", 3), ("b", 5), ("b", 2), ("c", None)], "k string, v long")
+    fast = {r.k: r.v for r in S.dedup(df, ["k"]).collect()}
+    slow = {r.k: r.v for r in S.dedup(df.withColumn("w", F.lit(1)), ["k"]).collect()}
+    assert fast == slow == {"a": None, "b": 2, "c": None}
+    assert {r.k: r.v for r in S.dedup(df, ["k"], keep="last").collect()} == {"a": 3, "b": 5, "c": None}
