@@ -261,7 +261,7 @@ def q_issue_summary(spark, d):
 
 def q_sales_issues(spark, d):
     """Every rule of the sales suite: row, unique and foreign-key issues."""
-    return table_issues(load_sales(spark, d), SALES_SPECS)
+    return table_issues(load_sales(spark, d), SALES_SPECS, parallel=4)
 
 
 # ----------------------------------------------------------------- keys, profiles

@@ -71,12 +71,14 @@ def orphans(
     max_broadcast_keys: int = DEFAULT_MAX_BROADCAST_KEYS,
     hot_key_rows: int = DEFAULT_HOT_KEY_ROWS,
     parent_keys_ready: bool = False,
+    parent_key_count: int | None = None,
 ) -> DataFrame:
     """Child rows whose foreign key has no match in ``parent``.
 
     ``parent_keys_ready=True`` says ``parent`` already holds only its
     distinct non-null keys, materialized (see ``distinct_parent_keys``), so
-    several checks against one parent share that work.
+    several checks against one parent share that work; ``parent_key_count``
+    is their number, if known.
     """
     fks = _names(foreign_key)
     pks = _names(parent_key) or fks
@@ -89,7 +91,8 @@ def orphans(
 
     if strategy == "auto":
         parent_keys = pkeys if parent_keys_ready else materialize(pkeys.distinct())
-        if parent_keys.count() <= max_broadcast_keys:
+        n_parent = parent_key_count if parent_keys_ready and parent_key_count is not None else parent_keys.count()
+        if n_parent <= max_broadcast_keys:
             found = keyed.join(F.broadcast(parent_keys), on=fks, how="left_anti")
         else:
             found = _missing_key_rows(keyed, parent_keys, fks, max_broadcast_keys, hot_key_rows)
@@ -106,11 +109,13 @@ def orphans(
     return found.unionByName(child.where(any_null))
 
 
-def distinct_parent_keys(parent: DataFrame, parent_key: str | Sequence[str]) -> DataFrame:
-    """A parent's distinct non-null keys, computed once into a checkpoint."""
+def distinct_parent_keys(parent: DataFrame, parent_key: str | Sequence[str]) -> tuple[DataFrame, int]:
+    """A parent's distinct non-null keys, computed once into a checkpoint,
+    and their number."""
     pks = _names(parent_key)
     not_null = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in pks])
-    return materialize(parent.select(*pks).where(not_null).distinct())
+    keys = materialize(parent.select(*pks).where(not_null).distinct())
+    return keys, keys.count()
 
 
 def _missing_key_rows(
@@ -153,6 +158,7 @@ def foreign_key_issues(
     max_broadcast_keys: int = DEFAULT_MAX_BROADCAST_KEYS,
     hot_key_rows: int = DEFAULT_HOT_KEY_ROWS,
     parent_keys_ready: bool = False,
+    parent_key_count: int | None = None,
 ) -> DataFrame:
     """INVALID_FOREIGN_KEY issues, one per orphan child row."""
     fks = _names(foreign_key)
@@ -162,5 +168,5 @@ def foreign_key_issues(
     rid_names = [c for c in rid_cols if isinstance(c, str)]
     slim = child.select(*dict.fromkeys(fks + rid_names)) if len(rid_names) == len(rid_cols) else child
     found = orphans(slim, parent, fks, parent_key, null_is_orphan, strategy, max_broadcast_keys, hot_key_rows,
-                    parent_keys_ready)
+                    parent_keys_ready, parent_key_count)
     return I.to_issues(found, dataset, rid_cols, field, I.INVALID_FOREIGN_KEY, text, severity)

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.operators import issues as I
+from sluice.operators.integrity import distinct_parent_keys
 from sluice.operators.keys import dedup
 from sluice.operators.profile import counted, observed_rows, profile
 from sluice.plans.specs import DatasetSpec
@@ -84,12 +85,30 @@ def clean_dataset(spark: SparkSession, spec: DatasetSpec, layers: LayerPaths) ->
     return int(obs.get["before"]), int(obs.get["after"])
 
 
+def parent_key_cache(
+    specs: Mapping[str, DatasetSpec], tables: Mapping[str, DataFrame], parallel: int = 1, strategy: str = "auto"
+) -> dict:
+    """Distinct keys of every parent that a foreign key points at, each
+    computed once (concurrently with ``parallel`` > 1)."""
+    if strategy == "direct":
+        return {}
+    slots = []
+    for spec in specs.values():
+        for fk in spec.foreign_keys:
+            pk = fk.parent_key or tuple(specs[fk.parent].key)
+            slot = (fk.parent, (pk,) if isinstance(pk, str) else tuple(pk))
+            if slot not in slots:
+                slots.append(slot)
+    return _each(slots, lambda slot: distinct_parent_keys(tables[slot[0]], list(slot[1])), parallel)
+
+
 def check_integrity(
-    spark: SparkSession, specs: Mapping[str, DatasetSpec], layers: LayerPaths, **fk_options
+    spark: SparkSession, specs: Mapping[str, DatasetSpec], layers: LayerPaths, parallel: int = 1, **fk_options
 ) -> DataFrame:
     """Foreign-key issues over the cleaned layer, written and read back."""
     cleaned = {name: read_parquet(spark, layers.cleaned(name)) for name in specs}
-    frames, key_cache = [], {}
+    frames = []
+    key_cache = parent_key_cache(specs, cleaned, parallel, fk_options.get("strategy", "auto"))
     for name, spec in specs.items():
         frames += spec.foreign_key_issues(cleaned[name], cleaned, specs, key_cache=key_cache, **fk_options)
     issues = I.union_issues(frames) if frames else I.empty_issues(spark)
@@ -124,7 +143,7 @@ def run_all(
     for name, (before, after) in counts.items():
         report.cleaned_rows_before_dedup[name] = before
         report.cleaned_rows[name] = after
-    check_integrity(spark, specs, layers, **fk_options)
+    check_integrity(spark, specs, layers, parallel, **fk_options)
     if combined:
         write_parquet(all_issues(spark, specs, layers), layers.all_issues(), partition_by=["dataset_name"])
     return report
@@ -133,6 +152,7 @@ def run_all(
 def table_issues(
     tables: Mapping[str, DataFrame],
     specs: Mapping[str, DatasetSpec],
+    parallel: int = 1,
     **fk_options,
 ) -> DataFrame:
     """Check mode: every spec's rules over tables as they are, nothing written.
@@ -142,7 +162,8 @@ def table_issues(
     cleaned parents. Returns one issue DataFrame.
     """
     cleaned = {name: specs[name].clean(tables[name]) for name in specs}
-    frames, key_cache = [], {}
+    frames = []
+    key_cache = parent_key_cache(specs, cleaned, parallel, fk_options.get("strategy", "auto"))
     for name, spec in specs.items():
         own = spec.issues(cleaned[name])
         if own is not None:

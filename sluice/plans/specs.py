@@ -95,18 +95,18 @@ class DatasetSpec:
         for fk in self.foreign_keys:
             pk = fk.parent_key or tuple(specs[fk.parent].key)
             pk = [pk] if isinstance(pk, str) else list(pk)
-            parent = parents[fk.parent]
+            parent, n_keys = parents[fk.parent], None
             if shared:
                 cache = key_cache if key_cache is not None else {}
                 slot = (fk.parent, tuple(pk))
                 if slot not in cache:
                     cache[slot] = distinct_parent_keys(parent, pk)
-                parent = cache[slot]
+                parent, n_keys = cache[slot]
             out.append(
                 foreign_key_issues(
                     child, parent, fk.columns, list(self.key), self.name,
-                    description=fk.text(), parent_key=pk,
-                    null_is_orphan=fk.null_is_orphan, parent_keys_ready=shared, **kw,
+                    description=fk.text(), parent_key=pk, null_is_orphan=fk.null_is_orphan,
+                    parent_keys_ready=shared, parent_key_count=n_keys, **kw,
                 )
             )
         return out
