@@ -12,7 +12,7 @@ import os
 import sys
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -351,6 +351,138 @@ def q_synth_lab_results(spark, d):
     return synth.lab_results(spark, v, ids["lab_results"])
 
 
+# ----------------------------------------------------------------- clinical specs on derived data
+def _pick(values, idx):
+    return F.element_at(F.array(*[F.lit(v) for v in values]), (idx % len(values) + 1).cast("int"))
+
+
+def _case(idx, n, values, default):
+    """CASE idx % n WHEN 0 THEN values[0] ... ELSE default END."""
+    expr = None
+    for i, v in enumerate(values):
+        cond = idx % n == i
+        expr = F.when(cond, F.lit(v)) if expr is None else expr.when(cond, F.lit(v))
+    return expr.otherwise(default if isinstance(default, Column) else F.lit(default))
+
+
+def _with_copies(base):
+    """Rows whose ``__copy`` flag is set appear twice (the duplicated-record defect)."""
+    return base.drop("__copy").unionByName(base.where("__copy").drop("__copy"))
+
+
+def _clinical_from_sales(spark, d):
+    """Landing-shaped clinical tables derived row by row from the sales tables.
+
+    Every value, defect and duplicate is a function of the source row's own
+    columns, so the DuckDB oracle derives the same rows. Sizes follow the
+    sales tables (patients = customers, visits = orders, adverse events =
+    events, lab results and medications = line items).
+    """
+    cust, orders = _t(spark, d, "customer"), _t(spark, d, "orders")
+    events, line = _t(spark, d, "events"), _t(spark, d, "lineitem")
+    iso, day0 = "yyyy-MM-dd", F.to_date(F.lit("2025-01-01"))
+
+    k = F.col("c_custkey")
+    site = _pick(synth.SITES, F.col("c_nationkey"))
+    enrolled = F.date_add(day0, (k % 365).cast("int"))
+    pbase = cust.select(
+        S.format_id(k + 1, "P", 4).alias("patient_id"),
+        F.when(k % 40 == 0, F.concat(F.lit(" "), F.lower(site), F.lit(" "))).otherwise(site).alias("site_id"),
+        _case(k, 7, ["Female", "male ", "F"], "M").alias("sex"),
+        F.when(k % 50 == 20, F.lit(None)).otherwise((F.lit(1945) + k % 61).cast("double")).alias("birth_year"),
+        F.when(k % 30 == 0, F.date_format(enrolled, "dd/MM/yyyy")).when(k % 30 == 1, "not a date")
+        .otherwise(F.date_format(enrolled, iso)).alias("enrollment_date"),
+        _pick(synth.TREATMENT_ARMS, k).alias("treatment_arm"),
+        _pick(synth.PATIENT_STATUSES, F.col("c_nationkey")).alias("status"),
+        (k % 97 == 10).alias("__copy"),
+    )
+    patients = _with_copies(pbase)
+
+    o, c = F.col("o_orderkey"), F.col("o_custkey")
+    sd = F.to_date("o_orderdate")
+    vd = F.date_add(sd, (o % 21 - 5).cast("int"))
+    vsite = _pick(synth.SITES, c)
+    vbase = orders.select(
+        S.format_id(o + 1, "V", 5).alias("visit_id"),
+        F.when(o % 101 == 7, "P_BAD").otherwise(S.format_id(c + 1, "P", 4)).alias("patient_id"),
+        F.when(o % 33 == 0, F.lower(vsite)).otherwise(vsite).alias("site_id"),
+        _pick(synth.VISIT_TYPES, o).alias("visit_type"),
+        F.when(o % 25 == 3, F.date_format(sd, "yyyy/MM/dd")).otherwise(F.date_format(sd, iso)).alias("scheduled_date"),
+        F.when(o % 89 == 15, "").when(o % 89 == 16, F.date_format(vd, "yyyy/MM/dd"))
+        .otherwise(F.date_format(vd, iso)).alias("visit_date"),
+        _case(o, 6, ["YES", "no", "True", "N"], "Y").alias("completed"),
+        _case(o, 5, ["FALSE", " y"], "N").alias("protocol_deviation"),
+        (o % 113 == 22).alias("__copy"),
+    )
+    visits = _with_copies(vbase)
+
+    e, u = F.col("event_id"), F.col("user_id")
+    ed = F.to_date("ts")
+    ebase = events.select(
+        S.format_id(e + 1, "AE", 5).alias("event_id"),
+        F.when(e % 97 == 9, "P_UNKNOWN").otherwise(S.format_id(u + 1, "P", 4)).alias("patient_id"),
+        _pick(synth.SITES, u).alias("site_id"),
+        F.when(e % 20 == 14, F.date_format(ed, "MM-dd-yyyy")).otherwise(F.date_format(ed, iso)).alias("event_date"),
+        _case(e, 5, ["high", "MILD", "moderate "], "SEVERE").alias("severity"),
+        _pick(synth.AE_RELATIONSHIP, e).alias("relationship_to_treatment"),
+        _pick(synth.AE_OUTCOMES, e % 7).alias("outcome"),
+        _case(e, 4, ["TRUE", "false"], "N").alias("serious_event"),
+        (e % 211 == 12).alias("__copy"),
+    )
+    adverse = _with_copies(ebase)
+
+    ok, ln = F.col("l_orderkey"), F.col("l_linenumber")
+    sk, pk = F.col("l_suppkey"), F.col("l_partkey")
+    labs = line.select(
+        F.concat(F.lit("LR"), ok.cast("string"), F.lit("-"), ln.cast("string")).alias("result_id"),
+        S.format_id(sk + 1, "P", 4).alias("patient_id"),
+        F.when(ok % 97 == 33, "V_BAD").otherwise(S.format_id(ok + 1, "V", 5)).alias("visit_id"),
+        _pick(LAB_TEST_SPELLINGS, ln).alias("test_name"),
+        F.when(ok % 10 == 0, "not_available").when(ok % 10 == 1, F.lit(None))
+        .otherwise(F.col("l_quantity").cast("string")).alias("test_value"),
+        F.when(sk % 9 == 0, " IU/L ").otherwise("U/L").alias("unit"),
+        F.lit(7.0).alias("reference_range_low"),
+        F.lit(56.0).alias("reference_range_high"),
+        _case(pk, 4, ["TRUE", "false", "Y"], "N").alias("abnormal_flag"),
+    )
+    ad = F.to_date("l_shipdate")
+    meds = line.select(
+        F.concat(S.format_id(ok, "M", 6), F.lit("-"), ln.cast("string")).alias("medication_id"),
+        S.format_id(sk + 1, "P", 4).alias("patient_id"),
+        F.when(pk % 53 == 36, "V_BAD").otherwise(S.format_id(ok + 1, "V", 5)).alias("visit_id"),
+        _pick(DRUG_SPELLINGS, sk).alias("drug_name"),
+        (F.col("l_quantity").cast("int") - 5).alias("dose"),
+        _case(ln, 3, ["milligrams", " mg/day"], "mg").alias("dose_unit"),
+        F.when(ok % 12 == 5, F.date_format(ad, "yyyy.MM.dd")).when(ok % 12 == 6, "2025-02-30")
+        .otherwise(F.date_format(ad, iso)).alias("administration_date"),
+        _pick(ROUTE_SPELLINGS, pk).alias("route"),
+    )
+    return {"patients": patients, "visits": visits, "adverse_events": adverse,
+            "lab_results": labs, "medications": meds}
+
+
+# Dirty spellings used by the derived clinical tables.
+LAB_TEST_SPELLINGS = [" alt", "AST", "hemoglobin", "WBC ", "CREATININE"]
+DRUG_SPELLINGS = [" PLACEBO", "Investigational Drug A ", "Investigational Drug B"]
+ROUTE_SPELLINGS = [" oral", "IV", "sc"]
+
+
+def q_clinical_check_issues(spark, d):
+    """Every clinical rule (R1–R12 kinds) over the derived tables, check mode."""
+    return table_issues(_clinical_from_sales(spark, d), CLINICAL_SPECS, parallel=4)
+
+
+def q_clinical_cleaned_visits(spark, d):
+    spec = CLINICAL_SPECS["visits"]
+    return spec.deduplicate(spec.clean(_clinical_from_sales(spark, d)["visits"]))
+
+
+def q_clinical_cleaned_medications(spark, d):
+    spec = CLINICAL_SPECS["medications"]
+    return spec.deduplicate(spec.clean(_clinical_from_sales(spark, d)["medications"]))
+
+
+
 def _clinical_layers(spark, d):
     layers = S.LayerPaths(scratch_path(spark, "clinical"))
     synth.save_landing(synth.clinical_tables(spark, _clinical_ids(spark, d)), layers.landing)
@@ -413,6 +545,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sample_parent": q_sample_parent,
     "synth_patients": q_synth_patients,
     "synth_lab_results": q_synth_lab_results,
+    "clinical_check_issues": q_clinical_check_issues,
+    "clinical_cleaned_visits": q_clinical_cleaned_visits,
+    "clinical_cleaned_medications": q_clinical_cleaned_medications,
     "clinical_issues": q_clinical_issues,
     "clinical_landing_profile": q_clinical_landing_profile,
 }
@@ -425,7 +560,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def _fk_sql(table, key, fk, parent, pk, description):
     return (f"SELECT '{table}' AS dataset_name, {key} AS record_id, '{fk}' AS field_name, "
             f"'INVALID_FOREIGN_KEY' AS issue_type, '{description}' AS issue_description, 'HIGH' AS severity "
-            f"FROM {table} WHERE NOT EXISTS (SELECT 1 FROM {parent} WHERE {pk} = {fk})")
+            f"FROM {table} WHERE NOT EXISTS (SELECT 1 FROM {parent} WHERE {pk} = {table}.{fk})")
 
 
 def _dup_sql(table, keys):
@@ -626,8 +761,143 @@ _ORACLE: dict[str, str] = {
 }
 
 
+def _sql_list(values):
+    return "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + "]"
+
+
+def _sql_date(col, formats):
+    """Gated multi-format parse in DuckDB, as ``parse_date`` does in Spark."""
+    shapes = {"yyyy-MM-dd": (r"\d{4}-\d{2}-\d{2}", "%Y-%m-%d"), "dd/MM/yyyy": (r"\d{2}/\d{2}/\d{4}", "%d/%m/%Y"),
+              "yyyy/MM/dd": (r"\d{4}/\d{2}/\d{2}", "%Y/%m/%d"), "MM-dd-yyyy": (r"\d{2}-\d{2}-\d{4}", "%m-%d-%Y"),
+              "yyyy.MM.dd": (r"\d{4}\.\d{2}\.\d{2}", "%Y.%m.%d")}
+    parts = [f"CASE WHEN regexp_full_match({col}, '{shapes[f][0]}') THEN try_strptime({col}, '{shapes[f][1]}') END"
+             for f in formats]
+    return f"CAST(COALESCE({', '.join(parts)}) AS DATE)"
+
+
+def _sql_flag(col, synonyms):
+    whens = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in synonyms.items())
+    return f"CASE upper(trim({col})) {whens} ELSE upper(trim({col})) END"
+
+
+def _clinical_sql_ctes():
+    from sluice.functions.columns import FLAG_FOUR_SYNONYMS
+    from sluice.plans import clinical as C
+
+    sites = _sql_list(synth.SITES)
+    iso = "'%Y-%m-%d'"
+    return f"""
+pl AS (SELECT c_custkey AS k, c_nationkey AS n, {sites}[c_nationkey % 4 + 1] AS site,
+              DATE '2025-01-01' + CAST(c_custkey % 365 AS INTEGER) AS enrolled FROM customer),
+pbase AS (SELECT printf('P%04d', k + 1) AS patient_id,
+  CASE WHEN k % 40 = 0 THEN ' ' || lower(site) || ' ' ELSE site END AS site_id,
+  CASE k % 7 WHEN 0 THEN 'Female' WHEN 1 THEN 'male ' WHEN 2 THEN 'F' ELSE 'M' END AS sex,
+  CASE WHEN k % 50 = 20 THEN NULL ELSE CAST(1945 + k % 61 AS DOUBLE) END AS birth_year,
+  CASE WHEN k % 30 = 0 THEN strftime(enrolled, '%d/%m/%Y') WHEN k % 30 = 1 THEN 'not a date'
+       ELSE strftime(enrolled, {iso}) END AS enrollment_date,
+  {_sql_list(synth.TREATMENT_ARMS)}[k % 3 + 1] AS treatment_arm,
+  {_sql_list(synth.PATIENT_STATUSES)}[n % 3 + 1] AS status, k % 97 = 10 AS copy FROM pl),
+patients AS (SELECT * EXCLUDE (copy) FROM pbase UNION ALL SELECT * EXCLUDE (copy) FROM pbase WHERE copy),
+vl AS (SELECT o_orderkey AS o, o_custkey AS c, CAST(o_orderdate AS DATE) AS sd,
+              CAST(o_orderdate AS DATE) + CAST(o_orderkey % 21 - 5 AS INTEGER) AS vd,
+              {sites}[o_custkey % 4 + 1] AS site FROM orders),
+vbase AS (SELECT printf('V%05d', o + 1) AS visit_id,
+  CASE WHEN o % 101 = 7 THEN 'P_BAD' ELSE printf('P%04d', c + 1) END AS patient_id,
+  CASE WHEN o % 33 = 0 THEN lower(site) ELSE site END AS site_id,
+  {_sql_list(synth.VISIT_TYPES)}[o % 4 + 1] AS visit_type,
+  CASE WHEN o % 25 = 3 THEN strftime(sd, '%Y/%m/%d') ELSE strftime(sd, {iso}) END AS scheduled_date,
+  CASE WHEN o % 89 = 15 THEN '' WHEN o % 89 = 16 THEN strftime(vd, '%Y/%m/%d') ELSE strftime(vd, {iso}) END
+    AS visit_date,
+  CASE o % 6 WHEN 0 THEN 'YES' WHEN 1 THEN 'no' WHEN 2 THEN 'True' WHEN 3 THEN 'N' ELSE 'Y' END AS completed,
+  CASE o % 5 WHEN 0 THEN 'FALSE' WHEN 1 THEN ' y' ELSE 'N' END AS protocol_deviation,
+  o % 113 = 22 AS copy FROM vl),
+visits AS (SELECT * EXCLUDE (copy) FROM vbase UNION ALL SELECT * EXCLUDE (copy) FROM vbase WHERE copy),
+el AS (SELECT event_id AS e, user_id AS u, CAST(ts AS DATE) AS ed FROM events),
+ebase AS (SELECT printf('AE%05d', e + 1) AS event_id,
+  CASE WHEN e % 97 = 9 THEN 'P_UNKNOWN' ELSE printf('P%04d', u + 1) END AS patient_id,
+  {sites}[u % 4 + 1] AS site_id,
+  CASE WHEN e % 20 = 14 THEN strftime(ed, '%m-%d-%Y') ELSE strftime(ed, {iso}) END AS event_date,
+  CASE e % 5 WHEN 0 THEN 'high' WHEN 1 THEN 'MILD' WHEN 2 THEN 'moderate ' ELSE 'SEVERE' END AS severity,
+  {_sql_list(synth.AE_RELATIONSHIP)}[e % 3 + 1] AS relationship_to_treatment,
+  {_sql_list(synth.AE_OUTCOMES)}[e % 7 % 3 + 1] AS outcome,
+  CASE e % 4 WHEN 0 THEN 'TRUE' WHEN 1 THEN 'false' ELSE 'N' END AS serious_event,
+  e % 211 = 12 AS copy FROM el),
+adverse_events AS (SELECT * EXCLUDE (copy) FROM ebase UNION ALL SELECT * EXCLUDE (copy) FROM ebase WHERE copy),
+lab_results AS (SELECT 'LR' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS result_id,
+  printf('P%04d', l_suppkey + 1) AS patient_id,
+  CASE WHEN l_orderkey % 97 = 33 THEN 'V_BAD' ELSE printf('V%05d', l_orderkey + 1) END AS visit_id,
+  {_sql_list(LAB_TEST_SPELLINGS)}[l_linenumber % 5 + 1] AS test_name,
+  CASE WHEN l_orderkey % 10 = 0 THEN 'not_available' WHEN l_orderkey % 10 = 1 THEN NULL
+       ELSE CAST(l_quantity AS VARCHAR) END AS test_value,
+  CASE WHEN l_suppkey % 9 = 0 THEN ' IU/L ' ELSE 'U/L' END AS unit,
+  CAST(7.0 AS DOUBLE) AS reference_range_low, CAST(56.0 AS DOUBLE) AS reference_range_high,
+  CASE l_partkey % 4 WHEN 0 THEN 'TRUE' WHEN 1 THEN 'false' WHEN 2 THEN 'Y' ELSE 'N' END AS abnormal_flag
+  FROM lineitem),
+medications AS (SELECT printf('M%06d', l_orderkey) || '-' || CAST(l_linenumber AS VARCHAR) AS medication_id,
+  printf('P%04d', l_suppkey + 1) AS patient_id,
+  CASE WHEN l_partkey % 53 = 36 THEN 'V_BAD' ELSE printf('V%05d', l_orderkey + 1) END AS visit_id,
+  {_sql_list(DRUG_SPELLINGS)}[l_suppkey % 3 + 1] AS drug_name,
+  CAST(l_quantity AS INTEGER) - 5 AS dose,
+  CASE l_linenumber % 3 WHEN 0 THEN 'milligrams' WHEN 1 THEN ' mg/day' ELSE 'mg' END AS dose_unit,
+  CASE WHEN l_orderkey % 12 = 5 THEN strftime(CAST(l_shipdate AS DATE), '%Y.%m.%d')
+       WHEN l_orderkey % 12 = 6 THEN '2025-02-30' ELSE strftime(CAST(l_shipdate AS DATE), {iso}) END
+    AS administration_date,
+  {_sql_list(ROUTE_SPELLINGS)}[l_partkey % 3 + 1] AS route FROM lineitem),
+c_patients AS (SELECT patient_id, TRY_CAST(birth_year AS INTEGER) AS birth_year FROM patients),
+c_visits AS (SELECT visit_id, patient_id, upper(trim(site_id)) AS site_id, upper(trim(visit_type)) AS visit_type,
+  {_sql_date("scheduled_date", C.VISIT_DATE_FORMATS)} AS scheduled_date,
+  {_sql_date("visit_date", C.VISIT_DATE_FORMATS)} AS visit_date,
+  {_sql_flag("completed", FLAG_FOUR_SYNONYMS)} AS completed,
+  {_sql_flag("protocol_deviation", FLAG_FOUR_SYNONYMS)} AS protocol_deviation FROM visits),
+c_medications AS (SELECT medication_id, patient_id, visit_id, trim(drug_name) AS drug_name, dose,
+  CASE WHEN upper(trim(dose_unit)) = 'MILLIGRAMS' THEN 'mg' ELSE trim(dose_unit) END AS dose_unit,
+  {_sql_date("administration_date", C.ADMINISTRATION_DATE_FORMATS)} AS administration_date,
+  upper(trim(route)) AS route FROM medications)
+"""
+
+
+def _sql_dedup(table, key, rest):
+    order = ", ".join(f"{c} NULLS FIRST" for c in rest)
+    return (f"SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY {order}) AS rn "
+            f"FROM {table}) WHERE rn = 1")
+
+
+def _clinical_oracles():
+    ctes = "WITH " + _clinical_sql_ctes()
+    issues = " UNION ALL ".join([
+        _dup_sql("patients", ["patient_id"]),
+        _row_sql("patients", "patient_id", "birth_year", "birth_year IS NULL", "Missing birth_year value",
+                 "MISSING_VALUE", "MEDIUM", source="c_patients"),
+        _dup_sql("visits", ["visit_id"]),
+        _row_sql("visits", "visit_id", "visit_date", "visit_date IS NULL", "Missing visit_date value",
+                 "MISSING_VALUE", "MEDIUM", source="c_visits"),
+        _fk_sql("visits", "visit_id", "patient_id", "patients p", "p.patient_id",
+                "patient_id does not exist in patients dataset"),
+        _dup_sql("adverse_events", ["event_id"]),
+        _fk_sql("adverse_events", "event_id", "patient_id", "patients p", "p.patient_id",
+                "patient_id does not exist in patients dataset"),
+        _row_sql("lab_results", "result_id", "test_value",
+                 "test_value IS NOT NULL AND TRY_CAST(test_value AS DOUBLE) IS NULL",
+                 "test_value could not be converted to double", "INVALID_NUMERIC_VALUE"),
+        _fk_sql("lab_results", "result_id", "visit_id", "visits v", "v.visit_id",
+                "visit_id does not exist in visits dataset"),
+        _dup_sql("medications", ["medication_id"]),
+        _row_sql("medications", "medication_id", "dose", "dose < 0", "Dose cannot be negative"),
+        _fk_sql("medications", "medication_id", "visit_id", "visits v", "v.visit_id",
+                "visit_id does not exist in visits dataset"),
+    ])
+    visit_rest = ["patient_id", "site_id", "visit_type", "scheduled_date", "visit_date", "completed",
+                  "protocol_deviation"]
+    med_rest = ["patient_id", "visit_id", "drug_name", "dose", "dose_unit", "administration_date", "route"]
+    return {
+        "clinical_check_issues": f"{ctes} {issues}",
+        "clinical_cleaned_visits": f"{ctes} {_sql_dedup('c_visits', 'visit_id', visit_rest)}",
+        "clinical_cleaned_medications": f"{ctes} {_sql_dedup('c_medications', 'medication_id', med_rest)}",
+    }
+
+
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL per query. The generated-data queries have none: their
     values are seeded Spark hash draws, and the clinical layer queries write
     and re-read several folders."""
-    return dict(_ORACLE)
+    return {**_ORACLE, **_clinical_oracles()}
