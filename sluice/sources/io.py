@@ -96,5 +96,16 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """Overwrite a CSV folder with a header row; null cells are written empty."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """Overwrite a CSV folder with a header row; null cells are written empty.
+
+    Values are written as they are: Spark's CSV writer trims leading and
+    trailing spaces unless told not to, which would clean padded codes before
+    the cleaners ever see them.
+    """
+    (
+        df.write.mode("overwrite")
+        .option("header", True)
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )

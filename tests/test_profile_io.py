@@ -74,3 +74,11 @@ def test_parquet_roundtrip_partitioned(spark, workdir):
     S.write_parquet(df, path, partition_by=["dataset_name"])
     assert sorted(tuple(r) for r in S.read_parquet(spark, path).select("dataset_name", "record_id").collect()) == [
         ("a", "1"), ("b", "2")]
+
+
+def test_csv_roundtrip_keeps_padding(spark, workdir):
+    df = spark.createDataFrame([(" site_b ", "x,y", None), ("a\t", 'q"t', "z")], "a string, b string, c string")
+    path = os.path.join(workdir, "rt.csv")
+    S.write_csv(df, path)
+    got = sorted((tuple(r) for r in S.read_csv(spark, path, df.schema).collect()), key=str)
+    assert got == sorted([(" site_b ", "x,y", None), ("a\t", 'q"t', "z")], key=str)
