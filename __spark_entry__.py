@@ -472,6 +472,15 @@ def q_clinical_check_issues(spark, d):
     return table_issues(_clinical_from_sales(spark, d), CLINICAL_SPECS, parallel=4)
 
 
+def q_clinical_layers_issues(spark, d):
+    """The layered promotion (landing CSV → raw → cleaned → issues →
+    integrity) over the derived clinical tables; all issue tables read back."""
+    layers = S.LayerPaths(scratch_path(spark, "clinical_derived"))
+    synth.save_landing(_clinical_from_sales(spark, d), layers.landing)
+    run_all(spark, CLINICAL_SPECS, layers, parallel=len(CLINICAL_SPECS))
+    return all_issues(spark, CLINICAL_SPECS, layers)
+
+
 def q_clinical_cleaned_visits(spark, d):
     spec = CLINICAL_SPECS["visits"]
     return spec.deduplicate(spec.clean(_clinical_from_sales(spark, d)["visits"]))
@@ -546,6 +555,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "synth_patients": q_synth_patients,
     "synth_lab_results": q_synth_lab_results,
     "clinical_check_issues": q_clinical_check_issues,
+    "clinical_layers_issues": q_clinical_layers_issues,
     "clinical_cleaned_visits": q_clinical_cleaned_visits,
     "clinical_cleaned_medications": q_clinical_cleaned_medications,
     "clinical_issues": q_clinical_issues,
@@ -557,10 +567,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 
 
-def _fk_sql(table, key, fk, parent, pk, description):
+def _fk_sql(table, key, fk, parent, pk, description, source=None):
     return (f"SELECT '{table}' AS dataset_name, {key} AS record_id, '{fk}' AS field_name, "
             f"'INVALID_FOREIGN_KEY' AS issue_type, '{description}' AS issue_description, 'HIGH' AS severity "
-            f"FROM {table} WHERE NOT EXISTS (SELECT 1 FROM {parent} WHERE {pk} = {table}.{fk})")
+            f"FROM {source or table} AS child WHERE NOT EXISTS (SELECT 1 FROM {parent} WHERE {pk} = child.{fk})")
 
 
 def _dup_sql(table, keys):
@@ -862,8 +872,19 @@ def _sql_dedup(table, key, rest):
             f"FROM {table}) WHERE rn = 1")
 
 
-def _clinical_oracles():
-    ctes = "WITH " + _clinical_sql_ctes()
+def _clinical_issue_sql(layered):
+    """Issues of the clinical specs. Check mode compares every child row;
+    the layered run compares the deduplicated (cleaned-layer) children."""
+    med_rest = ["patient_id", "visit_id", "drug_name", "dose", "dose_unit", "administration_date", "route"]
+    child = {"visits": "visits", "adverse_events": "adverse_events", "medications": "medications"}
+    extra = ""
+    if layered:
+        # Copies of a record are identical, so DISTINCT is the dedup for these two.
+        child = {"visits": "(SELECT DISTINCT * FROM visits)", "adverse_events": "(SELECT DISTINCT * FROM adverse_events)",
+                 "medications": "d_medications"}
+        extra = f", d_medications AS ({_sql_dedup('c_medications', 'medication_id', med_rest)})"
+    pat = "patient_id does not exist in patients dataset"
+    vis = "visit_id does not exist in visits dataset"
     issues = " UNION ALL ".join([
         _dup_sql("patients", ["patient_id"]),
         _row_sql("patients", "patient_id", "birth_year", "birth_year IS NULL", "Missing birth_year value",
@@ -871,31 +892,33 @@ def _clinical_oracles():
         _dup_sql("visits", ["visit_id"]),
         _row_sql("visits", "visit_id", "visit_date", "visit_date IS NULL", "Missing visit_date value",
                  "MISSING_VALUE", "MEDIUM", source="c_visits"),
-        _fk_sql("visits", "visit_id", "patient_id", "patients p", "p.patient_id",
-                "patient_id does not exist in patients dataset"),
+        _fk_sql("visits", "visit_id", "patient_id", "patients p", "p.patient_id", pat, child["visits"]),
         _dup_sql("adverse_events", ["event_id"]),
-        _fk_sql("adverse_events", "event_id", "patient_id", "patients p", "p.patient_id",
-                "patient_id does not exist in patients dataset"),
+        _fk_sql("adverse_events", "event_id", "patient_id", "patients p", "p.patient_id", pat,
+                child["adverse_events"]),
         _row_sql("lab_results", "result_id", "test_value",
                  "test_value IS NOT NULL AND TRY_CAST(test_value AS DOUBLE) IS NULL",
                  "test_value could not be converted to double", "INVALID_NUMERIC_VALUE"),
-        _fk_sql("lab_results", "result_id", "visit_id", "visits v", "v.visit_id",
-                "visit_id does not exist in visits dataset"),
+        _fk_sql("lab_results", "result_id", "visit_id", "visits v", "v.visit_id", vis),
         _dup_sql("medications", ["medication_id"]),
         _row_sql("medications", "medication_id", "dose", "dose < 0", "Dose cannot be negative"),
-        _fk_sql("medications", "medication_id", "visit_id", "visits v", "v.visit_id",
-                "visit_id does not exist in visits dataset"),
+        _fk_sql("medications", "medication_id", "visit_id", "visits v", "v.visit_id", vis, child["medications"]),
     ])
+    return f"WITH {_clinical_sql_ctes()}{extra} {issues}"
+
+
+def _clinical_oracles():
+    ctes = "WITH " + _clinical_sql_ctes()
     visit_rest = ["patient_id", "site_id", "visit_type", "scheduled_date", "visit_date", "completed",
                   "protocol_deviation"]
     med_rest = ["patient_id", "visit_id", "drug_name", "dose", "dose_unit", "administration_date", "route"]
     return {
-        "clinical_check_issues": f"{ctes} {issues}",
+        "clinical_check_issues": _clinical_issue_sql(layered=False),
+        "clinical_layers_issues": _clinical_issue_sql(layered=True),
         "clinical_cleaned_visits": f"{ctes} {_sql_dedup('c_visits', 'visit_id', visit_rest)}",
         "clinical_cleaned_medications": f"{ctes} {_sql_dedup('c_medications', 'medication_id', med_rest)}",
     }
 
-
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL per query. The generated-data queries have none: their
     values are seeded Spark hash draws, and the clinical layer queries write
