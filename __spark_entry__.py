@@ -33,8 +33,9 @@ def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
 
 
 def entry(spark: SparkSession) -> DataFrame:
-    """Flagship: every data-quality rule over the sales tables at sf0.001."""
-    return q_sales_issues(spark, SMOKE_DIR)
+    """Flagship: every clinical rule (duplicates, missing and invalid values,
+    business rules, foreign keys) over clinical tables derived from sf0.001."""
+    return q_clinical_check_issues(spark, SMOKE_DIR)
 
 
 # ----------------------------------------------------------------- scans, I/O
