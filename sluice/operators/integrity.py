@@ -9,12 +9,14 @@ they are split off with a filter and never enter a join, so the null "key"
 cannot pile up in one partition.
 
 ``strategy="auto"`` (default) is skew-proof by construction, without relying
-on AQE. The distinct parent keys are computed once (map-side partial
-aggregation, so a hot parent key is one row per map task), checkpointed and
-counted. Up to ``max_broadcast_keys`` of them are broadcast and the child is
-anti-joined in a map-only scan: the child's rows never move and no task holds
-more than its own input split. A larger parent goes to the ``keys`` plan
-below, reusing the same distinct keys.
+on AQE. The parent's rows are counted first (from Parquet footers when the
+parent is a plain scan). Up to ``max_broadcast_keys`` rows, its key column is
+broadcast as it is (the count proves the bound) and the child is anti-joined
+in a map-only scan: no shuffle, no checkpoint, and no task holds more than its
+own input split. A larger parent has its distinct keys computed once (map-side
+partial aggregation, so a hot parent key is one row per map task),
+checkpointed and counted; if they fit the bound they are broadcast the same
+way, else the ``keys`` plan below runs with them.
 
 ``strategy="keys"``: two phases, for a child and a parent that are both huge.
 Child keys are counted (map-side partial aggregation, so a hot key is one row
@@ -75,10 +77,9 @@ def orphans(
 ) -> DataFrame:
     """Child rows whose foreign key has no match in ``parent``.
 
-    ``parent_keys_ready=True`` says ``parent`` already holds only its
-    distinct non-null keys, materialized (see ``distinct_parent_keys``), so
-    several checks against one parent share that work; ``parent_key_count``
-    is their number, if known.
+    ``parent_keys_ready=True`` says ``parent`` is a key set from
+    ``parent_key_set`` (shared by several checks against one parent) and
+    ``parent_key_count`` its size.
     """
     fks = _names(foreign_key)
     pks = _names(parent_key) or fks
@@ -90,12 +91,16 @@ def orphans(
     pkeys = parent.select(*[F.col(p).alias(f) for p, f in zip(pks, fks)])
 
     if strategy == "auto":
-        parent_keys = pkeys if parent_keys_ready else materialize(pkeys.distinct())
-        n_parent = parent_key_count if parent_keys_ready and parent_key_count is not None else parent_keys.count()
-        if n_parent <= max_broadcast_keys:
-            found = keyed.join(F.broadcast(parent_keys), on=fks, how="left_anti")
+        if parent_keys_ready:
+            n_keys = parent_key_count if parent_key_count is not None else pkeys.count()
+            key_set = pkeys
         else:
-            found = _missing_key_rows(keyed, parent_keys, fks, max_broadcast_keys, hot_key_rows)
+            key_set, n_keys = parent_key_set(parent, pks, max_broadcast_keys)
+            key_set = key_set.select(*[F.col(p).alias(f) for p, f in zip(pks, fks)])
+        if n_keys <= max_broadcast_keys:
+            found = keyed.join(F.broadcast(key_set), on=fks, how="left_anti")
+        else:
+            found = _missing_key_rows(keyed, key_set, fks, max_broadcast_keys, hot_key_rows)
     elif strategy == "direct":
         found = keyed.join(pkeys, on=fks, how="left_anti")
     elif strategy == "keys":
@@ -109,12 +114,22 @@ def orphans(
     return found.unionByName(child.where(any_null))
 
 
-def distinct_parent_keys(parent: DataFrame, parent_key: str | Sequence[str]) -> tuple[DataFrame, int]:
-    """A parent's distinct non-null keys, computed once into a checkpoint,
-    and their number."""
+def parent_key_set(
+    parent: DataFrame, parent_key: str | Sequence[str], max_broadcast_keys: int = DEFAULT_MAX_BROADCAST_KEYS
+) -> tuple[DataFrame, int]:
+    """The keys a child is checked against, and their number.
+
+    A parent of at most ``max_broadcast_keys`` rows (counted) gives its
+    non-null key rows as they are, ready to broadcast. A larger one gives its
+    distinct non-null keys, computed once into a checkpoint and counted.
+    """
     pks = _names(parent_key)
     not_null = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in pks])
-    keys = materialize(parent.select(*pks).where(not_null).distinct())
+    rows = parent.select(*pks).where(not_null)
+    n_rows = parent.count()
+    if n_rows <= max_broadcast_keys:
+        return rows, n_rows
+    keys = materialize(rows.distinct())
     return keys, keys.count()
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.operators import issues as I
-from sluice.operators.integrity import distinct_parent_keys
+from sluice.operators.integrity import DEFAULT_MAX_BROADCAST_KEYS, parent_key_set
 from sluice.operators.keys import dedup
 from sluice.operators.profile import counted, observed_rows, profile
 from sluice.plans.specs import DatasetSpec
@@ -86,10 +86,14 @@ def clean_dataset(spark: SparkSession, spec: DatasetSpec, layers: LayerPaths) ->
 
 
 def parent_key_cache(
-    specs: Mapping[str, DatasetSpec], tables: Mapping[str, DataFrame], parallel: int = 1, strategy: str = "auto"
+    specs: Mapping[str, DatasetSpec],
+    tables: Mapping[str, DataFrame],
+    parallel: int = 1,
+    strategy: str = "auto",
+    max_broadcast_keys: int = DEFAULT_MAX_BROADCAST_KEYS,
 ) -> dict:
-    """Distinct keys of every parent that a foreign key points at, each
-    computed once (concurrently with ``parallel`` > 1)."""
+    """The key set of every parent that a foreign key points at, each built
+    once (concurrently with ``parallel`` > 1)."""
     if strategy == "direct":
         return {}
     slots = []
@@ -99,7 +103,7 @@ def parent_key_cache(
             slot = (fk.parent, (pk,) if isinstance(pk, str) else tuple(pk))
             if slot not in slots:
                 slots.append(slot)
-    return _each(slots, lambda slot: distinct_parent_keys(tables[slot[0]], list(slot[1])), parallel)
+    return _each(slots, lambda slot: parent_key_set(tables[slot[0]], list(slot[1]), max_broadcast_keys), parallel)
 
 
 def check_integrity(
@@ -108,7 +112,8 @@ def check_integrity(
     """Foreign-key issues over the cleaned layer, written and read back."""
     cleaned = {name: read_parquet(spark, layers.cleaned(name)) for name in specs}
     frames = []
-    key_cache = parent_key_cache(specs, cleaned, parallel, fk_options.get("strategy", "auto"))
+    key_cache = parent_key_cache(specs, cleaned, parallel, fk_options.get("strategy", "auto"),
+                                 fk_options.get("max_broadcast_keys", DEFAULT_MAX_BROADCAST_KEYS))
     for name, spec in specs.items():
         frames += spec.foreign_key_issues(cleaned[name], cleaned, specs, key_cache=key_cache, **fk_options)
     issues = I.union_issues(frames) if frames else I.empty_issues(spark)
@@ -163,7 +168,8 @@ def table_issues(
     """
     cleaned = {name: specs[name].clean(tables[name]) for name in specs}
     frames = []
-    key_cache = parent_key_cache(specs, cleaned, parallel, fk_options.get("strategy", "auto"))
+    key_cache = parent_key_cache(specs, cleaned, parallel, fk_options.get("strategy", "auto"),
+                                 fk_options.get("max_broadcast_keys", DEFAULT_MAX_BROADCAST_KEYS))
     for name, spec in specs.items():
         own = spec.issues(cleaned[name])
         if own is not None:

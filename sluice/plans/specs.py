@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from sluice.operators import issues as I
-from sluice.operators.integrity import distinct_parent_keys, foreign_key_issues
+from sluice.operators.integrity import DEFAULT_MAX_BROADCAST_KEYS, foreign_key_issues, parent_key_set
 from sluice.operators.keys import dedup
 from sluice.operators.rules import RowRule, UniqueRule, row_rule_issues, unique_issues
 
@@ -100,7 +100,7 @@ class DatasetSpec:
                 cache = key_cache if key_cache is not None else {}
                 slot = (fk.parent, tuple(pk))
                 if slot not in cache:
-                    cache[slot] = distinct_parent_keys(parent, pk)
+                    cache[slot] = parent_key_set(parent, pk, kw.get("max_broadcast_keys", DEFAULT_MAX_BROADCAST_KEYS))
                 parent, n_keys = cache[slot]
             out.append(
                 foreign_key_issues(

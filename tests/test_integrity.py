@@ -87,3 +87,15 @@ def test_hot_key_child(spark):
         expect = expect or got
         assert got == expect
     assert len(expect) == 1000 + 1000 + sum(1 for i in range(3000) if i % 3 == 2 and (i % 2 == 1 or i >= 4000))
+
+
+def test_auto_large_parent_paths(spark):
+    """auto with a parent over the broadcast bound: distinct keys, then broadcast or the split plan."""
+    child = spark.range(0, 3000).selectExpr(
+        "id", "CASE WHEN id % 3 = 0 THEN 7 WHEN id % 3 = 1 THEN NULL ELSE id END AS fk")
+    parent = spark.range(0, 4000).selectExpr("(id % 2000) * 2 AS pk")  # every key twice
+    want = sorted(r.id for r in S.orphans(child, parent, "fk", parent_key="pk", strategy="direct").collect())
+    for max_keys, hot in [(2500, 10), (10, 10), (10, 5000), (0, 10)]:
+        got = sorted(r.id for r in S.orphans(child, parent, "fk", parent_key="pk", strategy="auto",
+                                             max_broadcast_keys=max_keys, hot_key_rows=hot).collect())
+        assert got == want
