@@ -2,7 +2,8 @@
 
 Dedup keeps one row per key as the minimum of a struct of (order columns,
 then every other column); a single fixed-width payload column is a plain
-min/max, which keeps a hash aggregate. Either way it is an aggregate with
+min/max, which keeps a hash aggregate. By default only rows of duplicated
+keys are aggregated (see ``dedup``). Either way it is an aggregate with
 partial aggregation before the shuffle: a key that holds a third of the table is
 reduced to one row per map task, where a ``row_number`` window would sort all
 of its rows in one task. The full tie-break makes the kept row independent of
@@ -33,12 +34,23 @@ from sluice.functions.columns import ColumnOrName, col_of
 from sluice.sources.scratch import materialize
 
 
+# Duplicated keys up to this many are broadcast so that only their rows are
+# aggregated (the set is counted first).
+DEFAULT_MAX_DUPLICATE_KEYS = 2_000_000
+# Below this many rows one full aggregate is cheaper than the extra jobs of
+# the duplicated-only plan (a shuffle of 10M rows takes seconds).
+DEFAULT_SMALL_ROWS = 10_000_000
+
+
 def dedup(
     df: DataFrame,
     keys: Sequence[str],
     order_by: Sequence[str] = (),
     keep: str = "first",
     count_col: str | None = None,
+    strategy: str = "auto",
+    max_duplicate_keys: int = DEFAULT_MAX_DUPLICATE_KEYS,
+    small_rows: int = DEFAULT_SMALL_ROWS,
 ) -> DataFrame:
     """One row per key value; null keys form one group.
 
@@ -46,7 +58,45 @@ def dedup(
     ``"last"`` the largest; remaining ties are broken on all other columns.
     Column order of ``df`` is kept. ``count_col`` adds the number of input
     rows of each key (from the same aggregation).
+
+    ``strategy="auto"`` counts the rows first (from Parquet footers when
+    ``df`` is a scan or projection of one). A table of at most
+    ``small_rows`` rows gets one aggregate over every row. A larger table
+    shuffles whole rows only where it must: the duplicated keys are found
+    with a key-only hash aggregate (partial aggregation first) and counted.
+    With none, ``df`` comes back as it is. With at most
+    ``max_duplicate_keys``, rows of unique keys pass map-only (anti-join
+    against the broadcast set) and only rows of duplicated keys, plus
+    null-key rows, go through the aggregate. More duplicated keys than that,
+    or ``strategy="shuffle"``, aggregate every row; ``strategy="duplicated"``
+    skips the row count.
     """
+    keys = list(keys)
+    if keys and (strategy == "duplicated" or (strategy == "auto" and df.count() > small_rows)):
+        return _dedup_duplicated_only(df, keys, order_by, keep, count_col, max_duplicate_keys)
+    return _dedup_all(df, keys, order_by, keep, count_col)
+
+
+def _dedup_duplicated_only(df, keys, order_by, keep, count_col, max_duplicate_keys):
+    any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    keyed = df.where(~any_null)
+    # Counted in its own (key-only) job; in the final plan the two broadcasts
+    # of the set share one exchange, so it is computed there once more.
+    dup = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > 1).select(*keys)
+    n_dup = dup.count()
+    if n_dup > max_duplicate_keys:
+        return _dedup_all(df, keys, order_by, keep, count_col)
+    singles = keyed if n_dup == 0 else keyed.join(F.broadcast(dup), on=keys, how="left_anti")
+    singles = singles.select(*df.columns, *([F.lit(1).cast("long").alias(count_col)] if count_col else []))
+    # Null-key rows are one group per null pattern: always aggregated (a hot
+    # null group collapses in the partial aggregation before the shuffle).
+    rest = df.where(any_null)
+    if n_dup:
+        rest = rest.unionByName(keyed.join(F.broadcast(dup), on=keys, how="left_semi").select(*df.columns))
+    return singles.unionByName(_dedup_all(rest, keys, order_by, keep, count_col))
+
+
+def _dedup_all(df, keys, order_by, keep, count_col):
     keys = list(keys)
     order_by = [c for c in order_by if c not in keys]
     maps = {f.name for f in df.schema.fields if isinstance(f.dataType, MapType)}

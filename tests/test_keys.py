@@ -77,3 +77,19 @@ def test_dedup_single_column_matches_struct_form(spark):
     slow = {r.k: r.v for r in S.dedup(df.withColumn("w", F.lit(1)), ["k"]).collect()}
     assert fast == slow == {"a": None, "b": 2, "c": None}
     assert {r.k: r.v for r in S.dedup(df, ["k"], keep="last").collect()} == {"a": 3, "b": 5, "c": None}
+
+
+def test_dedup_strategies_agree(spark):
+    df = spark.range(0, 3000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 11 = 0 THEN NULL ELSE CAST(id % 1700 AS STRING) END AS k",
+        "id % 5 AS o", "CAST(id AS STRING) AS v")
+    def rows(x):
+        return sorted((tuple(r) for r in x.collect()), key=str)
+    want = rows(S.dedup(df, ["k"], ["o"], strategy="shuffle", count_col="n"))
+    assert rows(S.dedup(df, ["k"], ["o"], count_col="n")) == want
+    assert rows(S.dedup(df, ["k"], ["o"], count_col="n", small_rows=0)) == want
+    assert rows(S.dedup(df, ["k"], ["o"], count_col="n", strategy="duplicated")) == want
+    assert rows(S.dedup(df, ["k"], ["o"], count_col="n", small_rows=0, max_duplicate_keys=0)) == want
+    unique = df.where("k IS NOT NULL").dropDuplicates(["k"])
+    # Nothing duplicated: the rows pass as they are.
+    assert rows(S.dedup(unique, ["k"], strategy="duplicated")) == rows(unique)
