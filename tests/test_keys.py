@@ -93,3 +93,10 @@ def test_dedup_strategies_agree(spark):
     unique = df.where("k IS NOT NULL").dropDuplicates(["k"])
     # Nothing duplicated: the rows pass as they are.
     assert rows(S.dedup(unique, ["k"], strategy="duplicated")) == rows(unique)
+
+
+def test_dedup_with_map_column(spark):
+    df = spark.createDataFrame(
+        [("a", 2, {"x": 1}), ("a", 1, {"y": 2}), ("b", 5, {"z": 3})], "k string, o int, m map<string,int>")
+    got = {r.k: (r.o, r.m) for r in S.dedup(df, ["k"], ["o"]).collect()}
+    assert got == {"a": (1, {"y": 2}), "b": (5, {"z": 3})}

@@ -82,3 +82,15 @@ def test_csv_roundtrip_keeps_padding(spark, workdir):
     S.write_csv(df, path)
     got = sorted((tuple(r) for r in S.read_csv(spark, path, df.schema).collect()), key=str)
     assert got == sorted([(" site_b ", "x,y", None), ("a\t", 'q"t', "z")], key=str)
+
+
+def test_csv_enforce_header(spark, workdir):
+    import pytest
+
+    path = os.path.join(workdir, "swapped.csv")
+    write_text(path, "route,medication_id,patient_id,visit_id,drug_name,dose,dose_unit,administration_date\n"
+                     "IV,M1,P1,V1,Drug,5,mg,2025-01-01\n")
+    # By position (the default) the swapped file reads without error.
+    assert S.read_csv(spark, path, MEDICATIONS_SCHEMA).first().medication_id == "IV"
+    with pytest.raises(Exception):
+        S.read_csv(spark, path, MEDICATIONS_SCHEMA, enforce_header=True).collect()
