@@ -51,6 +51,7 @@ def dedup(
     strategy: str = "auto",
     max_duplicate_keys: int = DEFAULT_MAX_DUPLICATE_KEYS,
     small_rows: int = DEFAULT_SMALL_ROWS,
+    duplicated: tuple[DataFrame, int] | None = None,
 ) -> DataFrame:
     """One row per key value; null keys form one group.
 
@@ -69,21 +70,37 @@ def dedup(
     against the broadcast set) and only rows of duplicated keys, plus
     null-key rows, go through the aggregate. More duplicated keys than that,
     or ``strategy="shuffle"``, aggregate every row; ``strategy="duplicated"``
-    skips the row count.
+    skips the row count. ``duplicated`` passes a ready ``duplicated_keys``
+    result (shared with the unique-key rule) and implies that plan.
     """
     keys = list(keys)
-    if keys and (strategy == "duplicated" or (strategy == "auto" and df.count() > small_rows)):
-        return _dedup_duplicated_only(df, keys, order_by, keep, count_col, max_duplicate_keys)
+    if duplicated is not None or (
+        keys and (strategy == "duplicated" or (strategy == "auto" and df.count() > small_rows))
+    ):
+        return _dedup_duplicated_only(df, keys, order_by, keep, count_col, max_duplicate_keys, duplicated)
     return _dedup_all(df, keys, order_by, keep, count_col)
 
 
-def _dedup_duplicated_only(df, keys, order_by, keep, count_col, max_duplicate_keys):
+def duplicated_keys(df: DataFrame, keys: Sequence[str], materialized: bool = True) -> tuple[DataFrame, int]:
+    """Non-null key values that occur more than once, with their row count
+    ``__n``, and how many there are. Key-only hash aggregate, partial first."""
+    keys = list(keys)
+    not_null = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    dup = (
+        df.where(not_null).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > 1)
+    )
+    if materialized:
+        dup = materialize(dup)
+    return dup, dup.count()
+
+
+def _dedup_duplicated_only(df, keys, order_by, keep, count_col, max_duplicate_keys, duplicated=None):
     any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     keyed = df.where(~any_null)
-    # Counted in its own (key-only) job; in the final plan the two broadcasts
-    # of the set share one exchange, so it is computed there once more.
-    dup = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > 1).select(*keys)
-    n_dup = dup.count()
+    # Without a shared set, it is counted in its own key-only job; in the final
+    # plan the two broadcasts of the set share one exchange.
+    dup, n_dup = duplicated if duplicated is not None else duplicated_keys(df, keys, materialized=False)
+    dup = dup.select(*keys)
     if n_dup > max_duplicate_keys:
         return _dedup_all(df, keys, order_by, keep, count_col)
     singles = keyed if n_dup == 0 else keyed.join(F.broadcast(dup), on=keys, how="left_anti")

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from sluice.operators import issues as I
 from sluice.operators.integrity import DEFAULT_MAX_BROADCAST_KEYS, parent_key_set
-from sluice.operators.keys import dedup
+from sluice.operators.keys import DEFAULT_SMALL_ROWS, dedup, duplicated_keys
 from sluice.operators.profile import counted, observed_rows, profile
 from sluice.plans.specs import DatasetSpec
 from sluice.sources.io import LayerPaths, read_csv, read_parquet, write_parquet
@@ -64,23 +64,33 @@ def profile_landing(spark: SparkSession, specs: Mapping[str, DatasetSpec], layer
     return I.union_issues(frames)
 
 
-def clean_dataset(spark: SparkSession, spec: DatasetSpec, layers: LayerPaths) -> tuple[int, int]:
+def clean_dataset(
+    spark: SparkSession, spec: DatasetSpec, layers: LayerPaths, small_rows: int = DEFAULT_SMALL_ROWS
+) -> tuple[int, int]:
     """Clean, dedup and check one dataset; returns rows before and after dedup.
 
     Both counts are observed on the cleaned write itself (its result stage):
     the dedup aggregate carries each key's row count, so no counter sits in
     a shuffle map stage that a lost executor could make run twice.
+
+    A table over ``small_rows`` rows (counted from Parquet footers) has its
+    duplicated keys computed once, checkpointed, and shared by the dedup
+    (only those keys' rows are aggregated) and the unique-key rule.
     """
     cleaned = spec.clean(read_parquet(spark, layers.raw(spec.name)))
+    duplicated = None
+    if spec.key and (spec.dedup or spec.unique) and cleaned.count() > small_rows:
+        duplicated = duplicated_keys(cleaned, spec.key)
     obs = Observation(f"{spec.name}_rows")
     if spec.dedup:
-        kept = dedup(cleaned, spec.key, spec.dedup_order, count_col="__rows")
+        kept = dedup(cleaned, spec.key, spec.dedup_order, count_col="__rows", small_rows=small_rows,
+                     duplicated=duplicated)
         kept = kept.observe(obs, F.count(F.lit(1)).alias("after"),
                             F.coalesce(F.sum("__rows"), F.lit(0)).alias("before")).drop("__rows")
     else:
         kept = cleaned.observe(obs, F.count(F.lit(1)).alias("after"), F.count(F.lit(1)).alias("before"))
     write_parquet(kept, layers.cleaned(spec.name))
-    issues = spec.issues(cleaned)
+    issues = spec.issues(cleaned, duplicated[0] if duplicated is not None else None)
     write_parquet(issues if issues is not None else I.empty_issues(spark), layers.issues(spec.name))
     return int(obs.get["before"]), int(obs.get["after"])
 
@@ -134,6 +144,7 @@ def run_all(
     layers: LayerPaths,
     combined: bool = False,
     parallel: int = 1,
+    small_rows: int = DEFAULT_SMALL_ROWS,
     **fk_options,
 ) -> RunReport:
     """The whole promotion for every dataset, in dependency order.
@@ -144,7 +155,7 @@ def run_all(
     """
     report = RunReport()
     report.landing_rows = landing_to_raw(spark, specs, layers, parallel)
-    counts = _each(specs, lambda n: clean_dataset(spark, specs[n], layers), parallel)
+    counts = _each(specs, lambda n: clean_dataset(spark, specs[n], layers, small_rows), parallel)
     for name, (before, after) in counts.items():
         report.cleaned_rows_before_dedup[name] = before
         report.cleaned_rows[name] = after

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -65,16 +66,26 @@ class DatasetSpec:
             out = out.withColumns({c: f() for c, f in self.derived.items()})
         return out
 
-    def deduplicate(self, cleaned: DataFrame) -> DataFrame:
-        return dedup(cleaned, self.key, self.dedup_order) if self.dedup else cleaned
+    def deduplicate(self, cleaned: DataFrame, **kw) -> DataFrame:
+        return dedup(cleaned, self.key, self.dedup_order, **kw) if self.dedup else cleaned
 
     def unique_rule(self) -> UniqueRule:
         return UniqueRule(tuple(self.key), f"Duplicate {'|'.join(self.key)} detected")
 
-    def issues(self, cleaned: DataFrame) -> DataFrame | None:
-        """Issues of the row rules and the unique rule over cleaned rows."""
+    def issues(self, cleaned: DataFrame, duplicated: DataFrame | None = None) -> DataFrame | None:
+        """Issues of the row rules and the unique rule over cleaned rows.
+
+        ``duplicated`` (from ``duplicated_keys``) lets the unique rule reuse
+        the dedup's key set; only null-key rows are then grouped here.
+        """
         frames = []
-        if self.unique:
+        if self.unique and duplicated is not None:
+            rule = self.unique_rule()
+            any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in self.key])
+            frames.append(I.to_issues(duplicated, self.name, list(self.key), rule.field,
+                                      I.DUPLICATE_RECORD, rule.text(), rule.severity))
+            frames.append(unique_issues(cleaned.where(any_null), self.name, rule))
+        elif self.unique:
             frames.append(unique_issues(cleaned, self.name, self.unique_rule()))
         if self.row_rules:
             frames.append(row_rule_issues(cleaned, self.name, list(self.key), list(self.row_rules)))

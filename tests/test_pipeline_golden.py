@@ -26,11 +26,12 @@ EXPECTED = {
 import pytest
 
 
-@pytest.mark.parametrize("parallel", [1, 5])
-def test_golden_pipeline(spark, workdir, parallel):
+@pytest.mark.parametrize("parallel,small_rows", [(1, 10_000_000), (5, 10_000_000), (5, 0)])
+def test_golden_pipeline(spark, workdir, parallel, small_rows):
+    """small_rows=0 takes the large-table plan: shared duplicated-key set, only duplicated rows aggregated."""
     layers = LayerPaths(workdir)
     synth.save_landing(synth.clinical_tables(spark), layers.landing)
-    report = run_all(spark, CLINICAL_SPECS, layers, combined=True, parallel=parallel)
+    report = run_all(spark, CLINICAL_SPECS, layers, combined=True, parallel=parallel, small_rows=small_rows)
 
     assert report.landing_rows == {
         "patients": 101, "visits": 251, "adverse_events": 61, "lab_results": 401, "medications": 181,
