@@ -177,10 +177,11 @@ def lookup_first(
 
     Parents are deduplicated first (``order_by`` picks the row), so a child row
     never multiplies; a child without a parent, or with a null key, keeps
-    nulls. The deduplicated parent is checkpointed and counted:
+    nulls. The parent's rows are counted first (Parquet footers for a scan):
 
-    - up to ``max_broadcast_rows`` rows it is broadcast and the lookup is
-      map-only (the child never moves);
+    - up to ``max_broadcast_rows`` rows (or, for a larger parent, up to that
+      many deduplicated rows, checkpointed and counted) it is broadcast and
+      the lookup is map-only (the child never moves);
     - a larger parent is joined with a shuffle, except for child keys with
       more than ``hot_key_rows`` rows (counted map-side first; at most
       child rows / ``hot_key_rows`` of them): their parent rows are broadcast
@@ -196,13 +197,17 @@ def lookup_first(
         *[F.col(o) for o in order_by if o not in columns and o not in pk],
     )
     any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in ck])
-    one = materialize(dedup(renamed.where(~any_null), ck, order_by).select(*ck, *columns))
-    types = dict(one.dtypes)
+    types = dict(renamed.dtypes)
     keyed = child.where(~any_null)
     unkeyed = child.where(any_null).select(
         *[F.col(c) for c in ck], *[F.col(c) for c in child.columns if c not in ck],
         *[F.lit(None).cast(types[c]).alias(c) for c in columns],
     )
+    if renamed.count() <= max_broadcast_rows:
+        # The row count bounds the deduplicated parent: broadcast it as it is.
+        one = dedup(renamed.where(~any_null), ck, order_by, strategy="shuffle").select(*ck, *columns)
+        return keyed.join(F.broadcast(one), on=ck, how="left").unionByName(unkeyed)
+    one = materialize(dedup(renamed.where(~any_null), ck, order_by).select(*ck, *columns))
     if one.count() <= max_broadcast_rows:
         return keyed.join(F.broadcast(one), on=ck, how="left").unionByName(unkeyed)
     hot = materialize(
