@@ -482,6 +482,21 @@ def q_clinical_layers_issues(spark, d):
     return all_issues(spark, CLINICAL_SPECS, layers)
 
 
+def q_clinical_patients_profile(spark, d):
+    """Column profile of the derived patients landing table (A7)."""
+    return S.profile(_clinical_from_sales(spark, d)["patients"])
+
+
+def q_clinical_issue_summary(spark, d):
+    """Issue counts per dataset, type and severity (A5) of the clinical check."""
+    return S.issue_summary(q_clinical_check_issues(spark, d), ["dataset_name", "issue_type", "severity"])
+
+
+def q_clinical_visits_preview(spark, d):
+    """The first 10 cleaned, deduplicated visits by visit_id (L1)."""
+    return S.preview(q_clinical_cleaned_visits(spark, d), ["visit_id"], 10)
+
+
 def q_clinical_cleaned_visits(spark, d):
     spec = CLINICAL_SPECS["visits"]
     return spec.deduplicate(spec.clean(_clinical_from_sales(spark, d)["visits"]))
@@ -558,6 +573,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clinical_check_issues": q_clinical_check_issues,
     "clinical_layers_issues": q_clinical_layers_issues,
     "clinical_cleaned_visits": q_clinical_cleaned_visits,
+    "clinical_patients_profile": q_clinical_patients_profile,
+    "clinical_issue_summary": q_clinical_issue_summary,
+    "clinical_visits_preview": q_clinical_visits_preview,
     "clinical_cleaned_medications": q_clinical_cleaned_medications,
     "clinical_issues": q_clinical_issues,
     "clinical_landing_profile": q_clinical_landing_profile,
@@ -913,8 +931,21 @@ def _clinical_oracles():
     visit_rest = ["patient_id", "site_id", "visit_type", "scheduled_date", "visit_date", "completed",
                   "protocol_deviation"]
     med_rest = ["patient_id", "visit_id", "drug_name", "dose", "dose_unit", "administration_date", "route"]
+    profile_cols = [("patient_id", "string"), ("site_id", "string"), ("sex", "string"), ("birth_year", "double"),
+                    ("enrollment_date", "string"), ("treatment_arm", "string"), ("status", "string")]
+    profile = " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, '{t}' AS data_type, count(*) AS row_count, "
+        f"count(*) - count({c}) AS null_count, count(DISTINCT {c}) AS distinct_count FROM patients"
+        for c, t in profile_cols)
+    check = _clinical_issue_sql(layered=False)
+    cleaned_visits = _sql_dedup('c_visits', 'visit_id', visit_rest)
     return {
-        "clinical_check_issues": _clinical_issue_sql(layered=False),
+        "clinical_patients_profile": f"{ctes} {profile}",
+        "clinical_issue_summary": (
+            f"SELECT dataset_name, issue_type, severity, count(*) AS issue_count FROM ({check}) "
+            "GROUP BY dataset_name, issue_type, severity"),
+        "clinical_visits_preview": f"{ctes} SELECT * FROM ({cleaned_visits}) ORDER BY visit_id LIMIT 10",
+        "clinical_check_issues": check,
         "clinical_layers_issues": _clinical_issue_sql(layered=True),
         "clinical_cleaned_visits": f"{ctes} {_sql_dedup('c_visits', 'visit_id', visit_rest)}",
         "clinical_cleaned_medications": f"{ctes} {_sql_dedup('c_medications', 'medication_id', med_rest)}",
