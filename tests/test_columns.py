@@ -116,3 +116,22 @@ def test_key_text(spark):
     df = spark.createDataFrame([(1, 2), (3, None)], "a long, b int")
     assert vals(df, S.key_text(["a", "b"])) == ["1|2", None]
     assert vals(df, S.key_text(["a"])) == ["1", "3"]
+
+
+def test_same_results_with_ansi_off(spark):
+    df = one_col(spark, ["2025-03-15", "15/03/2025", "2025-02-30", "junk", " 5.5 ", "1e3", "NaN", None])
+    exprs = [S.parse_date("v", ["yyyy-MM-dd", "dd/MM/yyyy"]).alias("d"), S.to_double("v").alias("x"),
+             S.to_int(S.to_double("v")).alias("i")]
+
+    def run():
+        return [tuple("nan" if isinstance(x, float) and x != x else x for x in r) for r in df.select(*exprs).collect()]
+
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    try:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+        on = run()
+        spark.conf.set("spark.sql.ansi.enabled", "false")
+        off = run()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+    assert on == off
