@@ -44,7 +44,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.functions.columns import ColumnOrName
+from sluice.functions.columns import ColumnOrName, key_text
 from sluice.operators import issues as I
 from sluice.sources.scratch import materialize
 
@@ -185,3 +185,57 @@ def foreign_key_issues(
     found = orphans(slim, parent, fks, parent_key, null_is_orphan, strategy, max_broadcast_keys, hot_key_rows,
                     parent_keys_ready, parent_key_count)
     return I.to_issues(found, dataset, rid_cols, field, I.INVALID_FOREIGN_KEY, text, severity)
+
+
+def fused_foreign_key_issues(
+    child: DataFrame,
+    checks: Sequence[dict],
+    record_id: Sequence[str],
+    dataset: str,
+    severity: str = I.HIGH,
+) -> DataFrame:
+    """Several foreign keys of one child checked in ONE scan of the child.
+
+    Each check is a dict with ``columns`` (child key columns), ``key_set``
+    (parent key rows, at most the broadcast bound, counted by the caller),
+    ``parent_key``, ``description`` and ``null_is_orphan``. Every key set is
+    deduplicated (a shuffle of that small set only), flagged and broadcast;
+    the child goes through one left join per check, map-only, and each row
+    emits one issue per failed check.
+    """
+    needed = list(dict.fromkeys([c for chk in checks for c in chk["columns"]] + list(record_id)))
+    df = child.select(*needed)
+    failed = []
+    for i, chk in enumerate(checks):
+        fks, pks = list(chk["columns"]), _names(chk["parent_key"])
+        renamed = [f"__k{i}_{j}" for j in range(len(pks))]
+        keys = chk["key_set"].select(*[F.col(p).alias(r) for p, r in zip(pks, renamed)]).distinct()
+        keys = keys.withColumn(f"__hit{i}", F.lit(True))
+        cond = reduce(lambda a, b: a & b, [F.col(f) == F.col(r) for f, r in zip(fks, renamed)])
+        df = df.join(F.broadcast(keys), cond, "left").drop(*renamed)
+        any_null = reduce(lambda a, b: a | b, [F.col(f).isNull() for f in fks])
+        miss = F.col(f"__hit{i}").isNull()
+        failed.append(miss if chk.get("null_is_orphan", True) else (miss & ~any_null))
+    broken = F.array(*[F.when(p, F.lit(i)) for i, p in enumerate(failed)])
+    hits = (
+        df.where(reduce(lambda a, b: a | b, failed))
+        .select(key_text(list(record_id)).alias("__rid"), F.explode(broken).alias("__rule"))
+        .where(F.col("__rule").isNotNull())
+    )
+    idx = F.col("__rule")
+
+    def by_check(values: list[str]):
+        expr = None
+        for i, v in enumerate(values):
+            expr = F.when(idx == i, F.lit(v)) if expr is None else expr.when(idx == i, F.lit(v))
+        return expr
+
+    return hits.select(
+        F.lit(dataset).alias("dataset_name"),
+        F.col("__rid").cast("string").alias("record_id"),
+        by_check(["|".join(chk["columns"]) for chk in checks]).alias("field_name"),
+        F.lit(I.INVALID_FOREIGN_KEY).alias("issue_type"),
+        by_check([chk["description"] for chk in checks]).alias("issue_description"),
+        F.lit(severity).alias("severity"),
+    )
+

@@ -11,7 +11,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from sluice.operators import issues as I
-from sluice.operators.integrity import DEFAULT_MAX_BROADCAST_KEYS, foreign_key_issues, parent_key_set
+from sluice.operators.integrity import (
+    DEFAULT_MAX_BROADCAST_KEYS,
+    foreign_key_issues,
+    fused_foreign_key_issues,
+    parent_key_set,
+)
 from sluice.operators.keys import dedup
 from sluice.operators.rules import RowRule, UniqueRule, row_rule_issues, unique_issues
 
@@ -102,7 +107,10 @@ class DatasetSpec:
         """Issues of every foreign key. ``key_cache`` shares each parent's
         distinct keys between checks (pass one dict for a whole run)."""
         out = []
-        shared = kw.get("strategy", "auto") != "direct"
+        strategy = kw.get("strategy", "auto")
+        shared = strategy != "direct"
+        bound = kw.get("max_broadcast_keys", DEFAULT_MAX_BROADCAST_KEYS)
+        plans = []
         for fk in self.foreign_keys:
             pk = fk.parent_key or tuple(specs[fk.parent].key)
             pk = [pk] if isinstance(pk, str) else list(pk)
@@ -111,8 +119,18 @@ class DatasetSpec:
                 cache = key_cache if key_cache is not None else {}
                 slot = (fk.parent, tuple(pk))
                 if slot not in cache:
-                    cache[slot] = parent_key_set(parent, pk, kw.get("max_broadcast_keys", DEFAULT_MAX_BROADCAST_KEYS))
+                    cache[slot] = parent_key_set(parent, pk, bound)
                 parent, n_keys = cache[slot]
+            plans.append((fk, pk, parent, n_keys))
+        small = [p for p in plans if strategy == "auto" and p[3] is not None and p[3] <= bound]
+        if len(small) >= 2:
+            # Several small parents: one scan of the child checks them all.
+            checks = [{"columns": fk.columns, "key_set": parent, "parent_key": pk, "description": fk.text(),
+                       "null_is_orphan": fk.null_is_orphan} for fk, pk, parent, _ in small]
+            out.append(fused_foreign_key_issues(child, checks, list(self.key), self.name,
+                                                kw.get("severity", I.HIGH)))
+            plans = [p for p in plans if p not in small]
+        for fk, pk, parent, n_keys in plans:
             out.append(
                 foreign_key_issues(
                     child, parent, fk.columns, list(self.key), self.name,

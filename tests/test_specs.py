@@ -40,3 +40,24 @@ def test_table_issues_check_mode(spark):
     got = rows(table_issues({"t": t, "p": p}, specs))
     assert sorted((g[1], g[3]) for g in got) == sorted(
         [("b", "MISSING_VALUE"), ("b", "INVALID_FOREIGN_KEY"), ("c", "INVALID_FOREIGN_KEY")])
+
+
+def test_fused_foreign_keys_match_separate_checks(spark):
+    child = spark.createDataFrame(
+        [("c1", "1", 10, 1), ("c2", "9", 10, 2), ("c3", None, 11, 1), ("c4", "2", None, 1), ("c5", "2", 12, 5)],
+        "id string, a string, b long, l int")
+    pa = spark.createDataFrame([("1",), ("1",), ("2",)], "pa string")                       # duplicated keys
+    pb = spark.createDataFrame([(10, 1), (10, 2), (11, 1), (12, 1)], "pb long, pl int")    # composite key
+    specs = {
+        "pa": DatasetSpec(name="pa", schema=None, key=("pa",), dedup=False),
+        "pb": DatasetSpec(name="pb", schema=None, key=("pb", "pl"), dedup=False),
+        "c": DatasetSpec(name="c", schema=None, key=("id",), dedup=False, foreign_keys=(
+            ForeignKey("a", "pa"), ForeignKey(("b", "l"), "pb"), ForeignKey("a", "pa", null_is_orphan=False,
+                                                                             description="a (nulls allowed)"))),
+    }
+    tables = {"pa": pa, "pb": pb, "c": child}
+    fused = rows(S.union_issues(specs["c"].foreign_key_issues(child, tables, specs)))
+    separate = rows(S.union_issues(specs["c"].foreign_key_issues(child, tables, specs, strategy="direct")))
+    assert fused == separate
+    assert sorted((r[1], r[2]) for r in fused) == sorted(
+        [("c2", "a"), ("c3", "a"), ("c2", "a"), ("c4", "b|l"), ("c5", "b|l")])
