@@ -14,6 +14,7 @@ def run(*args):
 
 
 def test_cli_steps(spark, workdir):
+    assert "P0003" in run("check", "--root", workdir)
     out = run("generate", "--root", workdir)
     assert "patients: 101 rows" in out
     assert "Total rows: 101" in run("read-patients", "--root", workdir)
