@@ -24,6 +24,8 @@ MISSING_VALUE = "MISSING_VALUE"
 INVALID_NUMERIC_VALUE = "INVALID_NUMERIC_VALUE"
 INVALID_BUSINESS_VALUE = "INVALID_BUSINESS_VALUE"
 INVALID_FOREIGN_KEY = "INVALID_FOREIGN_KEY"
+# Optional (off by default): text present but not parsable by its cleaner.
+INVALID_FORMAT_VALUE = "INVALID_FORMAT_VALUE"
 HIGH = "HIGH"
 MEDIUM = "MEDIUM"
 

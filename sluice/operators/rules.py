@@ -95,7 +95,29 @@ class PredicateRule:
         return self.description
 
 
-RowRule = MissingRule | InvalidCastRule | PredicateRule
+@dataclass(frozen=True)
+class UnparsedRule:
+    """A cleaned column that came out null although its input text was there
+    (not null, not blank). ``raw`` names the column holding the input text."""
+
+    column: str
+    raw: str
+    description: str | None = None
+    severity: str = I.HIGH
+    issue_type: str = I.INVALID_FORMAT_VALUE
+
+    @property
+    def field(self) -> str:
+        return self.column
+
+    def predicate(self) -> Column:
+        return (F.trim(F.col(self.raw)) != F.lit("")) & F.col(self.column).isNull()
+
+    def text(self) -> str:
+        return self.description or f"{self.column} could not be parsed"
+
+
+RowRule = MissingRule | InvalidCastRule | PredicateRule | UnparsedRule
 
 
 @dataclass(frozen=True)

@@ -77,7 +77,8 @@ def clean_dataset(
     duplicated keys computed once, checkpointed, and shared by the dedup
     (only those keys' rows are aggregated) and the unique-key rule.
     """
-    cleaned = spec.clean(read_parquet(spark, layers.raw(spec.name)))
+    checked = spec.clean(read_parquet(spark, layers.raw(spec.name)), keep_raw=True)
+    cleaned = checked.drop(*spec.raw_columns())
     duplicated = None
     if spec.key and (spec.dedup or spec.unique) and cleaned.count() > small_rows:
         duplicated = duplicated_keys(cleaned, spec.key)
@@ -90,7 +91,7 @@ def clean_dataset(
     else:
         kept = cleaned.observe(obs, F.count(F.lit(1)).alias("after"), F.count(F.lit(1)).alias("before"))
     write_parquet(kept, layers.cleaned(spec.name))
-    issues = spec.issues(cleaned, duplicated[0] if duplicated is not None else None)
+    issues = spec.issues(checked, duplicated[0] if duplicated is not None else None)
     write_parquet(issues if issues is not None else I.empty_issues(spark), layers.issues(spec.name))
     return int(obs.get["before"]), int(obs.get["after"])
 
@@ -182,7 +183,7 @@ def table_issues(
     key_cache = parent_key_cache(specs, cleaned, parallel, fk_options.get("strategy", "auto"),
                                  fk_options.get("max_broadcast_keys", DEFAULT_MAX_BROADCAST_KEYS))
     for name, spec in specs.items():
-        own = spec.issues(cleaned[name])
+        own = spec.issues(spec.clean(tables[name], keep_raw=True) if spec.report_unparsed else cleaned[name])
         if own is not None:
             frames.append(own)
         frames += spec.foreign_key_issues(cleaned[name], cleaned, specs, key_cache=key_cache, **fk_options)

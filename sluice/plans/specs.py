@@ -18,7 +18,7 @@ from sluice.operators.integrity import (
     parent_key_set,
 )
 from sluice.operators.keys import dedup
-from sluice.operators.rules import RowRule, UniqueRule, row_rule_issues, unique_issues
+from sluice.operators.rules import RowRule, UniqueRule, UnparsedRule, row_rule_issues, unique_issues
 
 Cleaner = Callable[[Column], Column]
 
@@ -61,10 +61,23 @@ class DatasetSpec:
     unique: bool = True
     dedup_order: tuple[str, ...] = ()
     foreign_keys: tuple[ForeignKey, ...] = ()
+    # Optional, off by default: cleaned columns whose present input text
+    # turned null are reported (INVALID_FORMAT_VALUE) instead of staying silent.
+    report_unparsed: tuple[str, ...] = ()
 
-    def clean(self, df: DataFrame) -> DataFrame:
-        """Cleaned rows (no row dropped): one projection over the input."""
+    def raw_columns(self) -> list[str]:
+        return [f"__raw__{c}" for c in self.report_unparsed]
+
+    def clean(self, df: DataFrame, keep_raw: bool = False) -> DataFrame:
+        """Cleaned rows (no row dropped): one projection over the input.
+
+        ``keep_raw`` also keeps the input text of ``report_unparsed`` columns
+        (as ``__raw__<column>``) for the issue pass; drop ``raw_columns()``
+        before writing.
+        """
         out = df
+        if keep_raw and self.report_unparsed:
+            out = out.withColumns({f"__raw__{c}": F.col(c).cast("string") for c in self.report_unparsed})
         if self.cleaners:
             out = out.withColumns({c: f(F.col(c)) for c, f in self.cleaners.items()})
         if self.derived:
@@ -92,8 +105,10 @@ class DatasetSpec:
             frames.append(unique_issues(cleaned.where(any_null), self.name, rule))
         elif self.unique:
             frames.append(unique_issues(cleaned, self.name, self.unique_rule()))
-        if self.row_rules:
-            frames.append(row_rule_issues(cleaned, self.name, list(self.key), list(self.row_rules)))
+        rules = list(self.row_rules)
+        rules += [UnparsedRule(c, f"__raw__{c}") for c in self.report_unparsed if f"__raw__{c}" in cleaned.columns]
+        if rules:
+            frames.append(row_rule_issues(cleaned, self.name, list(self.key), rules))
         return I.union_issues(frames) if frames else None
 
     def foreign_key_issues(

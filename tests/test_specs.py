@@ -61,3 +61,27 @@ def test_fused_foreign_keys_match_separate_checks(spark):
     assert fused == separate
     assert sorted((r[1], r[2]) for r in fused) == sorted(
         [("c2", "a"), ("c3", "a"), ("c2", "a"), ("c4", "b|l"), ("c5", "b|l")])
+
+
+def test_report_unparsed_is_optional(spark, workdir):
+    from dataclasses import replace
+
+    from sluice.plans.clinical import PATIENTS
+    from sluice.plans.promotion import clean_dataset
+    from sluice.sources.io import LayerPaths, read_parquet, write_parquet
+
+    raw = spark.createDataFrame(
+        [("P1", "SITE_A", "F", 1990.0, "2025-13-45", "PLACEBO", "ACTIVE"),
+         ("P2", "SITE_A", "M", 1980.0, "15/03/2025", "PLACEBO", "ACTIVE"),
+         ("P3", "SITE_A", "M", 1970.0, None, "PLACEBO", "ACTIVE"),
+         ("P4", "SITE_A", "M", 1960.0, " ", "PLACEBO", "ACTIVE")], PATIENTS.schema)
+    layers = LayerPaths(workdir)
+    write_parquet(raw, layers.raw("patients"))
+    clean_dataset(spark, PATIENTS, layers)
+    assert read_parquet(spark, layers.issues("patients")).count() == 0  # default: silent nulls, as the reference
+    spec = replace(PATIENTS, report_unparsed=("enrollment_date",))
+    clean_dataset(spark, spec, layers)
+    got = rows(read_parquet(spark, layers.issues("patients")))
+    assert got == [("patients", "P1", "enrollment_date", "INVALID_FORMAT_VALUE",
+                    "enrollment_date could not be parsed", "HIGH")]
+    assert read_parquet(spark, layers.cleaned("patients")).columns == list(PATIENTS.schema.names)
