@@ -48,6 +48,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into a reliable checkpoint and cut its lineage."""
-    checkpoint_dir(df.sparkSession)
+    """Compute ``df`` once into a reliable checkpoint and cut its lineage.
+
+    Under Spark Connect (no SparkContext on the client) the server's own
+    checkpoint folder applies.
+    """
+    if _context(df.sparkSession) is not None:
+        checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
