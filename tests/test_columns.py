@@ -135,3 +135,10 @@ def test_same_results_with_ansi_off(spark):
     finally:
         spark.conf.set("spark.sql.ansi.enabled", before)
     assert on == off
+
+
+def test_map_values_keep_and_null_fallbacks(spark):
+    df = one_col(spark, [" a ", "B", None])
+    assert vals(df, S.map_values("v", {"A": "x"}, fallback="keep")) == ["x", "B", None]
+    assert vals(df, S.map_values("v", {"A": "x"}, fallback="null")) == ["x", None, None]
+    assert vals(df, S.map_values("v", {})) == ["A", "B", None]

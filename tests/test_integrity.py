@@ -99,3 +99,11 @@ def test_auto_large_parent_paths(spark):
         got = sorted(r.id for r in S.orphans(child, parent, "fk", parent_key="pk", strategy="auto",
                                              max_broadcast_keys=max_keys, hot_key_rows=hot).collect())
         assert got == want
+
+
+def test_argument_errors(spark):
+    child, parent = child_parent(spark)
+    with pytest.raises(ValueError):
+        S.orphans(child, parent, ["patient_id", "visit_id"], parent_key="patient_id")
+    with pytest.raises(ValueError):
+        S.orphans(child, parent, "patient_id", strategy="nope")

@@ -94,3 +94,11 @@ def test_csv_enforce_header(spark, workdir):
     assert S.read_csv(spark, path, MEDICATIONS_SCHEMA).first().medication_id == "IV"
     with pytest.raises(Exception):
         S.read_csv(spark, path, MEDICATIONS_SCHEMA, enforce_header=True).collect()
+
+
+def test_profile_and_preview_of_empty_frames(spark):
+    empty = spark.createDataFrame([], "a string, b double")
+    got = {r.column_name: (r.row_count, r.null_count, r.distinct_count) for r in S.profile(empty).collect()}
+    assert got == {"a": (0, 0, 0), "b": (0, 0, 0)}
+    assert S.preview(empty, ["a"], 5).count() == 0
+    assert S.preview(spark.range(3), ["id"], 10).count() == 3

@@ -49,3 +49,28 @@ def test_children_reference_valid_parents(spark):
     assert {r[0] for r in flags} <= {"Y", "N"}
     visit_ids = {r.visit_id for r in v}
     assert {r.visit_id for r in t["medications"].collect()} - visit_ids == {"V88888"}
+
+
+def test_all_tables_independent_of_partitioning(spark):
+    """Same five tables whatever the shuffle width and input split."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    got = []
+    try:
+        for parts, splits in [(1, 1), (7, 5)]:
+            spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+            ids = {name: spark.range(1, n + 1, numPartitions=splits) for name, n in synth.SIZES.items()}
+            tables = synth.clinical_tables(spark, ids)
+            got.append({name: rows(df) for name, df in tables.items()})
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert got[0] == got[1]
+    assert {name: len(r) for name, r in got[0].items()} == {n: c + 1 for n, c in synth.SIZES.items()}
+
+
+def test_sample_parent_needs_rows(spark):
+    import pytest
+
+    with pytest.raises(ValueError):
+        synth.sample_parent(spark.range(3), spark.range(0), lambda n: F.col("id") % n)
+    numbered, n = synth.index_rows(spark.range(0))
+    assert n == 0 and numbered.count() == 0
