@@ -17,15 +17,23 @@ from sluice.functions.columns import (
     trim_spaces,
     upper_trim,
 )
-from sluice.operators.integrity import foreign_key_issues, orphans
+from sluice.operators.integrity import foreign_key_issues, fused_foreign_key_issues, orphans, parent_key_set
 from sluice.operators.issues import ISSUE_COLUMNS, ISSUE_SCHEMA, to_issues, union_issues
-from sluice.operators.keys import dedup, distinct_keys, distinct_values, lookup_constant, lookup_first
+from sluice.operators.keys import (
+    dedup,
+    distinct_keys,
+    distinct_values,
+    duplicated_keys,
+    lookup_constant,
+    lookup_first,
+)
 from sluice.operators.profile import counted, issue_summary, preview, profile
 from sluice.operators.rules import (
     InvalidCastRule,
     MissingRule,
     PredicateRule,
     UniqueRule,
+    UnparsedRule,
     duplicate_keys,
     row_rule_issues,
     unique_issues,
