@@ -74,6 +74,8 @@ def main(argv: list[str] | None = None) -> None:
         print(f"Total rows: {df.count()}")
     elif args.step == "profile":
         _show("Landing profiles:", profile_landing(spark, specs, layers), 1000)
+        for name, spec in specs.items():
+            _show(f"{name} sample:", preview(read_csv(spark, layers.landing(name), spec.schema), list(spec.key), 5))
     elif args.step == "landing-to-raw":
         for name, rows in landing_to_raw(spark, specs, layers, args.parallel).items():
             print(f"{name}: {rows} rows → {layers.raw(name)}")
