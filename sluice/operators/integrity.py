@@ -219,7 +219,8 @@ def fused_foreign_key_issues(
     broken = F.array(*[F.when(p, F.lit(i)) for i, p in enumerate(failed)])
     hits = (
         df.where(reduce(lambda a, b: a | b, failed))
-        .select(key_text(list(record_id)).alias("__rid"), F.explode(broken).alias("__rule"))
+        .select(key_text(list(record_id)).alias("__rid"), broken.alias("__broken"))
+        .select("__rid", F.explode("__broken").alias("__rule"))
         .where(F.col("__rule").isNotNull())
     )
     idx = F.col("__rule")

@@ -157,12 +157,15 @@ def row_rule_issues(
         )
     # One scan: keep rows that break any rule, emit the index of every broken
     # rule (explode stays inside whole-stage codegen), then map the index to
-    # the rule's literal fields. The record id is built once per issue.
+    # the rule's literal fields.
     preds = [r.predicate() for r in rules]
     broken = F.array(*[F.when(p, F.lit(i)) for i, p in enumerate(preds)])
+    # The record id is built in its own projection, below the explode: once
+    # per offending row, not once per issue.
     hits = (
         df.where(reduce(lambda a, b: a | b, preds))
-        .select(rid.alias("__rid"), F.explode(broken).alias("__rule"))
+        .select(rid.alias("__rid"), broken.alias("__broken"))
+        .select("__rid", F.explode("__broken").alias("__rule"))
         .where(F.col("__rule").isNotNull())
     )
     idx = F.col("__rule")
