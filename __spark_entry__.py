@@ -482,6 +482,25 @@ def q_clinical_layers_issues(spark, d):
     return all_issues(spark, CLINICAL_SPECS, layers)
 
 
+# Date columns reported by the optional unparsed-value rule.
+UNPARSED_DATE_COLUMNS = {
+    "patients": ("enrollment_date",),
+    "visits": ("scheduled_date", "visit_date"),
+    "adverse_events": ("event_date",),
+    "medications": ("administration_date",),
+}
+
+
+def q_clinical_unparsed_dates(spark, d):
+    """The optional INVALID_FORMAT_VALUE rule alone, on every date column."""
+    from dataclasses import replace
+
+    specs = {n: replace(CLINICAL_SPECS[n], report_unparsed=cols, row_rules=(), unique=False, foreign_keys=())
+             for n, cols in UNPARSED_DATE_COLUMNS.items()}
+    tables = _clinical_from_sales(spark, d)
+    return table_issues({n: tables[n] for n in specs}, specs)
+
+
 def q_clinical_patients_profile(spark, d):
     """Column profile of the derived patients landing table (A7)."""
     return S.profile(_clinical_from_sales(spark, d)["patients"])
@@ -574,6 +593,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clinical_layers_issues": q_clinical_layers_issues,
     "clinical_cleaned_visits": q_clinical_cleaned_visits,
     "clinical_patients_profile": q_clinical_patients_profile,
+    "clinical_unparsed_dates": q_clinical_unparsed_dates,
     "clinical_issue_summary": q_clinical_issue_summary,
     "clinical_visits_preview": q_clinical_visits_preview,
     "clinical_cleaned_medications": q_clinical_cleaned_medications,
@@ -939,7 +959,20 @@ def _clinical_oracles():
         for c, t in profile_cols)
     check = _clinical_issue_sql(layered=False)
     cleaned_visits = _sql_dedup('c_visits', 'visit_id', visit_rest)
+    from sluice.plans import clinical as C
+
+    formats = {("patients", "enrollment_date"): C.ENROLLMENT_DATE_FORMATS,
+               ("visits", "scheduled_date"): C.VISIT_DATE_FORMATS, ("visits", "visit_date"): C.VISIT_DATE_FORMATS,
+               ("adverse_events", "event_date"): C.EVENT_DATE_FORMATS,
+               ("medications", "administration_date"): C.ADMINISTRATION_DATE_FORMATS}
+    keys = {"patients": "patient_id", "visits": "visit_id", "adverse_events": "event_id",
+            "medications": "medication_id"}
+    unparsed = " UNION ALL ".join(
+        _row_sql(t, keys[t], c, f"trim({c}) <> '' AND {_sql_date(c, formats[(t, c)])} IS NULL",
+                 f"{c} could not be parsed", "INVALID_FORMAT_VALUE")
+        for t, cols in UNPARSED_DATE_COLUMNS.items() for c in cols)
     return {
+        "clinical_unparsed_dates": f"{ctes} {unparsed}",
         "clinical_patients_profile": f"{ctes} {profile}",
         "clinical_issue_summary": (
             f"SELECT dataset_name, issue_type, severity, count(*) AS issue_count FROM ({check}) "
