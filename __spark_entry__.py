@@ -501,6 +501,13 @@ def q_clinical_unparsed_dates(spark, d):
     return table_issues({n: tables[n] for n in specs}, specs)
 
 
+def q_clinical_landing_profile_derived(spark, d):
+    """Landing CSVs of the derived clinical tables, profiled per column (C8)."""
+    layers = S.LayerPaths(scratch_path(spark, "clinical_derived_profile"))
+    synth.save_landing(_clinical_from_sales(spark, d), layers.landing)
+    return profile_landing(spark, CLINICAL_SPECS, layers)
+
+
 def q_clinical_patients_profile(spark, d):
     """Column profile of the derived patients landing table (A7)."""
     return S.profile(_clinical_from_sales(spark, d)["patients"])
@@ -593,6 +600,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clinical_layers_issues": q_clinical_layers_issues,
     "clinical_cleaned_visits": q_clinical_cleaned_visits,
     "clinical_patients_profile": q_clinical_patients_profile,
+    "clinical_landing_profile_derived": q_clinical_landing_profile_derived,
     "clinical_unparsed_dates": q_clinical_unparsed_dates,
     "clinical_issue_summary": q_clinical_issue_summary,
     "clinical_visits_preview": q_clinical_visits_preview,
@@ -971,7 +979,14 @@ def _clinical_oracles():
         _row_sql(t, keys[t], c, f"trim({c}) <> '' AND {_sql_date(c, formats[(t, c)])} IS NULL",
                  f"{c} could not be parsed", "INVALID_FORMAT_VALUE")
         for t, cols in UNPARSED_DATE_COLUMNS.items() for c in cols)
+    # Landing CSV turns empty text into null: count it as null here too.
+    landing_profile = " UNION ALL ".join(
+        f"SELECT '{t}' AS dataset_name, '{f.name}' AS column_name, '{f.dataType.simpleString()}' AS data_type, "
+        f"count(*) AS row_count, count(*) - count(NULLIF(CAST({f.name} AS VARCHAR), '')) AS null_count, "
+        f"count(DISTINCT NULLIF(CAST({f.name} AS VARCHAR), '')) AS distinct_count FROM {t}"
+        for t, spec in CLINICAL_SPECS.items() for f in spec.schema.fields)
     return {
+        "clinical_landing_profile_derived": f"{ctes} {landing_profile}",
         "clinical_unparsed_dates": f"{ctes} {unparsed}",
         "clinical_patients_profile": f"{ctes} {profile}",
         "clinical_issue_summary": (
