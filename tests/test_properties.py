@@ -36,3 +36,34 @@ def test_parse_date_matches_python(spark, days):
     for (d, f) in days:
         want.append(d if f in ("%Y-%m-%d", "%d/%m/%Y") else None)
     assert got == want
+
+
+keys = st.one_of(st.none(), st.integers(min_value=0, max_value=6))
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(child=st.lists(keys, max_size=30), parent=st.lists(keys, max_size=10))
+def test_orphans_match_brute_force(spark, child, parent):
+    c = spark.createDataFrame([(i, k) for i, k in enumerate(child)], "id long, fk long")
+    p = spark.createDataFrame([(k,) for k in parent], "pk long")
+    present = {k for k in parent if k is not None}
+    want = sorted(i for i, k in enumerate(child) if k is None or k not in present)
+    for kw in ({"strategy": "direct"}, {"strategy": "auto"}, {"strategy": "auto", "max_broadcast_keys": 1},
+               {"strategy": "keys", "max_broadcast_keys": 0, "hot_key_rows": 2}):
+        got = sorted(r.id for r in S.orphans(c, p, "fk", parent_key="pk", **kw).collect())
+        assert got == want, kw
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(data=st.lists(st.tuples(keys, st.integers(0, 3), st.one_of(st.none(), st.sampled_from("abc"))), max_size=30))
+def test_dedup_matches_brute_force(spark, data):
+    df = spark.createDataFrame(data, "k long, o long, v string")
+    best = {}
+    for k, o, v in data:
+        sort_key = (o, (v is not None, v or ""))  # order column, then the rest; nulls first
+        if k not in best or sort_key < best[k][0]:
+            best[k] = (sort_key, (k, o, v))
+    want = sorted((row for _, row in best.values()), key=repr)
+    for kw in ({"strategy": "shuffle"}, {"strategy": "duplicated"}):
+        got = sorted((tuple(r) for r in S.dedup(df, ["k"], ["o"], **kw).collect()), key=repr)
+        assert got == want, kw
