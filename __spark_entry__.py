@@ -4,6 +4,17 @@ Every query reads the driver's tables (or data Spark derives from them) in
 full and runs through the ``sluice`` library. Dirty inputs (padded codes,
 flag spellings, mixed date formats, bad numbers, null keys) are derived from
 the rows' own keys inside the query, so the oracle can derive the same.
+
+Groups, in file order:
+- scans and I/O (Parquet, CSV with declared / inferred schema, round trips);
+- normalisers, parses and casts, one per column builder;
+- rules turned into issues (missing, invalid cast, duplicate, business,
+  fused rules, foreign keys under each plan), summaries, the sales suite;
+- keys and profiles (dedup, distinct values and keys, profile, preview,
+  lookups, defect injection, parent sampling);
+- the clinical specs themselves, on clinical tables derived row by row from
+  the sales tables (check mode, the layered run, cleaned tables, reports);
+- generated clinical data (seeded hash draws; rows-only checks).
 """
 
 from __future__ import annotations
