@@ -67,3 +67,49 @@ def test_dedup_matches_brute_force(spark, data):
     for kw in ({"strategy": "shuffle"}, {"strategy": "duplicated"}):
         got = sorted((tuple(r) for r in S.dedup(df, ["k"], ["o"], **kw).collect()), key=repr)
         assert got == want, kw
+
+
+FORMATS = {"yyyy-MM-dd": "%Y-%m-%d", "dd/MM/yyyy": "%d/%m/%Y", "yyyy/MM/dd": "%Y/%m/%d",
+           "MM-dd-yyyy": "%m-%d-%Y", "yyyy.MM.dd": "%Y.%m.%d"}
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(accepted=st.lists(st.sampled_from(sorted(FORMATS)), min_size=1, max_size=3, unique=True),
+       days=st.lists(st.tuples(dates, st.sampled_from(sorted(FORMATS))), max_size=15))
+def test_parse_date_any_formats_match_python(spark, accepted, days):
+    df = spark.createDataFrame([(d.strftime(FORMATS[f]),) for d, f in days], "v string")
+    got = [r[0] for r in df.select(S.parse_date("v", accepted)).collect()]
+    want = []
+    for d, f in days:
+        text = d.strftime(FORMATS[f])
+        hit = None
+        for a in accepted:  # first accepted format that reads the text back
+            try:
+                parsed = dt.datetime.strptime(text, FORMATS[a]).date()
+            except ValueError:
+                continue
+            if parsed.strftime(FORMATS[a]) == text:
+                hit = parsed
+                break
+        want.append(hit)
+    assert got == want
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(values=st.lists(st.one_of(st.none(), st.text(alphabet=" abAB", max_size=4)), max_size=20),
+       mapping=st.dictionaries(st.text(alphabet="AB", min_size=1, max_size=2), st.text(alphabet="xy", max_size=2),
+                               max_size=20),
+       fallback=st.sampled_from(["upper_trim", "trim", "keep"]))
+def test_map_values_matches_python(spark, values, mapping, fallback):
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    got = [r[0] for r in df.select(S.map_values("v", mapping, fallback=fallback)).collect()]
+
+    def py(v):
+        if v is None:
+            return None
+        key = v.strip(" ").upper()
+        if key in mapping:
+            return mapping[key]
+        return {"upper_trim": key, "trim": v.strip(" "), "keep": v}[fallback]
+
+    assert got == [py(v) for v in values]
