@@ -519,6 +519,18 @@ def q_clinical_landing_profile_derived(spark, d):
     return profile_landing(spark, CLINICAL_SPECS, layers)
 
 
+def q_clinical_stream_issues(spark, d):
+    """Derived medications landed as CSV, promoted by the incremental stream
+    (available-now trigger); the row-rule issues it wrote, read back."""
+    from sluice.streaming import promote_landing_stream
+
+    root = scratch_path(spark, "clinical_stream")
+    S.write_csv(_clinical_from_sales(spark, d)["medications"], f"{root}/landing/medications")
+    promote_landing_stream(spark, CLINICAL_SPECS["medications"], f"{root}/landing/medications",
+                           f"{root}/cleaned", f"{root}/issues", f"{root}/checkpoint").awaitTermination()
+    return S.read_parquet(spark, f"{root}/issues").select(*S.ISSUE_COLUMNS)
+
+
 def q_clinical_patients_profile(spark, d):
     """Column profile of the derived patients landing table (A7)."""
     return S.profile(_clinical_from_sales(spark, d)["patients"])
@@ -611,6 +623,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clinical_layers_issues": q_clinical_layers_issues,
     "clinical_cleaned_visits": q_clinical_cleaned_visits,
     "clinical_patients_profile": q_clinical_patients_profile,
+    "clinical_stream_issues": q_clinical_stream_issues,
     "clinical_landing_profile_derived": q_clinical_landing_profile_derived,
     "clinical_unparsed_dates": q_clinical_unparsed_dates,
     "clinical_issue_summary": q_clinical_issue_summary,
@@ -997,6 +1010,8 @@ def _clinical_oracles():
         f"count(DISTINCT NULLIF(CAST({f.name} AS VARCHAR), '')) AS distinct_count FROM {t}"
         for t, spec in CLINICAL_SPECS.items() for f in spec.schema.fields)
     return {
+        "clinical_stream_issues": (
+            f"{ctes} " + _row_sql("medications", "medication_id", "dose", "dose < 0", "Dose cannot be negative")),
         "clinical_landing_profile_derived": f"{ctes} {landing_profile}",
         "clinical_unparsed_dates": f"{ctes} {unparsed}",
         "clinical_patients_profile": f"{ctes} {profile}",
