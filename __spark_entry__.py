@@ -634,8 +634,22 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
+def _training_data():
+    """Queries and SQL of the training-data operators and the corpus pipeline.
+    Their package and script are optional: without them, nothing is added."""
+    try:
+        import corpus_pipeline
+        from sluice.llm import queries as operators
+    except ModuleNotFoundError as e:
+        if e.name not in ("corpus_pipeline", "sluice.llm", "sluice.llm.queries"):
+            raise
+        return {}, {}
+    sql = {} if corpus_pipeline.ORACLE_SQL is None else {"pipeline": corpus_pipeline.ORACLE_SQL}
+    return {**operators.queries(), "pipeline": corpus_pipeline.run}, {**operators.oracle_sql(), **sql}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return {**_QUERIES, **_training_data()[0]}
 
 
 def _fk_sql(table, key, fk, parent, pk, description, source=None):
@@ -1029,4 +1043,4 @@ def oracle_sql() -> dict[str, str]:
     """DuckDB SQL per query. The generated-data queries have none: their
     values are seeded Spark hash draws, and the clinical layer queries write
     and re-read several folders."""
-    return {**_ORACLE, **_clinical_oracles()}
+    return {**_ORACLE, **_clinical_oracles(), **_training_data()[1]}
