@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
@@ -28,7 +29,20 @@ def save(df: DataFrame, name: str) -> DataFrame:
     back. Lineage ends there: a lost executor costs a read, not the work before it."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    saved = df.sparkSession.read.schema(df.schema).parquet(path)
+    saved._saved_at = path
+    return saved
+
+
+def drop_saved(*frames: DataFrame) -> None:
+    """Delete tables written by ``save`` that nothing reads any more, and let Spark's cleaner
+    find the shuffle files of their jobs (it follows the driver's garbage collection)."""
+    for df in frames:
+        context = df.sparkSession.sparkContext
+        folder = context._jvm.org.apache.hadoop.fs.Path(df._saved_at)
+        folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+    gc.collect()
+    context._jvm.System.gc()
 
 
 def without(df: DataFrame, names: Iterable[str]) -> DataFrame:

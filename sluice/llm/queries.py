@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.llm.quality_rules import quality_rules
+from sluice.llm.suffix_dedup import remove_repeats
 
 
 def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -19,6 +20,13 @@ def op2_quality_rules(spark, d):
         "base_failed", "host_rejected", "kept")
 
 
+def op10_suffix_dedup(spark, d):
+    docs = _t(spark, d, "documents").select("doc_id", "text")
+    return remove_repeats(docs).select(
+        "doc_id", "n_bytes", "n_removed", F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 ORACLES = {
     "op2_quality_rules": r"""
 WITH d AS (
@@ -52,7 +60,7 @@ FROM b JOIN bad ON b.source IS NOT DISTINCT FROM bad.source
 
 
 def queries() -> dict:
-    return {"op2_quality_rules": op2_quality_rules}
+    return {f.__name__: f for f in (op2_quality_rules, op10_suffix_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
