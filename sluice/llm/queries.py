@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.llm.quality_rules import quality_rules
+from sluice.llm.simhash_dedup import near_duplicates
 from sluice.llm.suffix_dedup import remove_repeats
 
 
@@ -20,6 +21,11 @@ def op2_quality_rules(spark, d):
         "base_failed", "host_rejected", "kept")
 
 
+def op8_simhash_dedup(spark, d):
+    docs = _t(spark, d, "documents").select("doc_id", "text")
+    return near_duplicates(docs, carry_text=False).select("doc_id", "fingerprint", "component_id")
+
+
 def op10_suffix_dedup(spark, d):
     docs = _t(spark, d, "documents").select("doc_id", "text")
     return remove_repeats(docs).select(
@@ -60,7 +66,7 @@ FROM b JOIN bad ON b.source IS NOT DISTINCT FROM bad.source
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_quality_rules, op10_suffix_dedup)}
+    return {f.__name__: f for f in (op2_quality_rules, op8_simhash_dedup, op10_suffix_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
