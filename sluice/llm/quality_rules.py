@@ -102,13 +102,10 @@ def host_rates(measured: DataFrame, host: str, failed: str) -> DataFrame:
         F.count(F.lit(1)).alias("host_docs"), F.sum(F.col(failed).cast("long")).alias("host_failures"))
     total = hosts.agg(
         (F.sum(f) / F.sum(n)).alias("m"), F.var_pop(f / n).alias("v"), F.avg(1 / n).alias("noise"))
-    m, between = F.col("m"), F.col("v") - F.col("m") * (1 - F.col("m")) * F.col("noise")
-    strength = F.when(between <= 0, F.lit(1e6)).otherwise(
-        F.least(F.greatest(m * (1 - m) / between - 1, F.lit(1.0)), F.lit(1e6)))
-    prior = total.select(m.alias("prior_mean"), strength.alias("prior_strength"))
-    return hosts.join(F.broadcast(prior)).select(  # one row by construction
-        "host", "host_docs", "host_failures",
-        ((f + F.col("prior_mean") * F.col("prior_strength")) / (n + F.col("prior_strength"))).alias("host_rate"))
+    m, v, noise = total.first()  # one row of three numbers
+    between = (v or 0) - (m or 0) * (1 - (m or 0)) * (noise or 0)
+    strength = min(max(m * (1 - m) / between - 1, 1.0), 1e6) if between > 0 else 1e6
+    return hosts.withColumn("host_rate", (f + (m or 0) * strength) / (n + strength))
 
 
 def quality_rules(docs: DataFrame, text: str = "text", host: str = "source", max_host_rate: float = 0.5,
