@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sluice.llm.bpe import decode, encode
 from sluice.llm.quality_rules import quality_rules
 from sluice.llm.simhash_dedup import near_duplicates
 from sluice.llm.suffix_dedup import remove_repeats
 
+#: The vocabulary file of the contracts; every operator takes its path as a parameter.
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
 
 def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
@@ -21,6 +26,13 @@ def op2_quality_rules(spark, d):
         "base_failed", "host_rejected", "kept")
 
 
+def op6_bpe(spark, d, tokenizer=TOKENIZER):
+    docs = _t(spark, d, "documents").select("doc_id", "text")
+    return decode(encode(docs, tokenizer, keep=["doc_id"]), tokenizer).select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op8_simhash_dedup(spark, d):
     docs = _t(spark, d, "documents").select("doc_id", "text")
     return near_duplicates(docs, carry_text=False).select("doc_id", "fingerprint", "component_id")
@@ -66,7 +78,7 @@ FROM b JOIN bad ON b.source IS NOT DISTINCT FROM bad.source
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_quality_rules, op8_simhash_dedup, op10_suffix_dedup)}
+    return {f.__name__: f for f in (op2_quality_rules, op6_bpe, op8_simhash_dedup, op10_suffix_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
