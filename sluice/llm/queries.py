@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.llm.bpe import decode, encode
+from sluice.llm.packing import cut_pieces, pack
 from sluice.llm.quality_rules import quality_rules
 from sluice.llm.simhash_dedup import near_duplicates
 from sluice.llm.suffix_dedup import remove_repeats
@@ -26,6 +27,18 @@ def op2_quality_rules(spark, d):
         "base_failed", "host_rejected", "kept")
 
 
+def op3_packing(spark, d, tokenizer=TOKENIZER):
+    docs = _t(spark, d, "documents").select("doc_id", "text")
+    return pack_documents(docs, tokenizer)
+
+
+def pack_documents(docs, tokenizer):
+    """The pieces of ``docs`` packed, with a digest of each piece's ids."""
+    pieces = cut_pieces(docs, tokenizer, keep=["doc_id"])
+    return pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 def op6_bpe(spark, d, tokenizer=TOKENIZER):
     docs = _t(spark, d, "documents").select("doc_id", "text")
     return decode(encode(docs, tokenizer, keep=["doc_id"]), tokenizer).select(
@@ -78,7 +91,7 @@ FROM b JOIN bad ON b.source IS NOT DISTINCT FROM bad.source
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_quality_rules, op6_bpe, op8_simhash_dedup, op10_suffix_dedup)}
+    return {f.__name__: f for f in (op2_quality_rules, op3_packing, op6_bpe, op8_simhash_dedup, op10_suffix_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
