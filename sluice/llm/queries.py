@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.llm.bpe import decode, encode
+from sluice.llm.chat_format import format_conversations
 from sluice.llm.packing import cut_pieces, pack
 from sluice.llm.quality_rules import quality_rules
 from sluice.llm.simhash_dedup import near_duplicates
@@ -29,14 +30,8 @@ def op2_quality_rules(spark, d):
 
 def op3_packing(spark, d, tokenizer=TOKENIZER):
     docs = _t(spark, d, "documents").select("doc_id", "text")
-    return pack_documents(docs, tokenizer)
-
-
-def pack_documents(docs, tokenizer):
-    """The pieces of ``docs`` packed, with a digest of each piece's ids."""
     pieces = cut_pieces(docs, tokenizer, keep=["doc_id"])
-    return pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))).select(
-        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+    return pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
 
 
 def op6_bpe(spark, d, tokenizer=TOKENIZER):
@@ -46,6 +41,20 @@ def op6_bpe(spark, d, tokenizer=TOKENIZER):
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op7_chat_format(spark, d):
+    turns = _t(spark, d, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
+    lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    loss = F.array_join("loss_texts", "")
+    return format_conversations(turns.unionByName(extra)).select(
+        F.col("conversation").alias("conv_id"), F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"), F.length(loss).cast("long").alias("loss_chars"),
+        F.sha2(loss, 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"))
+
+
 def op8_simhash_dedup(spark, d):
     docs = _t(spark, d, "documents").select("doc_id", "text")
     return near_duplicates(docs, carry_text=False).select("doc_id", "fingerprint", "component_id")
@@ -59,6 +68,22 @@ def op10_suffix_dedup(spark, d):
 
 
 ORACLES = {
+    # The formatted length counts the template's markers and the backslashes of escaped content.
+    "op7_chat_format": r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, i, r, '</s>[INST] ok [/INST]' FROM (VALUES (0, 'user'), (1, 'assistant')) v(i, r)),
+c AS (
+  SELECT *, regexp_matches(text, '<s>|</s>|\[TURN |\[/TURN\]|\[INST\]|\[/INST\]|<<SYS>>|<</SYS>>|<\|im_start\|>|<\|im_end\|>') AS hit,
+         len(regexp_extract_all(text, '<\\*s>|<\\*/s>|\[\\*TURN |\[\\*/TURN\]|\[\\*INST\]|\[\\*/INST\]|<\\*<SYS>>|<\\*</SYS>>|<\\*\|im_start\|>|<\\*\|im_end\|>')) AS more
+  FROM t)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       (7 + sum(length(role) + length(text) + 14) + CASE WHEN bool_or(hit) THEN sum(more) ELSE 0 END)::BIGINT AS formatted_chars
+FROM c GROUP BY conv_id
+""",
     "op2_quality_rules": r"""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t FROM documents),
@@ -91,7 +116,7 @@ FROM b JOIN bad ON b.source IS NOT DISTINCT FROM bad.source
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_quality_rules, op3_packing, op6_bpe, op8_simhash_dedup, op10_suffix_dedup)}
+    return {f.__name__: f for f in (op2_quality_rules, op3_packing, op6_bpe, op7_chat_format, op8_simhash_dedup, op10_suffix_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
