@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from sluice.llm.bpe import decode, encode
 from sluice.llm.chat_format import format_conversations
+from sluice.llm.lattice_dedup import near_vectors
 from sluice.llm.packing import cut_pieces, pack
 from sluice.llm.quality_rules import quality_rules
 from sluice.llm.simhash_dedup import near_duplicates
@@ -34,6 +35,11 @@ def op3_packing(spark, d, tokenizer=TOKENIZER):
     return pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
 
 
+def op5_lattice_dedup(spark, d):
+    vectors = _t(spark, d, "embeddings").select("vec_id", "embedding", "label")
+    return near_vectors(vectors).select("vec_id", "n_links", "component_id", "kept")
+
+
 def op6_bpe(spark, d, tokenizer=TOKENIZER):
     docs = _t(spark, d, "documents").select("doc_id", "text")
     return decode(encode(docs, tokenizer, keep=["doc_id"]), tokenizer).select(
@@ -116,7 +122,7 @@ FROM b JOIN bad ON b.source IS NOT DISTINCT FROM bad.source
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_quality_rules, op3_packing, op6_bpe, op7_chat_format, op8_simhash_dedup, op10_suffix_dedup)}
+    return {f.__name__: f for f in (op2_quality_rules, op3_packing, op5_lattice_dedup, op6_bpe, op7_chat_format, op8_simhash_dedup, op10_suffix_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
