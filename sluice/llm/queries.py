@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from sluice.llm.bpe import decode, encode
 from sluice.llm.chat_format import format_conversations
+from sluice.llm.html_extract import extract_text
 from sluice.llm.lattice_dedup import near_vectors
 from sluice.llm.packing import cut_pieces, pack
 from sluice.llm.quality_rules import quality_rules
@@ -22,6 +23,11 @@ def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def op1_html_extract(spark, d):
+    pages = _t(spark, d, "pages").select("page_id", "url", "html")
+    return extract_text(pages).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op2_quality_rules(spark, d):
     docs = _t(spark, d, "documents").select("doc_id", "text", "source")
     return quality_rules(docs, carry_all=False).select(
@@ -122,7 +128,7 @@ FROM b JOIN bad ON b.source IS NOT DISTINCT FROM bad.source
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_quality_rules, op3_packing, op5_lattice_dedup, op6_bpe, op7_chat_format, op8_simhash_dedup, op10_suffix_dedup)}
+    return {f.__name__: f for f in (op1_html_extract, op2_quality_rules, op3_packing, op5_lattice_dedup, op6_bpe, op7_chat_format, op8_simhash_dedup, op10_suffix_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
