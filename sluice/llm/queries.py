@@ -14,6 +14,8 @@ from sluice.llm.packing import cut_pieces, pack
 from sluice.llm.quality_rules import quality_rules
 from sluice.llm.simhash_dedup import near_duplicates
 from sluice.llm.suffix_dedup import remove_repeats
+from sluice.llm.warc import archive_round_trip
+
 
 #: The vocabulary file of the contracts; every operator takes its path as a parameter.
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -41,6 +43,13 @@ def op3_packing(spark, d, tokenizer=TOKENIZER):
     return pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
 
 
+def op4_warc(spark, d):
+    pages = _t(spark, d, "pages").select("page_id", "url", "html")
+    return archive_round_trip(spark, pages).select(
+        F.col("page").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        F.col("refers_to").cast("long").alias("refers_to"))
+
+
 def op5_lattice_dedup(spark, d):
     vectors = _t(spark, d, "embeddings").select("vec_id", "embedding", "label")
     return near_vectors(vectors).select("vec_id", "n_links", "component_id", "kept")
@@ -80,6 +89,15 @@ def op10_suffix_dedup(spark, d):
 
 
 ORACLES = {
+    "op4_warc": """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+r AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS top FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> top THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> top THEN top END AS refers_to
+FROM r
+""",
     # The formatted length counts the template's markers and the backslashes of escaped content.
     "op7_chat_format": r"""
 WITH t AS (
@@ -128,7 +146,7 @@ FROM b JOIN bad ON b.source IS NOT DISTINCT FROM bad.source
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_html_extract, op2_quality_rules, op3_packing, op5_lattice_dedup, op6_bpe, op7_chat_format, op8_simhash_dedup, op10_suffix_dedup)}
+    return {f.__name__: f for f in (op1_html_extract, op2_quality_rules, op3_packing, op4_warc, op5_lattice_dedup, op6_bpe, op7_chat_format, op8_simhash_dedup, op10_suffix_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
