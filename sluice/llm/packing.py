@@ -33,7 +33,9 @@ def _library_ids(source: str) -> ChunkIds:
     tokenizer = Tokenizer.from_str(source)
     tokenizer.no_truncation()
     tokenizer.no_padding()
-    return ChunkIds(lambda chunk: array("I", tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes())
+    merge = tokenizer.model.tokenize  # a word of lower-case ASCII letters is split no further before this
+    return ChunkIds(lambda chunk: array("I", tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes(),
+                    lambda word: array("I", [t.id for t in merge(word)]).tobytes())
 
 
 def cut_pieces(docs: DataFrame, tokenizer: str, text: str = "text", capacity: int = 4096, end_id: int = 1,
@@ -77,6 +79,10 @@ def cut_pieces(docs: DataFrame, tokenizer: str, text: str = "text", capacity: in
     return chosen.mapInArrow(run, schema)
 
 
+#: Bins of a shard filled to this share are not dealt again.
+FULL = 0.95
+
+
 class Bins:
     """Bins of one shard: each a list of piece numbers, with its fill."""
 
@@ -151,22 +157,18 @@ class Bins:
         return True
 
     def local_search(self) -> None:
-        """Steps between underfull bins, fuller ones first, until none raises the squares."""
-        stale: set[tuple[int, int, int, int]] = set()  # pairs at fills that gave nothing
-        version = [0] * len(self.bins)
-        moved = True
-        while moved:
-            moved = False
+        """Steps between underfull bins, fuller ones first, until none raises the squares, or
+        no more than the least possible number of bins is in use."""
+        least = -(-sum(self.lengths) // self.capacity)
+        changed = set(range(len(self.bins)))
+        while changed and sum(1 for f in self.fill if f) > least:
+            before, changed = changed, set()
             under = sorted((b for b in range(len(self.bins)) if 0 < self.fill[b] < self.capacity), key=lambda b: -self.fill[b])
             for a, b in itertools.permutations(under, 2):
-                key = (a, b, version[a], version[b])
-                if key in stale:
+                if a not in before and b not in before and a not in changed and b not in changed:
                     continue
                 while self.fill[a] < self.capacity and self.fill[b] and self._step(a, b):
-                    moved = True
-                    version[a] += 1
-                    version[b] += 1
-                stale.add((a, b, version[a], version[b]))
+                    changed |= {a, b}
 
 
 def _pack_shard(capacity: int):
@@ -180,7 +182,7 @@ def _pack_shard(capacity: int):
         for k, members in enumerate(bins.bins):
             at = 0
             for i in members:
-                number[i], offset[i], full[i] = k, at, bins.fill[k] == capacity
+                number[i], offset[i], full[i] = k, at, bins.fill[k] >= FULL * capacity
                 at += bins.lengths[i]
         return pa.table({"row": table["row"], "length": table["length"], "shard": pa.array([shard] * n, pa.int64()),
                          "number": pa.array(number, pa.int64()), "offset": pa.array(offset, pa.int64()), "full": pa.array(full)})
