@@ -111,18 +111,29 @@ class Bpe:
             plain = unicodedata.normalize("NFC", part)
             plain = plain.lower() if plain.isascii() else "".join(map(str.lower, plain))
             for word in self.words.findall(plain):
-                raw = word.encode()
-                start = [self.inner[b] for b in raw]
-                start[-1] = self.last[raw[-1]]
-                ids.extend(self.merge(start))
+                ids.extend(self.merge(self.symbols(word)))
         return ids.tobytes()
 
+    def symbols(self, word: str) -> list[int]:
+        """The ids that a word starts from: one per byte, the last with the end mark."""
+        raw = word.encode()
+        return [*map(self.inner.__getitem__, raw[:-1]), self.last[raw[-1]]]
+
+    def encode_word(self, word: str) -> bytes:
+        """``encode`` for a word of lower-case ASCII letters."""
+        return array("I", self.merge(self.symbols(word))).tobytes()
+
     def decode(self, ids: bytes | None) -> str:
         """The tokens of the ids, special ones too, joined by one space."""
         tokens = self.tokens
         return " ".join([tokens[i] for i in memoryview(ids).cast("I")]) if ids else ""
 
 
+def _chunk_ids(source: str) -> ChunkIds:
+    model = built("bpe", source, Bpe)
+    return ChunkIds(model.encode, model.encode_word)
+
+
 def encode(docs: DataFrame, tokenizer: str, text: str = "text", out: str = "ids", keep: list[str] | None = None) -> DataFrame:
     """``docs`` (or its columns ``keep``) with ``out``: the whole text's ids in binary.
 
@@ -130,7 +141,7 @@ def encode(docs: DataFrame, tokenizer: str, text: str = "text", out: str = "ids"
     independent: repeated rows give equal ids, an empty table gives an empty one."""
     source = shared_text(docs.sparkSession, tokenizer)
     keep = [c for c in (docs.columns if keep is None else keep) if c.lower() != out.lower()]
-    make = lambda: built("bpe ids", source.value, lambda s: ChunkIds(Bpe(s).encode)).of
+    make = lambda: built("bpe ids", source.value, _chunk_ids).of
     return map_column(docs, text, make, out, "binary", keep)
 
 

@@ -8,23 +8,41 @@ from pathlib import Path
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-#: Chunks kept by a Python worker, and the bytes of the longest one kept; memory bounds only.
+#: Chunks kept by a Python worker in each of two generations, and the bytes of the longest
+#: one kept; memory bounds only.
 CACHED_CHUNKS = 200_000
 CACHED_BYTES = 64
 #: Text bytes per result batch.
 BATCH_BYTES = 4 << 20
+# Marks that end a word and are a token of their own behind letters.
+_MARKS = ".,;:!?"
 
 
 class ChunkIds(dict):
-    """Ids (little-endian unsigned 32-bit) by chunk; what is missing is encoded."""
+    """Ids (little-endian unsigned 32-bit) by chunk; what is missing is encoded.
 
-    def __init__(self, encode: Callable[[str], bytes]):
-        self.encode = encode
+    ``encode`` takes any text, ``encode_word`` lower-case letters only. The tokenizer lower-cases
+    and never joins letters and marks, so ``Word,`` is looked up as ``word`` and ``,``. When a
+    generation is full it becomes the old one, from which used chunks return."""
+
+    def __init__(self, encode: Callable[[str], bytes], encode_word: Callable[[str], bytes]):
+        self.encode, self.encode_word, self.old = encode, encode_word, {}
 
     def __missing__(self, chunk: bytes) -> bytes:
-        ids = self.encode(chunk.decode())
+        ids = self.old.get(chunk)
+        if ids is None:
+            text = chunk.decode()
+            body = text[:-1] if text[-1] in _MARKS else text
+            if body.lower().isalpha():  # letters alone: no special token, nothing to compose
+                lower = chunk.lower()
+                if lower != chunk:
+                    return self[lower]
+                if body != text:
+                    return self[chunk[:-1]] + self[chunk[-1:]]
+            ids = self.encode_word(text) if text.isascii() and text.isalpha() else self.encode(text)
         if len(chunk) <= CACHED_BYTES:
             if len(self) >= CACHED_CHUNKS:
+                self.old = dict(self)
                 self.clear()
             self[chunk] = ids
         return ids
