@@ -10,13 +10,13 @@ from sluice.llm.bpe import decode, encode
 from sluice.llm.chat_format import format_conversations
 from sluice.llm.html_extract import extract_text
 from sluice.llm.lattice_dedup import near_vectors
+from sluice.llm.license_rules import scan
 from sluice.llm.packing import cut_pieces, pack
 from sluice.llm.quality_rules import quality_rules
 from sluice.llm.simhash_dedup import near_duplicates
 from sluice.llm.suffix_dedup import remove_repeats
 from sluice.llm.warc import archive_round_trip
 
-
 #: The vocabulary file of the contracts; every operator takes its path as a parameter.
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -81,6 +81,13 @@ def op8_simhash_dedup(spark, d):
     return near_duplicates(docs, carry_text=False).select("doc_id", "fingerprint", "component_id")
 
 
+def op9_license_rules(spark, d):
+    docs = _t(spark, d, "documents").select("doc_id", "text")
+    return scan(docs).select(
+        "doc_id", F.array_join("licenses.license", ",").alias("licenses"),
+        F.array_join(F.transform("licenses", lambda x: F.concat_ws(":", x["first"], x["last"], F.array_join(x["sentences"], "+"))), ",").alias("matches"))
+
+
 def op10_suffix_dedup(spark, d):
     docs = _t(spark, d, "documents").select("doc_id", "text")
     return remove_repeats(docs).select(
@@ -146,7 +153,7 @@ FROM b JOIN bad ON b.source IS NOT DISTINCT FROM bad.source
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_html_extract, op2_quality_rules, op3_packing, op4_warc, op5_lattice_dedup, op6_bpe, op7_chat_format, op8_simhash_dedup, op10_suffix_dedup)}
+    return {f.__name__: f for f in (op1_html_extract, op2_quality_rules, op3_packing, op4_warc, op5_lattice_dedup, op6_bpe, op7_chat_format, op8_simhash_dedup, op9_license_rules, op10_suffix_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
