@@ -14,7 +14,7 @@ Groups, in file order:
   lookups, defect injection, parent sampling);
 - the clinical specs themselves, on clinical tables derived row by row from
   the sales tables (check mode, the layered run, cleaned tables, reports);
-- generated clinical data (seeded hash draws; rows-only checks).
+- the training-data operators and the corpus pipeline, where present.
 """
 
 from __future__ import annotations
@@ -115,6 +115,34 @@ def q_norm_value_map(spark, d):
     return o.select("o_orderkey", S.map_values("o_orderpriority", {"1-URGENT": "SEVERE"}).alias("severity"))
 
 
+def _brand_map():
+    """25 brands: those of number 5, 10, ... go to null, the others to a short code."""
+    return {f"BRAND#{i}": None if i % 5 == 0 else f"B{i}" for i in range(1, 26)}
+
+
+def q_norm_value_map_many(spark, d):
+    p = _t(spark, d, "part")
+    dirty = F.when(F.col("p_partkey") % 9 == 0, F.concat(F.lit(" other "), F.col("p_brand"))).otherwise(F.lower("p_brand"))
+    return p.select("p_partkey", S.map_values(dirty, _brand_map()).alias("brand"))
+
+
+def q_parse_date_optional(spark, d):
+    """A pattern with an optional section."""
+    o = _t(spark, d, "orders")
+    k = F.col("o_orderkey") % 3
+    s = (F.when(k == 0, F.date_format("o_orderdate", "yyyy-MM-dd"))
+         .when(k == 1, F.date_format("o_orderdate", "yyyy-MM-dd HH:mm")).otherwise("none"))
+    return o.select("o_orderkey", S.parse_date(s, ["yyyy-MM-dd[ HH:mm]"]).alias("order_date"))
+
+
+def q_record_id_composite(spark, d):
+    """Record ids of composite keys with null parts and parts that hold the separator."""
+    o = _t(spark, d, "orders")
+    k = F.col("o_orderkey") % 4
+    part = F.when(k == 0, F.lit(None)).when(k == 1, "a|b").when(k == 2, "a\\b").otherwise(F.col("o_orderstatus"))
+    return o.select("o_orderkey", S.key_text([part, "o_custkey"]).alias("record_id"))
+
+
 def q_parse_date_multi(spark, d):
     o = _t(spark, d, "orders")
     k = F.col("o_orderkey") % 4
@@ -250,6 +278,30 @@ def q_fk_null_is_orphan(spark, d):
     return S.orphans(o, _t(spark, d, "customer"), "fk", parent_key="c_custkey").select("o_orderkey")
 
 
+def q_fk_mixed_types(spark, d):
+    """Text keys against a numeric parent key: text that is no number is an orphan."""
+    k = F.col("o_orderkey")
+    fk = F.when(k % 10 == 0, "abc").when(k % 10 == 1, F.lit(None)).when(k % 10 == 2, "-5").otherwise(
+        F.col("o_custkey").cast("string"))
+    o = _t(spark, d, "orders").select("o_orderkey", fk.alias("fk"))
+    return S.orphans(o, _t(spark, d, "customer"), "fk", parent_key="c_custkey").select("o_orderkey", "fk")
+
+
+def _skewed_orders(spark, d):
+    """Orders whose customer key is one existing customer for a third of the rows, one missing
+    customer for another seventh, and a missing customer of its own for some."""
+    k = F.col("o_orderkey")
+    fk = F.when(k % 3 == 0, F.lit(7)).when(k % 7 == 1, F.lit(-1)).when(k % 11 == 2, -k).when(
+        k % 13 == 3, F.lit(None)).otherwise(F.col("o_custkey"))
+    return _t(spark, d, "orders").select("o_orderkey", fk.cast("long").alias("fk"))
+
+
+def q_fk_large_parent(spark, d):
+    """The plan of a parent and missing keys over the broadcast bound, with hot missing keys."""
+    return S.orphans(_skewed_orders(spark, d), _t(spark, d, "customer"), "fk", parent_key="c_custkey",
+                     max_broadcast_keys=20, hot_key_rows=100).select("o_orderkey", "fk")
+
+
 def q_fk_composite(spark, d):
     """Composite key: (orderkey, linenumber + 1) must exist in lineitem."""
     l = _t(spark, d, "lineitem")
@@ -287,6 +339,22 @@ def q_dedup_rows(spark, d):
     return S.dedup(_t(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"], order_by=["l_partkey"])
 
 
+def q_dedup_duplicated_only(spark, d):
+    """The plan for large tables: only rows of repeated keys are aggregated."""
+    return S.dedup(_t(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"], order_by=["l_partkey"],
+                   strategy="duplicated")
+
+
+def q_dedup_wide_key(spark, d):
+    """The same plan keyed on whole texts: hashes are grouped and broadcast, never texts."""
+    docs = _t(spark, d, "documents").select("text", "doc_id")
+    return S.dedup(docs, ["text"], order_by=["doc_id"], strategy="duplicated")
+
+
+def q_duplicate_key_counts(spark, d):
+    return S.duplicate_keys(_t(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
 def q_distinct_values(spark, d):
     return S.distinct_values(_t(spark, d, "part"), "p_type")
 
@@ -296,7 +364,13 @@ def q_distinct_nonnull_keys(spark, d):
 
 
 def q_profile_table(spark, d):
-    return S.profile(_t(spark, d, "orders"))
+    orders = _t(spark, d, "orders")
+    return S.profile(orders, distinct=orders.columns)
+
+
+def q_profile_counts(spark, d):
+    """The default profile: row and null counts, no distinct counts."""
+    return S.profile(_t(spark, d, "lineitem"))
 
 
 def q_preview(spark, d):
@@ -310,6 +384,13 @@ def q_lookup_first(spark, d):
                           parent_key="n_nationkey").select("c_custkey", "n_name")
 
 
+def q_lookup_first_large(spark, d):
+    """The plan of a parent over the broadcast bound: hot keys map-only, the rest shuffled."""
+    found = S.lookup_first(_skewed_orders(spark, d), _t(spark, d, "customer"), "fk", ["c_name"], parent_key="c_custkey",
+                           max_broadcast_rows=20, hot_key_rows=100)
+    return found.select("o_orderkey", "fk", "c_name")
+
+
 # The small reference table of the constant-lookup query.
 PART_TYPE_LIMITS = {
     "ECONOMY": {"low": 5, "high": 20},
@@ -338,32 +419,14 @@ def q_sample_parent(spark, d):
     return picked.select("c_custkey", "o_orderkey", "o_orderstatus")
 
 
-def _clinical_ids(spark, d):
-    """Clinical record ids drawn from the sales tables, so sizes follow them."""
-    lines, _ = synth.index_rows(_t(spark, d, "lineitem").select("l_orderkey"))
-    return {
-        "patients": _t(spark, d, "customer").select((F.col("c_custkey") + 1).alias("id")),
-        "visits": _t(spark, d, "orders").select((F.col("o_orderkey") + 1).alias("id")),
-        "adverse_events": _t(spark, d, "events").select((F.col("event_id") + 1).alias("id")),
-        "lab_results": lines.select((F.col("row_index") + 1).alias("id")),
-        "medications": _t(spark, d, "orders").select((F.col("o_orderkey") + 1).alias("id")),
-    }
-
-
-def q_synth_patients(spark, d):
-    """Generated patients (one per customer) with the injected defects."""
-    return synth.patients(spark, _clinical_ids(spark, d)["patients"])
-
-
-def q_synth_lab_results(spark, d):
-    """Generated lab results (one per lineitem row) sampling generated visits."""
-    ids = _clinical_ids(spark, d)
-    p = synth.patients(spark, ids["patients"])
-    v = synth.visits(spark, p, ids["visits"])
-    return synth.lab_results(spark, v, ids["lab_results"])
+def q_sample_parent_null(spark, d):
+    """Rows without a pick keep nulls."""
+    cust = _t(spark, d, "customer").select("c_custkey")
+    nation = _t(spark, d, "nation").select("n_nationkey", "n_name")
+    pick = F.when(F.col("c_custkey") % 4 != 0, F.col("c_custkey") % 25)
+    return synth.sample_parent(cust, nation, lambda n: pick, parent_order=["n_nationkey"]).select("c_custkey", "n_name")
 
 
-# ----------------------------------------------------------------- clinical specs on derived data
 def _pick(values, idx):
     return F.element_at(F.array(*[F.lit(v) for v in values]), (idx % len(values) + 1).cast("int"))
 
@@ -516,7 +579,7 @@ def q_clinical_landing_profile_derived(spark, d):
     """Landing CSVs of the derived clinical tables, profiled per column (C8)."""
     layers = S.LayerPaths(scratch_path(spark, "clinical_derived_profile"))
     synth.save_landing(_clinical_from_sales(spark, d), layers.landing)
-    return profile_landing(spark, CLINICAL_SPECS, layers)
+    return profile_landing(spark, CLINICAL_SPECS, layers, distinct=True)
 
 
 def q_clinical_stream_issues(spark, d):
@@ -533,7 +596,8 @@ def q_clinical_stream_issues(spark, d):
 
 def q_clinical_patients_profile(spark, d):
     """Column profile of the derived patients landing table (A7)."""
-    return S.profile(_clinical_from_sales(spark, d)["patients"])
+    patients = _clinical_from_sales(spark, d)["patients"]
+    return S.profile(patients, distinct=patients.columns)
 
 
 def q_clinical_issue_summary(spark, d):
@@ -552,27 +616,47 @@ def q_clinical_cleaned_visits(spark, d):
 
 
 def q_clinical_cleaned_medications(spark, d):
-    spec = CLINICAL_SPECS["medications"]
-    return spec.deduplicate(spec.clean(_clinical_from_sales(spark, d)["medications"]))
+    return _cleaned(spark, d, "medications")
 
 
+def _cleaned(spark, d, name):
+    spec = CLINICAL_SPECS[name]
+    return spec.deduplicate(spec.clean(_clinical_from_sales(spark, d)[name]))
+
+
+def q_clinical_cleaned_patients(spark, d):
+    return _cleaned(spark, d, "patients")
 
-def _clinical_layers(spark, d):
-    layers = S.LayerPaths(scratch_path(spark, "clinical"))
-    synth.save_landing(synth.clinical_tables(spark, _clinical_ids(spark, d)), layers.landing)
-    run_all(spark, CLINICAL_SPECS, layers, parallel=len(CLINICAL_SPECS))
-    return layers
 
+def q_clinical_cleaned_lab_results(spark, d):
+    return _cleaned(spark, d, "lab_results")
 
-def q_clinical_issues(spark, d):
-    """Landing CSV → raw → cleaned → issues for the five clinical tables."""
-    return all_issues(spark, CLINICAL_SPECS, _clinical_layers(spark, d))
 
+def q_clinical_cleaned_adverse_events(spark, d):
+    return _cleaned(spark, d, "adverse_events")
 
-def q_clinical_landing_profile(spark, d):
-    layers = S.LayerPaths(scratch_path(spark, "clinical_profile"))
-    synth.save_landing(synth.clinical_tables(spark, _clinical_ids(spark, d)), layers.landing)
-    return profile_landing(spark, CLINICAL_SPECS, layers)
+
+def q_clinical_row_counts(spark, d):
+    """Rows of each dataset as the layered promotion counts them: landing, before and after dedup."""
+    layers = S.LayerPaths(scratch_path(spark, "clinical_counts"))
+    synth.save_landing(_clinical_from_sales(spark, d), layers.landing)
+    report = run_all(spark, CLINICAL_SPECS, layers, parallel=len(CLINICAL_SPECS))
+    rows = [(n, report.landing_rows[n], report.cleaned_rows_before_dedup[n], report.cleaned_rows[n]) for n in CLINICAL_SPECS]
+    return spark.createDataFrame(rows, "dataset_name string, landing_rows long, before_dedup long, after_dedup long")
+
+
+def q_clinical_stream_unparsed(spark, d):
+    """Derived medications through the stream, with the optional unparsed-value rule."""
+    from dataclasses import replace
+
+    from sluice.streaming import promote_landing_stream
+
+    root, name = scratch_path(spark, "clinical_stream_unparsed"), "medications"
+    spec = replace(CLINICAL_SPECS[name], report_unparsed=("administration_date",))
+    S.write_csv(_clinical_from_sales(spark, d)[name], f"{root}/landing/{name}")
+    promote_landing_stream(spark, spec, f"{root}/landing/{name}", f"{root}/cleaned", f"{root}/issues",
+                           f"{root}/checkpoint").awaitTermination()
+    return S.read_parquet(spark, f"{root}/issues").select(*S.ISSUE_COLUMNS)
 
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -617,8 +701,6 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lookup_constant": q_lookup_constant,
     "inject_defects": q_inject_defects,
     "sample_parent": q_sample_parent,
-    "synth_patients": q_synth_patients,
-    "synth_lab_results": q_synth_lab_results,
     "clinical_check_issues": q_clinical_check_issues,
     "clinical_layers_issues": q_clinical_layers_issues,
     "clinical_cleaned_visits": q_clinical_cleaned_visits,
@@ -629,8 +711,22 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clinical_issue_summary": q_clinical_issue_summary,
     "clinical_visits_preview": q_clinical_visits_preview,
     "clinical_cleaned_medications": q_clinical_cleaned_medications,
-    "clinical_issues": q_clinical_issues,
-    "clinical_landing_profile": q_clinical_landing_profile,
+    "norm_value_map_many": q_norm_value_map_many,
+    "parse_date_optional": q_parse_date_optional,
+    "record_id_composite": q_record_id_composite,
+    "fk_mixed_types": q_fk_mixed_types,
+    "fk_large_parent": q_fk_large_parent,
+    "dedup_duplicated_only": q_dedup_duplicated_only,
+    "dedup_wide_key": q_dedup_wide_key,
+    "duplicate_key_counts": q_duplicate_key_counts,
+    "profile_counts": q_profile_counts,
+    "lookup_first_large": q_lookup_first_large,
+    "sample_parent_null": q_sample_parent_null,
+    "clinical_cleaned_patients": q_clinical_cleaned_patients,
+    "clinical_cleaned_lab_results": q_clinical_cleaned_lab_results,
+    "clinical_cleaned_adverse_events": q_clinical_cleaned_adverse_events,
+    "clinical_row_counts": q_clinical_row_counts,
+    "clinical_stream_unparsed": q_clinical_stream_unparsed,
 }
 
 
@@ -848,6 +944,48 @@ _ORACLE: dict[str, str] = {
         "ELSE c_mktsegment END AS c_mktsegment FROM customer UNION ALL "
         "SELECT c_custkey, c_mktsegment FROM customer WHERE c_custkey = 10"
     ),
+    "norm_value_map_many": (
+        "WITH d AS (SELECT p_partkey, upper(trim(CASE WHEN p_partkey % 9 = 0 THEN ' other ' || p_brand ELSE lower(p_brand) END)) "
+        "AS b FROM part) SELECT p_partkey, CASE WHEN b IN ('BRAND#5', 'BRAND#10', 'BRAND#15', 'BRAND#20', 'BRAND#25') THEN NULL "
+        "WHEN regexp_full_match(b, 'BRAND#([1-9]|1[0-9]|2[0-5])') THEN 'B' || substr(b, 7) ELSE b END AS brand FROM d"
+    ),
+    "parse_date_optional": (
+        "SELECT o_orderkey, CASE WHEN o_orderkey % 3 < 2 THEN CAST(o_orderdate AS DATE) END AS order_date FROM orders"
+    ),
+    "record_id_composite": (
+        "SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN '\\N' WHEN 1 THEN 'a\\|b' WHEN 2 THEN 'a\\\\b' ELSE o_orderstatus END "
+        "|| '|' || CAST(o_custkey AS VARCHAR) AS record_id FROM orders"
+    ),
+    "fk_mixed_types": (
+        "WITH c AS (SELECT o_orderkey, CASE o_orderkey % 10 WHEN 0 THEN 'abc' WHEN 1 THEN NULL WHEN 2 THEN '-5' "
+        "ELSE CAST(o_custkey AS VARCHAR) END AS fk FROM orders) SELECT o_orderkey, fk FROM c "
+        "WHERE NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = TRY_CAST(fk AS BIGINT))"
+    ),
+    "fk_large_parent": (
+        "WITH c AS (SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 7 WHEN o_orderkey % 7 = 1 THEN -1 "
+        "WHEN o_orderkey % 11 = 2 THEN -o_orderkey WHEN o_orderkey % 13 = 3 THEN NULL ELSE o_custkey END AS fk FROM orders) "
+        "SELECT o_orderkey, fk FROM c WHERE NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = fk)"
+    ),
+    "lookup_first_large": (
+        "WITH c AS (SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 7 WHEN o_orderkey % 7 = 1 THEN -1 "
+        "WHEN o_orderkey % 11 = 2 THEN -o_orderkey WHEN o_orderkey % 13 = 3 THEN NULL ELSE o_custkey END AS fk FROM orders) "
+        "SELECT o_orderkey, fk, c_name FROM c LEFT JOIN customer ON c_custkey = fk"
+    ),
+    "dedup_wide_key": "SELECT text, min(doc_id) AS doc_id FROM documents GROUP BY text",
+    "duplicate_key_counts": (
+        "SELECT l_orderkey, l_linenumber, count(*) AS count FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1"
+    ),
+    "profile_counts": " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, '{t}' AS data_type, count(*) AS row_count, count(*) - count({c}) AS null_count, "
+        f"CAST(NULL AS BIGINT) AS distinct_count FROM lineitem"
+        for c, t in [("l_orderkey", "bigint"), ("l_partkey", "bigint"), ("l_suppkey", "bigint"), ("l_linenumber", "int"),
+                     ("l_quantity", "double"), ("l_extendedprice", "double"), ("l_discount", "double"), ("l_tax", "double"),
+                     ("l_returnflag", "string"), ("l_linestatus", "string"), ("l_shipdate", "timestamp_ntz")]
+    ),
+    "sample_parent_null": (
+        "WITH p AS (SELECT row_number() OVER (ORDER BY n_nationkey) - 1 AS i, n_name FROM nation) "
+        "SELECT c_custkey, n_name FROM customer LEFT JOIN p ON c_custkey % 4 <> 0 AND i = c_custkey % 25"
+    ),
     "sample_parent": (
         "WITH p AS (SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS i, o_orderkey, o_orderstatus FROM orders) "
         "SELECT c_custkey, o_orderkey, o_orderstatus FROM customer JOIN p "
@@ -856,6 +994,9 @@ _ORACLE: dict[str, str] = {
 }
 
 
+_ORACLE["dedup_duplicated_only"] = _ORACLE["dedup_rows"]
+
+
 def _sql_list(values):
     return "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + "]"
 
@@ -876,10 +1017,10 @@ def _sql_flag(col, synonyms):
 
 
 def _clinical_sql_ctes():
-    from sluice.functions.columns import FLAG_FOUR_SYNONYMS
-    from sluice.plans import clinical as C
-
-    sites = _sql_list(synth.SITES)
+    sites = "['SITE_A', 'SITE_B', 'SITE_C', 'SITE_D']"
+    four = {"YES": "Y", "TRUE": "Y", "NO": "N", "FALSE": "N"}
+    two = {"TRUE": "Y", "FALSE": "N"}
+    visit_formats = ("yyyy-MM-dd", "yyyy/MM/dd")
     iso = "'%Y-%m-%d'"
     return f"""
 pl AS (SELECT c_custkey AS k, c_nationkey AS n, {sites}[c_nationkey % 4 + 1] AS site,
@@ -890,8 +1031,8 @@ pbase AS (SELECT printf('P%04d', k + 1) AS patient_id,
   CASE WHEN k % 50 = 20 THEN NULL ELSE CAST(1945 + k % 61 AS DOUBLE) END AS birth_year,
   CASE WHEN k % 30 = 0 THEN strftime(enrolled, '%d/%m/%Y') WHEN k % 30 = 1 THEN 'not a date'
        ELSE strftime(enrolled, {iso}) END AS enrollment_date,
-  {_sql_list(synth.TREATMENT_ARMS)}[k % 3 + 1] AS treatment_arm,
-  {_sql_list(synth.PATIENT_STATUSES)}[n % 3 + 1] AS status, k % 97 = 10 AS copy FROM pl),
+  ['PLACEBO', 'DRUG_A', 'DRUG_B'][k % 3 + 1] AS treatment_arm,
+  ['ACTIVE', 'COMPLETED', 'WITHDRAWN'][n % 3 + 1] AS status, k % 97 = 10 AS copy FROM pl),
 patients AS (SELECT * EXCLUDE (copy) FROM pbase UNION ALL SELECT * EXCLUDE (copy) FROM pbase WHERE copy),
 vl AS (SELECT o_orderkey AS o, o_custkey AS c, CAST(o_orderdate AS DATE) AS sd,
               CAST(o_orderdate AS DATE) + CAST(o_orderkey % 21 - 5 AS INTEGER) AS vd,
@@ -899,7 +1040,7 @@ vl AS (SELECT o_orderkey AS o, o_custkey AS c, CAST(o_orderdate AS DATE) AS sd,
 vbase AS (SELECT printf('V%05d', o + 1) AS visit_id,
   CASE WHEN o % 101 = 7 THEN 'P_BAD' ELSE printf('P%04d', c + 1) END AS patient_id,
   CASE WHEN o % 33 = 0 THEN lower(site) ELSE site END AS site_id,
-  {_sql_list(synth.VISIT_TYPES)}[o % 4 + 1] AS visit_type,
+  ['SCREENING', 'BASELINE', 'FOLLOW_UP', 'FINAL'][o % 4 + 1] AS visit_type,
   CASE WHEN o % 25 = 3 THEN strftime(sd, '%Y/%m/%d') ELSE strftime(sd, {iso}) END AS scheduled_date,
   CASE WHEN o % 89 = 15 THEN '' WHEN o % 89 = 16 THEN strftime(vd, '%Y/%m/%d') ELSE strftime(vd, {iso}) END
     AS visit_date,
@@ -913,8 +1054,8 @@ ebase AS (SELECT printf('AE%05d', e + 1) AS event_id,
   {sites}[u % 4 + 1] AS site_id,
   CASE WHEN e % 20 = 14 THEN strftime(ed, '%m-%d-%Y') ELSE strftime(ed, {iso}) END AS event_date,
   CASE e % 5 WHEN 0 THEN 'high' WHEN 1 THEN 'MILD' WHEN 2 THEN 'moderate ' ELSE 'SEVERE' END AS severity,
-  {_sql_list(synth.AE_RELATIONSHIP)}[e % 3 + 1] AS relationship_to_treatment,
-  {_sql_list(synth.AE_OUTCOMES)}[e % 7 % 3 + 1] AS outcome,
+  ['NOT_RELATED', 'POSSIBLY_RELATED', 'RELATED'][e % 3 + 1] AS relationship_to_treatment,
+  ['RESOLVED', 'ONGOING', 'RECOVERING'][e % 7 % 3 + 1] AS outcome,
   CASE e % 4 WHEN 0 THEN 'TRUE' WHEN 1 THEN 'false' ELSE 'N' END AS serious_event,
   e % 211 = 12 AS copy FROM el),
 adverse_events AS (SELECT * EXCLUDE (copy) FROM ebase UNION ALL SELECT * EXCLUDE (copy) FROM ebase WHERE copy),
@@ -938,15 +1079,26 @@ medications AS (SELECT printf('M%06d', l_orderkey) || '-' || CAST(l_linenumber A
        WHEN l_orderkey % 12 = 6 THEN '2025-02-30' ELSE strftime(CAST(l_shipdate AS DATE), {iso}) END
     AS administration_date,
   {_sql_list(ROUTE_SPELLINGS)}[l_partkey % 3 + 1] AS route FROM lineitem),
-c_patients AS (SELECT patient_id, TRY_CAST(birth_year AS INTEGER) AS birth_year FROM patients),
+c_patients AS (SELECT patient_id, upper(trim(site_id)) AS site_id,
+  CASE upper(trim(sex)) WHEN 'FEMALE' THEN 'F' WHEN 'MALE' THEN 'M' ELSE upper(trim(sex)) END AS sex,
+  TRY_CAST(birth_year AS INTEGER) AS birth_year,
+  {_sql_date("enrollment_date", ("yyyy-MM-dd", "dd/MM/yyyy"))} AS enrollment_date, treatment_arm, status FROM patients),
+c_lab_results AS (SELECT result_id, patient_id, visit_id, upper(trim(test_name)) AS test_name, test_value, trim(unit) AS unit,
+  reference_range_low, reference_range_high, {_sql_flag("abnormal_flag", two)} AS abnormal_flag,
+  TRY_CAST(test_value AS DOUBLE) AS test_value_numeric FROM lab_results),
+c_adverse_events AS (SELECT event_id, patient_id, upper(trim(site_id)) AS site_id,
+  {_sql_date("event_date", ("yyyy-MM-dd", "MM-dd-yyyy"))} AS event_date,
+  CASE upper(trim(severity)) WHEN 'HIGH' THEN 'SEVERE' ELSE upper(trim(severity)) END AS severity,
+  upper(trim(relationship_to_treatment)) AS relationship_to_treatment, upper(trim(outcome)) AS outcome,
+  {_sql_flag("serious_event", two)} AS serious_event FROM adverse_events),
 c_visits AS (SELECT visit_id, patient_id, upper(trim(site_id)) AS site_id, upper(trim(visit_type)) AS visit_type,
-  {_sql_date("scheduled_date", C.VISIT_DATE_FORMATS)} AS scheduled_date,
-  {_sql_date("visit_date", C.VISIT_DATE_FORMATS)} AS visit_date,
-  {_sql_flag("completed", FLAG_FOUR_SYNONYMS)} AS completed,
-  {_sql_flag("protocol_deviation", FLAG_FOUR_SYNONYMS)} AS protocol_deviation FROM visits),
+  {_sql_date("scheduled_date", visit_formats)} AS scheduled_date,
+  {_sql_date("visit_date", visit_formats)} AS visit_date,
+  {_sql_flag("completed", four)} AS completed,
+  {_sql_flag("protocol_deviation", four)} AS protocol_deviation FROM visits),
 c_medications AS (SELECT medication_id, patient_id, visit_id, trim(drug_name) AS drug_name, dose,
   CASE WHEN upper(trim(dose_unit)) = 'MILLIGRAMS' THEN 'mg' ELSE trim(dose_unit) END AS dose_unit,
-  {_sql_date("administration_date", C.ADMINISTRATION_DATE_FORMATS)} AS administration_date,
+  {_sql_date("administration_date", ("yyyy-MM-dd", "yyyy.MM.dd"))} AS administration_date,
   upper(trim(route)) AS route FROM medications)
 """
 
@@ -1005,12 +1157,11 @@ def _clinical_oracles():
         for c, t in profile_cols)
     check = _clinical_issue_sql(layered=False)
     cleaned_visits = _sql_dedup('c_visits', 'visit_id', visit_rest)
-    from sluice.plans import clinical as C
-
-    formats = {("patients", "enrollment_date"): C.ENROLLMENT_DATE_FORMATS,
-               ("visits", "scheduled_date"): C.VISIT_DATE_FORMATS, ("visits", "visit_date"): C.VISIT_DATE_FORMATS,
-               ("adverse_events", "event_date"): C.EVENT_DATE_FORMATS,
-               ("medications", "administration_date"): C.ADMINISTRATION_DATE_FORMATS}
+    formats = {("patients", "enrollment_date"): ("yyyy-MM-dd", "dd/MM/yyyy"),
+               ("visits", "scheduled_date"): ("yyyy-MM-dd", "yyyy/MM/dd"),
+               ("visits", "visit_date"): ("yyyy-MM-dd", "yyyy/MM/dd"),
+               ("adverse_events", "event_date"): ("yyyy-MM-dd", "MM-dd-yyyy"),
+               ("medications", "administration_date"): ("yyyy-MM-dd", "yyyy.MM.dd")}
     keys = {"patients": "patient_id", "visits": "visit_id", "adverse_events": "event_id",
             "medications": "medication_id"}
     unparsed = " UNION ALL ".join(
@@ -1023,7 +1174,25 @@ def _clinical_oracles():
         f"count(*) AS row_count, count(*) - count(NULLIF(CAST({f.name} AS VARCHAR), '')) AS null_count, "
         f"count(DISTINCT NULLIF(CAST({f.name} AS VARCHAR), '')) AS distinct_count FROM {t}"
         for t, spec in CLINICAL_SPECS.items() for f in spec.schema.fields)
+    patient_rest = ["site_id", "sex", "birth_year", "enrollment_date", "treatment_arm", "status"]
+    event_rest = ["patient_id", "site_id", "event_date", "severity", "relationship_to_treatment", "outcome", "serious_event"]
+    # Copies are whole rows, so before and after dedup differ by the repeated keys.
+    counts = " UNION ALL ".join(
+        f"SELECT '{t}' AS dataset_name, count(*) AS landing_rows, count(*) AS before_dedup, {after} AS after_dedup FROM {t}"
+        for t, after in [("patients", "count(DISTINCT patient_id)"), ("visits", "count(DISTINCT visit_id)"),
+                         ("adverse_events", "count(DISTINCT event_id)"), ("lab_results", "count(*)"),
+                         ("medications", "count(DISTINCT medication_id)")])
+    stream_rules = " UNION ALL ".join([
+        _row_sql("medications", "medication_id", "dose", "dose < 0", "Dose cannot be negative"),
+        _row_sql("medications", "medication_id", "administration_date",
+                 f"trim(administration_date) <> '' AND {_sql_date('administration_date', ('yyyy-MM-dd', 'yyyy.MM.dd'))} IS NULL",
+                 "administration_date could not be parsed", "INVALID_FORMAT_VALUE")])
     return {
+        "clinical_cleaned_patients": f"{ctes} {_sql_dedup('c_patients', 'patient_id', patient_rest)}",
+        "clinical_cleaned_lab_results": f"{ctes} SELECT * FROM c_lab_results",
+        "clinical_cleaned_adverse_events": f"{ctes} {_sql_dedup('c_adverse_events', 'event_id', event_rest)}",
+        "clinical_row_counts": f"{ctes} {counts}",
+        "clinical_stream_unparsed": f"{ctes} {stream_rules}",
         "clinical_stream_issues": (
             f"{ctes} " + _row_sql("medications", "medication_id", "dose", "dose < 0", "Dose cannot be negative")),
         "clinical_landing_profile_derived": f"{ctes} {landing_profile}",
@@ -1040,7 +1209,5 @@ def _clinical_oracles():
     }
 
 def oracle_sql() -> dict[str, str]:
-    """DuckDB SQL per query. The generated-data queries have none: their
-    values are seeded Spark hash draws, and the clinical layer queries write
-    and re-read several folders."""
+    """DuckDB SQL per query; only training-data queries may have none."""
     return {**_ORACLE, **_clinical_oracles(), **_training_data()[1]}

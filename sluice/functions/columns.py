@@ -25,10 +25,6 @@ FLAG_TWO_SYNONYMS = {"TRUE": "Y", "FALSE": "N"}
 # Four-synonym form (visit completed, protocol_deviation).
 FLAG_FOUR_SYNONYMS = {"YES": "Y", "TRUE": "Y", "NO": "N", "FALSE": "N"}
 
-# Above this many entries a value map is looked up in a map literal instead of
-# a chain of CASE branches.
-_MAP_LOOKUP_MIN_ENTRIES = 16
-
 
 def col_of(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -57,9 +53,9 @@ def _fallback(c: Column, fallback: str) -> Column:
 
 
 def map_values(
-    c: ColumnOrName, mapping: Mapping[str, str], fallback: str = "upper_trim"
+    c: ColumnOrName, mapping: Mapping[str, str | None], fallback: str = "upper_trim"
 ) -> Column:
-    """Replace values by a mapping matched on ``upper(trim(c))``.
+    """Replace values by a mapping matched on ``upper(trim(c))``; a mapped null gives null.
 
     Unmapped values become ``fallback``: ``"upper_trim"`` (default),
     ``"trim"`` (case kept), ``"keep"`` (untouched) or ``"null"``.
@@ -70,13 +66,10 @@ def map_values(
     otherwise = _fallback(c, fallback)
     if not mapping:
         return otherwise
-    if len(mapping) >= _MAP_LOOKUP_MIN_ENTRIES:
-        lookup = F.create_map(*[F.lit(x) for kv in mapping.items() for x in kv])
-        return F.coalesce(F.try_element_at(lookup, key), otherwise)
     expr = None
     for k, v in mapping.items():
-        cond = key == F.lit(k)
-        expr = F.when(cond, F.lit(v)) if expr is None else expr.when(cond, F.lit(v))
+        cond, value = key == F.lit(k), F.lit(v).cast("string")
+        expr = F.when(cond, value) if expr is None else expr.when(cond, value)
     return expr.otherwise(otherwise)
 
 
@@ -97,14 +90,16 @@ def date_shape(fmt: str) -> str | None:
     """Anchored regex of the digit shape a datetime pattern accepts.
 
     ``yyyy-MM-dd`` gives ``^\\d{4}-\\d{2}-\\d{2}\\z``. Returns None for a
-    pattern with text fields (month names and the like), which is then parsed
-    without a gate.
+    pattern with text fields (month names and the like) or optional sections,
+    which is then parsed without a gate.
     """
     out = []
     for m in _LETTER_RUN.finditer(fmt):
         tok = m.group(0)
         if tok.startswith("'"):
             out.append(_literal(tok[1:-1] if len(tok) > 2 else "'"))
+        elif tok in "[]#{}":
+            return None
         elif tok[0].isalpha():
             letter, n = tok[0], len(tok)
             if letter == "y" and n in (2, 4):
@@ -192,12 +187,12 @@ def starts_with(c: ColumnOrName, prefix: str) -> Column:
 def key_text(keys: Sequence[ColumnOrName]) -> Column:
     """Record id text for a key: the value itself, or parts joined by ``|``.
 
-    A null in any part gives null.
+    In a composite key a null part is ``\\N`` and a backslash or ``|`` within a
+    part stands behind a backslash, so the id is never null and no two keys
+    share one.
     """
     cols = [col_of(k).cast("string") for k in keys]
     if len(cols) == 1:
         return cols[0]
-    joined = [cols[0]]
-    for c in cols[1:]:
-        joined += [F.lit("|"), c]
-    return F.concat(*joined)
+    parts = [F.coalesce(F.regexp_replace(c, r"([\\|])", r"\\$1"), F.lit("\\N")) for c in cols]
+    return F.concat_ws("|", *parts)

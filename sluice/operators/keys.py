@@ -31,11 +31,12 @@ from pyspark.sql.types import (
 _FIXED_WIDTH = (IntegralType, DoubleType, FloatType, BooleanType, DateType, TimestampType, TimestampNTZType)
 
 from sluice.functions.columns import ColumnOrName, col_of
+from sluice.operators.integrity import DEFAULT_MAX_BROADCAST_BYTES, key_size
 from sluice.sources.scratch import materialize
 
 
-# Duplicated keys up to this many are broadcast so that only their rows are
-# aggregated (the set is counted first).
+# Hashes of duplicated keys up to this many (16 bytes each) are broadcast so that
+# only their rows are aggregated (the set is counted first).
 DEFAULT_MAX_DUPLICATE_KEYS = 2_000_000
 # Below this many rows one full aggregate is cheaper than the extra jobs of
 # the duplicated-only plan (a shuffle of 10M rows takes seconds).
@@ -63,13 +64,14 @@ def dedup(
     ``strategy="auto"`` counts the rows first (from Parquet footers when
     ``df`` is a scan or projection of one). A table of at most
     ``small_rows`` rows gets one aggregate over every row. A larger table
-    shuffles whole rows only where it must: the duplicated keys are found
-    with a key-only hash aggregate (partial aggregation first) and counted.
-    With none, ``df`` comes back as it is. With at most
-    ``max_duplicate_keys``, rows of unique keys pass map-only (anti-join
-    against the broadcast set) and only rows of duplicated keys, plus
-    null-key rows, go through the aggregate. More duplicated keys than that,
-    or ``strategy="shuffle"``, aggregate every row; ``strategy="duplicated"``
+    shuffles whole rows only where it must: keys are reduced to 64-bit hashes,
+    so a key of any width costs a long, and the hashes that occur more than
+    once are found with a hash aggregate (partial first) and counted. With
+    none, ``df`` comes back as it is. With at most ``max_duplicate_keys`` (16
+    bytes each), rows of other hashes have unique keys and pass map-only past
+    the broadcast set; only the rest, null-key rows among them, goes through
+    the aggregate, which compares full keys. More hashes than that, or
+    ``strategy="shuffle"``, aggregate every row; ``strategy="duplicated"``
     skips the row count. ``duplicated`` passes a ready ``duplicated_keys``
     result (shared with the unique-key rule) and implies that plan.
     """
@@ -81,35 +83,38 @@ def dedup(
     return _dedup_all(df, keys, order_by, keep, count_col)
 
 
-def duplicated_keys(df: DataFrame, keys: Sequence[str], materialized: bool = True) -> tuple[DataFrame, int]:
+def duplicated_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, int]:
     """Non-null key values that occur more than once, with their row count
     ``__n``, and how many there are. Key-only hash aggregate, partial first."""
     keys = list(keys)
     not_null = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    dup = (
+    dup = materialize(
         df.where(not_null).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > 1)
     )
-    if materialized:
-        dup = materialize(dup)
     return dup, dup.count()
 
 
 def _dedup_duplicated_only(df, keys, order_by, keep, count_col, max_duplicate_keys, duplicated=None):
     any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    keyed = df.where(~any_null)
-    # Without a shared set, it is counted in its own key-only job; in the final
-    # plan the two broadcasts of the set share one exchange.
-    dup, n_dup = duplicated if duplicated is not None else duplicated_keys(df, keys, materialized=False)
-    dup = dup.select(*keys)
+    key_hash = F.xxhash64(*keys)
+    if duplicated is not None:
+        dup = duplicated[0].select(key_hash.alias("__hash")).distinct()
+    else:
+        dup = df.where(~any_null).groupBy(key_hash.alias("__hash")).agg(F.count(F.lit(1)).alias("__n"))
+        dup = dup.where(F.col("__n") > 1).select("__hash")
+    dup = materialize(dup)
+    n_dup = dup.count()
     if n_dup > max_duplicate_keys:
         return _dedup_all(df, keys, order_by, keep, count_col)
-    singles = keyed if n_dup == 0 else keyed.join(F.broadcast(dup), on=keys, how="left_anti")
-    singles = singles.select(*df.columns, *([F.lit(1).cast("long").alias(count_col)] if count_col else []))
-    # Null-key rows are one group per null pattern: always aggregated (a hot
-    # null group collapses in the partial aggregation before the shuffle).
-    rest = df.where(any_null)
-    if n_dup:
-        rest = rest.unionByName(keyed.join(F.broadcast(dup), on=keys, how="left_semi").select(*df.columns))
+    # One map-only pass marks the rows to aggregate: a hash that recurs, or a
+    # null in the key (one group per null pattern; a hot one collapses in the
+    # partial aggregation before the shuffle).
+    marked = df.withColumn("__hash", key_hash).join(
+        F.broadcast(dup.withColumn("__again", F.lit(True))), "__hash", "left")
+    again = any_null | F.col("__again").isNotNull()
+    singles = marked.where(~again).select(
+        *df.columns, *([F.lit(1).cast("long").alias(count_col)] if count_col else []))
+    rest = marked.where(again).select(*df.columns)
     return singles.unionByName(_dedup_all(rest, keys, order_by, keep, count_col))
 
 
@@ -172,22 +177,24 @@ def lookup_first(
     order_by: Sequence[str] = (),
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
     hot_key_rows: int = DEFAULT_HOT_KEY_ROWS,
+    max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Add parent ``columns`` to each child row by key; one parent row per key.
 
     Parents are deduplicated first (``order_by`` picks the row), so a child row
     never multiplies; a child without a parent, or with a null key, keeps
-    nulls. The parent's rows are counted first (Parquet footers for a scan):
+    nulls. The parent's rows (Parquet footers for a scan) and bytes are measured first:
 
-    - up to ``max_broadcast_rows`` rows (or, for a larger parent, up to that
-      many deduplicated rows, checkpointed and counted) it is broadcast and
-      the lookup is map-only (the child never moves);
+    - up to ``max_broadcast_rows`` rows and ``max_broadcast_bytes`` (or, for a
+      larger parent, up to that many deduplicated rows, checkpointed and
+      measured) it is broadcast and the lookup is map-only (the child never
+      moves);
     - a larger parent is joined with a shuffle, except for child keys with
       more than ``hot_key_rows`` rows (counted map-side first; at most
       child rows / ``hot_key_rows`` of them): their parent rows are broadcast
       and matched map-only, so no task receives a hot key.
 
-    Null child keys never enter a join.
+    Null child keys never enter a shuffle.
     """
     ck = [key] if isinstance(key, str) else list(key)
     pk = ([parent_key] if isinstance(parent_key, str) else list(parent_key)) if parent_key else ck
@@ -196,6 +203,20 @@ def lookup_first(
         *[F.col(c) for c in columns],
         *[F.col(o) for o in order_by if o not in columns and o not in pk],
     )
+    present = renamed.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in ck]))
+
+    def small(df: DataFrame) -> bool:
+        n, size = key_size(df, df.columns)
+        return n <= max_broadcast_rows and size <= max_broadcast_bytes
+
+    if small(renamed):
+        # The measured rows bound the deduplicated parent. Null keys cannot
+        # crowd a map-only join: one scan of the child.
+        one = dedup(present, ck, order_by, strategy="shuffle").select(*ck, *columns)
+        return child.join(F.broadcast(one), on=ck, how="left")
+    one = materialize(dedup(present, ck, order_by).select(*ck, *columns))
+    if small(one):
+        return child.join(F.broadcast(one), on=ck, how="left")
     any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in ck])
     types = dict(renamed.dtypes)
     keyed = child.where(~any_null)
@@ -203,23 +224,15 @@ def lookup_first(
         *[F.col(c) for c in ck], *[F.col(c) for c in child.columns if c not in ck],
         *[F.lit(None).cast(types[c]).alias(c) for c in columns],
     )
-    if renamed.count() <= max_broadcast_rows:
-        # The row count bounds the deduplicated parent: broadcast it as it is.
-        one = dedup(renamed.where(~any_null), ck, order_by, strategy="shuffle").select(*ck, *columns)
-        return keyed.join(F.broadcast(one), on=ck, how="left").unionByName(unkeyed)
-    one = materialize(dedup(renamed.where(~any_null), ck, order_by).select(*ck, *columns))
-    if one.count() <= max_broadcast_rows:
-        return keyed.join(F.broadcast(one), on=ck, how="left").unionByName(unkeyed)
     hot = materialize(
         keyed.groupBy(*ck).agg(F.count(F.lit(1)).alias("__rows"))
         .where(F.col("__rows") > hot_key_rows).select(*ck)
     )
-    n_hot = hot.count()
-    if n_hot == 0 or n_hot > max_broadcast_rows:
+    hot_parent = materialize(one.join(hot, on=ck, how="left_semi"))
+    if hot.isEmpty() or not small(hot) or not small(hot_parent):
         return keyed.join(one, on=ck, how="left").unionByName(unkeyed)
     hot_b = F.broadcast(hot)
-    hot_parent = F.broadcast(one.join(hot_b, on=ck, how="left_semi"))
-    hot_rows = keyed.join(hot_b, on=ck, how="left_semi").join(hot_parent, on=ck, how="left")
+    hot_rows = keyed.join(hot_b, on=ck, how="left_semi").join(F.broadcast(hot_parent), on=ck, how="left")
     cold_rows = keyed.join(hot_b, on=ck, how="left_anti").join(one, on=ck, how="left")
     return hot_rows.unionByName(cold_rows).unionByName(unkeyed)
 

@@ -11,21 +11,30 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 
-def profile(df: DataFrame, columns: Sequence[str] | None = None, approx: bool = False) -> DataFrame:
+def profile(
+    df: DataFrame, columns: Sequence[str] | None = None, distinct: Sequence[str] = (), approx: bool = False
+) -> DataFrame:
     """One row per column: column_name, data_type, row_count, null_count, distinct_count.
 
     All columns are measured in ONE aggregation over one scan; the single
-    result row is unpivoted in place. ``distinct_count`` is exact (null not
-    counted); ``approx=True`` uses HyperLogLog sketches instead, which need no
-    extra shuffle per column on very wide or very large tables.
+    result row is unpivoted in place. Row and null counts move one row per
+    task. ``distinct_count`` is null except for the columns named in
+    ``distinct``: it is exact (null not counted), and every row is shuffled
+    once for each of them. ``approx=True`` takes HyperLogLog sketches instead,
+    one per task and column.
     """
     columns = list(columns or df.columns)
+    if unknown := set(distinct) - set(columns):
+        raise ValueError(f"distinct counts asked for columns not profiled: {sorted(unknown)}")
     types = dict((f.name, f.dataType.simpleString()) for f in df.schema.fields)
     aggs = [F.count(F.lit(1)).alias("__rows")]
     for i, c in enumerate(columns):
         aggs.append(F.count(F.col(c)).alias(f"__nn{i}"))
-        distinct = F.approx_count_distinct(F.col(c)) if approx else F.count_distinct(F.col(c))
-        aggs.append(distinct.alias(f"__nd{i}"))
+        if c in distinct:
+            measure = F.approx_count_distinct(F.col(c)) if approx else F.count_distinct(F.col(c))
+        else:
+            measure = F.max(F.lit(None).cast("long"))
+        aggs.append(measure.alias(f"__nd{i}"))
     one = df.agg(*aggs)
     rows = [
         F.struct(

@@ -160,13 +160,14 @@ def sample_parent(
     """Each child row joined to the parent row at index ``pick(n)`` (0-based).
 
     ``pick`` receives the parent row count and returns the index expression
-    over child columns, e.g. ``lambda n: F.pmod(F.xxhash64("id"), n)``.
+    over child columns, e.g. ``lambda n: F.pmod(F.xxhash64("id"), n)``. A child
+    whose index is null or out of range keeps nulls.
     """
     numbered, n = index_rows(parent, parent_order, "__pick")
     if n == 0:
         raise ValueError("no parent rows to sample")
     side = F.broadcast(numbered) if n <= BROADCAST_PARENT_ROWS else numbered
-    return child.withColumn("__pick", pick(F.lit(n))).join(side, "__pick").drop("__pick")
+    return child.withColumn("__pick", pick(F.lit(n))).join(side, "__pick", "left").drop("__pick")
 
 
 def inject(df: DataFrame, key: str, defects: Mapping[str, Mapping[str, object]]) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.operators import issues as I
-from sluice.operators.integrity import DEFAULT_MAX_BROADCAST_KEYS, parent_key_set
+from sluice.operators.integrity import DEFAULT_MAX_BROADCAST_BYTES, DEFAULT_MAX_BROADCAST_KEYS, parent_key_set
 from sluice.operators.keys import DEFAULT_SMALL_ROWS, dedup, duplicated_keys
 from sluice.operators.profile import counted, observed_rows, profile
 from sluice.plans.specs import DatasetSpec
@@ -53,12 +53,14 @@ def landing_to_raw(
     return _each(specs, one, parallel)
 
 
-def profile_landing(spark: SparkSession, specs: Mapping[str, DatasetSpec], layers: LayerPaths) -> DataFrame:
-    """Column profiles of every landing file, one DataFrame with dataset_name."""
+def profile_landing(
+    spark: SparkSession, specs: Mapping[str, DatasetSpec], layers: LayerPaths, distinct: bool = False
+) -> DataFrame:
+    """Column profiles of every landing file, one DataFrame with dataset_name;
+    exact distinct counts of every column only if asked for."""
     frames = [
-        profile(read_csv(spark, layers.landing(name), spec.schema)).select(
-            F.lit(name).alias("dataset_name"), "*"
-        )
+        profile(read_csv(spark, layers.landing(name), spec.schema),
+                distinct=spec.schema.names if distinct else ()).select(F.lit(name).alias("dataset_name"), "*")
         for name, spec in specs.items()
     ]
     return I.union_issues(frames)
@@ -102,6 +104,7 @@ def parent_key_cache(
     parallel: int = 1,
     strategy: str = "auto",
     max_broadcast_keys: int = DEFAULT_MAX_BROADCAST_KEYS,
+    max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
 ) -> dict:
     """The key set of every parent that a foreign key points at, each built
     once (concurrently with ``parallel`` > 1)."""
@@ -114,7 +117,8 @@ def parent_key_cache(
             slot = (fk.parent, (pk,) if isinstance(pk, str) else tuple(pk))
             if slot not in slots:
                 slots.append(slot)
-    return _each(slots, lambda slot: parent_key_set(tables[slot[0]], list(slot[1]), max_broadcast_keys), parallel)
+    return _each(slots, lambda slot: parent_key_set(tables[slot[0]], list(slot[1]), max_broadcast_keys, max_broadcast_bytes),
+                 parallel)
 
 
 def check_integrity(
@@ -124,7 +128,8 @@ def check_integrity(
     cleaned = {name: read_parquet(spark, layers.cleaned(name)) for name in specs}
     frames = []
     key_cache = parent_key_cache(specs, cleaned, parallel, fk_options.get("strategy", "auto"),
-                                 fk_options.get("max_broadcast_keys", DEFAULT_MAX_BROADCAST_KEYS))
+                                 fk_options.get("max_broadcast_keys", DEFAULT_MAX_BROADCAST_KEYS),
+                                 fk_options.get("max_broadcast_bytes", DEFAULT_MAX_BROADCAST_BYTES))
     for name, spec in specs.items():
         frames += spec.foreign_key_issues(cleaned[name], cleaned, specs, key_cache=key_cache, **fk_options)
     issues = I.union_issues(frames) if frames else I.empty_issues(spark)
@@ -181,10 +186,14 @@ def table_issues(
     cleaned = {name: specs[name].clean(tables[name]) for name in specs}
     frames = []
     key_cache = parent_key_cache(specs, cleaned, parallel, fk_options.get("strategy", "auto"),
-                                 fk_options.get("max_broadcast_keys", DEFAULT_MAX_BROADCAST_KEYS))
+                                 fk_options.get("max_broadcast_keys", DEFAULT_MAX_BROADCAST_KEYS),
+                                 fk_options.get("max_broadcast_bytes", DEFAULT_MAX_BROADCAST_BYTES))
     for name, spec in specs.items():
-        own = spec.issues(spec.clean(tables[name], keep_raw=True) if spec.report_unparsed else cleaned[name])
+        child = spec.clean(tables[name], keep_raw=True) if spec.report_unparsed else cleaned[name]
+        # Row rules share the scan of the foreign keys, where there are any.
+        own = spec.issues(child, with_row_rules=not spec.foreign_keys)
         if own is not None:
             frames.append(own)
-        frames += spec.foreign_key_issues(cleaned[name], cleaned, specs, key_cache=key_cache, **fk_options)
+        rules = spec.row_rules_for(child) if spec.foreign_keys else ()
+        frames += spec.foreign_key_issues(child, cleaned, specs, key_cache=key_cache, row_rules=rules, **fk_options)
     return I.union_issues(frames)

@@ -12,6 +12,7 @@ from pyspark.sql.types import StructType
 
 from sluice.operators import issues as I
 from sluice.operators.integrity import (
+    DEFAULT_MAX_BROADCAST_BYTES,
     DEFAULT_MAX_BROADCAST_KEYS,
     foreign_key_issues,
     fused_foreign_key_issues,
@@ -90,8 +91,15 @@ class DatasetSpec:
     def unique_rule(self) -> UniqueRule:
         return UniqueRule(tuple(self.key), f"Duplicate {'|'.join(self.key)} detected")
 
-    def issues(self, cleaned: DataFrame, duplicated: DataFrame | None = None) -> DataFrame | None:
-        """Issues of the row rules and the unique rule over cleaned rows.
+    def row_rules_for(self, cleaned: DataFrame) -> list[RowRule]:
+        """The row rules, and the unparsed-value rules whose raw text ``cleaned`` holds."""
+        return [*self.row_rules, *(UnparsedRule(c, f"__raw__{c}") for c in self.report_unparsed
+                                   if f"__raw__{c}" in cleaned.columns)]
+
+    def issues(
+        self, cleaned: DataFrame, duplicated: DataFrame | None = None, with_row_rules: bool = True
+    ) -> DataFrame | None:
+        """Issues of the row rules (unless they run elsewhere) and the unique rule over cleaned rows.
 
         ``duplicated`` (from ``duplicated_keys``) lets the unique rule reuse
         the dedup's key set; only null-key rows are then grouped here.
@@ -105,9 +113,8 @@ class DatasetSpec:
             frames.append(unique_issues(cleaned.where(any_null), self.name, rule))
         elif self.unique:
             frames.append(unique_issues(cleaned, self.name, self.unique_rule()))
-        rules = list(self.row_rules)
-        rules += [UnparsedRule(c, f"__raw__{c}") for c in self.report_unparsed if f"__raw__{c}" in cleaned.columns]
-        if rules:
+        rules = self.row_rules_for(cleaned)
+        if rules and with_row_rules:
             frames.append(row_rule_issues(cleaned, self.name, list(self.key), rules))
         return I.union_issues(frames) if frames else None
 
@@ -117,40 +124,50 @@ class DatasetSpec:
         parents: Mapping[str, DataFrame],
         specs: Mapping[str, "DatasetSpec"],
         key_cache: dict | None = None,
+        row_rules: Sequence[RowRule] = (),
         **kw,
     ) -> list[DataFrame]:
         """Issues of every foreign key. ``key_cache`` shares each parent's
-        distinct keys between checks (pass one dict for a whole run)."""
+        distinct keys between checks (pass one dict for a whole run).
+        ``row_rules`` are checked too, in the scan of the fused check if there
+        is one."""
         out = []
         strategy = kw.get("strategy", "auto")
         shared = strategy != "direct"
         bound = kw.get("max_broadcast_keys", DEFAULT_MAX_BROADCAST_KEYS)
+        most_bytes = kw.get("max_broadcast_bytes", DEFAULT_MAX_BROADCAST_BYTES)
         plans = []
         for fk in self.foreign_keys:
             pk = fk.parent_key or tuple(specs[fk.parent].key)
             pk = [pk] if isinstance(pk, str) else list(pk)
-            parent, n_keys = parents[fk.parent], None
+            parent, size = parents[fk.parent], None
             if shared:
                 cache = key_cache if key_cache is not None else {}
                 slot = (fk.parent, tuple(pk))
                 if slot not in cache:
-                    cache[slot] = parent_key_set(parent, pk, bound)
-                parent, n_keys = cache[slot]
-            plans.append((fk, pk, parent, n_keys))
-        small = [p for p in plans if strategy == "auto" and p[3] is not None and p[3] <= bound]
-        if len(small) >= 2:
-            # Several small parents: one scan of the child checks them all.
+                    cache[slot] = parent_key_set(parent, pk, bound, most_bytes)
+                parent, size = cache[slot]
+            plans.append((fk, pk, parent, size))
+        # Small parents, as many as fit the bounds together: one scan checks them all.
+        small, keys, size = [], 0, 0
+        for p in sorted((p for p in plans if strategy == "auto" and p[3] is not None), key=lambda p: p[3][1]):
+            keys, size = keys + p[3][0], size + p[3][1]
+            if keys <= bound and size <= most_bytes:
+                small.append(p)
+        if len(small) >= 2 or (small and row_rules):
             checks = [{"columns": fk.columns, "key_set": parent, "parent_key": pk, "description": fk.text(),
                        "null_is_orphan": fk.null_is_orphan} for fk, pk, parent, _ in small]
             out.append(fused_foreign_key_issues(child, checks, list(self.key), self.name,
-                                                kw.get("severity", I.HIGH)))
-            plans = [p for p in plans if p not in small]
-        for fk, pk, parent, n_keys in plans:
+                                                kw.get("severity", I.HIGH), row_rules))
+            plans = [p for p in plans if not any(p is q for q in small)]
+        elif row_rules:
+            out.append(row_rule_issues(child, self.name, list(self.key), list(row_rules)))
+        for fk, pk, parent, size in plans:
             out.append(
                 foreign_key_issues(
                     child, parent, fk.columns, list(self.key), self.name,
                     description=fk.text(), parent_key=pk, null_is_orphan=fk.null_is_orphan,
-                    parent_keys_ready=shared, parent_key_count=n_keys, **kw,
+                    parent_keys_ready=shared, parent_key_size=size, **kw,
                 )
             )
         return out

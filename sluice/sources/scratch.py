@@ -41,10 +41,25 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return conf
 
 
+_HANDED_OUT: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique folder path under the checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/sluice-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/sluice-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    _HANDED_OUT.append(path)
+    return path
+
+
+def remove_scratch(spark: SparkSession) -> int:
+    """Delete the scratch folders this process has made, once nothing reads the
+    results built on them; returns how many there were."""
+    sc, n = _context(spark), 0
+    while sc is not None and _HANDED_OUT:
+        folder = sc._jvm.org.apache.hadoop.fs.Path(_HANDED_OUT.pop())
+        n += bool(folder.getFileSystem(sc._jsc.hadoopConfiguration()).delete(folder, True))
+    return n
 
 
 def materialize(df: DataFrame) -> DataFrame:

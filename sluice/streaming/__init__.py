@@ -11,38 +11,43 @@ micro-batch, writes cleaned rows and row-rule issues into a ``batch_id=<n>``
 folder of each output (overwrite mode). A batch replayed after a failure
 rewrites its own folder instead of appending twice, so the output is
 exactly-once; readers see ``batch_id`` as a partition column. The streaming
-checkpoint must sit on shared storage on a cluster.
+checkpoint must sit on shared storage on a cluster, and belongs to its output
+folders: batch numbers start again with a new checkpoint, so give that new
+output folders too.
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from sluice.operators.rules import row_rule_issues
+from sluice.operators.rules import UnparsedRule, row_rule_issues
 from sluice.plans.specs import DatasetSpec
 
 
-def read_landing_stream(spark: SparkSession, spec: DatasetSpec, folder: str) -> DataFrame:
-    """New CSV files of ``folder`` as a stream, typed by the spec's schema."""
+def read_landing_stream(spark: SparkSession, spec: DatasetSpec, folder: str, max_files: int = 1000) -> DataFrame:
+    """New CSV files of ``folder`` as a stream, typed by the spec's schema;
+    at most ``max_files`` of them make one micro-batch."""
     return (
         spark.readStream.schema(spec.schema)
         .option("header", True)
         .option("mode", "PERMISSIVE")
+        .option("maxFilesPerTrigger", max_files)
         .csv(folder)
     )
 
 
 def clean_stream(spec: DatasetSpec, stream: DataFrame) -> DataFrame:
-    """Cleaned rows of a stream (same projection as the batch path)."""
-    return spec.clean(stream)
+    """Cleaned rows of a stream (same projection as the batch path), with the
+    raw text of ``report_unparsed`` columns for the issue pass."""
+    return spec.clean(stream, keep_raw=True)
 
 
 def row_issue_stream(spec: DatasetSpec, cleaned: DataFrame) -> DataFrame | None:
-    """Row-rule issues of a cleaned stream (None if the spec has no row rules)."""
-    if not spec.row_rules:
-        return None
-    return row_rule_issues(cleaned, spec.name, list(spec.key), list(spec.row_rules))
+    """Row-rule and unparsed-value issues of a cleaned stream (None if the spec has neither)."""
+    rules = [*spec.row_rules, *(UnparsedRule(c, f"__raw__{c}") for c in spec.report_unparsed)]
+    return row_rule_issues(cleaned, spec.name, list(spec.key), rules) if rules else None
 
 
 def batch_writer(spec: DatasetSpec, cleaned_path: str, issues_path: str):
@@ -51,10 +56,14 @@ def batch_writer(spec: DatasetSpec, cleaned_path: str, issues_path: str):
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         part = f"batch_id={batch_id}"
-        batch.write.mode("overwrite").parquet(f"{cleaned_path.rstrip('/')}/{part}")
-        issues = row_issue_stream(spec, batch)
-        if issues is not None:
-            issues.write.mode("overwrite").parquet(f"{issues_path.rstrip('/')}/{part}")
+        batch = batch.persist(StorageLevel.DISK_ONLY)  # both writes read it; the files are parsed once
+        try:
+            batch.drop(*spec.raw_columns()).write.mode("overwrite").parquet(f"{cleaned_path.rstrip('/')}/{part}")
+            issues = row_issue_stream(spec, batch)
+            if issues is not None:
+                issues.write.mode("overwrite").parquet(f"{issues_path.rstrip('/')}/{part}")
+        finally:
+            batch.unpersist()
 
     return write_batch
 
@@ -67,10 +76,11 @@ def promote_landing_stream(
     issues_path: str,
     checkpoint: str,
     available_now: bool = True,
+    max_files: int = 1000,
 ) -> StreamingQuery:
     """Start the incremental promotion; ``available_now`` processes the
     files present now and stops (a scheduled incremental batch)."""
-    cleaned = clean_stream(spec, read_landing_stream(spark, spec, landing_folder))
+    cleaned = clean_stream(spec, read_landing_stream(spark, spec, landing_folder, max_files))
     writer = cleaned.writeStream.foreachBatch(batch_writer(spec, cleaned_path, issues_path)).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()

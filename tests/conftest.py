@@ -24,6 +24,9 @@ def spark():
     if not s.sparkContext.getCheckpointDir() and not s.conf.get("spark.checkpoint.dir", None):
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="sluice-test-ckpt-"))
     yield s
+    from sluice.sources.scratch import remove_scratch
+
+    remove_scratch(s)
     s.stop()
 
 

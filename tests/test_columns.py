@@ -38,7 +38,7 @@ def test_map_values_trim_fallback_keeps_case(spark):
     assert got == ["mg", "mg/day", "mg", "mg"]
 
 
-def test_map_values_large_mapping_uses_lookup(spark):
+def test_map_values_large_mapping(spark):
     mapping = {f"K{i}": f"v{i}" for i in range(40)}
     df = one_col(spark, ["k3", " K39 ", "zz", None])
     assert vals(df, S.map_values("v", mapping)) == ["v3", "v39", "ZZ", None]
@@ -114,8 +114,23 @@ def test_starts_with_null_is_false(spark):
 
 def test_key_text(spark):
     df = spark.createDataFrame([(1, 2), (3, None)], "a long, b int")
-    assert vals(df, S.key_text(["a", "b"])) == ["1|2", None]
+    assert vals(df, S.key_text(["a", "b"])) == ["1|2", "3|\\N"]
     assert vals(df, S.key_text(["a"])) == ["1", "3"]
+    df = spark.createDataFrame([("a|b", "c"), ("a", "b|c"), ("a\\", "|c"), ("\\N", None)], "a string, b string")
+    got = vals(df, S.key_text(["a", "b"]))
+    assert got == ["a\\|b|c", "a|b\\|c", "a\\\\|\\|c", "\\\\N|\\N"] and len(set(got)) == 4
+
+
+def test_parse_date_optional_section(spark):
+    df = one_col(spark, ["2025-01-02", "2025-01-02 10:00", "x", None])
+    assert [str(v) for v in vals(df, S.parse_date("v", ["yyyy-MM-dd[ HH:mm]"]))] == ["2025-01-02", "2025-01-02", "None", "None"]
+
+
+def test_map_values_null_target_at_any_size(spark):
+    df = one_col(spark, ["n/a", "V1", "zz", None])
+    for n in (1, 40):
+        mapping = {"N/A": None, **{f"V{i}": f"v{i}" for i in range(n + 1)}}
+        assert vals(df, S.map_values("v", mapping)) == [None, "v1", "ZZ", None]
 
 
 def test_same_results_with_ansi_off(spark):

@@ -107,3 +107,26 @@ def test_argument_errors(spark):
         S.orphans(child, parent, ["patient_id", "visit_id"], parent_key="patient_id")
     with pytest.raises(ValueError):
         S.orphans(child, parent, "patient_id", strategy="nope")
+
+
+def test_text_key_against_numeric_parent(spark):
+    """Text that is no number is an orphan under every plan, and keeps its text."""
+    child = spark.createDataFrame([(1, "5"), (2, "abc"), (3, None), (4, "7"), (5, " 5 ")], "id long, fk string")
+    parent = spark.createDataFrame([(5,), (6,)], "pk long")
+    for kw in ({"strategy": "auto"}, {"strategy": "keys"}, {"strategy": "direct"}, {"max_broadcast_keys": 0},
+               {"max_broadcast_bytes": 0}):
+        got = sorted((r.id, r.fk) for r in S.orphans(child, parent, "fk", parent_key="pk", **kw).collect())
+        assert got == [(2, "abc"), (3, None), (4, "7")]
+        kept = S.orphans(child, parent, "fk", parent_key="pk", null_is_orphan=False, **kw).collect()
+        assert sorted(r.id for r in kept) == [2, 4]
+    numbers = spark.createDataFrame([(1, 5), (2, 9)], "id long, fk long")
+    texts = spark.createDataFrame([("5",), ("x",)], "pk string")
+    assert [r.id for r in S.orphans(numbers, texts, "fk", parent_key="pk").collect()] == [2]
+
+
+def test_key_size_counts_text_bytes(spark):
+    from sluice.operators.integrity import key_size
+
+    df = spark.createDataFrame([("ab", 1), ("é", 2), (None, 3)], "s string, n long")
+    assert key_size(df, ["n"]) == (3, 24)
+    assert key_size(df, ["s"]) == (3, 3 * 16 + 4)

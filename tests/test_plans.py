@@ -58,7 +58,23 @@ def test_foreign_key_small_parent_is_map_only(spark):
                               ["l_orderkey", "l_linenumber"], "lineitem", parent_key="o_orderkey")
     p = plan(df)
     assert "Exchange hashpartitioning" not in p and "BroadcastHashJoin" in p and "LeftAnti" in p
-    assert "PushedFilters: [IsNull(l_orderkey)]" in p  # null keys split off at the scan
+    assert p.count("FileScan parquet") == 2  # the child once, the parent once
+
+
+def test_small_lookup_scans_the_child_once(spark):
+    p = plan(S.lookup_first(t(spark, "customer"), t(spark, "nation"), "c_nationkey", ["n_name"], parent_key="n_nationkey"))
+    assert p.count("FileScan parquet") == 2 and "BroadcastHashJoin" in p
+
+
+def test_default_profile_has_no_expand(spark):
+    assert "Expand" not in plan(S.profile(t(spark, "orders")))
+
+
+def test_wide_key_dedup_broadcasts_hashes_only(spark):
+    docs = t(spark, "documents").select("text", "doc_id")
+    p = plan(S.dedup(docs, ["text"], order_by=["doc_id"], strategy="duplicated"))
+    for part in p.split("BroadcastExchange")[1:]:
+        assert "text" not in part.split("Scan")[0].split("Output")[0]
 
 
 def test_preview_is_top_n(spark):

@@ -8,10 +8,11 @@ from sluice.plans.clinical import MEDICATIONS_SCHEMA, PATIENTS_SCHEMA
 
 def test_profile(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", None), (None, 2.0)], "s string, d double")
-    got = {r.column_name: tuple(r) for r in S.profile(df).collect()}
+    assert {r.distinct_count for r in S.profile(df).collect()} == {None}
+    got = {r.column_name: tuple(r) for r in S.profile(df, distinct=["s", "d"]).collect()}
     assert got["s"] == ("s", "string", 3, 1, 1)
     assert got["d"] == ("d", "double", 3, 1, 2)
-    approx = {r.column_name: r.distinct_count for r in S.profile(df, approx=True).collect()}
+    approx = {r.column_name: r.distinct_count for r in S.profile(df, distinct=["s", "d"], approx=True).collect()}
     assert approx == {"s": 1, "d": 2}
 
 
@@ -98,7 +99,7 @@ def test_csv_enforce_header(spark, workdir):
 
 def test_profile_and_preview_of_empty_frames(spark):
     empty = spark.createDataFrame([], "a string, b double")
-    got = {r.column_name: (r.row_count, r.null_count, r.distinct_count) for r in S.profile(empty).collect()}
+    got = {r.column_name: (r.row_count, r.null_count, r.distinct_count) for r in S.profile(empty, distinct=["a", "b"]).collect()}
     assert got == {"a": (0, 0, 0), "b": (0, 0, 0)}
     assert S.preview(empty, ["a"], 5).count() == 0
     assert S.preview(spark.range(3), ["id"], 10).count() == 3

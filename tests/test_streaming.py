@@ -42,3 +42,23 @@ def test_replayed_batch_does_not_duplicate(spark, workdir):
     write(batch, 1)
     assert read_parquet(spark, out).count() == 2
     assert read_parquet(spark, iss).where("batch_id = 0").count() == 1
+
+
+def test_stream_reports_unparsed_values_like_batch(spark, workdir):
+    from dataclasses import replace
+
+    from sluice.plans.promotion import table_issues
+    from sluice.sources.io import read_csv
+
+    spec = replace(MEDICATIONS, report_unparsed=("administration_date",), foreign_keys=(), unique=False)
+    landing = os.path.join(workdir, "landing")
+    os.makedirs(landing)
+    with open(os.path.join(landing, "a.csv"), "w") as f:
+        f.write(HEADER + "M1,P1,V1,Drug,-10,mg,2025.07.11,ORAL\nM2,P1,V1,Drug,5,mg,someday,IV\n")
+    out, iss, ck = (os.path.join(workdir, x) for x in ("cleaned", "issues", "ck"))
+    promote_landing_stream(spark, spec, landing, out, iss, ck).awaitTermination()
+    streamed = read_parquet(spark, iss).drop("batch_id")
+    batch = table_issues({"medications": read_csv(spark, landing, spec.schema)}, {"medications": spec})
+    assert sorted(map(tuple, streamed.collect())) == sorted(map(tuple, batch.collect()))
+    assert streamed.count() == 2
+    assert read_parquet(spark, out).columns[:8] == spec.schema.names

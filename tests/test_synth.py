@@ -74,3 +74,10 @@ def test_sample_parent_needs_rows(spark):
         synth.sample_parent(spark.range(3), spark.range(0), lambda n: F.col("id") % n)
     numbered, n = synth.index_rows(spark.range(0))
     assert n == 0 and numbered.count() == 0
+
+
+def test_sample_parent_keeps_rows_without_a_pick(spark):
+    child = spark.createDataFrame([(1, 0), (2, None), (3, 99)], "id long, i long")
+    parent = spark.createDataFrame([("a",), ("b",)], "name string")
+    got = synth.sample_parent(child, parent, lambda n: F.col("i"), parent_order=["name"])
+    assert sorted((r.id, r.name) for r in got.collect()) == [(1, "a"), (2, None), (3, None)]
