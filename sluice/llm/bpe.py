@@ -20,20 +20,12 @@ import regex
 from pyspark.sql import DataFrame
 
 from sluice.llm.common import without
-from sluice.llm.tokens import ChunkIds, built, map_column, shared_text
+from sluice.llm.tokens import ChunkIds, built, byte_symbols, map_column, shared_text
 
 _NONE = 1 << 62
 _PLACE = (1 << 32) - 1
 
 
-def _byte_symbols() -> list[str]:
-    """The printable character that stands for each byte in byte-level vocabularies: itself
-    where it is printable, else the next free one from U+0100 on."""
-    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    spare = iter(range(256, 512))
-    return [chr(b) if b in plain else chr(next(spare)) for b in range(256)]
-
-
 class Bpe:
     """The model of a tokenizer file: NFC, lower case, words by pattern, byte-level BPE."""
 
@@ -46,7 +38,7 @@ class Bpe:
             pair = vocab[a] << 32 | vocab[b]
             self.rank[pair] = rank << 32
             self.merged[pair] = vocab[a + b]
-        symbols = _byte_symbols()
+        symbols = byte_symbols()
         self.inner = [vocab[s] for s in symbols]
         self.last = [vocab[s + self.suffix] for s in symbols]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
@@ -120,7 +112,7 @@ class Bpe:
         return [*map(self.inner.__getitem__, raw[:-1]), self.last[raw[-1]]]
 
     def encode_word(self, word: str) -> bytes:
-        """``encode`` for a word of lower-case ASCII letters."""
+        """``encode`` for a word of lower-case letters in normal form."""
         return array("I", self.merge(self.symbols(word))).tobytes()
 
     def decode(self, ids: bytes | None) -> str:

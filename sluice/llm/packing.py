@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluice.llm.common import fresh, save, without
-from sluice.llm.tokens import BATCH_BYTES, ChunkIds, built, shared_text
+from sluice.llm.tokens import BATCH_BYTES, ChunkIds, built, byte_symbols, shared_text
 
 
 def _library_ids(source: str) -> ChunkIds:
@@ -33,9 +33,10 @@ def _library_ids(source: str) -> ChunkIds:
     tokenizer = Tokenizer.from_str(source)
     tokenizer.no_truncation()
     tokenizer.no_padding()
-    merge = tokenizer.model.tokenize  # a word of lower-case ASCII letters is split no further before this
+    # A lower-case word in normal form is split no further: its bytes go to the model as symbols.
+    merge, symbols = tokenizer.model.tokenize, dict(enumerate(byte_symbols()))
     return ChunkIds(lambda chunk: array("I", tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes(),
-                    lambda word: array("I", [t.id for t in merge(word)]).tobytes())
+                    lambda word: array("I", [t.id for t in merge(word.encode().decode("latin-1").translate(symbols))]).tobytes())
 
 
 def cut_pieces(docs: DataFrame, tokenizer: str, text: str = "text", capacity: int = 4096, end_id: int = 1,

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from pathlib import Path
+from unicodedata import is_normalized
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 #: Chunks kept by a Python worker in each of two generations, and the bytes of the longest
 #: one kept; memory bounds only.
-CACHED_CHUNKS = 200_000
+CACHED_CHUNKS = 300_000
 CACHED_BYTES = 64
 #: Text bytes per result batch.
 BATCH_BYTES = 4 << 20
@@ -21,9 +22,10 @@ _MARKS = ".,;:!?"
 class ChunkIds(dict):
     """Ids (little-endian unsigned 32-bit) by chunk; what is missing is encoded.
 
-    ``encode`` takes any text, ``encode_word`` lower-case letters only. The tokenizer lower-cases
-    and never joins letters and marks, so ``Word,`` is looked up as ``word`` and ``,``. When a
-    generation is full it becomes the old one, from which used chunks return."""
+    ``encode`` takes any text, ``encode_word`` lower-case letters in normal form only. The
+    tokenizer lower-cases and never joins letters and marks, so ``Word,`` is looked up as
+    ``word`` and ``,``, and kept in its own spelling once its word is known. When a generation
+    is full it becomes the old one, from which used chunks return."""
 
     def __init__(self, encode: Callable[[str], bytes], encode_word: Callable[[str], bytes]):
         self.encode, self.encode_word, self.old = encode, encode_word, {}
@@ -33,13 +35,24 @@ class ChunkIds(dict):
         if ids is None:
             text = chunk.decode()
             body = text[:-1] if text[-1] in _MARKS else text
-            if body.lower().isalpha():  # letters alone: no special token, nothing to compose
-                lower = chunk.lower()
-                if lower != chunk:
-                    return self[lower]
+            lower = body.lower()
+            if lower.isalpha() and "\u03c2" not in lower:  # letters alone: no special token, nothing to compose
                 if body != text:
-                    return self[chunk[:-1]] + self[chunk[-1:]]
-            ids = self.encode_word(text) if text.isascii() and text.isalpha() else self.encode(text)
+                    word = lower.encode()
+                    known = word in self
+                    ids = self[word] + self[chunk[-1:]]
+                    if not known:
+                        return ids
+                elif lower != text:
+                    word = lower.encode()
+                    known = word in self
+                    ids = self[word]
+                    if not known:
+                        return ids
+                else:
+                    ids = self.encode_word(text) if is_normalized("NFC", text) else self.encode(text)
+            else:
+                ids = self.encode(text)
         if len(chunk) <= CACHED_BYTES:
             if len(self) >= CACHED_CHUNKS:
                 self.old = dict(self)
@@ -53,6 +66,14 @@ class ChunkIds(dict):
         return b"".join(map(self.__getitem__, text.encode().split())) if text else b""
 
 
+def byte_symbols() -> list[str]:
+    """The printable character that stands for each byte in byte-level vocabularies: itself
+    where it is printable, else the next free one from U+0100 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    spare = iter(range(256, 512))
+    return [chr(b) if b in plain else chr(next(spare)) for b in range(256)]
+
+
 _BUILT: dict = {}
 
 
