@@ -147,7 +147,8 @@ RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
 
 #: Only sentences with one of these words can be known; the rest is not normalised.
 _HINT = "licen[cs]e|permission|copyright|redistribut|warrant|liable|public domain|rights reserved|mpl|endorse|cc0"
-_NUMBER = "[0-9]+(?:[.][0-9]+)*"
+#: A number, not within a word; a version's `v` may stand before it.
+_NUMBER = "(?<![a-uw-zA-UW-Z0-9.])[0-9]+(?:[.][0-9]+)*"
 
 
 def sentence_ids() -> dict[str, str]:
