@@ -65,22 +65,21 @@ def fingerprint(text: str | None, shingle: int) -> int:
     return int(np.packbits(2 * votes > n, bitorder="little").view(np.uint64)[0])
 
 
-def _add_fingerprints(text_at: int, shingle: int, drop_text: bool):
+def _add_fingerprints(text_at: int, shingle: int, drop_text: bool, name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made = pa.array([_signed(fingerprint(t.as_py(), shingle)) for t in batch.column(text_at)], pa.int64())
             keep = [i for i in range(batch.num_columns) if not (drop_text and i == text_at)]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i) for i in keep), made], [*(batch.schema.names[i] for i in keep), "fp"])
+                [*(batch.column(i) for i in keep), made], [*(batch.schema.names[i] for i in keep), name])
 
     return run
 
 
 def add_fingerprints(docs: DataFrame, text: str, shingle: int, drop_text: bool, name: str) -> DataFrame:
     kept = [f for f in docs.schema.fields if not (drop_text and f.name == text)]
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "fp long"])
-    made = docs.mapInArrow(_add_fingerprints(docs.columns.index(text), shingle, drop_text), schema)
-    return made.withColumnRenamed("fp", name) if name != "fp" else made
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), f"`{name}` long"])
+    return docs.mapInArrow(_add_fingerprints(docs.columns.index(text), shingle, drop_text, name), schema)
 
 
 def _forest(radius: int):
