@@ -88,12 +88,18 @@ def _buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8), offsets.astype(np.int64)
 
 
+def _middle(length: int) -> int:
+    """A window whose gram is at most this far in holds 128 bytes from the gram on; any other
+    holds the 64 before it and the gram."""
+    return (length - 128 + GRAM - 1) // 2
+
+
 def _find_blocks(length: int):
     """Rows (gram, block, ahead, around, key columns, place) of every text's blocks.
 
     ``place`` packs the block's first window, its number of windows less one and the
     gram's distance from the first window."""
-    width, middle = length - GRAM + 1, (length + 8 - GRAM) // 2 - 4
+    width, middle = length - GRAM + 1, _middle(length)
 
     def blocks(data, starts, ends, base):
         ids = _identifiers(data, length)
@@ -135,7 +141,7 @@ def _find_blocks(length: int):
 
 def _find_windows(length: int):
     """Rows (window id, key columns, start, copies) of the windows asked for in each text."""
-    middle = (length + 8 - GRAM) // 2 - 4
+    middle = _middle(length)
 
     def wanted(place, ahead):
         first, count, anchor = place >> 16, (place >> 8 & 255) + 1, place & 255
@@ -179,8 +185,8 @@ def _find_windows(length: int):
 def repeated_spans(docs: DataFrame, text: str = "text", length: int = 200) -> DataFrame:
     """One row per text that has bytes to remove: its key columns and ``spans``, an array of
     (start, size) in no order, which may overlap. Repeated rows share a row."""
-    if not 136 <= length <= 255:
-        raise ValueError("length must be between 136 and 255 bytes")
+    if not 191 <= length <= 255:
+        raise ValueError("length must be between 191 and 255 bytes")
     keyed = docs.select(*text_key(text), F.col(text).alias("text")).filter(F.octet_length("text") >= length)
     keyed = keyed.select("text", "key1", "key2")
     blocks = save(keyed.mapInArrow(
