@@ -213,7 +213,7 @@ def _compare(tables: int, probes: int, threshold: float):
 
 
 def near_vectors(vectors: DataFrame, id: str = "vec_id", vector: str = "embedding", label: str = "label",
-                 threshold: float = 0.93, tables: int = 6, probes: int = 2, cell: float = 0.5, block: int = 2048,
+                 threshold: float = 0.93, tables: int = 6, probes: int = 2, cell: float = 0.5, block: int = 1024,
                  seed: int = 0) -> DataFrame:
     """``vectors`` without the vector column, with ``n_links``, ``component_id``, ``kept``.
 
