@@ -1,4 +1,3 @@
-import math
 import os
 
 import duckdb
@@ -21,10 +20,3 @@ def sf():
     if not os.path.isdir(SF):
         pytest.skip("driver test data not present")
     return SF
-
-
-def canon(names, rows):
-    """Rows in an order of their own, columns by name, NaN equal to itself."""
-    order = sorted(range(len(names)), key=lambda i: names[i])
-    same = lambda v: "nan" if isinstance(v, float) and math.isnan(v) else v
-    return sorted((tuple(same(r[i]) for i in order) for r in rows), key=repr)
