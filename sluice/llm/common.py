@@ -45,6 +45,30 @@ def drop_saved(*frames: DataFrame) -> None:
     context._jvm.System.gc()
 
 
+#: A key is hot if it has over this many rows and over one thousandth of all rows.
+HOT_ROWS = 100_000
+HOT_SHARE = 1000
+
+
+def join_one(rows: DataFrame, one: DataFrame, key: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``rows`` joined to ``one``, which has one row per ``key``; no null keys.
+
+    Hot keys, fewer than a thousand by their definition, are matched by a broadcast of their
+    rows of ``one``, so that a key with a third of all rows never meets in one task. The
+    others are shuffled. Both inputs are read more than once: pass saved tables."""
+    total = rows.count()
+    least = max(hot_rows, total // HOT_SHARE)
+    if total <= least:
+        return rows.join(one, key)
+    hot = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > least).select(*key)
+    hot = save(hot, "hot-keys")
+    if hot.isEmpty():
+        return rows.join(one, key)
+    picked = save(one.join(F.broadcast(hot), key), "hot-matches")
+    return rows.join(F.broadcast(picked), key).unionByName(
+        rows.join(F.broadcast(hot), key, "left_anti").join(one, key))
+
+
 def without(df: DataFrame, names: Iterable[str]) -> DataFrame:
     """``df`` without its columns of these names (upper and lower case alike)."""
     names = {n.lower() for n in names}

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import fresh, save, without
+from sluice.llm.common import fresh, join_one, save, without
 from sluice.llm.components import components
 
 
@@ -227,8 +227,8 @@ def near_vectors(vectors: DataFrame, id: str = "vec_id", vector: str = "embeddin
     vectors = without(vectors, [c for c in out if c not in (id, vector, label)])
     node = fresh(vectors.columns, "node")
     v = F.col(vector)
-    good = F.col(label).isNotNull() & v.isNotNull() & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (
-        F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)
+    good = F.coalesce(F.col(label).isNotNull() & v.isNotNull() & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (
+        F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0), F.lit(False))
     row = fresh(vectors.columns, "row")
     rows = save(vectors.withColumn(row, F.monotonically_increasing_id()), "vectors")
     groups = rows.filter(good).groupBy(F.col(vector).alias("vector"), F.col(label).alias("label")).agg(
@@ -253,12 +253,9 @@ def near_vectors(vectors: DataFrame, id: str = "vec_id", vector: str = "embeddin
         "vector", "label", "node", "least", (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
         F.coalesce("component", "node").alias("component"))
     per = save(per, "linked-vectors")
-    least = per.groupBy("component").agg(F.min("least").alias("least_id"))
-    per = per.drop("least").join(least, "component").select("vector", "label", "n_links", F.col("least_id").alias("component_id"))
-    names = {c: fresh(rows.columns, f"their_{c}") for c in ("vector", "label")}
-    per = per.withColumnsRenamed(names)
-    joined = rows.join(per, (F.when(good, F.col(vector)) == F.col(names["vector"])) & (F.col(label) == F.col(names["label"])), "left")
-    return joined.withColumns({
-        "n_links": F.coalesce("n_links", F.lit(0)).cast("long"),
-        "component_id": F.when(F.col(names["vector"]).isNull(), F.col(id)).otherwise(F.col("component_id"))}).withColumn(
-        "kept", F.col(id).eqNullSafe(F.col("component_id"))).drop(row, vector, *names.values())
+    least = save(per.groupBy("component").agg(F.min("least").alias("least_id")), "least-of-component")
+    per = save(join_one(per.drop("least"), least, ["component"]).select(
+        F.col("vector").alias(vector), F.col("label").alias(label), "n_links", F.col("least_id").alias("component_id")), "vector-classes")
+    found = join_one(rows.filter(good), per, [vector, label])
+    alone = rows.filter(~good).withColumns({"n_links": F.lit(0).cast("long"), "component_id": F.col(id)})
+    return found.unionByName(alone).withColumn("kept", F.col(id).eqNullSafe(F.col("component_id"))).drop(row, vector)

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import fresh, save, without
+from sluice.llm.common import fresh, join_one, save, without
 from sluice.llm.components import components
 
 
@@ -170,11 +170,10 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", shi
     groups = groups.join(labels, groups["fp"] == labels["node"], "left").select(
         "fp", "first", F.coalesce("component", "fp").alias("component"))
     groups = save(groups, "labelled-groups")
-    least = groups.groupBy("component").agg(F.min("first").alias("least"))
-    least = groups.join(least, "component").select(
-        F.col("fp").alias("group_fp"), F.col("least.id").alias("component_id"), F.col("least.row").alias("least_row"))
-    least = least.withColumnsRenamed({c: fresh(made.columns, c) for c in ("group_fp", "least_row")})
-    group_fp, least_row = least.columns[0], least.columns[2]
-    return made.join(least, F.col(fp) == F.col(group_fp)).withColumns(
+    least = save(groups.groupBy("component").agg(F.min("first").alias("least")), "least-of-component")
+    least_row = fresh(made.columns, "least_row")
+    least = save(join_one(groups, least, ["component"]).select(
+        F.col("fp").alias(fp), F.col("least.id").alias("component_id"), F.col("least.row").alias(least_row)), "least-of-fingerprint")
+    return join_one(made, least, [fp]).withColumns(
         {"fingerprint": F.lower(F.lpad(F.hex(fp), 16, "0")), "kept": F.col(row) == F.col(least_row)}).drop(
-        fp, row, group_fp, least_row)
+        fp, row, least_row)

@@ -106,3 +106,13 @@ def test_components_of_random_links(spark):
             parent[max(a, b)] = min(a, b)
     got = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {x: find(x) for x in list(parent)}
+
+
+def test_joins_with_hot_keys_lose_and_repeat_nothing(spark):
+    from sluice.llm.common import join_one, save
+
+    rows = spark.range(3000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 7 WHEN id % 3 = 1 THEN id % 5 ELSE id END AS k")
+    one = save(spark.range(3000).selectExpr("id AS k", "id * 2 AS v").where("k % 11 <> 4"), "one")
+    want = sorted(map(tuple, rows.join(one, "k").collect()))
+    for limit in (10, 500, 10_000):
+        assert sorted(map(tuple, join_one(save(rows, "rows"), one, ["k"], hot_rows=limit).collect())) == want
