@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from sluice.llm.common import save
 from sluice.llm.packing import cut_pieces, pack
 from sluice.llm.quality_rules import quality_rules
-from sluice.llm.simhash_dedup import near_duplicates
+from sluice.llm.simhash_dedup import one_of_each
 from sluice.llm.suffix_dedup import remove_repeats
 
 OWN = ("doc_id", "text", "source")
@@ -38,7 +38,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked fingerprints: the one of least ``doc_id``."""
     plain, names = _aside(docs)
-    return near_duplicates(plain).filter("kept").select(*plain.columns).withColumnsRenamed(names)
+    return one_of_each(plain).withColumnsRenamed(names)
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

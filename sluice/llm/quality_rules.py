@@ -115,12 +115,14 @@ def quality_rules(docs: DataFrame, text: str = "text", host: str = "source", max
     ``kept`` is false for a document that fails its own rules and for every document of a
     host whose shrunk failure rate is over ``max_host_rate``. Rows are never merged:
     repeated rows each count and each come back. An empty table gives an empty result.
-    With ``carry_all=False`` the text is dropped (the measured rows are written once).
+    With ``carry_all=False`` the text is dropped and the measured rows are written once;
+    else texts are measured twice, for the hosts and for the result, and not written.
     """
     out = [*MEASURES, "base_failed", "host_rejected", "kept"]
     docs = without(docs, [c for c in out if c not in (text, host)])
     measured = measure(docs, text).withColumn("base_failed", base_failed(min_words, max_repeat_percent))
-    measured = save(measured if carry_all else measured.drop(text), "quality-measures")
+    if not carry_all:
+        measured = save(measured.drop(text), "quality-measures")
     rejected = host_rates(measured, host, "base_failed").filter(F.col("host_rate") > max_host_rate)
     key, flag = fresh(measured.columns, "_host"), "host_rejected"
     rejected = save(rejected.select(F.col("host").alias(key), F.lit(True).alias(flag)), "rejected-hosts")

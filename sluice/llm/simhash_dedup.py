@@ -151,6 +151,25 @@ def fingerprint_links(fps: DataFrame, radius: int = 4, max_bucket: int = 4096) -
     return links.unionByName(stars).distinct()
 
 
+def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = 4, radius: int = 4) -> DataFrame:
+    """``docs`` with the one row of each group that ``near_duplicates`` keeps, all columns as
+    they are. Texts are shuffled once and never written: the choice is made on ids and text
+    hashes. Of rows that repeat id and text one is taken."""
+    text_key = [fresh(docs.columns, "text_hash"), fresh(docs.columns, "text_hash2")]
+    keyed = docs.withColumns({text_key[0]: F.xxhash64(text), text_key[1]: F.hash(text)})
+    found = near_duplicates(keyed.select(id, text, *text_key), id, text, shingle, radius, carry_text=False)
+    names = {id: fresh(keyed.columns, "chosen_id"), **{k: fresh(keyed.columns, f"chosen_{k}") for k in text_key}}
+    again = fresh(keyed.columns, "again")
+    chosen = found.groupBy(id, *text_key).agg(F.max("kept").alias("kept"), (F.count(F.lit(1)) > 1).alias(again)).filter("kept").drop("kept")
+    chosen = save(chosen.withColumnsRenamed(names), "chosen")
+    same = (keyed[text_key[0]] == F.col(names[text_key[0]])) & (keyed[text_key[1]] == F.col(names[text_key[1]]))
+    kept = keyed.join(chosen, same & F.col(id).eqNullSafe(F.col(names[id])))
+    if chosen.filter(again).isEmpty():
+        return kept.select(*docs.columns)
+    once = kept.filter(~F.col(again)).select(*docs.columns)
+    return once.unionByName(kept.filter(again).dropDuplicates([id, *text_key]).select(*docs.columns))
+
+
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = 4, radius: int = 4,
                     carry_text: bool = True, max_bucket: int = 4096) -> DataFrame:
     """``docs`` with ``fingerprint`` (16 hex digits), ``component_id`` and ``kept``.

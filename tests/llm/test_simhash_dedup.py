@@ -86,6 +86,10 @@ def test_nulls_ties_repeated_rows_and_empty_tables(spark):
     assert [r.component_id for r in out if r.text == "a b c d e"] == [5, 5, 5]
     assert sum(r.kept for r in out if r.text == "a b c d e") == 1 and all(r.component_id is None for r in out if r.text != "a b c d e")
     assert S.near_duplicates(df.limit(0)).count() == 0
+    same = df.withColumn("text_hash", df.doc_id)
+    kept = S.one_of_each(same).collect()
+    assert sorted(((r.doc_id, r.text, r.text_hash) for r in kept), key=str) == sorted([(5, "a b c d e", 5), (None, "z", None), (None, None, None)], key=str)
+    assert S.one_of_each(same.limit(0)).count() == 0
 
 
 def test_components_of_random_links(spark):
