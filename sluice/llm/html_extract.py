@@ -4,11 +4,12 @@ Every page is read once into blocks of text. An element's subtree hash mixes its
 text and its children's hashes, in one pass. The hashes of the elements around a block are
 its owners. Spark counts, per host, on how many pages a subtree recurs; blocks whose
 owner recurs on many pages of the host are template and go, and so do elements that are
-boilerplate by tag, role or class. Pages count as different by their first heading, so
-copies of an article do not make its own parts a template. Running text directly in an
-article is kept however often it repeats; boxes within it are subject to the count.
+boilerplate by tag, role or class. Pages count as different by their whole main text, so
+exact copies of an article do not make its own parts a template, while a heading that is
+template itself hides nothing. Running text directly in an article is kept however often
+it repeats; boxes within it are subject to the count.
 
-Counts are combined before the shuffle (one row per host, subtree and heading), so a host
+Counts are combined before the shuffle (one row per host, subtree and main text), so a host
 with a third of all pages is spread. Only pages whose text can change move again.
 """
 
@@ -35,7 +36,6 @@ BLOCK = frozenset(
     "search section summary table tbody td tfoot th thead tr ul".split())
 BOXES = frozenset("aside center details dialog dir div dl fieldset figure footer form header menu nav ol section table ul".split())
 ROOTS = frozenset("html body article main".split())
-HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements whose end is implied when one of the second kind begins right in them.
 IMPLIED = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "tbody", "tfoot"}, "option": {"option", "optgroup"},
@@ -82,14 +82,14 @@ def _dropped(tag: str, rest: str, in_article: bool) -> bool:
     return False
 
 
-def blocks_of(page: str) -> tuple[list[tuple[str, int, bool, list[int]]], int]:
-    """The page's blocks in order, (text, article number or 0, heading, hashes of owners), without
+def blocks_of(page: str) -> tuple[list[tuple[str, int, list[int]]], int]:
+    """The page's blocks in order, (text, article number or 0, hashes of owners), without
     boilerplate by tag, role or class; and the number of the longest article (0: none).
 
     Tolerant of what real pages hold: missing, stray and crossed end tags, unclosed
     comments and quotes, and a text cut off anywhere."""
     stack: list[_Element] = []
-    blocks: list[list] = []  # text, article, heading, owners
+    blocks: list[list] = []  # text, article, owners
     pending: list[str] = []
     articles = 0
     size: dict[int, int] = {}
@@ -103,7 +103,7 @@ def blocks_of(page: str) -> tuple[list[tuple[str, int, bool, list[int]]], int]:
                 for e in stack:
                     if e.owner:
                         e.blocks.append(len(blocks))
-                blocks.append([text, article, bool(stack) and stack[-1].tag in HEADINGS, []])
+                blocks.append([text, article, []])
                 size[article] = size.get(article, 0) + len(text)
 
     def close(to: int, block: bool = True) -> None:
@@ -115,7 +115,7 @@ def blocks_of(page: str) -> tuple[list[tuple[str, int, bool, list[int]]], int]:
             if stack:
                 stack[-1].hash.update(digest.to_bytes(8, "little"))
             for b in e.blocks:
-                blocks[b][3].append(digest - (1 << 63))
+                blocks[b][2].append(digest - (1 << 63))
 
     at, n = 0, len(page)
     while at < n:
@@ -179,22 +179,22 @@ def _read_pages(html_at: int, keep: list[int]):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            low, found, heads, owners, size = 0, [], [], [], 0
+            low, found, mains, owners, size = 0, [], [], [], 0
             for i, page in enumerate(batch.column(html_at)):
                 blocks, longest = blocks_of(page.as_py() or "")
                 own = [b for b in blocks if b[1] == longest] if longest else blocks
-                head = next((b[0] for b in own if b[2]), own[0][0] if own else "")
-                heads.append(xxhash.xxh64_intdigest(head.encode("utf-8", "surrogatepass")) - (1 << 63))
-                found.append([{"text": b[0], "owners": b[3]} for b in own])
-                owners.append(list({o for b in blocks for o in b[3]}))
+                main = "\n\n".join(b[0] for b in own)
+                mains.append(xxhash.xxh64_intdigest(main.encode("utf-8", "surrogatepass")) - (1 << 63))
+                found.append([{"text": b[0], "owners": b[2]} for b in own])
+                owners.append(list({o for b in blocks for o in b[2]}))
                 size += sum(len(b[0]) for b in own)
                 if size >= BATCH_BYTES or i == batch.num_rows - 1:
                     part = batch.slice(low, len(found))
                     yield pa.RecordBatch.from_arrays(
-                        [*(part.column(k) for k in keep), pa.array(found, pa.list_(block)), pa.array(heads, pa.int64()),
+                        [*(part.column(k) for k in keep), pa.array(found, pa.list_(block)), pa.array(mains, pa.int64()),
                          pa.array(owners, pa.list_(pa.int64()))],
-                        [*(batch.schema.names[k] for k in keep), "blocks", "heading", "subtrees"])
-                    low, found, heads, owners, size = i + 1, [], [], [], 0
+                        [*(batch.schema.names[k] for k in keep), "blocks", "main_text", "subtrees"])
+                    low, found, mains, owners, size = i + 1, [], [], [], 0
 
     return run
 
@@ -207,12 +207,12 @@ def host_of(url: str) -> Column:
 
 def recurring_subtrees(pages: DataFrame, min_pages: int = 5, min_share: float = 0.005) -> DataFrame:
     """``host, subtree`` of subtrees on at least ``min_pages`` and ``min_share`` of the host's
-    pages, pages of one heading counting once. Input: ``host, heading, subtrees``."""
-    headings = pages.select("host", "heading").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    counts = pages.select("host", "heading", F.explode("subtrees").alias("subtree")).distinct().groupBy("host", "subtree").agg(
+    pages, pages of one main text counting once. Input: ``host, main_text`` (its hash) and ``subtrees``."""
+    texts = pages.select("host", "main_text").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
+    counts = pages.select("host", "main_text", F.explode("subtrees").alias("subtree")).distinct().groupBy("host", "subtree").agg(
         F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_pages)
     counts = counts.withColumnRenamed("host", "of")
-    return counts.join(headings, F.col("of").eqNullSafe(F.col("host"))).filter(
+    return counts.join(texts, F.col("of").eqNullSafe(F.col("host"))).filter(
         F.col("n") >= min_share * F.col("pages")).select("host", "subtree")
 
 
@@ -232,9 +232,9 @@ def extract_text(pages: DataFrame, html: str = "html", url: str = "url", out: st
     at = [neutral.columns.index(f.name) for f in fields]
     read = neutral.mapInArrow(
         _read_pages(neutral.columns.index("html"), at),
-        f"{schema}, blocks array<struct<text:string,owners:array<long>>>, heading long, subtrees array<long>")
+        f"{schema}, blocks array<struct<text:string,owners:array<long>>>, main_text long, subtrees array<long>")
     read = save(read.withColumn("row", F.monotonically_increasing_id()), "page-blocks")
-    template = save(recurring_subtrees(read.select("host", "heading", "subtrees"), min_pages, min_share), "template-subtrees")
+    template = save(recurring_subtrees(read.select("host", "main_text", "subtrees"), min_pages, min_share), "template-subtrees")
     may_change = F.exists("blocks", lambda b: F.size(b["owners"]) > 0)
     owned = read.filter(may_change).select("row", "host", F.explode(F.array_distinct(F.flatten("blocks.owners"))).alias("owner"))
     template = template.withColumnRenamed("host", "of")

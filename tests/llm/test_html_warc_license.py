@@ -45,6 +45,15 @@ def test_templates_go_by_their_recurrence_on_a_host(spark):
     assert extract_text(df.limit(0)).count() == 0
 
 
+def test_templates_go_where_the_heading_is_template_itself(spark):
+    logo, skip, more = "<div class=title><h1>The Site</h1></div>", "<div>Skip to content</div>", "<div><p>More of our site</p></div>"
+    rows = [(i, "http://a.com/", f"{logo}<p>text {i}</p>{more}") for i in range(8)]
+    rows += [(100 + i, "http://b.com/", f"{skip}<p>text {i}</p>{more}") for i in range(8)]
+    rows += [(200 + i, "http://c.com/", f"{logo}<p>one text</p>{more}") for i in range(8)]
+    got = {r.page_id: r.text for r in extract_text(spark.createDataFrame(rows, "page_id int, url string, html string")).collect()}
+    assert got[3] == got[103] == "text 3" and got[200] == "The Site\n\none text\n\nMore of our site"
+
+
 def test_url_keys():
     for url, key in {None: "", "": "", "https://Www.A.b.com/x?y#z": "com,b,a,www)/x?y", "http://a.com:80": "com,a)/", "http://a.com:81/": "com,a:81)/",
                      "no host": "no%20host", "http://[bad/": "http://[bad/", "http://a.com/ b\n": "com,a)/%20b%0A"}.items():
