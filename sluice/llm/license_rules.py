@@ -12,6 +12,8 @@ the text's length. The sentence table is a literal of a fixed size.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +21,7 @@ from sluice.llm.common import let, without
 
 # Known sentences by identifier, in normal form (lower case, one space between
 # words, no punctuation at the ends, quotes and comment marks gone). `#` stands for a number.
+# They are what `sentences_of` makes of a licence: a text with `;` or `:` inside is several sentences.
 SENTENCES: dict[str, tuple[str, ...]] = {
     "MIT-SHORT": (
         "released under the mit license", "licensed under the mit license", "this project is licensed under the mit license",
@@ -78,20 +81,22 @@ SENTENCES: dict[str, tuple[str, ...]] = {
     "AGPL#-SHORT": (
         "licensed under the gnu affero general public license, version #",
         "this work is licensed under the gnu affero general public license, version #"),
-    "GPL#-LATER": (
-        "this program is free software: you can redistribute it and/or modify it under the terms of the gnu general public license as "
-        "published by the free software foundation, either version # of the license, or (at your option) any later version",
-        "this program is free software; you can redistribute it and/or modify it under the terms of the gnu general public license as "
-        "published by the free software foundation; either version # of the license, or (at your option) any later version"),
-    "GPL-HOPE": (
-        "this program is distributed in the hope that it will be useful, but without any warranty; without even the implied warranty "
-        "of merchantability or fitness for a particular purpose",),
+    "GPL-FREE": ("this program is free software",),
+    "GPL#-TERMS-LATER": (
+        "you can redistribute it and/or modify it under the terms of the gnu general public license as published by the free "
+        "software foundation, either version # of the license, or (at your option) any later version",),
+    "GPL-TERMS": (
+        "you can redistribute it and/or modify it under the terms of the gnu general public license as published by the free "
+        "software foundation",),
+    "GPL#-LATER": ("either version # of the license, or (at your option) any later version",),
+    "GPL-HOPE": ("this program is distributed in the hope that it will be useful, but without any warranty",),
+    "GPL-EVEN": ("without even the implied warranty of merchantability or fitness for a particular purpose",),
     "GPL-SEE": ("see the gnu general public license for more details",),
     "GPL-RECEIVED": ("you should have received a copy of the gnu general public license along with this program",),
     "MPL#-HEADER": ("this source code form is subject to the terms of the mozilla public license, v. #",),
     "MPL#-OBTAIN": (
-        "if a copy of the mpl was not distributed with this file, you can obtain one at http://mozilla.org/mpl/#/",
-        "if a copy of the mpl was not distributed with this file, you can obtain one at https://mozilla.org/mpl/#/"),
+        "if a copy of the mpl was not distributed with this file, you can obtain one at http://mozilla.org/mpl/#",
+        "if a copy of the mpl was not distributed with this file, you can obtain one at https://mozilla.org/mpl/#"),
     "CC-BY-SHORT": ("licensed under cc by #", "licensed under a creative commons attribution # international license",
                     "this work is licensed under a creative commons attribution # international license"),
     "CC-BY-SA-SHORT": ("licensed under cc by-sa #",
@@ -125,9 +130,12 @@ RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
     ("Apache-#", ("APACHE-SHORT", "APACHE-COMPLY", "APACHE-OBTAIN")),
     ("Apache-#", ("APACHE-SHORT", "APACHE-COMPLY")),
     ("Apache-#", ("APACHE-SHORT",)),
-    ("GPL-#-or-later", ("GPL#-LATER", "GPL-HOPE", "GPL-SEE", "GPL-RECEIVED")),
-    ("GPL-#-or-later", ("GPL#-LATER", "GPL-HOPE")),
-    ("GPL-#-or-later", ("GPL#-LATER",)),
+    ("GPL-#-or-later", ("GPL-FREE", "GPL#-TERMS-LATER", "GPL-HOPE", "GPL-EVEN", "GPL-SEE", "GPL-RECEIVED")),
+    ("GPL-#-or-later", ("GPL-FREE", "GPL#-TERMS-LATER", "GPL-HOPE", "GPL-EVEN")),
+    ("GPL-#-or-later", ("GPL-FREE", "GPL#-TERMS-LATER")),
+    ("GPL-#-or-later", ("GPL-FREE", "GPL-TERMS", "GPL#-LATER", "GPL-HOPE", "GPL-EVEN", "GPL-SEE", "GPL-RECEIVED")),
+    ("GPL-#-or-later", ("GPL-FREE", "GPL-TERMS", "GPL#-LATER", "GPL-HOPE", "GPL-EVEN")),
+    ("GPL-#-or-later", ("GPL-FREE", "GPL-TERMS", "GPL#-LATER")),
     ("AGPL-#", ("AGPL#-SHORT",)),
     ("LGPL-#", ("LGPL#-SHORT",)),
     ("GPL-#", ("GPL#-SHORT",)),
@@ -146,7 +154,7 @@ RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
 )
 
 #: Only sentences with one of these words can be known; the rest is not normalised.
-_HINT = "licen[cs]e|permission|copyright|redistribut|warrant|liable|public domain|rights reserved|mpl|endorse|cc0"
+_HINT = "licen[cs]e|permission|copyright|redistribut|warrant|liable|public[^a-z]+domain|rights[^a-z]+reserved|mpl|endorse|cc0|free[^a-z]+software"
 #: A number, not within a word; a version's `v` may stand before it.
 _NUMBER = "(?<![a-uw-zA-UW-Z0-9.])[0-9]+(?:[.][0-9]+)*"
 
@@ -156,13 +164,35 @@ def sentence_ids() -> dict[str, str]:
     return {s: i for i, known in SENTENCES.items() for s in known}
 
 
+def _wrap() -> str:
+    """A line end between two words that follow each other in a known sentence, in any case."""
+    quotes = "[\"'`‘’“”]{0,2}"
+
+    def word(w: str, number: str = "[0-9.]{1,9}") -> str:
+        runs = [number if x == "#" else re.sub(r"([^\w])", r"\\\1", x) for x in re.findall(r"#|[^\W#]+|[^\w#]", w)]
+        return ("(?<!\\w)" if w[0].isalnum() else "") + quotes.join(["", *runs, ""])
+
+    after: dict[str, set[str]] = {}
+    for s in sentence_ids():
+        words = s.split(" ")
+        for one, next_one in zip(words, words[1:]):
+            # a bare number after "license" may be a year or an item of a list
+            after.setdefault(one, set()).add(
+                word(next_one, "[0-9]{1,4}[.][0-9]{1,4}" if one == "license" else "[0-9]{1,4}") + ("(?!\\w)" if next_one[-1].isalnum() else ""))
+    pairs = "|".join(f"(?<={word(w)})[ \\t]*\\n(?=[ \\t]*(?:{'|'.join(sorted(n))}))" for w, n in sorted(after.items()))
+    return f"(?i)(?=[ \\t\\n])(?=[ \\t]*\\n)(?:{pairs})"
+
+
 def sentences_of(text: Column) -> Column:
     """The sentences of a text in order: cut after ``.!?;:`` before white space and at line ends,
-    except where a line goes on in lower case or in capitals. Leading comment marks of lines are no part."""
+    except between ``v.`` and a number, where a line goes on in lower case or in capitals, and between
+    words that follow each other in a known sentence. Leading comment marks of lines are no part."""
     lines = F.regexp_replace(text, r"(?:\r\n|[\n\r\x0B\x0C])[ \t]*(?:[#*/%;>|-]+[ \t]+|[*#]+[ \t]*)?", "\n")
     joined = F.regexp_replace(lines, r"([a-z,(])[ \t]*\n([a-z(\"'])", "$1 $2")
     joined = F.regexp_replace(joined, r"([A-Z]{2},?)[ \t]*\n([A-Z\"]{2})", "$1 $2")  # text in capitals
-    return F.split(F.regexp_replace(joined, r"([.!?;:][\"')]*)[ \t]+", "$1\n"), "\n")
+    joined = F.regexp_replace(joined, r"(?i)\b(license at)[ \t]*\n(?:[/;%-]*\n){0,2}[ \t]*(https?://)", "$1 $2")  # an address set off
+    joined = F.regexp_replace(joined, _wrap(), " ")
+    return F.split(F.regexp_replace(joined, r"(?!(?<=\b[vV])\.[ \t]+[0-9])([.!?;:][\"')]*)[ \t]+", "$1\n"), "\n")
 
 
 def normal(sentence: Column) -> Column:

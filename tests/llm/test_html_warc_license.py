@@ -139,6 +139,59 @@ def test_license_tables_are_consistent():
         assert not any(longer[: len(rule)] == rule for _, longer in RULES[k + 1:])
 
 
+GPL3 = """# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation, either version 3 of the License, or
+# (at your option) any later version.
+#
+# This program is distributed in the hope that it will be useful,
+# but WITHOUT ANY WARRANTY; without even the implied warranty of
+# MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+# GNU General Public License for more details.
+#
+# You should have received a copy of the GNU General Public License
+# along with this program.  If not, see <https://www.gnu.org/licenses/>."""
+GPL2 = """/* This program is free software; you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License as published by
+ * the Free Software Foundation; either version 2 of the License, or
+ * (at your option) any later version. */"""
+MPL2 = """/* This Source Code Form is subject to the terms of the Mozilla Public
+ * License, v. 2.0. If a copy of the MPL was not distributed with this
+ * file, You can obtain one at https://mozilla.org/MPL/2.0/. */"""
+APACHE = """// Licensed under the Apache License, Version 2.0 (the "License");
+// you may not use this file except in compliance with the License.
+// You may obtain a copy of the License at
+//
+//     http://www.apache.org/licenses/LICENSE-2.0
+//
+// Unless required by applicable law or agreed to in writing, software
+// distributed under the License is distributed on an "AS IS" BASIS,
+// WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+// See the License for the specific language governing permissions and
+// limitations under the License."""
+
+
+def test_license_headers_and_wraps(spark):
+    wrapped = MIT.replace("portions of the Software", "portions of the\n * Software").replace("FOR A PARTICULAR", "FOR A\n * PARTICULAR")
+    cases = {GPL3: [("GPL-3-or-later", 6)], GPL2: [("GPL-2-or-later", 3)], MPL2: [("MPL-2.0", 2)], MPL2.replace("v. 2.0", "v.\n * 2.0"): [("MPL-2.0", 2)],
+             APACHE: [("Apache-2.0", 5)], wrapped: [("MIT", 1), ("MIT", 4)], "MIT License\n2020 Someone\nAll rights\nReserved": [("MIT", 1), ("All-Rights-Reserved", 1)]}
+    df = spark.createDataFrame(list(enumerate(cases)), "i int, text string")
+    got = {r.i: [(x.license, len(x.sentences)) for x in r.licenses] for r in scan(df).collect()}
+    assert got == dict(enumerate(cases.values()))
+
+
+def test_every_license_sentence_and_rule_is_found(spark):
+    texts = []
+    for name, ids in RULES:
+        for k, i in enumerate(ids):
+            for known in SENTENCES[i]:  # each known form at its place, plain, then every word in capitals on its own line
+                said = [(known if n == k else SENTENCES[j][0]).replace("#", "2.0") + "." for n, j in enumerate(ids)]
+                texts += [(name.replace("#", "2.0"), list(ids), " ".join(said)), (name.replace("#", "2.0"), list(ids), "\n".join(w[0].upper() + w[1:] for x in said for w in x.split()))]
+    df = spark.createDataFrame([(i, t[2]) for i, t in enumerate(texts)], "i int, text string")
+    got = {r.i: [(x.license, list(x.sentences)) for x in r.licenses] for r in scan(df).collect()}
+    assert [(i, got[i], texts[i][2]) for i in got if got[i] != [texts[i][:2]]] == []
+
+
 def plain_licenses(text):
     """Single-sentence rules by a plain reading of lines, for the generated documents."""
     known = {"released under the mit license": "MIT", "licensed under the apache license, version 2.0": "Apache-2.0",
