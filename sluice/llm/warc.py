@@ -10,12 +10,13 @@ broadcast.
 **Index.** Archives are read back record by record. Lines (reversed-host URL key, record,
 file, offset, length) are range-partitioned and sorted. Each partition writes blocks of
 lines, compressed one by one, and behind them its part of the sparse directory: the first
-key of each block with its place. The list of parts, one small row per partition, is the
-top level.
+key and page of each block with its place. The list of parts, one small row per partition,
+is the top level.
 
 **Lookup.** Queries are sorted the same way. A task finds the part, then the block in the
-part's directory, then the line in the block by binary search, reading only those byte
-ranges, and what it found is read from the archives by range, in file order.
+part's directory, then the line in the block by binary search on key and page, reading only
+those byte ranges, so a URL with a large share of all rows is never gathered. What it found
+is read from the archives by range, in file order.
 """
 
 from __future__ import annotations
@@ -196,14 +197,14 @@ def _write_index(folder: str, block_lines: int):
                 out = open_write(path)
             block = zlib.compress("\n".join(json.dumps(x) for x in lines).encode())
             out.write(block)
-            directory.append((lines[0][0], at, len(block)))
+            directory.append((lines[0][:2], at, len(block)))
             at, lines = at + len(block), []
 
         try:
             for batch in batches:
                 for line in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                     lines.append(line)
-                    last = line[0]
+                    last = line[:2]
                     if len(lines) == block_lines:
                         flush()
             if lines:
@@ -216,14 +217,16 @@ def _write_index(folder: str, block_lines: int):
                 out.close()
         if directory:
             yield pa.RecordBatch.from_arrays(
-                [pa.array([x]) for x in (directory[0][0], last, path, at, len(part))], ["first", "last", "file", "offset", "length"])
+                [pa.array([x]) for x in (*directory[0][0], *last, path, at, len(part))],
+                ["first", "first_page", "last", "last_page", "file", "offset", "length"])
 
     return run
 
 
 def build_index(manifest: DataFrame, block_lines: int = BLOCK_LINES) -> DataFrame:
-    """Index the archives and return the top level: ``first, last, file, offset, length`` of
-    each part's directory, one row per partition of the sort."""
+    """Index the archives and return the top level: the first and last key and page of each
+    part and the place of its directory, ``first, first_page, last, last_page, file, offset,
+    length``, one row per partition of the sort."""
     spark = manifest.sparkSession
     files = manifest.repartition(max(1, manifest.count())).select("file")
     lines = save(files.mapInArrow(
@@ -231,41 +234,44 @@ def build_index(manifest: DataFrame, block_lines: int = BLOCK_LINES) -> DataFram
     ordered = lines.repartitionByRange("key", "page").sortWithinPartitions("key", "page", "file", "offset")
     folder = scratch_path(spark, "capture-index")
     return save(ordered.mapInArrow(
-        _write_index(folder, block_lines), "first string, last string, file string, offset long, length long"), "index-parts")
+        _write_index(folder, block_lines), "first string, first_page string, last string, last_page string, file string, offset long, length long"), "index-parts")
 
 
 class Lookup:
-    """Binary search through parts, directory and block; keeps the block used last."""
+    """Binary search on (key, page) through parts, directory and block; keeps the block used last."""
 
     def __init__(self, parts: list[tuple]):
         self.parts = sorted(parts)
-        self.last = [p[1] for p in self.parts]
+        self.last = [p[2:4] for p in self.parts]
         self.opened: tuple = (None, None, None)
         self.block: tuple = (None, None, None)
 
-    def _directory(self, part: int) -> tuple[list[str], list]:
+    def _directory(self, part: int) -> tuple[list[tuple], list]:
         if self.opened[0] != part:
-            _, _, path, offset, length = self.parts[part]
+            path, offset, length = self.parts[part][4:]
             entries = json.loads(zlib.decompress(read_range(path, offset, length)))
-            self.opened = (part, [e[0] for e in entries], entries)
+            self.opened = (part, [tuple(e[0]) for e in entries], entries)
         return self.opened[1:]
 
-    def _lines(self, part: int, number: int, entry: list) -> tuple[list[str], list]:
+    def _lines(self, part: int, number: int, entry: list) -> tuple[list[tuple], list]:
         if self.block[0] != (part, number):
-            raw = zlib.decompress(read_range(self.parts[part][2], entry[1], entry[2]))
+            raw = zlib.decompress(read_range(self.parts[part][4], entry[1], entry[2]))
             lines = [json.loads(x) for x in raw.split(b"\n")]
-            self.block = ((part, number), [x[0] for x in lines], lines)
+            self.block = ((part, number), [tuple(x[:2]) for x in lines], lines)
         return self.block[1:]
 
-    def find(self, key: str) -> Iterator[list]:
-        """All lines of a key, in order, over as many blocks and parts as it has."""
-        part = bisect_left(self.last, key)
-        while part < len(self.parts) and self.parts[part][0] <= key:
+    def find(self, key: str, page: str | None = None) -> Iterator[list]:
+        """All lines of a key, or of a key and page, in order, over as many blocks and parts as they have."""
+        wanted = (key,) if page is None else (key, page)
+        width = len(wanted)
+        head = lambda place: place[:width]
+        part = bisect_left(self.last, wanted, key=head)
+        while part < len(self.parts) and head(self.parts[part][:2]) <= wanted:
             firsts, entries = self._directory(part)
-            number = max(0, bisect_left(firsts, key) - 1)
-            while number < len(entries) and firsts[number] <= key:
-                keys, lines = self._lines(part, number, entries[number])
-                yield from lines[bisect_left(keys, key): bisect_right(keys, key)]
+            number = max(0, bisect_left(firsts, wanted, key=head) - 1)
+            while number < len(entries) and head(firsts[number]) <= wanted:
+                places, lines = self._lines(part, number, entries[number])
+                yield from lines[bisect_left(places, wanted, key=head): bisect_right(places, wanted, key=head)]
                 number += 1
             part += 1
 
@@ -274,15 +280,15 @@ def _look_up(parts: list[tuple]):
     names = ["page", "file", "offset", "length"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index, key, found = Lookup(parts), None, {}
+        index = Lookup(parts)
         for batch in batches:
             rows: list = []
-            for k, page in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if k != key:
-                    key, found = k, {}
-                    for line in index.find(k):
-                        found.setdefault(line[1], []).append(line)
-                rows += [(page, *line[2:5]) for line in found.get(page, ())]
+            for key, page in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for line in index.find(key, page):
+                    rows.append((page, *line[2:5]))
+                    if len(rows) >= 5000:
+                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], names)
+                        rows = []
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], names)
 

@@ -93,6 +93,22 @@ def test_archives_are_valid_and_lookups_find_single_keys(spark):
     assert sorted((r.page, bytes(r.payload)) for r in some) == [("199", b"x" * 199), ("5", b"x" * 5)]
 
 
+def test_a_lookup_opens_few_blocks_of_a_url_with_most_rows(spark, monkeypatch):
+    rows = [(i, None if i % 3 else f"http://a.com/{'é' if i % 2 else '𐐀'}", f"<p>{i}</p>") for i in range(400)]
+    rows += [(7, None, "again"), (7, None, "and again")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    parts = W.build_index(W.write_archives(df), block_lines=4)
+    top = [tuple(r) for r in parts.collect()]
+    index, read = W.Lookup(top), []
+    monkeypatch.setattr(W, "read_range", lambda *a, f=W.read_range: read.append(a) or f(*a))
+    for page in (7, 20, 398):
+        read.clear()
+        assert [x[1] for x in index.find("", str(page))] == [str(page)] * (3 if page == 7 else 1) and len(read) <= 4
+    assert not list(index.find("", "401x")) and len(list(index.find(""))) == sum(r[1] is None for r in rows)
+    found = W.look_up(parts, df).groupBy("page").count().collect()
+    assert {int(r.page): r["count"] for r in found} == {i: 3 if i == 7 else 1 for i in range(400)}
+
+
 MIT = '''/*
  * The MIT License (MIT)
  *
