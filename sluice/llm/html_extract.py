@@ -4,7 +4,9 @@ Every page is read once into blocks of text. An element's subtree hash mixes its
 text and its children's hashes, in one pass. The hashes of the elements around a block are
 its owners. Spark counts, per host, on how many pages a subtree recurs; blocks whose
 owner recurs on many pages of the host are template and go, and so do elements that are
-boilerplate by tag, role or class. Pages count as different by their whole main text, so
+boilerplate by tag, role or class. A class or id marks boilerplate only if all words of one
+of its tokens say so, and never an element that holds the page's article; recurrence decides
+about the others. Pages count as different by their whole main text, so
 exact copies of an article do not make its own parts a template, while a heading that is
 template itself hides nothing. Running text directly in an article is kept however often
 it repeats; boxes within it are subject to the count.
@@ -48,6 +50,11 @@ DROPPED_WORDS = frozenset(
     "ad ads advert advertisement adverts advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies "
     "copyright discussion disqus footer gdpr masthead menu modal nav navbar navigation newsletter notice notices notification "
     "pagination popup promo promoted promotion replies respond share sharing sidebar signup social sponsor sponsored subscribe".split())
+#: Words that may stand beside them in a class or id.
+NEUTRAL_WORDS = frozenset(
+    "area bar block body bottom box button buttons entry form global item items link links list main post primary secondary section "
+    "site the thread title top widget".split())
+COMMENT_WORDS = frozenset("comment comments discussion disqus replies respond".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)"
@@ -58,41 +65,56 @@ _WORDS = re.compile(r"[a-z]+")
 
 
 class _Element:
-    __slots__ = ("tag", "hash", "owner", "dropped", "article", "blocks")
+    __slots__ = ("tag", "hash", "owner", "dropped", "article", "blocks", "mark", "size")
 
-    def __init__(self, tag: str, dropped: bool, owner: bool, article: int):
-        self.tag, self.hash, self.owner, self.dropped, self.article = tag, xxhash.xxh64(tag), owner, dropped, article
+    def __init__(self, tag: str, dropped: bool, owner: bool, article: int, mark: int):
+        self.tag, self.hash, self.owner, self.dropped, self.article, self.mark = tag, xxhash.xxh64(tag), owner, dropped, article, mark
         self.blocks: list[int] = []
+        self.size = 0
 
 
 def _dropped(tag: str, rest: str, in_article: bool) -> bool:
+    """Whether the element is boilerplate by tag or role."""
     if tag in DROPPED:
         return True
     if tag == "header" and not in_article:
         return True
     if tag in ("html", "body", "main") or "=" not in rest:
         return False
+    return any(m[1].lower() == "role" and (m[2] or m[3] or m[4] or "").strip().lower() in DROPPED_ROLES for m in _MARKS.finditer(rest))
+
+
+def _marked(tag: str, rest: str, in_article: bool) -> str | None:
+    """The word of a class or id that marks the element as boilerplate."""
+    if tag in ("html", "body", "main") or "=" not in rest:
+        return None
     for m in _MARKS.finditer(rest):
-        value = (m[2] or m[3] or m[4] or "").lower()
         if m[1].lower() == "role":
-            if value.strip() in DROPPED_ROLES:
-                return True
-        elif not DROPPED_WORDS.isdisjoint(_WORDS.findall(value)) or (not in_article and tag != "article" and "header" in _WORDS.findall(value)):
-            return True
-    return False
+            continue
+        for token in (m[2] or m[3] or m[4] or "").lower().split():
+            words = [w for w in _WORDS.findall(token) if len(w) > 1]
+            hits = [w for w in words if w in DROPPED_WORDS or (w == "header" and not in_article and tag != "article")]
+            if hits and all(w in hits or w in NEUTRAL_WORDS for w in words):
+                return next((w for w in hits if w in COMMENT_WORDS), hits[0])
+    return None
 
 
 def blocks_of(page: str) -> tuple[list[tuple[str, int, list[int]]], int]:
     """The page's blocks in order, (text, article number or 0, hashes of owners), without
     boilerplate by tag, role or class; and the number of the longest article (0: none).
 
+    Elements marked by class or id go only once the page is read: those around its longest
+    article stay, and those around its longest main element. Articles in
+    comments, or marked so themselves, are no such articles.
+
     Tolerant of what real pages hold: missing, stray and crossed end tags, unclosed
     comments and quotes, and a text cut off anywhere."""
     stack: list[_Element] = []
     blocks: list[list] = []  # text, article, owners
     pending: list[str] = []
     articles = 0
-    size: dict[int, int] = {}
+    marks: list[tuple[int, bool]] = [(0, False)]  # of marked elements: the one around, in comments
+    most: dict[str, tuple[int, int]] = {}  # text and mark around of the longest article, and main
 
     def flush() -> None:
         if pending:
@@ -103,8 +125,8 @@ def blocks_of(page: str) -> tuple[list[tuple[str, int, list[int]]], int]:
                 for e in stack:
                     if e.owner:
                         e.blocks.append(len(blocks))
-                blocks.append([text, article, []])
-                size[article] = size.get(article, 0) + len(text)
+                    e.size += len(text)
+                blocks.append([text, article, [], stack[-1].mark if stack else 0])
 
     def close(to: int, block: bool = True) -> None:
         if block:
@@ -116,6 +138,8 @@ def blocks_of(page: str) -> tuple[list[tuple[str, int, list[int]]], int]:
                 stack[-1].hash.update(digest.to_bytes(8, "little"))
             for b in e.blocks:
                 blocks[b][2].append(digest - (1 << 63))
+            if e.tag in ("article", "main") and not e.dropped and not marks[e.mark][1] and e.size > most.get(e.tag, (0, 0))[0]:
+                most[e.tag] = e.size, e.mark
 
     at, n = 0, len(page)
     while at < n:
@@ -158,6 +182,10 @@ def blocks_of(page: str) -> tuple[list[tuple[str, int, list[int]]], int]:
         up = stack[-1] if stack else None
         inside, article = bool(up and up.article), up.article if up else 0
         dropped = bool(up and up.dropped) or _dropped(tag, m["rest"], inside)
+        mark = up.mark if up else 0
+        if not dropped and (word := _marked(tag, m["rest"], inside)):
+            marks.append((mark, marks[mark][1] or word in COMMENT_WORDS))
+            mark = len(marks) - 1
         if tag in ("article", "main") and not article and not dropped:
             articles += 1
             article = articles
@@ -168,10 +196,19 @@ def blocks_of(page: str) -> tuple[list[tuple[str, int, list[int]]], int]:
             at = end + 1 if end >= 0 else n
             continue
         owner = tag in BOXES if inside else tag in BLOCK and tag not in ROOTS
-        stack.append(_Element(tag, dropped, owner and not dropped, article))
+        stack.append(_Element(tag, dropped, owner and not dropped, article, mark))
     close(0)
+    kept = {0}
+    for _, mark in most.values():
+        while mark:
+            kept.add(mark)
+            mark = marks[mark][0]
+    left = [tuple(b[:3]) for b in blocks if b[3] in kept]
+    size: dict[int, int] = {}
+    for text, article, _ in left:
+        size[article] = size.get(article, 0) + len(text)
     longest = max((a for a in size if a), key=lambda a: (size[a], -a), default=0)
-    return [tuple(b) for b in blocks], longest
+    return left, longest
 
 
 def _read_pages(html_at: int, keep: list[int]):

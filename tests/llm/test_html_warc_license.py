@@ -30,6 +30,19 @@ def test_deep_and_broken_pages_end():
     assert text_of("<a href='" * 3000) == "" and text_of("<" * 5000 + "p") .startswith("<")
 
 
+def test_classes_never_drop_the_article():
+    cases = {
+        "<article class='post comments-open'><p>a</p></article>": "a", "<div class='layout has-sidebar'><p>a</p></div>": "a",
+        "<div id='page' class='with-menu'><p>a</p></div>": "a", "<div class='menu sidebar'><div><article><p>a</p></article></div></div>": "a",
+        "<article class=notice><p>a</p></article>": "a", "<div class=sidebar><main><p>a</p></main></div>": "a",
+        "<main><div class=sidebar><article>a</article></div></main>": "a", "<div class=layout><div class=modal><article>long enough</article></div><div class=sidebar><article>b</article></div></div>": "long enough",
+        "<main><article>a<section id=comments><article>c</article></section></article></main>": "a", "<p>a</p><div class=comment-list><article>c, and longer</article></div>": "a",
+        "<article>a</article><article class='comment depth-1'>c, and longer</article>": "a", "<div class='site-footer'>f</div><ul id=main-nav><li>n</ul><div class='ad-1 x'>s</div><p>a": "a",
+    }
+    for page, want in cases.items():
+        assert text_of(page) == want, page
+
+
 def test_templates_go_by_their_recurrence_on_a_host(spark):
     box = "<div><p>Read more of our site</p></div>"
     rows = [(i, f"http://user@A.com:80/{i}", f"<article><h1>Title {i}</h1><p>own {i}</p><p>Said on every page.</p>{box}</article>") for i in range(8)]
