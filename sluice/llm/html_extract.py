@@ -6,7 +6,8 @@ its owners. Spark counts, per host, on how many pages a subtree recurs; blocks w
 owner recurs on many pages of the host are template and go, and so do elements that are
 boilerplate by tag, role or class. A class or id marks boilerplate only if all words of one
 of its tokens say so, and never an element that holds the page's article; recurrence decides
-about the others. Pages count as different by their whole main text, so
+about the others. The main text is that of all top-level articles, or the whole page where
+they hold less than half of what is no template; an article that recurs goes where others stay. Pages count as different by their whole main text, so
 exact copies of an article do not make its own parts a template, while a heading that is
 template itself hides nothing. Running text directly in an article is kept however often
 it repeats; boxes within it are subject to the count.
@@ -26,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import save
+from sluice.llm.common import let, save
 from sluice.llm.tokens import BATCH_BYTES
 
 # HTML's element kinds, and the words that mark boilerplate.
@@ -65,12 +66,12 @@ _WORDS = re.compile(r"[a-z]+")
 
 
 class _Element:
-    __slots__ = ("tag", "hash", "owner", "dropped", "article", "blocks", "mark", "size")
+    __slots__ = ("tag", "hash", "owner", "dropped", "article", "blocks", "mark", "size", "root")
 
-    def __init__(self, tag: str, dropped: bool, owner: bool, article: int, mark: int):
+    def __init__(self, tag: str, dropped: bool, owner: bool, article: int, mark: int, root: bool):
         self.tag, self.hash, self.owner, self.dropped, self.article, self.mark = tag, xxhash.xxh64(tag), owner, dropped, article, mark
         self.blocks: list[int] = []
-        self.size = 0
+        self.size, self.root = 0, root
 
 
 def _dropped(tag: str, rest: str, in_article: bool) -> bool:
@@ -99,8 +100,8 @@ def _marked(tag: str, rest: str, in_article: bool) -> str | None:
     return None
 
 
-def blocks_of(page: str) -> tuple[list[tuple[str, int, list[int]]], int]:
-    """The page's blocks in order, (text, article number or 0, hashes of owners), without
+def blocks_of(page: str) -> tuple[list[tuple[str, int, list[int], int | None]], int]:
+    """The page's blocks in order, (text, article number or 0, hashes of owners, hash of the article), without
     boilerplate by tag, role or class; and the number of the longest article (0: none).
 
     Elements marked by class or id go only once the page is read: those around its longest
@@ -110,7 +111,7 @@ def blocks_of(page: str) -> tuple[list[tuple[str, int, list[int]]], int]:
     Tolerant of what real pages hold: missing, stray and crossed end tags, unclosed
     comments and quotes, and a text cut off anywhere."""
     stack: list[_Element] = []
-    blocks: list[list] = []  # text, article, owners
+    blocks: list[list] = []  # text, article, owners, article's hash, mark
     pending: list[str] = []
     articles = 0
     marks: list[tuple[int, bool]] = [(0, False)]  # of marked elements: the one around, in comments
@@ -123,10 +124,10 @@ def blocks_of(page: str) -> tuple[list[tuple[str, int, list[int]]], int]:
             if text and (not stack or not stack[-1].dropped):
                 article = stack[-1].article if stack else 0
                 for e in stack:
-                    if e.owner:
+                    if e.owner or e.root:
                         e.blocks.append(len(blocks))
                     e.size += len(text)
-                blocks.append([text, article, [], stack[-1].mark if stack else 0])
+                blocks.append([text, article, [], None, stack[-1].mark if stack else 0])
 
     def close(to: int, block: bool = True) -> None:
         if block:
@@ -137,7 +138,10 @@ def blocks_of(page: str) -> tuple[list[tuple[str, int, list[int]]], int]:
             if stack:
                 stack[-1].hash.update(digest.to_bytes(8, "little"))
             for b in e.blocks:
-                blocks[b][2].append(digest - (1 << 63))
+                if e.root:
+                    blocks[b][3] = digest - (1 << 63)
+                else:
+                    blocks[b][2].append(digest - (1 << 63))
             if e.tag in ("article", "main") and not e.dropped and not marks[e.mark][1] and e.size > most.get(e.tag, (0, 0))[0]:
                 most[e.tag] = e.size, e.mark
 
@@ -186,7 +190,8 @@ def blocks_of(page: str) -> tuple[list[tuple[str, int, list[int]]], int]:
         if not dropped and (word := _marked(tag, m["rest"], inside)):
             marks.append((mark, marks[mark][1] or word in COMMENT_WORDS))
             mark = len(marks) - 1
-        if tag in ("article", "main") and not article and not dropped:
+        root = tag in ("article", "main") and not article and not dropped
+        if root:
             articles += 1
             article = articles
         if tag in RAW:
@@ -196,35 +201,38 @@ def blocks_of(page: str) -> tuple[list[tuple[str, int, list[int]]], int]:
             at = end + 1 if end >= 0 else n
             continue
         owner = tag in BOXES if inside else tag in BLOCK and tag not in ROOTS
-        stack.append(_Element(tag, dropped, owner and not dropped, article, mark))
+        stack.append(_Element(tag, dropped, owner and not dropped, article, mark, root))
     close(0)
     kept = {0}
     for _, mark in most.values():
         while mark:
             kept.add(mark)
             mark = marks[mark][0]
-    left = [tuple(b[:3]) for b in blocks if b[3] in kept]
+    left = [tuple(b[:4]) for b in blocks if b[4] in kept]
     size: dict[int, int] = {}
-    for text, article, _ in left:
+    for text, article, *_ in left:
         size[article] = size.get(article, 0) + len(text)
     longest = max((a for a in size if a), key=lambda a: (size[a], -a), default=0)
     return left, longest
 
 
 def _read_pages(html_at: int, keep: list[int]):
-    block = pa.struct([("text", pa.string()), ("owners", pa.list_(pa.int64()))])
+    block = pa.struct([("text", pa.string()), ("owners", pa.list_(pa.int64())), ("article", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             low, found, mains, owners, size = 0, [], [], [], 0
             for i, page in enumerate(batch.column(html_at)):
-                blocks, longest = blocks_of(page.as_py() or "")
-                own = [b for b in blocks if b[1] == longest] if longest else blocks
+                blocks, _ = blocks_of(page.as_py() or "")
+                own = [b for b in blocks if b[1]]
+                whole = sum(len(b[0]) for b in blocks)
+                own = own if 2 * sum(len(b[0]) for b in own) >= whole else blocks
                 main = "\n\n".join(b[0] for b in own)
                 mains.append(xxhash.xxh64_intdigest(main.encode("utf-8", "surrogatepass")) - (1 << 63))
-                found.append([{"text": b[0], "owners": b[2]} for b in own])
-                owners.append(list({o for b in blocks for o in b[2]}))
-                size += sum(len(b[0]) for b in own)
+                found.append([{"text": b[0], "owners": b[2], "article": b[3]} for b in blocks])
+                articles = {b[3] for b in blocks if b[1]}
+                owners.append(list({o for b in blocks for o in b[2]} | (articles if len(articles) > 1 else set())))
+                size += whole
                 if size >= BATCH_BYTES or i == batch.num_rows - 1:
                     part = batch.slice(low, len(found))
                     yield pa.RecordBatch.from_arrays(
@@ -257,8 +265,9 @@ def extract_text(pages: DataFrame, html: str = "html", url: str = "url", out: st
                  min_share: float = 0.005) -> DataFrame:
     """``pages`` without the html column, with ``out``: the main text, blocks joined by a blank line.
 
-    The main text is the longest article (or main element), or the whole page where there is
-    none, less boilerplate and template subtrees. White space in a block is one space. A null,
+    The main text is that of the top-level articles (or main elements) in their order, or the
+    whole page where they hold less than half of the text, less boilerplate and template
+    subtrees. Of several articles those that recur like a template go, unless all do. White space in a block is one space. A null,
     empty or blank page has an empty text. Pages without a host share the null host. Repeated
     rows stay and have equal texts; a column named ``out`` is replaced.
     """
@@ -269,17 +278,28 @@ def extract_text(pages: DataFrame, html: str = "html", url: str = "url", out: st
     at = [neutral.columns.index(f.name) for f in fields]
     read = neutral.mapInArrow(
         _read_pages(neutral.columns.index("html"), at),
-        f"{schema}, blocks array<struct<text:string,owners:array<long>>>, main_text long, subtrees array<long>")
+        f"{schema}, blocks array<struct<text:string,owners:array<long>,article:long>>, main_text long, subtrees array<long>")
     read = save(read.withColumn("row", F.monotonically_increasing_id()), "page-blocks")
     template = save(recurring_subtrees(read.select("host", "main_text", "subtrees"), min_pages, min_share), "template-subtrees")
-    may_change = F.exists("blocks", lambda b: F.size(b["owners"]) > 0)
-    owned = read.filter(may_change).select("row", "host", F.explode(F.array_distinct(F.flatten("blocks.owners"))).alias("owner"))
+    may_change = F.size("subtrees") > 0
+    owned = read.filter(may_change).select("row", "host", F.explode("subtrees").alias("owner"))
     template = template.withColumnRenamed("host", "of")
     hit = owned.join(template, (F.col("owner") == F.col("subtree")) & F.col("host").eqNullSafe(F.col("of"))).groupBy(
         F.col("row").alias("hit_row")).agg(F.collect_set("subtree").alias("hit"))
     names = [f"c{i}" for i in range(len(keep))]
-    text = lambda kept: F.array_join(F.transform(kept, lambda b: b["text"]), "\n\n")
-    plain = read.filter(~may_change).select(*names, text(F.col("blocks")).alias("text"))
-    cut = read.filter(may_change).join(hit, F.col("row") == F.col("hit_row"), "left").select(*names, text(F.when(
-        F.col("hit").isNull(), F.col("blocks")).otherwise(F.filter("blocks", lambda b: ~F.arrays_overlap(b["owners"], F.col("hit"))))).alias("text"))
+    plain = read.filter(~may_change).select(*names, _main_text(F.col("blocks")).alias("text"))
+    owned_blocks = F.filter("blocks", lambda b: ~F.arrays_overlap(b["owners"], F.col("hit")))
+    other_articles = lambda kept: F.filter(kept, lambda b: b["article"].isNull() | ~F.array_contains(F.col("hit"), b["article"]))
+    in_articles = lambda kept: F.exists(kept, lambda b: b["article"].isNotNull())
+    less = let(owned_blocks, lambda kept: let(other_articles(kept), lambda some: F.when(in_articles(some), some).otherwise(kept)))
+    cut = read.filter(may_change).join(hit, F.col("row") == F.col("hit_row"), "left").select(
+        *names, _main_text(F.when(F.col("hit").isNull(), F.col("blocks")).otherwise(less)).alias("text"))
     return plain.unionByName(cut).toDF(*keep, out)
+
+
+def _main_text(blocks: Column) -> Column:
+    """The text of the blocks in articles, or of all where those hold less than half of it."""
+    size = lambda some: F.aggregate(some, F.lit(0).cast("long"), lambda n, b: n + F.length(b["text"]))
+    text = lambda some: F.array_join(F.transform(some, lambda b: b["text"]), "\n\n")
+    return let(blocks, lambda kept: let(F.filter(kept, lambda b: b["article"].isNotNull()), lambda own: text(
+        F.when(2 * size(own) >= size(kept), own).otherwise(kept))))

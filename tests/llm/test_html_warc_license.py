@@ -58,6 +58,20 @@ def test_templates_go_by_their_recurrence_on_a_host(spark):
     assert extract_text(df.limit(0)).count() == 0
 
 
+def test_all_articles_stay_and_a_teaser_is_not_the_page(spark):
+    promo = "<article><p>Subscribe to us today</p></article>"
+    rows = [(1, "http://a.com/", "<article>short</article><div>date</div><article>the longer one</article><article class=comment>me too</article>"),
+            (2, "http://a.com/", "<article>teaser</article><div>The body of the page, in a box of its own.</div>"),
+            (3, "http://a.com/", "<article>the only one, most of the text</article><p>related</p>"),
+            (4, "http://a.com/", "<p>whole page</p>"), (5, "http://a.com/", "<article></article><p>beside nothing</p>")]
+    rows += [(10 + i, "http://b.com/", f"<article><p>own text {i}</p></article>{promo}") for i in range(6)]
+    rows += [(20, "http://b.com/", promo), (21, "http://b.com/", promo + promo)]
+    got = {r.page_id: r.text for r in extract_text(spark.createDataFrame(rows, "page_id int, url string, html string")).collect()}
+    assert got[1] == "short\n\nthe longer one" and got[2] == "teaser\n\nThe body of the page, in a box of its own."
+    assert got[3] == "the only one, most of the text" and got[4] == "whole page" and got[5] == "beside nothing"
+    assert got[12] == "own text 2" and got[20] == "Subscribe to us today" and got[21] == "\n\n".join(["Subscribe to us today"] * 2)
+
+
 def test_templates_go_where_the_heading_is_template_itself(spark):
     logo, skip, more = "<div class=title><h1>The Site</h1></div>", "<div>Skip to content</div>", "<div><p>More of our site</p></div>"
     rows = [(i, "http://a.com/", f"{logo}<p>text {i}</p>{more}") for i in range(8)]
