@@ -1,13 +1,18 @@
-"""Repeated-passage removal by bucket-pointer refinement of text suffixes.
+"""Repeated-passage removal by anchored matching of content hashes.
+
+The method differs from bucket-pointer refinement of suffixes: no bucket is sorted on the
+identifiers of later offsets, and no refined bucket feeds the next level. Identifiers are
+hashes of the bytes at each offset, made in one pass; candidates share their least 64-gram,
+and equal hashes of 128 and of ``length`` bytes settle them. Ranks would need a total order
+of all suffixes, one row per byte, at each level; here about one row per 55 bytes moves.
 
 A byte goes if some ``length``-byte string covers it that also starts at another place
 of the corpus, in the same text or another. Suffixes are compared by bucket identifiers:
 
 1. **Initial q-gram buckets.** In each text, the bucket identifier of the 64 bytes at
    every offset is built from its 8-grams by pointer doubling: id16(p) = (id8(p),
-   id8(p + 8)), up to 128, then id200(p) = (id128(p), id128(p + 72)). Each level sorts
-   on the identifiers of later offsets that the level before has made, so every update
-   is reused. Each string start (a *window*) belongs to the least 64-gram within it, the
+   id8(p + 8)), up to 128, then id200(p) = (id128(p), id128(p + 72)). Each level mixes
+   the identifiers that the level before has made. Each string start (a *window*) belongs to the least 64-gram within it, the
    leftmost of equals. Equal windows hold it at equal places, so they share its bucket.
    Neighbouring windows with the same 64-gram form a *block*, which is one row: about
    one row per 55 bytes moves instead of one per byte.
