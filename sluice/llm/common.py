@@ -50,8 +50,8 @@ HOT_ROWS = 100_000
 HOT_SHARE = 1000
 
 
-def join_one(rows: DataFrame, one: DataFrame, key: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """``rows`` joined to ``one``, which has one row per ``key``; no null keys.
+def join_one(rows: DataFrame, one: DataFrame, key: list[str], hot_rows: int = HOT_ROWS, how: str = "inner") -> DataFrame:
+    """``rows`` joined to ``one``, which has one row per ``key``; no null keys. ``how`` is inner or left.
 
     Hot keys, fewer than a thousand by their definition, are matched by a broadcast of their
     rows of ``one``, so that a key with a third of all rows never meets in one task. The
@@ -59,14 +59,15 @@ def join_one(rows: DataFrame, one: DataFrame, key: list[str], hot_rows: int = HO
     total = rows.count()
     least = max(hot_rows, total // HOT_SHARE)
     if total <= least:
-        return rows.join(one, key)
+        return rows.join(one, key, how)
     hot = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > least).select(*key)
     hot = save(hot, "hot-keys")
     if hot.isEmpty():
-        return rows.join(one, key)
+        return rows.join(one, key, how)
     picked = save(one.join(F.broadcast(hot), key), "hot-matches")
-    return rows.join(F.broadcast(picked), key).unionByName(
-        rows.join(F.broadcast(hot), key, "left_anti").join(one, key))
+    of_hot = rows if how == "inner" else rows.join(F.broadcast(hot), key, "left_semi")
+    return of_hot.join(F.broadcast(picked), key, how).unionByName(
+        rows.join(F.broadcast(hot), key, "left_anti").join(one, key, how))
 
 
 def without(df: DataFrame, names: Iterable[str]) -> DataFrame:

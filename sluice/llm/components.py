@@ -18,8 +18,8 @@ def components(links: DataFrame) -> DataFrame:
 
     Alternating large-star and small-star steps (Kiveris et al., 2014): every node's
     neighbours are tied to the least node around it until each component is one star.
-    A step is an aggregate with map-side combining and a join with its one row per node,
-    so a hub's links are spread, not gathered. Every round is written to the shared
+    A step is an aggregate with map-side combining and a join with its one row per node.
+    That join is shuffled by node: a hub's links meet in one task. Every round is written to the shared
     checkpoint folder; the driver sees two numbers a round. Null ends and links of a node
     to itself count for nothing; an empty table has no components.
     """

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import let, save
+from sluice.llm.common import join_one, let, save
 from sluice.llm.tokens import BATCH_BYTES
 
 # HTML's element kinds, and the words that mark boilerplate.
@@ -282,9 +282,9 @@ def extract_text(pages: DataFrame, html: str = "html", url: str = "url", out: st
     read = save(read.withColumn("row", F.monotonically_increasing_id()), "page-blocks")
     template = save(recurring_subtrees(read.select("host", "main_text", "subtrees"), min_pages, min_share), "template-subtrees")
     may_change = F.size("subtrees") > 0
-    owned = read.filter(may_change).select("row", "host", F.explode("subtrees").alias("owner"))
-    template = template.withColumnRenamed("host", "of")
-    hit = owned.join(template, (F.col("owner") == F.col("subtree")) & F.col("host").eqNullSafe(F.col("of"))).groupBy(
+    site = F.coalesce("host", F.lit("")).alias("site")  # no host is empty
+    owned = read.filter(may_change).select("row", site, F.explode("subtrees").alias("subtree"))
+    hit = join_one(owned, template.select(site, "subtree"), ["site", "subtree"]).groupBy(
         F.col("row").alias("hit_row")).agg(F.collect_set("subtree").alias("hit"))
     names = [f"c{i}" for i in range(len(keep))]
     plain = read.filter(~may_change).select(*names, _main_text(F.col("blocks")).alias("text"))

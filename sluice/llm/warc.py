@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm.common import save
+from sluice.llm.common import join_one, save
 from sluice.llm.files import open_read, open_write, read_range
 from sluice.sources.scratch import scratch_path
 
@@ -79,10 +79,10 @@ def record_types(pages: DataFrame, least_bytes: int = 1000) -> DataFrame:
     large = sized.filter(F.col("size") >= least_bytes).groupBy(F.col("digest").alias("of")).agg(
         F.max("page").alias("response"), F.min("page").alias("least"), F.count("page").alias("ids"), F.count(F.lit(1)).alias("rows"))
     repeated = save(large.filter((F.col("response") > F.col("least")) | (F.col("ids").between(1, F.col("rows") - 1))).select("of", "response"), "repeated-digests")
-    if repeated.count() <= MAX_BROADCAST_DIGESTS:
-        repeated = F.broadcast(repeated)
+    repeated, few = repeated.withColumnRenamed("of", "digest"), repeated.count() <= MAX_BROADCAST_DIGESTS
+    joined = sized.join(F.broadcast(repeated), "digest", "left") if few else join_one(sized, repeated, ["digest"], how="left")
     same = F.col("page").eqNullSafe(F.col("response"))
-    return sized.join(repeated, F.col("digest") == F.col("of"), "left").select(
+    return joined.select(
         "page", "url", "html", "digest", F.when(~same, F.col("response")).alias("refers_to"))
 
 
@@ -352,9 +352,8 @@ def archive_round_trip(spark: SparkSession, pages: DataFrame, page: str = "page_
     read = save(read.select("page", "record_type", "digest", "refers_to", F.octet_length("payload").cast("long").alias("payload_bytes"),
                             F.sha1("payload").alias("payload_digest")), "records-read")
     whole = read.filter("record_type = 'response'").select(
-        F.col("page").alias("of"), "payload_digest", "payload_bytes").dropDuplicates(["of", "payload_digest"])
+        F.col("page").alias("refers_to"), F.col("payload_digest").alias("digest"), "payload_digest", "payload_bytes").dropDuplicates(["refers_to", "digest"])
     own = read.filter("record_type = 'response'").select("page", "payload_bytes", "payload_digest", "record_type", "refers_to")
-    others = read.filter("record_type = 'revisit'").drop("payload_bytes", "payload_digest").join(
-        whole, (F.col("refers_to") == F.col("of")) & (F.col("digest") == F.col("payload_digest")), "left").select(
+    others = join_one(read.filter("record_type = 'revisit'").drop("payload_bytes", "payload_digest"), whole, ["refers_to", "digest"], how="left").select(
         "page", "payload_bytes", "payload_digest", "record_type", "refers_to")
     return own.unionByName(others)

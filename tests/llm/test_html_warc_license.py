@@ -136,6 +136,29 @@ def test_a_lookup_opens_few_blocks_of_a_url_with_most_rows(spark, monkeypatch):
     assert {int(r.page): r["count"] for r in found} == {i: 3 if i == 7 else 1 for i in range(400)}
 
 
+def test_hot_digests_and_boxes_are_joined_apart(spark, monkeypatch):
+    from functools import partial
+
+    from sluice.llm import common
+    from sluice.llm import html_extract as H
+
+    hot, saved = [], common.save
+    monkeypatch.setattr(common, "save", lambda df, name: hot.append((name, df.count())) or saved(df, name))
+    rows = [(i, f"http://a.com/{i}", ("é" * 600 if i % 3 else f"{i // 9}" * 1200) if i % 2 else None) for i in range(60)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    want = sorted(map(str, W.archive_round_trip(spark, df).collect()))
+    assert not hot
+    monkeypatch.setattr(W, "MAX_BROADCAST_DIGESTS", 0)
+    monkeypatch.setattr(W, "join_one", partial(common.join_one, hot_rows=5))
+    assert sorted(map(str, W.archive_round_trip(spark, df).collect())) == want
+    assert [x for x in hot if x[0] == "hot-keys"] == [("hot-keys", 2), ("hot-keys", 1)]  # the empty and the common page; revisits to the latter
+    hot.clear()
+    monkeypatch.setattr(H, "join_one", partial(common.join_one, hot_rows=5))
+    pages = [(i, None if i % 2 else "http://a.com/", f"<div>menu</div><p>text {i}</p>") for i in range(20)]
+    got = {r.page_id: r.text for r in extract_text(spark.createDataFrame(pages, "page_id int, url string, html string")).collect()}
+    assert got == {i: f"text {i}" for i in range(20)} and ("hot-keys", 2) in hot
+
+
 MIT = '''/*
  * The MIT License (MIT)
  *
