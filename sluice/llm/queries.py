@@ -13,6 +13,7 @@ from sluice.llm.lattice_dedup import near_vectors
 from sluice.llm.license_rules import scan
 from sluice.llm.packing import cut_pieces, pack
 from sluice.llm.quality_rules import quality_rules
+from sluice.llm.ranked_search import ranked_search
 from sluice.llm.simhash_dedup import near_duplicates
 from sluice.llm.suffix_dedup import remove_repeats
 from sluice.llm.warc import archive_round_trip
@@ -95,7 +96,34 @@ def op10_suffix_dedup(spark, d):
         F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_ranked_search(spark, d):
+    docs = _t(spark, d, "documents").select("doc_id", "text")
+    items = _t(spark, d, "benchmark").select("item_id", "text")
+    return ranked_search(docs, items).select("item_id", "rank", F.col("doc_id").cast("long").alias("doc_id"), "score")
+
+
 ORACLES = {
+    "op11_ranked_search": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM documents),
+q AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+n AS (SELECT r, doc_id, len(ws)::BIGINT AS n FROM d WHERE len(ws) > 0),
+c AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS terms FROM n),
+p AS (
+  SELECT r, term, count(*)::BIGINT AS tf FROM (SELECT r, unnest(ws) AS term FROM d)
+  WHERE term IN (SELECT term FROM q) GROUP BY r, term),
+w AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM p, c GROUP BY term, docs),
+s AS (
+  SELECT item_id, r, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // terms))))::BIGINT AS score
+  FROM q JOIN w USING (term) JOIN p USING (term) JOIN n USING (r), c GROUP BY item_id, r),
+k AS (SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank
+      FROM s JOIN n USING (r) WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM k WHERE rank <= 50
+""",
     "op4_warc": """
 WITH p AS (
   SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
@@ -153,7 +181,7 @@ FROM b JOIN bad ON b.source IS NOT DISTINCT FROM bad.source
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_html_extract, op2_quality_rules, op3_packing, op4_warc, op5_lattice_dedup, op6_bpe, op7_chat_format, op8_simhash_dedup, op9_license_rules, op10_suffix_dedup)}
+    return {f.__name__: f for f in (op1_html_extract, op2_quality_rules, op3_packing, op4_warc, op5_lattice_dedup, op6_bpe, op7_chat_format, op8_simhash_dedup, op9_license_rules, op10_suffix_dedup, op11_ranked_search)}
 
 
 def oracle_sql() -> dict[str, str]:
