@@ -17,6 +17,7 @@ from sluice.llm.ranked_search import ranked_search
 from sluice.llm.simhash_dedup import near_duplicates
 from sluice.llm.suffix_dedup import remove_repeats
 from sluice.llm.warc import archive_round_trip
+from sluice.llm.whitening import whiten
 
 #: The vocabulary file of the contracts; every operator takes its path as a parameter.
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -102,6 +103,10 @@ def op11_ranked_search(spark, d):
     return ranked_search(docs, items).select("item_id", "rank", F.col("doc_id").cast("long").alias("doc_id"), "score")
 
 
+def op12_embedding_whitening(spark, d):
+    return whiten(_t(spark, d, "embeddings").select("vec_id", "embedding"))
+
+
 ORACLES = {
     "op11_ranked_search": r"""
 WITH d AS (
@@ -181,7 +186,7 @@ FROM b JOIN bad ON b.source IS NOT DISTINCT FROM bad.source
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_html_extract, op2_quality_rules, op3_packing, op4_warc, op5_lattice_dedup, op6_bpe, op7_chat_format, op8_simhash_dedup, op9_license_rules, op10_suffix_dedup, op11_ranked_search)}
+    return {f.__name__: f for f in (op1_html_extract, op2_quality_rules, op3_packing, op4_warc, op5_lattice_dedup, op6_bpe, op7_chat_format, op8_simhash_dedup, op9_license_rules, op10_suffix_dedup, op11_ranked_search, op12_embedding_whitening)}
 
 
 def oracle_sql() -> dict[str, str]:
