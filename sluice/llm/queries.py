@@ -16,6 +16,7 @@ from sluice.llm.quality_rules import quality_rules
 from sluice.llm.ranked_search import ranked_search
 from sluice.llm.simhash_dedup import near_duplicates
 from sluice.llm.suffix_dedup import remove_repeats
+from sluice.llm.toxicity import held_out, learn, score_documents
 from sluice.llm.warc import archive_round_trip
 from sluice.llm.whitening import whiten
 
@@ -107,6 +108,12 @@ def op12_embedding_whitening(spark, d):
     return whiten(_t(spark, d, "embeddings").select("vec_id", "embedding"))
 
 
+def op13_toxicity(spark, d):
+    docs = _t(spark, d, "documents").select("doc_id", "text")
+    grammar = learn(docs, _t(spark, d, "labels").select("doc_id", "toxic"))
+    return score_documents(docs, grammar).select("doc_id", held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
 ORACLES = {
     "op11_ranked_search": r"""
 WITH d AS (
@@ -186,7 +193,7 @@ FROM b JOIN bad ON b.source IS NOT DISTINCT FROM bad.source
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_html_extract, op2_quality_rules, op3_packing, op4_warc, op5_lattice_dedup, op6_bpe, op7_chat_format, op8_simhash_dedup, op9_license_rules, op10_suffix_dedup, op11_ranked_search, op12_embedding_whitening)}
+    return {f.__name__: f for f in (op1_html_extract, op2_quality_rules, op3_packing, op4_warc, op5_lattice_dedup, op6_bpe, op7_chat_format, op8_simhash_dedup, op9_license_rules, op10_suffix_dedup, op11_ranked_search, op12_embedding_whitening, op13_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
