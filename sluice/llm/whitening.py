@@ -46,7 +46,7 @@ SCALE = 256
 NODES = 8
 #: Eigenvalues of one interval, unless they lie closer together than intervals are cut.
 PER_INTERVAL = 16
-MAX_ROUNDS = 20
+MAX_ROUNDS = 60
 #: A component's eigenvalue is over this share of the covariance's trace, else it is rounding.
 LEAST_SHARE = 1e-12
 _LIMIT = 1 << 62
@@ -159,18 +159,28 @@ def count_above(a: np.ndarray, shift: float) -> int:
 
 def intervals(a: np.ndarray, wanted: int, per_interval: int = PER_INTERVAL) -> list[tuple[float, float, int]]:
     """(low, high, eigenvalues) of intervals that together hold at least the ``wanted`` largest eigenvalues."""
-    top = float(np.abs(a).sum(axis=1).max()) * (1 + 1e-9)  # Gershgorin
-    low, high = -0.01 * top, top
-    while high - low > 1e-9 * top:
-        middle = (low + high) / 2
-        n = count_above(a, middle)
-        low, high = (middle, high) if n >= wanted else (low, middle)
-        if n == wanted:
-            break
+    bound = float(np.abs(a).sum(axis=1).max())  # Gershgorin
+    step = 1e-7 * bound
+
+    def place(n: int) -> float:
+        """Where the ``n``-th largest eigenvalue lies, from above, by bisection."""
+        low, high = -bound - step, bound + step
+        while high - low > step:
+            middle = (low + high) / 2
+            low, high = (middle, high) if count_above(a, middle) >= n else (low, middle)
+        return high
+
+    # The lowest edge goes into the widest gap close below the wanted ones: near an eigenvalue a contour separates badly.
+    near = [place(n) for n in range(wanted, min(len(a), wanted + 8) + 1)]
+    near.append(near[-1] - bound if wanted + 8 >= len(a) else near[-1])
+    gaps = [x - y for x, y in zip(near, near[1:])]
+    widest = gaps.index(max(gaps))
+    low = near[widest] - max(gaps[widest] / 2, 2 * step)
+    top = place(1) + 0.05 * (near[0] - low) + 2 * step
     todo, done = [(low, top, count_above(a, low), 0)], []
     while todo:
         low, high, over_low, over_high = todo.pop()
-        if over_low - over_high <= per_interval or high - low <= 1e-6 * top:
+        if over_low - over_high <= per_interval or high - low <= 4 * step:
             if over_low > over_high:
                 done.append((low, high, over_low - over_high))
             continue
@@ -210,7 +220,7 @@ def leading_pairs(spark: SparkSession, a: np.ndarray, wanted: int, per_interval:
     scale = float(np.abs(a).sum(axis=1).max())
     todo = intervals(a, wanted, per_interval)
     blocks = [rng.standard_normal((dim, min(dim, n + max(4, n // 2)))) for _, _, n in todo]
-    for _ in range(MAX_ROUNDS):
+    for rounds in range(1, MAX_ROUNDS + 1):
         blocks = _filtered(spark, a, [((low + high) / 2, (high - low) / 2) for low, high, _ in todo], blocks)
         left = []
         for (low, high, n), block in zip(todo, blocks):
@@ -223,8 +233,9 @@ def leading_pairs(spark: SparkSession, a: np.ndarray, wanted: int, per_interval:
             if inside.sum() == n:
                 found.append(vectors[:, inside])
             else:
-                left.append(((low, high, n), vectors if vectors.shape[1] > n else np.hstack(
-                    [vectors, rng.standard_normal((dim, min(dim, 2 * n + 4) - vectors.shape[1]))])))
+                # Every fifth round, or where the block can't hold what inertia counts, it grows by half.
+                grown = min(dim, max(n + 4, vectors.shape[1] * 3 // 2)) if rounds % 5 == 0 or vectors.shape[1] <= n else vectors.shape[1]
+                left.append(((low, high, n), np.hstack([vectors, rng.standard_normal((dim, max(0, grown - vectors.shape[1])))])))
         todo, blocks = [x for x, _ in left], [y for _, y in left]
         if not todo:
             break
