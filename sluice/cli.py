@@ -50,7 +50,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("dataset", nargs="?", choices=list(CLINICAL_SPECS), help="dataset for the clean step")
     ap.add_argument("--root", default="data", help="folder (or URI) holding landing/raw/cleaned/data_quality")
     ap.add_argument("--parallel", type=int, default=1, help="datasets processed concurrently")
-    ap.add_argument("--preview", action="store_true", help="show distinct values and sample rows after cleaning")
+    ap.add_argument("--preview", action="store_true", help="show distinct values before and after cleaning, and sample rows")
     ap.add_argument("--seed", type=int, default=42)
     args = ap.parse_args(argv)
 
@@ -83,6 +83,10 @@ def main(argv: list[str] | None = None) -> None:
         if not args.dataset:
             ap.error("clean needs a dataset")
         spec = specs[args.dataset]
+        if args.preview:
+            raw = read_parquet(spark, layers.raw(spec.name))
+            for column in spec.cleaners:
+                _show(f"Distinct {column} values before cleaning:", distinct_values(raw, column).orderBy(column))
         before, after = clean_dataset(spark, spec, layers)
         print(f"Rows before dedup: {before}\nRows after dedup: {after}")
         if args.preview:

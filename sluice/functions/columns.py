@@ -14,8 +14,9 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DateType, NumericType
 
 ColumnOrName = Column | str
 
@@ -184,15 +185,18 @@ def starts_with(c: ColumnOrName, prefix: str) -> Column:
     return F.coalesce(F.startswith(col_of(c), F.lit(prefix)), F.lit(False))
 
 
-def key_text(keys: Sequence[ColumnOrName]) -> Column:
+def key_text(keys: Sequence[ColumnOrName], df: DataFrame | None = None) -> Column:
     """Record id text for a key: the value itself, or parts joined by ``|``.
 
     In a composite key a null part is ``\\N`` and a backslash or ``|`` within a
     part stands behind a backslash, so the id is never null and no two keys
-    share one.
+    share one. With ``df``, the frame the id is made for, only its text parts are
+    searched for them: numbers and dates hold neither.
     """
-    cols = [col_of(k).cast("string") for k in keys]
+    cols = [col_of(k) for k in keys]
     if len(cols) == 1:
-        return cols[0]
-    parts = [F.coalesce(F.regexp_replace(c, r"([\\|])", r"\\$1"), F.lit("\\N")) for c in cols]
-    return F.concat_ws("|", *parts)
+        return cols[0].cast("string")
+    kinds = [f.dataType for f in df.select(*cols).schema.fields] if df is not None else [None] * len(cols)
+    plain = (NumericType, BooleanType, DateType)
+    texts = [c.cast("string") if isinstance(k, plain) else F.regexp_replace(c.cast("string"), r"([\\|])", r"\\$1") for c, k in zip(cols, kinds)]
+    return F.concat_ws("|", *[F.coalesce(t, F.lit("\\N")) for t in texts])

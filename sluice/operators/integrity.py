@@ -25,11 +25,11 @@ per map task) and anti-joined with the distinct parent keys: only distinct
 keys cross the shuffle, on both sides. The missing keys, with their child row
 counts, are checkpointed (computed once, lineage cut) and counted. Up to
 ``max_broadcast_keys`` of them are broadcast and the child is semi-joined in a
-map-only scan. A larger set is split: missing keys with more than
-``hot_key_rows`` child rows (at most child rows / ``hot_key_rows`` keys,
-counted before they are broadcast) are matched map-only as above; the rest go
-through a shuffled semi-join in which no key holds more than ``hot_key_rows``
-rows.
+map-only scan. A larger set is joined by ``skew.join_unique``: the hottest
+missing keys, as many as fit the bounds, are matched map-only; other keys with
+more than ``hot_key_rows`` child rows are salted over several buckets, however
+many they are; the rest go through a plain shuffled semi-join. No task holds
+more than about ``hot_key_rows`` rows of one key.
 
 ``strategy="direct"``: the plain one-job ``left_anti`` join on the parent's
 key column, as written by hand; Spark and AQE pick the physical join. It runs
@@ -44,21 +44,12 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (
-    BinaryType,
-    BooleanType,
-    DataType,
-    DateType,
-    DecimalType,
-    NumericType,
-    StringType,
-    TimestampNTZType,
-    TimestampType,
-)
+from pyspark.sql.types import StringType
 
 from sluice.functions.columns import ColumnOrName, key_text
 from sluice.operators import issues as I
 from sluice.operators.rules import RowRule
+from sluice.operators.skew import join_unique, key_size
 from sluice.sources.scratch import materialize
 
 # Keys per broadcast join, and bytes of their values: both bound a set that is
@@ -148,33 +139,6 @@ def _comparable(child: DataFrame, fks: list[str], parent: DataFrame, pks: list[s
     return left, right
 
 
-def key_size(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
-    """Rows, and bytes of the key columns: widths for fixed-width types (rows come from
-    Parquet footers for a scan), measured text lengths for others."""
-    fixed, measured = 0, []
-    for k in keys:
-        kind = df.schema[k].dataType
-        width = fixed_width(kind)
-        if width is None:
-            c = F.col(k) if isinstance(kind, (StringType, BinaryType)) else F.to_json(F.struct(k))
-            measured.append(F.coalesce(F.sum(F.octet_length(c)), F.lit(0)))
-            width = 16  # place and length of a variable value
-        fixed += width
-    if not measured:
-        rows, extra = df.count(), 0
-    else:
-        rows, *lengths = df.agg(F.count(F.lit(1)), *measured).first()
-        extra = sum(lengths)
-    return rows, rows * fixed + extra
-
-
-def fixed_width(kind: DataType) -> int | None:
-    """Bytes of a value in a row, None for variable-width types."""
-    if isinstance(kind, DecimalType):
-        return 16
-    return 8 if isinstance(kind, (NumericType, BooleanType, DateType, TimestampType, TimestampNTZType)) else None
-
-
 def parent_key_set(
     parent: DataFrame,
     parent_key: str | Sequence[str],
@@ -213,17 +177,8 @@ def _missing_key_rows(
         return keyed.where(F.lit(False))
     if small(missing):
         return keyed.join(F.broadcast(missing.select(*fks)), on=fks, how="left_semi")
-    hot = missing.where(F.col("__rows") > hot_key_rows).select(*fks)
-    cold = missing.where(F.col("__rows") <= hot_key_rows).select(*fks)
-    if hot.isEmpty():
-        return keyed.join(cold, on=fks, how="left_semi")
-    if not small(hot):
-        # Only when hot_key_rows is far below rows / max_broadcast_keys.
-        return keyed.join(missing.select(*fks), on=fks, how="left_semi")
-    hot_b = F.broadcast(hot)
-    hot_rows = keyed.join(hot_b, on=fks, how="left_semi")
-    cold_rows = keyed.join(hot_b, on=fks, how="left_anti").join(cold, on=fks, how="left_semi")
-    return hot_rows.unionByName(cold_rows)
+    hot = missing.where(F.col("__rows") > hot_key_rows)
+    return join_unique(keyed, missing.select(*fks), fks, "left_semi", hot, hot_key_rows, max_broadcast_keys, max_broadcast_bytes)
 
 
 def foreign_key_issues(
@@ -294,7 +249,7 @@ def fused_foreign_key_issues(
     broken = F.array(*[F.when(p, F.lit(i)) for i, p in enumerate(failed)])
     hits = (
         df.where(reduce(lambda a, b: a | b, failed))
-        .select(key_text(list(record_id)).alias("__rid"), F.explode(broken).alias("__rule"))
+        .select(key_text(list(record_id), child).alias("__rid"), F.explode(broken).alias("__rule"))
         .where(F.col("__rule").isNotNull())
     )
     idx = F.col("__rule")

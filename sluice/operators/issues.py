@@ -62,7 +62,7 @@ def to_issues(
 ) -> DataFrame:
     """Project offending rows of ``df`` onto the issue schema."""
     keys = [record_id] if isinstance(record_id, (str, Column)) else list(record_id)
-    return df.select(*issue_fields(dataset, key_text(keys), field, issue_type, description, severity))
+    return df.select(*issue_fields(dataset, key_text(keys, df), field, issue_type, description, severity))
 
 
 def empty_issues(spark: SparkSession) -> DataFrame:

@@ -31,13 +31,17 @@ from pyspark.sql.types import (
 _FIXED_WIDTH = (IntegralType, DoubleType, FloatType, BooleanType, DateType, TimestampType, TimestampNTZType)
 
 from sluice.functions.columns import ColumnOrName, col_of
-from sluice.operators.integrity import DEFAULT_MAX_BROADCAST_BYTES, key_size
+from sluice.operators.integrity import DEFAULT_MAX_BROADCAST_BYTES
+from sluice.operators.skew import KeyFilter, join_unique, key_size
 from sluice.sources.scratch import materialize
 
 
 # Hashes of duplicated keys up to this many (16 bytes each) are broadcast so that
-# only their rows are aggregated (the set is counted first).
+# only their rows are aggregated (the set is counted first). More of them go into a
+# filter of that size.
 DEFAULT_MAX_DUPLICATE_KEYS = 2_000_000
+# A filter that would let more than this share of unique rows pass is not worth its job.
+MAX_FALSE_SHARE = 0.5
 # Below this many rows one full aggregate is cheaper than the extra jobs of
 # the duplicated-only plan (a shuffle of 10M rows takes seconds).
 DEFAULT_SMALL_ROWS = 10_000_000
@@ -70,8 +74,13 @@ def dedup(
     none, ``df`` comes back as it is. With at most ``max_duplicate_keys`` (16
     bytes each), rows of other hashes have unique keys and pass map-only past
     the broadcast set; only the rest, null-key rows among them, goes through
-    the aggregate, which compares full keys. More hashes than that, or
-    ``strategy="shuffle"``, aggregate every row; ``strategy="duplicated"``
+    the aggregate, which compares full keys. More hashes than that become a
+    ``skew.KeyFilter`` of at most ``max_duplicate_keys`` words (16 bytes each,
+    64 bits of filter), built per task and merged: rows it does not mark have
+    unique keys and stay where they are, a few unique rows pass along with
+    the repeated ones. Every row is aggregated only where the filter would let
+    over half of the unique rows pass (about 44 recurring hashes a word) or with
+    ``strategy="shuffle"``; ``strategy="duplicated"``
     skips the row count. ``duplicated`` passes a ready ``duplicated_keys``
     result (shared with the unique-key rule) and implies that plan.
     """
@@ -104,14 +113,19 @@ def _dedup_duplicated_only(df, keys, order_by, keep, count_col, max_duplicate_ke
         dup = dup.where(F.col("__n") > 1).select("__hash")
     dup = materialize(dup)
     n_dup = dup.count()
-    if n_dup > max_duplicate_keys:
-        return _dedup_all(df, keys, order_by, keep, count_col)
     # One map-only pass marks the rows to aggregate: a hash that recurs, or a
     # null in the key (one group per null pattern; a hot one collapses in the
     # partial aggregation before the shuffle).
-    marked = df.withColumn("__hash", key_hash).join(
-        F.broadcast(dup.withColumn("__again", F.lit(True))), "__hash", "left")
-    again = any_null | F.col("__again").isNotNull()
+    hashed = df.withColumn("__hash", key_hash)
+    if n_dup > max_duplicate_keys:
+        recurring = KeyFilter(dup, ["__hash"], n_dup, max_duplicate_keys)
+        if recurring.false_share > MAX_FALSE_SHARE:
+            return _dedup_all(df, keys, order_by, keep, count_col)
+        marked = recurring.mark(hashed, "__again")
+        again = any_null | F.col("__again")
+    else:
+        marked = hashed.join(F.broadcast(dup.withColumn("__again", F.lit(True))), "__hash", "left")
+        again = any_null | F.col("__again").isNotNull()
     singles = marked.where(~again).select(
         *df.columns, *([F.lit(1).cast("long").alias(count_col)] if count_col else []))
     rest = marked.where(again).select(*df.columns)
@@ -189,10 +203,11 @@ def lookup_first(
       larger parent, up to that many deduplicated rows, checkpointed and
       measured) it is broadcast and the lookup is map-only (the child never
       moves);
-    - a larger parent is joined with a shuffle, except for child keys with
-      more than ``hot_key_rows`` rows (counted map-side first; at most
-      child rows / ``hot_key_rows`` of them): their parent rows are broadcast
-      and matched map-only, so no task receives a hot key.
+    - a larger parent is joined with a shuffle by ``skew.join_unique``: of child
+      keys with more than ``hot_key_rows`` rows (counted map-side first), the
+      hottest that fit the bounds are matched map-only against their broadcast
+      parent rows; the others are salted over several buckets, each with a copy
+      of the parent row. So no task receives a hot key, however many there are.
 
     Null child keys never enter a shuffle.
     """
@@ -225,16 +240,9 @@ def lookup_first(
         *[F.lit(None).cast(types[c]).alias(c) for c in columns],
     )
     hot = materialize(
-        keyed.groupBy(*ck).agg(F.count(F.lit(1)).alias("__rows"))
-        .where(F.col("__rows") > hot_key_rows).select(*ck)
+        keyed.groupBy(*ck).agg(F.count(F.lit(1)).alias("__rows")).where(F.col("__rows") > hot_key_rows)
     )
-    hot_parent = materialize(one.join(hot, on=ck, how="left_semi"))
-    if hot.isEmpty() or not small(hot) or not small(hot_parent):
-        return keyed.join(one, on=ck, how="left").unionByName(unkeyed)
-    hot_b = F.broadcast(hot)
-    hot_rows = keyed.join(hot_b, on=ck, how="left_semi").join(F.broadcast(hot_parent), on=ck, how="left")
-    cold_rows = keyed.join(hot_b, on=ck, how="left_anti").join(one, on=ck, how="left")
-    return hot_rows.unionByName(cold_rows).unionByName(unkeyed)
+    return join_unique(keyed, one, ck, "left", hot, hot_key_rows, max_broadcast_rows, max_broadcast_bytes).unionByName(unkeyed)
 
 
 def lookup_constant(

@@ -149,7 +149,7 @@ def row_rule_issues(
     """
     if not rules:
         raise ValueError("no row rules")
-    rid = key_text(list(record_id))
+    rid = key_text(list(record_id), df)
     if len(rules) == 1:
         r = rules[0]
         return df.where(r.predicate()).select(
@@ -201,7 +201,7 @@ def unique_issues(df: DataFrame, dataset: str, rule: UniqueRule) -> DataFrame:
     """One DUPLICATE_RECORD issue per repeated key value."""
     dups = duplicate_keys(df, list(rule.keys))
     return dups.select(
-        *I.issue_fields(dataset, key_text(list(rule.keys)), rule.field, I.DUPLICATE_RECORD, rule.text(), rule.severity)
+        *I.issue_fields(dataset, key_text(list(rule.keys), dups), rule.field, I.DUPLICATE_RECORD, rule.text(), rule.severity)
     )
 
 

@@ -26,7 +26,9 @@ from sluice.functions.columns import (
     round_half_even,
     starts_with,
 )
+from sluice.operators.integrity import DEFAULT_HOT_KEY_ROWS, DEFAULT_MAX_BROADCAST_BYTES
 from sluice.operators.keys import distinct_keys, lookup_constant, lookup_first
+from sluice.operators.skew import join_unique, key_size
 from sluice.sources.scratch import materialize
 
 # Sizes and value domains of the generated tables.
@@ -95,8 +97,8 @@ DUPLICATED = {
     "medications": ["M000045"],
 }
 
-# Parents up to this many rows are broadcast to their children (the count is
-# taken before the join).
+# Parents up to this many rows, and within the byte bound of the other broadcasts,
+# are broadcast to their children (both are measured before the join).
 BROADCAST_PARENT_ROWS = 1_000_000
 _TWO_53 = float(2**53)
 
@@ -156,18 +158,36 @@ def sample_parent(
     parent: DataFrame,
     pick: Callable[[Column], Column],
     parent_order: Sequence[str] = (),
+    max_broadcast_rows: int = BROADCAST_PARENT_ROWS,
+    max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
+    hot_pick_rows: int = DEFAULT_HOT_KEY_ROWS,
 ) -> DataFrame:
     """Each child row joined to the parent row at index ``pick(n)`` (0-based).
 
     ``pick`` receives the parent row count and returns the index expression
     over child columns, e.g. ``lambda n: F.pmod(F.xxhash64("id"), n)``. A child
-    whose index is null or out of range keeps nulls.
+    whose index is null or out of range keeps nulls; so does every child of an
+    empty parent (``pick`` is not called).
+
+    A parent within ``max_broadcast_rows`` and ``max_broadcast_bytes``
+    (measured) is broadcast. A larger one is joined on its dense index: a child row
+    without a pick in 0..n-1 never enters the shuffle, and picks with more than ``hot_pick_rows`` child rows are matched map-only or salted (``skew.join_unique``).
     """
     numbered, n = index_rows(parent, parent_order, "__pick")
+    columns = [c for c in numbered.columns if c != "__pick"]
+    types = dict(numbered.dtypes)
+    nulls = [F.lit(None).cast(types[c]).alias(c) for c in columns]
     if n == 0:
-        raise ValueError("no parent rows to sample")
-    side = F.broadcast(numbered) if n <= BROADCAST_PARENT_ROWS else numbered
-    return child.withColumn("__pick", pick(F.lit(n))).join(side, "__pick", "left").drop("__pick")
+        return child.select(*child.columns, *nulls)
+    picked = child.withColumn("__pick", pick(F.lit(n)).cast("long"))
+    rows, size = key_size(numbered, columns)
+    if rows <= max_broadcast_rows and size <= max_broadcast_bytes:
+        return picked.join(F.broadcast(numbered), "__pick", "left").drop("__pick")
+    inside = F.coalesce((F.col("__pick") >= 0) & (F.col("__pick") < n), F.lit(False))
+    asking, idle = picked.where(inside), picked.where(~inside).select(*child.columns, *nulls)
+    hot = materialize(asking.groupBy("__pick").agg(F.count(F.lit(1)).alias("__rows")).where(F.col("__rows") > hot_pick_rows))
+    found = join_unique(asking, numbered, ["__pick"], "left", hot, hot_pick_rows, max_broadcast_rows, max_broadcast_bytes)
+    return found.drop("__pick").unionByName(idle)
 
 
 def inject(df: DataFrame, key: str, defects: Mapping[str, Mapping[str, object]]) -> DataFrame:

@@ -1,15 +1,18 @@
 """Reading and writing the storage layers.
 
 Landing is CSV with a header; raw, cleaned and data-quality layers are
-Parquet. Every write is a full overwrite of its folder.
+Parquet. Every write replaces its folder as a whole: it goes to a hidden sibling first
+and takes the folder's place once it is complete, so a job that fails leaves the
+old table, and a job may read the table it replaces.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql.types import StructType
 
 
@@ -84,28 +87,86 @@ def read_csv(
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
+    """A Parquet folder. One whose writer died while it was being replaced is the old table again."""
+    _recover(spark, path)
     return spark.read.parquet(path)
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Overwrite a Parquet folder (optionally partitioned by columns)."""
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    """Replace a Parquet folder (optionally partitioned by columns) once ``df`` is written whole."""
+
+    def save(writer: DataFrameWriter, to: str) -> None:
+        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(to)
+
+    replace(df, path, save)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """Overwrite a CSV folder with a header row; null cells are written empty.
+    """Replace a CSV folder with a header row; null cells are written empty.
 
     Values are written as they are: Spark's CSV writer trims leading and
     trailing spaces unless told not to, which would clean padded codes before
     the cleaners ever see them.
     """
-    (
-        df.write.mode("overwrite")
-        .option("header", True)
+    replace(df, path, lambda writer, to: (
+        writer.option("header", True)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
-        .csv(path)
-    )
+        .csv(to)
+    ))
+
+
+def replace(df: DataFrame, path: str, save: Callable[[DataFrameWriter, str], None]) -> None:
+    """Write ``df`` to a hidden sibling of ``path`` and, once that is whole, publish it there.
+
+    One writer a folder. Publishing is two renames (the old folder aside, the new one in
+    place), atomic each on HDFS and local disks; between the two the folder is missing, and the
+    next ``read_parquet`` or ``replace`` puts the old one back. An object store copies on rename;
+    use a table format there if tables are large. Without a driver JVM (Spark Connect)
+    the folder is overwritten in place.
+    """
+    spark = df.sparkSession
+    fs = _files(spark, path)
+    if fs is None:
+        save(df.write.mode("overwrite"), path)
+        return
+    _recover(spark, path)
+    files, at = fs
+    final, staged, aside = at(path), _sibling(path, f"new-{uuid.uuid4().hex[:12]}"), _sibling(path, "old")
+    try:
+        save(df.write.mode("errorifexists"), staged)
+    except BaseException:
+        files.delete(at(staged), True)
+        raise
+    files.delete(at(aside), True)  # left by a writer that died behind its second rename
+    if files.exists(final) and not files.rename(final, at(aside)):
+        raise OSError(f"could not set {path} aside")
+    if not files.rename(at(staged), final):
+        files.rename(at(aside), final)
+        raise OSError(f"could not publish {path}")
+    files.delete(at(aside), True)
+
+
+def _sibling(path: str, kind: str) -> str:
+    """A name beside ``path`` that Spark's readers of the parent folder skip."""
+    parent, _, name = path.rstrip("/").rpartition("/")
+    return f"{parent}/_{name}.{kind}" if parent else f"_{name}.{kind}"
+
+
+def _files(spark: SparkSession, path: str):
+    """The file system of ``path`` and a maker of its paths; None under Spark Connect."""
+    try:
+        sc = spark.sparkContext
+    except Exception:
+        return None
+    at = sc._jvm.org.apache.hadoop.fs.Path
+    return at(path).getFileSystem(sc._jsc.hadoopConfiguration()), at
+
+
+def _recover(spark: SparkSession, path: str) -> None:
+    fs = _files(spark, path)
+    if fs is not None:
+        files, at = fs
+        aside = at(_sibling(path, "old"))
+        if not files.exists(at(path)) and files.exists(aside):
+            files.rename(aside, at(path))

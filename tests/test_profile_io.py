@@ -2,6 +2,9 @@
 
 import os
 
+import pytest
+from pyspark.sql import functions as F
+
 import sluice as S
 from sluice.plans.clinical import MEDICATIONS_SCHEMA, PATIENTS_SCHEMA
 
@@ -103,3 +106,52 @@ def test_profile_and_preview_of_empty_frames(spark):
     assert got == {"a": (0, 0, 0), "b": (0, 0, 0)}
     assert S.preview(empty, ["a"], 5).count() == 0
     assert S.preview(spark.range(3), ["id"], 10).count() == 3
+
+
+def test_exact_distinct_counts_of_every_type_without_expand(spark):
+    df = spark.createDataFrame(
+        [(1, 1.5, "a", b"x", True, [1, 2], None), (1, float("nan"), "b", b"x", None, [1], None), (2, float("nan"), "a", b"y", False, [1, 2], None),
+         (None, -0.0, None, None, True, None, None), (3, 0.0, "", b"", True, [], None)],
+        "i int, d double, s string, b binary, f boolean, l array<int>, n string")
+    df = df.withColumn("t", F.to_date(F.lit("2024-01-01")) + F.col("i")).withColumn("ts", F.col("t").cast("timestamp")).withColumn("dec", F.col("i").cast("decimal(20,3)"))
+    out = S.profile(df, distinct=df.columns)
+    got = {r.column_name: (r.null_count, r.distinct_count) for r in out.collect()}
+    assert got == {"i": (1, 3), "d": (0, 3), "s": (1, 3), "b": (1, 3), "f": (1, 2), "l": (1, 3), "n": (5, 0), "t": (1, 3), "ts": (1, 3), "dec": (1, 3)}
+    assert "Expand" not in out._jdf.queryExecution().optimizedPlan().toString()
+    some = {r.column_name: r.distinct_count for r in S.profile(df, distinct=["s"]).collect()}
+    assert some["s"] == 3 and some["i"] is None
+    empty = S.profile(df.limit(0), distinct=["s", "d"]).collect()
+    assert [(r.row_count, r.distinct_count) for r in empty if r.column_name in ("s", "d")] == [(0, 0), (0, 0)]
+
+
+def test_a_failed_write_leaves_the_old_table(spark, workdir):
+    path = f"{workdir}/layer/t"
+    S.write_parquet(spark.range(5), path)
+    bad = spark.range(100, numPartitions=4).select(F.when(F.col("id") == 77, F.raise_error(F.lit("killed")).cast("long")).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception, match="killed"):
+        S.write_parquet(bad, path)
+    assert sorted(r.id for r in S.read_parquet(spark, path).collect()) == [0, 1, 2, 3, 4]
+    assert sorted(os.listdir(f"{workdir}/layer")) == ["t"]
+    # A job may replace the table it reads.
+    S.write_parquet(S.read_parquet(spark, path).where("id > 2"), path)
+    assert S.read_parquet(spark, path).count() == 2
+
+
+def test_a_write_that_died_between_its_renames_is_undone(spark, workdir):
+    path = f"{workdir}/layer/t"
+    S.write_parquet(spark.range(5), path)
+    os.rename(path, f"{workdir}/layer/_t.old")
+    assert S.read_parquet(spark, path).count() == 5
+    os.rename(path, f"{workdir}/layer/_t.old")
+    S.write_parquet(spark.range(3), path, partition_by=[])
+    assert S.read_parquet(spark, path).count() == 3 and os.listdir(f"{workdir}/layer") == ["t"]
+
+
+def test_a_partitioned_table_and_csv_are_replaced_whole(spark, workdir):
+    path = f"{workdir}/p"
+    for n in (6, 4):
+        S.write_parquet(spark.range(n).withColumn("g", F.col("id") % 2), path, partition_by=["g"])
+        assert S.read_parquet(spark, path).count() == n
+    S.write_csv(spark.range(3), f"{workdir}/c")
+    S.write_csv(spark.range(2), f"{workdir}/c")
+    assert S.read_csv(spark, f"{workdir}/c").count() == 2

@@ -67,15 +67,24 @@ def test_all_tables_independent_of_partitioning(spark):
     assert {name: len(r) for name, r in got[0].items()} == {n: c + 1 for n, c in synth.SIZES.items()}
 
 
-def test_sample_parent_needs_rows(spark):
-    import pytest
-
-    with pytest.raises(ValueError):
-        synth.sample_parent(spark.range(3), spark.range(0), lambda n: F.col("id") % n)
+def test_sample_of_an_empty_parent_is_null(spark):
+    parent = spark.range(0).selectExpr("id", "cast(id as string) as name")
+    got = synth.sample_parent(spark.range(3).withColumnRenamed("id", "c"), parent, lambda n: F.col("c") % n)
+    assert sorted(tuple(r) for r in got.collect()) == [(0, None, None), (1, None, None), (2, None, None)]
     numbered, n = synth.index_rows(spark.range(0))
     assert n == 0 and numbered.count() == 0
 
 
+def test_sample_of_a_large_parent_matches_the_broadcast_plan(spark):
+    child = spark.range(0, 5000).selectExpr("id as c", "case when id % 3 = 0 then 7 when id % 5 = 0 then null when id % 7 = 0 then -1 else id end as i")
+    parent = spark.range(0, 900).selectExpr("id * 3 as pid")
+    pick = lambda n: F.col("i") % 1000
+    small = synth.sample_parent(child, parent, pick, ["pid"])
+    for bounds in ({"max_broadcast_rows": 10}, {"max_broadcast_rows": 0}, {"max_broadcast_bytes": 100}):
+        large = synth.sample_parent(child, parent, pick, ["pid"], hot_pick_rows=50, **bounds)
+        assert sorted(map(tuple, large.collect()), key=str) == sorted(map(tuple, small.collect()), key=str)
+
+
 def test_sample_parent_keeps_rows_without_a_pick(spark):
     child = spark.createDataFrame([(1, 0), (2, None), (3, 99)], "id long, i long")
     parent = spark.createDataFrame([("a",), ("b",)], "name string")
