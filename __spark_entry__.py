@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import os
 import sys
+import warnings
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -302,6 +303,14 @@ def q_fk_large_parent(spark, d):
                      max_broadcast_keys=20, hot_key_rows=100).select("o_orderkey", "fk")
 
 
+def q_fk_hot_beyond_bounds(spark, d):
+    """More hot missing keys than may be broadcast: one is, the others are salted."""
+    k = F.col("o_orderkey")
+    fk = F.when(k % 3 == 0, -(F.col("o_custkey") % 5) - 1).when(k % 11 == 2, -k).when(k % 13 == 3, F.lit(None)).otherwise(F.col("o_custkey"))
+    o = _t(spark, d, "orders").select("o_orderkey", fk.cast("long").alias("fk"))
+    return S.orphans(o, _t(spark, d, "customer"), "fk", parent_key="c_custkey", max_broadcast_keys=1, hot_key_rows=20).select("o_orderkey", "fk")
+
+
 def q_fk_composite(spark, d):
     """Composite key: (orderkey, linenumber + 1) must exist in lineitem."""
     l = _t(spark, d, "lineitem")
@@ -345,6 +354,12 @@ def q_dedup_duplicated_only(spark, d):
                    strategy="duplicated")
 
 
+def q_dedup_many_recurring(spark, d):
+    """More recurring keys than the bound: a key filter of fixed size keeps rows of unique keys in place."""
+    return S.dedup(_t(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"], order_by=["l_partkey"],
+                   strategy="duplicated", max_duplicate_keys=100)
+
+
 def q_dedup_wide_key(spark, d):
     """The same plan keyed on whole texts: hashes are grouped and broadcast, never texts."""
     docs = _t(spark, d, "documents").select("text", "doc_id")
@@ -373,6 +388,13 @@ def q_profile_counts(spark, d):
     return S.profile(_t(spark, d, "lineitem"))
 
 
+def q_profile_distinct_all(spark, d):
+    """Exact distinct counts of every column of three tables' types from one aggregate of (column, value)."""
+    docs = _t(spark, d, "documents").select("doc_id", "text", "lang", "source")
+    frames = [S.profile(t, distinct=t.columns) for t in (_t(spark, d, "lineitem"), _t(spark, d, "customer").select("c_custkey", "c_acctbal", "c_name"), docs)]
+    return frames[0].unionByName(frames[1]).unionByName(frames[2])
+
+
 def q_preview(spark, d):
     l = _t(spark, d, "lineitem")
     return S.preview(l, l.columns, 10)
@@ -391,6 +413,15 @@ def q_lookup_first_large(spark, d):
     return found.select("o_orderkey", "fk", "c_name")
 
 
+def q_lookup_hot_beyond_bounds(spark, d):
+    """More hot keys than parent rows may be broadcast, some of them without a parent."""
+    k = F.col("o_orderkey")
+    fk = F.when(k % 3 == 0, F.col("o_custkey") % 7 - 2).when(k % 13 == 3, F.lit(None)).otherwise(F.col("o_custkey"))
+    o = _t(spark, d, "orders").select("o_orderkey", fk.cast("long").alias("fk"))
+    found = S.lookup_first(o, _t(spark, d, "customer"), "fk", ["c_name"], parent_key="c_custkey", max_broadcast_rows=2, hot_key_rows=20)
+    return found.select("o_orderkey", "fk", "c_name")
+
+
 # The small reference table of the constant-lookup query.
 PART_TYPE_LIMITS = {
     "ECONOMY": {"low": 5, "high": 20},
@@ -427,6 +458,22 @@ def q_sample_parent_null(spark, d):
     return synth.sample_parent(cust, nation, lambda n: pick, parent_order=["n_nationkey"]).select("c_custkey", "n_name")
 
 
+def q_sample_parent_large(spark, d):
+    """A parent over the bounds: hot picks matched map-only or salted, rows without a pick never shuffled."""
+    k = F.col("l_orderkey") * 10 + F.col("l_linenumber")
+    l = _t(spark, d, "lineitem").select("l_orderkey", "l_linenumber")
+    orders = _t(spark, d, "orders").select("o_orderkey", "o_orderstatus")
+    pick = F.when(k % 3 == 0, k % 4).when(k % 5 == 0, F.lit(None)).when(k % 7 == 0, F.lit(-1)).otherwise(k)
+    picked = synth.sample_parent(l, orders, lambda n: pick % n, parent_order=["o_orderkey"], max_broadcast_rows=2, hot_pick_rows=50)
+    return picked.select("l_orderkey", "l_linenumber", "o_orderkey", "o_orderstatus")
+
+
+def q_sample_parent_empty(spark, d):
+    """An empty parent gives nulls."""
+    none = _t(spark, d, "nation").where("n_nationkey < 0").select("n_nationkey", "n_name")
+    return synth.sample_parent(_t(spark, d, "customer").select("c_custkey"), none, lambda n: F.col("c_custkey") % n)
+
+
 def _pick(values, idx):
     return F.element_at(F.array(*[F.lit(v) for v in values]), (idx % len(values) + 1).cast("int"))
 
@@ -582,6 +629,16 @@ def q_clinical_landing_profile_derived(spark, d):
     return profile_landing(spark, CLINICAL_SPECS, layers, distinct=True)
 
 
+def q_clinical_issues_partitioned(spark, d):
+    """The combined issue table of a layered run (K3), partitioned by dataset, replaced once and read back."""
+    layers = S.LayerPaths(scratch_path(spark, "clinical_partitioned"))
+    synth.save_landing(_clinical_from_sales(spark, d), layers.landing)
+    run_all(spark, CLINICAL_SPECS, layers, combined=True)
+    written = S.read_parquet(spark, layers.all_issues())
+    S.write_parquet(written, layers.all_issues(), partition_by=["dataset_name"])  # replaces the table it reads
+    return S.read_parquet(spark, layers.all_issues()).select(*S.ISSUE_COLUMNS)
+
+
 def q_clinical_stream_issues(spark, d):
     """Derived medications landed as CSV, promoted by the incremental stream
     (available-now trigger); the row-rule issues it wrote, read back."""
@@ -727,6 +784,13 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clinical_cleaned_adverse_events": q_clinical_cleaned_adverse_events,
     "clinical_row_counts": q_clinical_row_counts,
     "clinical_stream_unparsed": q_clinical_stream_unparsed,
+    "fk_hot_beyond_bounds": q_fk_hot_beyond_bounds,
+    "lookup_hot_beyond_bounds": q_lookup_hot_beyond_bounds,
+    "dedup_many_recurring": q_dedup_many_recurring,
+    "sample_parent_large": q_sample_parent_large,
+    "sample_parent_empty": q_sample_parent_empty,
+    "profile_distinct_all": q_profile_distinct_all,
+    "clinical_issues_partitioned": q_clinical_issues_partitioned,
 }
 
 
@@ -738,7 +802,7 @@ def _training_data():
         from sluice.llm import queries as operators
     except ModuleNotFoundError as e:
         if e.name not in ("corpus_pipeline", "sluice.llm", "sluice.llm.queries"):
-            raise
+            warnings.warn(f"no training-data queries: {e.name} is not installed", stacklevel=2)
         return {}, {}
     sql = {} if corpus_pipeline.ORACLE_SQL is None else {"pipeline": corpus_pipeline.ORACLE_SQL}
     return {**operators.queries(), "pipeline": corpus_pipeline.run}, {**operators.oracle_sql(), **sql}
@@ -971,6 +1035,35 @@ _ORACLE: dict[str, str] = {
         "WHEN o_orderkey % 11 = 2 THEN -o_orderkey WHEN o_orderkey % 13 = 3 THEN NULL ELSE o_custkey END AS fk FROM orders) "
         "SELECT o_orderkey, fk, c_name FROM c LEFT JOIN customer ON c_custkey = fk"
     ),
+    "fk_hot_beyond_bounds": (
+        "WITH c AS (SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN -(o_custkey % 5) - 1 "
+        "WHEN o_orderkey % 11 = 2 THEN -o_orderkey WHEN o_orderkey % 13 = 3 THEN NULL ELSE o_custkey END AS fk FROM orders) "
+        "SELECT o_orderkey, fk FROM c WHERE NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = fk)"
+    ),
+    "lookup_hot_beyond_bounds": (
+        "WITH c AS (SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN o_custkey % 7 - 2 "
+        "WHEN o_orderkey % 13 = 3 THEN NULL ELSE o_custkey END AS fk FROM orders) "
+        "SELECT o_orderkey, fk, c_name FROM c LEFT JOIN customer ON c_custkey = fk"
+    ),
+    "sample_parent_large": (
+        "WITH p AS (SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS i, o_orderkey, o_orderstatus FROM orders), "
+        "l AS (SELECT l_orderkey, l_linenumber, l_orderkey * 10 + l_linenumber AS k FROM lineitem), "
+        "c AS (SELECT *, (CASE WHEN k % 3 = 0 THEN k % 4 WHEN k % 5 = 0 THEN NULL WHEN k % 7 = 0 THEN -1 ELSE k END) "
+        "% (SELECT count(*) FROM orders) AS pick FROM l) "
+        "SELECT l_orderkey, l_linenumber, o_orderkey, o_orderstatus FROM c LEFT JOIN p ON i = pick"
+    ),
+    "sample_parent_empty": "SELECT c_custkey, CAST(NULL AS INTEGER) AS n_nationkey, CAST(NULL AS VARCHAR) AS n_name FROM customer",
+    "profile_distinct_all": " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, '{t}' AS data_type, count(*) AS row_count, count(*) - count({c}) AS null_count, "
+        f"count(DISTINCT {c}) AS distinct_count FROM {table}"
+        for table, columns in {
+            "lineitem": [("l_orderkey", "bigint"), ("l_partkey", "bigint"), ("l_suppkey", "bigint"), ("l_linenumber", "int"),
+                         ("l_quantity", "double"), ("l_extendedprice", "double"), ("l_discount", "double"), ("l_tax", "double"),
+                         ("l_returnflag", "string"), ("l_linestatus", "string"), ("l_shipdate", "timestamp_ntz")],
+            "customer": [("c_custkey", "bigint"), ("c_acctbal", "double"), ("c_name", "string")],
+            "documents": [("doc_id", "bigint"), ("text", "string"), ("lang", "string"), ("source", "string")],
+        }.items() for c, t in columns
+    ),
     "dedup_wide_key": "SELECT text, min(doc_id) AS doc_id FROM documents GROUP BY text",
     "duplicate_key_counts": (
         "SELECT l_orderkey, l_linenumber, count(*) AS count FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1"
@@ -994,7 +1087,7 @@ _ORACLE: dict[str, str] = {
 }
 
 
-_ORACLE["dedup_duplicated_only"] = _ORACLE["dedup_rows"]
+_ORACLE["dedup_duplicated_only"] = _ORACLE["dedup_many_recurring"] = _ORACLE["dedup_rows"]
 
 
 def _sql_list(values):
@@ -1204,6 +1297,7 @@ def _clinical_oracles():
         "clinical_visits_preview": f"{ctes} SELECT * FROM ({cleaned_visits}) ORDER BY visit_id LIMIT 10",
         "clinical_check_issues": check,
         "clinical_layers_issues": _clinical_issue_sql(layered=True),
+        "clinical_issues_partitioned": _clinical_issue_sql(layered=True),
         "clinical_cleaned_visits": f"{ctes} {_sql_dedup('c_visits', 'visit_id', visit_rest)}",
         "clinical_cleaned_medications": f"{ctes} {_sql_dedup('c_medications', 'medication_id', med_rest)}",
     }
