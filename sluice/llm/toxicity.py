@@ -94,7 +94,7 @@ def units_of(word: str) -> list[str]:
 
 # ------------------------------------------------------------------ transducers
 # A transducer is a start state and step(state, symbol) -> (state, output symbol). Symbols
-# of the lexicon: S and W (strong and weak insults), K (threat), G (target), N, R, and "." for other words.
+# of the lexicon: S and W (strong and weak insults), K (threat), G (target), N, R, and "o" for other words.
 def _within(scope: int, opens: str, bases: str, mark: str):
     """Marks symbols of ``bases`` that follow one of ``opens`` within ``scope`` words."""
     def step(state, symbol):
@@ -135,7 +135,7 @@ def _addressed(scope: int = 2):
 PATTERNS = (_within(3, "N", "SWK", "-"), _reported(), _within(4, "G", "SW", "+"), _threat(), _addressed())
 
 
-def compose(parts=PATTERNS, alphabet: str = ".SWKGNR") -> tuple[list[dict[str, tuple[int, str]]], list[str]]:
+def compose(parts=PATTERNS, alphabet: str = "oSWKGNR") -> tuple[list[dict[str, tuple[int, str]]], list[str]]:
     """The parts run one behind the other, as one table: state -> symbol -> (state, pattern or ""), and all patterns."""
     first = tuple(start for start, _ in parts)
     number, table, patterns, todo = {first: 0}, [], set(), [first]
@@ -191,7 +191,7 @@ class Lexicon(dict):
 
     def __missing__(self, word: str) -> str:
         found = {self.units[u] for u in units_of(word) if u in self.units}
-        symbol = "S" if "S" in found else "W" if "W" in found else self.fixed.get(word, ".")
+        symbol = "S" if "S" in found else "W" if "W" in found else self.fixed.get(word, "o")
         if len(self) >= FLUSH:
             self.clear()
         if len(word) <= 64:
