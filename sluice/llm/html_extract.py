@@ -1,12 +1,17 @@
 """Main-text extraction with removal of site templates.
 
-Every page is read once into blocks of text. An element's subtree hash mixes its tag, its
-text and its children's hashes, in one pass. The hashes of the elements around a block are
-its owners. Spark counts, per host, on how many pages a subtree recurs; blocks whose
-owner recurs on many pages of the host are template and go, and so do elements that are
-boilerplate by tag, role or class. A class or id marks boilerplate only if all words of one
-of its tokens say so, and never an element that holds the page's article; recurrence decides
-about the others. The main text is that of all top-level articles, or the whole page where
+Every page is read once, in time linear in its length, into blocks of text and a table of the
+elements around them: each block names its innermost box, each box its parent. A box's subtree hash
+mixes its tag, its text and its children's hashes. Spark counts, per host, on how many
+pages a subtree recurs; blocks within a box that recurs on many pages of the host are template and go.
+
+Boilerplate elements go in any case: controls, scripts and the like always; forms, navigation, headers, footers,
+asides, and what a role, class or id marks as such, unless they stand around the page's main
+content (a page-wide form, a ``main`` in a ``sidebar`` wrapper). A class or id marks by its head word:
+``left-sidebar`` is a sidebar, ``has-sidebar`` and ``sidebar-layout`` are not. Reader comments also go by structure: boxes under a heading
+that announces comments, and runs of dated items of one kind behind the text.
+
+The main text is that of all top-level articles, or the whole page where
 they hold less than half of what is no template; an article that recurs goes where others stay. Pages count as different by their whole main text, so
 exact copies of an article do not make its own parts a template, while a heading that is
 template itself hides nothing. Running text directly in an article is kept however often
@@ -27,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import join_one, let, save
+from sluice.llm.common import drop_saved, join_one, save
 from sluice.llm.tokens import BATCH_BYTES
 
 # HTML's element kinds, and the words that mark boilerplate.
@@ -43,107 +48,128 @@ ROOTS = frozenset("html body article main".split())
 IMPLIED = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "tbody", "tfoot"}, "option": {"option", "optgroup"},
     "td": {"td", "th", "tr", "tbody", "tfoot"}, "th": {"td", "th", "tr", "tbody", "tfoot"}, "head": {"body"}}
-DROPPED = frozenset(
-    "applet aside audio button canvas datalist dialog footer form head iframe input math menu meter nav noembed noframes "
+#: Always dropped.
+CONTROLS = frozenset(
+    "applet audio button canvas datalist head iframe input math meter noembed noframes "
     "noscript object output progress script select style svg template textarea title video".split())
+#: Dropped unless the page's main content stands in them; a header only outside articles.
+FRAMES = frozenset("aside dialog footer form header menu nav search".split())
 DROPPED_ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search status toolbar".split())
 DROPPED_WORDS = frozenset(
-    "ad ads advert advertisement adverts advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies "
-    "copyright discussion disqus footer gdpr masthead menu modal nav navbar navigation newsletter notice notices notification "
-    "pagination popup promo promoted promotion replies respond share sharing sidebar signup social sponsor sponsored subscribe".split())
-#: Words that may stand beside them in a class or id.
-NEUTRAL_WORDS = frozenset(
-    "area bar block body bottom box button buttons entry form global item items link links list main post primary secondary section "
-    "site the thread title top widget".split())
-COMMENT_WORDS = frozenset("comment comments discussion disqus replies respond".split())
+    "ad ads advert advertisement adverts advertising banner breadcrumb breadcrumbs consent cookie cookies "
+    "copyright footer gdpr masthead menu modal nav navbar navigation newsletter notice notices notification "
+    "pagination popup promo promoted promotion related share sharing sidebar signup social sponsor sponsored subscribe".split())
+COMMENT_WORDS = frozenset("comment comments disqus discussion replies respond".split())
+#: Words behind the head word of a class or id: parts and places of a box.
+TAILS = frozenset(
+    "area bar block body bottom box button buttons center col column container content entry form global group holder info inline inner item items left "
+    "link links list main outer panel placeholder post posts primary right row secondary section site slot the title top unit widget widgets wrap wrapper zone".split())
+#: A class or id with one of these words says something about what stands beside a box.
+STATES = frozenset("body has hide hidden is layout no not open page show toggle with without".split())
+#: Classes that mean one thing wherever their words stand.
+ALWAYS = ("adsbygoogle", "cookie", "gdpr")
+COMMENT_HEADING = re.compile(
+    r"\W*(?:\d+\W+)?(?:(?:reader|user)s? )?(?:comments?|replies|responses|leave a (?:reply|comment)|kommentare?|antworten|commentaires?|réponses|comentarios?|respuestas)\W*(?:\d+\W*)?",
+    re.IGNORECASE)
+DATE = re.compile(r"\b(?:19|20)\d\d\b|\b\d{1,2}[./-]\d{1,2}[./-]\d{2,4}\b|\b\d{1,2}:\d\d\b|\b\d+ (?:minute|hour|day|week|month|year)s? ago\b", re.IGNORECASE)
+#: Dated items of one kind that make a run, and the longest text of an item's first block (its author).
+COMMENT_RUN = 3
+AUTHOR_CHARS = 60
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<rest>(?:=\s*+(?:\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z))|[^>=]++|=)*+)(?:>|\Z)"
     r"|(?P<text>[^<]++|<)", re.DOTALL)
-_MARKS = re.compile(r"""(?:^|[\s"'/])(class|id|role)\s*=\s*(?:"([^"]*)|'([^']*)|([^\s"'>]+))""", re.IGNORECASE)
+_MARKS = re.compile(r"""(?:^|[\s"'/])(class|id|role|itemprop|itemtype)\s*=\s*(?:"([^"]*)|'([^']*)|([^\s"'>]+))""", re.IGNORECASE)
 _WORDS = re.compile(r"[a-z]+")
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Kinds of marks on an element.
+FRAME, COMMENTS = 1, 2
+
+
+def _kind_of(token: str, in_article: bool) -> int:
+    """What a class or id says: FRAME, COMMENTS or 0."""
+    words = [w for w in _WORDS.findall(token) if len(w) > 1]
+    if not words or not STATES.isdisjoint(words[:1]) or "layout" in words or words[-1] == "open":
+        return 0
+    if any(w.startswith(a) for w in words for a in ALWAYS):
+        return FRAME
+    while len(words) > 1 and words[-1] in TAILS:
+        words.pop()
+    head = words[-1]
+    for n in range(len(head) - 1, 1, -1):  # two words written as one: commentlist, navwrap
+        if head[n:] in TAILS and (head[:n] in DROPPED_WORDS or head[:n] in COMMENT_WORDS):
+            head = head[:n]
+            break
+    if head in COMMENT_WORDS:
+        return COMMENTS
+    return FRAME if head in DROPPED_WORDS or (head == "header" and not in_article) else 0
+
+
+def _mark(tag: str, rest: str, in_article: bool) -> int:
+    """The mark of an element by its tag, role, class or id."""
+    found = FRAME if tag in FRAMES and (tag != "header" or not in_article) else 0
+    if "=" not in rest or tag in ("html", "body", "main"):
+        return found
+    for m in _MARKS.finditer(rest):
+        name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
+        if name == "role":
+            kinds = [FRAME] if value.strip() in DROPPED_ROLES else []
+        elif name in ("itemprop", "itemtype"):
+            kinds = [COMMENTS] if value.strip().rsplit("/", 1)[-1] in ("comment", "usercomments") else []
+        else:
+            kinds = [_kind_of(t, in_article or tag == "article") for t in value.split()]
+        found = max([found, *kinds])
+    return found
 
 
-class _Element:
-    __slots__ = ("tag", "hash", "owner", "dropped", "article", "blocks", "mark", "size", "root")
-
-    def __init__(self, tag: str, dropped: bool, owner: bool, article: int, mark: int, root: bool):
-        self.tag, self.hash, self.owner, self.dropped, self.article, self.mark = tag, xxhash.xxh64(tag), owner, dropped, article, mark
-        self.blocks: list[int] = []
-        self.size, self.root = 0, root
-
+class Page:
+    """A page as it was read: blocks of text and the elements around them, parents first.
 
-def _dropped(tag: str, rest: str, in_article: bool) -> bool:
-    """Whether the element is boilerplate by tag or role."""
-    if tag in DROPPED:
-        return True
-    if tag == "header" and not in_article:
-        return True
-    if tag in ("html", "body", "main") or "=" not in rest:
-        return False
-    return any(m[1].lower() == "role" and (m[2] or m[3] or m[4] or "").strip().lower() in DROPPED_ROLES for m in _MARKS.finditer(rest))
+    ``blocks`` are (text, element); of element ``i``, ``tag``, ``up`` (parent or -1), ``mark``, ``digest``,
+    ``before`` and ``size`` (characters of the blocks before and in it) and ``article`` (it is, or stands in, one)."""
 
+    __slots__ = ("blocks", "tag", "up", "mark", "digest", "before", "size", "article")
 
-def _marked(tag: str, rest: str, in_article: bool) -> str | None:
-    """The word of a class or id that marks the element as boilerplate."""
-    if tag in ("html", "body", "main") or "=" not in rest:
-        return None
-    for m in _MARKS.finditer(rest):
-        if m[1].lower() == "role":
-            continue
-        for token in (m[2] or m[3] or m[4] or "").lower().split():
-            words = [w for w in _WORDS.findall(token) if len(w) > 1]
-            hits = [w for w in words if w in DROPPED_WORDS or (w == "header" and not in_article and tag != "article")]
-            if hits and all(w in hits or w in NEUTRAL_WORDS for w in words):
-                return next((w for w in hits if w in COMMENT_WORDS), hits[0])
-    return None
+    def __init__(self):
+        self.blocks: list[tuple[str, int]] = []
+        self.tag, self.up, self.mark, self.digest, self.before, self.size, self.article = [], [], [], [], [], [], []
 
 
-def blocks_of(page: str) -> tuple[list[tuple[str, int, list[int], int | None]], int]:
-    """The page's blocks in order, (text, article number or 0, hashes of owners, hash of the article), without
-    boilerplate by tag, role or class; and the number of the longest article (0: none).
-
-    Elements marked by class or id go only once the page is read: those around its longest
-    article stay, and those around its longest main element. Articles in
-    comments, or marked so themselves, are no such articles.
+def read_page(page: str) -> Page:
+    """Blocks and elements of a page, in one pass; nothing is searched twice, so the time is
+    linear in the page's length whatever its tags do.
 
     Tolerant of what real pages hold: missing, stray and crossed end tags, unclosed
     comments and quotes, and a text cut off anywhere."""
-    stack: list[_Element] = []
-    blocks: list[list] = []  # text, article, owners, article's hash, mark
+    out = Page()
+    stack: list[tuple[int, str, object, bool]] = []  # element, tag, hash, in a control
+    places: dict[str, list[int]] = {}  # places of the open elements of each tag in the stack
+    block_places: list[int] = []  # those of block elements
     pending: list[str] = []
-    articles = 0
-    marks: list[tuple[int, bool]] = [(0, False)]  # of marked elements: the one around, in comments
-    most: dict[str, tuple[int, int]] = {}  # text and mark around of the longest article, and main
+    total = 0
 
     def flush() -> None:
+        nonlocal total
         if pending:
             text = " ".join("".join(pending).split())
             pending.clear()
-            if text and (not stack or not stack[-1].dropped):
-                article = stack[-1].article if stack else 0
-                for e in stack:
-                    if e.owner or e.root:
-                        e.blocks.append(len(blocks))
-                    e.size += len(text)
-                blocks.append([text, article, [], None, stack[-1].mark if stack else 0])
+            if text:
+                out.blocks.append((text, stack[-1][0] if stack else -1))
+                total += len(text)
 
     def close(to: int, block: bool = True) -> None:
         if block:
             flush()
         while len(stack) > to:
-            e = stack.pop()
-            digest = e.hash.intdigest()
+            i, tag, digest, _ = stack.pop()
+            places[tag].pop()
+            if block_places and block_places[-1] == len(stack):
+                block_places.pop()
+            out.digest[i] = digest.intdigest() - (1 << 63)
+            out.size[i] = total - out.before[i]
             if stack:
-                stack[-1].hash.update(digest.to_bytes(8, "little"))
-            for b in e.blocks:
-                if e.root:
-                    blocks[b][3] = digest - (1 << 63)
-                else:
-                    blocks[b][2].append(digest - (1 << 63))
-            if e.tag in ("article", "main") and not e.dropped and not marks[e.mark][1] and e.size > most.get(e.tag, (0, 0))[0]:
-                most[e.tag] = e.size, e.mark
+                stack[-1][2].update(digest.digest())
 
     at, n = 0, len(page)
     while at < n:
@@ -152,20 +178,18 @@ def blocks_of(page: str) -> tuple[list[tuple[str, int, list[int], int | None]],
         text, tag = m["text"], m["tag"]
         if text is not None:
             text = html.unescape(text)
-            pending.append(text)
+            if not stack or not stack[-1][3]:
+                pending.append(text)
             if stack and not text.isspace():
-                stack[-1].hash.update(text.encode("utf-8", "surrogatepass"))
+                stack[-1][2].update(text.encode("utf-8", "surrogatepass"))
             continue
         if tag is None:
             continue
         tag = tag.lower()
         if m["end"]:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k].tag == tag:
-                    close(k, tag in BLOCK)
-                    break
-                if tag not in BLOCK and stack[k].tag in BLOCK:  # a stray end within a block
-                    break
+            open_at = places.get(tag)
+            if open_at and (tag in BLOCK or not block_places or open_at[-1] > block_places[-1]):  # else a stray end
+                close(open_at[-1], tag in BLOCK)
             if tag in BLOCK:
                 flush()
             continue
@@ -174,72 +198,199 @@ def blocks_of(page: str) -> tuple[list[tuple[str, int, list[int], int | None]],
             continue
         if tag in BLOCK:
             flush()
-            for k in range(len(stack) - 1, -1, -1):  # what this start tag ends
-                t = stack[k].tag
-                if t == "p" or tag in IMPLIED.get(t, ()):
-                    close(k)
-                    break
-                if t in BLOCK:
-                    break
+            if block_places:  # what this start tag ends
+                around = stack[block_places[-1]][1]
+                if around == "p" or tag in IMPLIED.get(around, ()):
+                    close(block_places[-1])
         if tag in VOID:
             continue
-        up = stack[-1] if stack else None
-        inside, article = bool(up and up.article), up.article if up else 0
-        dropped = bool(up and up.dropped) or _dropped(tag, m["rest"], inside)
-        mark = up.mark if up else 0
-        if not dropped and (word := _marked(tag, m["rest"], inside)):
-            marks.append((mark, marks[mark][1] or word in COMMENT_WORDS))
-            mark = len(marks) - 1
-        root = tag in ("article", "main") and not article and not dropped
-        if root:
-            articles += 1
-            article = articles
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|\Z)", re.IGNORECASE).search(page, at)
             at = end.start() if end else n
             end = page.find(">", at) if end else -1
             at = end + 1 if end >= 0 else n
             continue
-        owner = tag in BOXES if inside else tag in BLOCK and tag not in ROOTS
-        stack.append(_Element(tag, dropped, owner and not dropped, article, mark, root))
+        up = stack[-1][0] if stack else -1
+        inside = up >= 0 and out.article[up]
+        control = bool(stack) and stack[-1][3] or tag in CONTROLS
+        i = len(out.tag)
+        out.tag.append(tag)
+        out.up.append(up)
+        out.mark.append(0 if control or tag not in BLOCK and tag not in FRAMES else _mark(tag, m["rest"], inside))
+        out.article.append(inside or tag in ("article", "main"))
+        out.digest.append(0)
+        out.before.append(total)
+        out.size.append(0)
+        if tag in BLOCK:
+            block_places.append(len(stack))
+        places.setdefault(tag, []).append(len(stack))
+        stack.append((i, tag, xxhash.xxh64(tag), control))
     close(0)
-    kept = {0}
-    for _, mark in most.values():
-        while mark:
-            kept.add(mark)
-            mark = marks[mark][0]
-    left = [tuple(b[:4]) for b in blocks if b[4] in kept]
-    size: dict[int, int] = {}
-    for text, article, *_ in left:
-        size[article] = size.get(article, 0) + len(text)
-    longest = max((a for a in size if a), key=lambda a: (size[a], -a), default=0)
-    return left, longest
+    return out
+
+
+def _comment_boxes(page: Page) -> set[int]:
+    """Elements that hold reader comments by their structure."""
+    found, children = set(), {}
+    for i, up in enumerate(page.up):
+        children.setdefault(up, []).append(i)
+    first: dict[int, str] = {}
+    dated: set[int] = set()
+    announced: set[int] = set()
+    for text, e in page.blocks:
+        date = len(text) <= 200 and DATE.search(text) is not None
+        # A block belongs to the items it begins or dates: up to four elements around it.
+        for _ in range(4):
+            if e < 0 or (e in first and not date):
+                break
+            first.setdefault(e, text)
+            if date:
+                dated.add(e)
+            e = page.up[e]
+    for i, tag in enumerate(page.tag):
+        if tag in _HEADINGS and first.get(i) and COMMENT_HEADING.fullmatch(first[i]):
+            box = page.up[i]
+            around = children.get(box, [])
+            if box >= 0 and page.tag[box] not in ("html", "body", "main", "article") and around[0] == i:
+                found.add(box)
+            elif box not in announced:
+                announced.add(box)
+                found.update(c for c in around if c >= i)
+        elif tag == "time" and page.up[i] >= 0:
+            dated.update((page.up[i], page.up[page.up[i]]))
+    whole = sum(len(t) for t, _ in page.blocks)
+    for up, items in children.items():
+        run: list[int] = []
+        for i in [*items, None]:
+            if i is not None and i in dated and page.size[i] and page.tag[i] in ("li", "div", "section", "article", "dd") and (
+                    not run or page.tag[run[0]] == page.tag[i]) and len(first.get(i, "")) <= min(AUTHOR_CHARS, page.size[i] - 1):
+                run.append(i)
+                continue
+            # Comments follow a text longer than they are; a list of posts is the text.
+            if len(run) >= COMMENT_RUN and run[0] > 0 and 2 * sum(page.size[k] for k in run) < whole:
+                if 2 * page.before[run[0]] >= whole:
+                    found.update(run)
+            if i is not None:
+                run = []
+    return found
+
+
+def blocks_of(page: Page) -> tuple[list[tuple[str, int, int]], list[tuple[int, int]], list[int]]:
+    """What is left of a page without boilerplate: its blocks (text, owner or -1, article or -1), its owners
+    (hash, owner around or -1), parents first, and the hashes of its top-level articles."""
+    n = len(page.tag)
+    comments = _comment_boxes(page)
+    mark = [COMMENTS if i in comments else m for i, m in enumerate(page.mark)]
+    # The main content keeps what stands around it: the longest article and the longest main outside
+    # all marked elements, or else a marked one with more text than all that is not marked.
+    around, commented = [0] * n, [False] * n
+    for i in range(n):
+        up = page.up[i]
+        around[i] = (around[up] if up >= 0 else 0) + (mark[i] > 0)
+        commented[i] = mark[i] == COMMENTS or (up >= 0 and commented[up])
+    plain = sum(len(t) for t, e in page.blocks if e < 0 or not around[e])
+    rescued: set[int] = set()
+    for tag in ("article", "main"):
+        best = max((i for i in range(n) if page.tag[i] == tag and not commented[i]), key=lambda i: (not around[i], page.size[i], -i), default=-1)
+        if best >= 0 and around[best] and page.size[best] >= max(plain, 1):
+            i = best
+            while i >= 0:
+                rescued.add(i)
+                i = page.up[i]
+    if not any(t in ("article", "main") for t in page.tag):  # a form around the whole page
+        whole = sum(len(t) for t, _ in page.blocks)
+        rescued.update(i for i in range(n) if page.tag[i] == "form" and 2 * page.size[i] >= whole > 2 * plain)
+    gone, root, owner = [False] * n, [-1] * n, [-1] * n
+    articles: list[int] = []
+    owners: list[tuple[int, int]] = []
+    for i in range(n):
+        up, tag = page.up[i], page.tag[i]
+        gone[i] = up >= 0 and gone[up] or mark[i] > 0 and i not in rescued
+        if gone[i]:
+            continue
+        root[i] = root[up] if up >= 0 else -1
+        if root[i] < 0 and tag in ("article", "main"):
+            root[i] = len(articles)
+            articles.append(page.digest[i])
+            owner[i] = owner[up] if up >= 0 else -1
+            continue
+        owner[i] = owner[up] if up >= 0 else -1
+        if tag in BOXES if root[i] >= 0 else tag in BLOCK and tag not in ROOTS:
+            owners.append((page.digest[i], owner[i]))
+            owner[i] = len(owners) - 1
+    left = [(t, owner[e] if e >= 0 else -1, root[e] if e >= 0 else -1) for t, e in page.blocks if e < 0 or not gone[e]]
+    used = {a for _, _, a in left if a >= 0}
+    return left, owners, [d for i, d in enumerate(articles)] if used else []
+
+
+def main_text(blocks: list[tuple[str, int, int]], owners: list[tuple[int, int]], articles: list[int], hit: set[int] = frozenset()) -> str:
+    """The text of the blocks outside recurring subtrees (``hit``): of all top-level articles, or of the whole page
+    where they hold less than half of it."""
+    if hit:
+        dead: list[bool] = []
+        for digest, up in owners:
+            dead.append(digest in hit or (up >= 0 and dead[up]))
+        blocks = [b for b in blocks if b[1] < 0 or not dead[b[1]]]
+        some = [b for b in blocks if b[2] < 0 or articles[b[2]] not in hit]
+        if any(b[2] >= 0 for b in some):
+            blocks = some
+    own = [b[0] for b in blocks if b[2] >= 0]
+    every = [b[0] for b in blocks]
+    return "\n\n".join(own if 2 * sum(map(len, own)) >= sum(map(len, every)) else every)
+
+
+def page_text(page: str | None) -> str:
+    """The main text of a page by itself, no host known."""
+    return main_text(*blocks_of(read_page(page or "")))
 
 
 def _read_pages(html_at: int, keep: list[int]):
-    block = pa.struct([("text", pa.string()), ("owners", pa.list_(pa.int64())), ("article", pa.int64())])
+    block = pa.struct([("text", pa.string()), ("owner", pa.int32()), ("article", pa.int32())])
+    owner = pa.struct([("digest", pa.int64()), ("up", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            low, found, mains, owners, size = 0, [], [], [], 0
+            low, found, mains, tables, roots, subtrees, size = 0, [], [], [], [], [], 0
             for i, page in enumerate(batch.column(html_at)):
-                blocks, _ = blocks_of(page.as_py() or "")
-                own = [b for b in blocks if b[1]]
-                whole = sum(len(b[0]) for b in blocks)
-                own = own if 2 * sum(len(b[0]) for b in own) >= whole else blocks
-                main = "\n\n".join(b[0] for b in own)
+                blocks, owners, articles = blocks_of(read_page(page.as_py() or ""))
+                main = main_text(blocks, owners, articles)
                 mains.append(xxhash.xxh64_intdigest(main.encode("utf-8", "surrogatepass")) - (1 << 63))
-                found.append([{"text": b[0], "owners": b[2], "article": b[3]} for b in blocks])
-                articles = {b[3] for b in blocks if b[1]}
-                owners.append(list({o for b in blocks for o in b[2]} | (articles if len(articles) > 1 else set())))
-                size += whole
+                found.append([{"text": t, "owner": o, "article": a} for t, o, a in blocks])
+                tables.append([{"digest": d, "up": u} for d, u in owners])
+                roots.append(articles)
+                holding, seen = {o for _, o, _ in blocks if o >= 0}, set()
+                for o in sorted(holding, reverse=True):  # boxes around blocks, each once
+                    while o >= 0 and o not in seen:
+                        seen.add(o)
+                        o = owners[o][1]
+                subtrees.append(list({owners[o][0] for o in seen} | (set(articles) if len(articles) > 1 else set())))
+                size += sum(len(b[0]) + 16 for b in blocks) + 12 * len(owners)
                 if size >= BATCH_BYTES or i == batch.num_rows - 1:
                     part = batch.slice(low, len(found))
                     yield pa.RecordBatch.from_arrays(
-                        [*(part.column(k) for k in keep), pa.array(found, pa.list_(block)), pa.array(mains, pa.int64()),
-                         pa.array(owners, pa.list_(pa.int64()))],
-                        [*(batch.schema.names[k] for k in keep), "blocks", "main_text", "subtrees"])
-                    low, found, mains, owners, size = i + 1, [], [], [], 0
+                        [*(part.column(k) for k in keep), pa.array(found, pa.list_(block)), pa.array(tables, pa.list_(owner)),
+                         pa.array(roots, pa.list_(pa.int64())), pa.array(mains, pa.int64()), pa.array(subtrees, pa.list_(pa.int64()))],
+                        [*(batch.schema.names[k] for k in keep), "blocks", "owners", "articles", "main_text", "subtrees"])
+                    low, found, mains, tables, roots, subtrees, size = i + 1, [], [], [], [], [], 0
+
+    return run
+
+
+def _cut_pages(n_keep: int):
+    """The main text of pages (their columns, blocks, owners, articles, hit), in batches bounded by its size."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            low, made, size = 0, [], 0
+            for i in range(batch.num_rows):
+                blocks, owners, articles, hit = (batch.column(n_keep + k)[i].as_py() for k in range(4))
+                made.append(main_text([(b["text"], b["owner"], b["article"]) for b in blocks],
+                                      [(o["digest"], o["up"]) for o in owners] if hit else [], articles, set(hit or ())))
+                size += len(made[-1])
+                if size >= BATCH_BYTES or i == batch.num_rows - 1:
+                    part = batch.slice(low, len(made))
+                    yield pa.RecordBatch.from_arrays([*part.columns[:n_keep], pa.array(made, pa.string())], [*batch.schema.names[:n_keep], "text"])
+                    low, made, size = i + 1, [], 0
 
     return run
 
@@ -278,28 +429,18 @@ def extract_text(pages: DataFrame, html: str = "html", url: str = "url", out: st
     at = [neutral.columns.index(f.name) for f in fields]
     read = neutral.mapInArrow(
         _read_pages(neutral.columns.index("html"), at),
-        f"{schema}, blocks array<struct<text:string,owners:array<long>,article:long>>, main_text long, subtrees array<long>")
+        f"{schema}, blocks array<struct<text:string,owner:int,article:int>>, owners array<struct<digest:long,up:int>>, "
+        "articles array<long>, main_text long, subtrees array<long>")
     read = save(read.withColumn("row", F.monotonically_increasing_id()), "page-blocks")
     template = save(recurring_subtrees(read.select("host", "main_text", "subtrees"), min_pages, min_share), "template-subtrees")
-    may_change = F.size("subtrees") > 0
     site = F.coalesce("host", F.lit("")).alias("site")  # no host is empty
-    owned = read.filter(may_change).select("row", site, F.explode("subtrees").alias("subtree"))
-    hit = join_one(owned, template.select(site, "subtree"), ["site", "subtree"]).groupBy(
-        F.col("row").alias("hit_row")).agg(F.collect_set("subtree").alias("hit"))
+    owned = read.filter(F.size("subtrees") > 0).select("row", site, F.explode("subtrees").alias("subtree"))
+    hit = save(join_one(owned, template.select(site, "subtree"), ["site", "subtree"]).groupBy(
+        F.col("row").alias("hit_row")).agg(F.collect_set("subtree").alias("hit")), "template-hits")
+    drop_saved(template)
     names = [f"c{i}" for i in range(len(keep))]
-    plain = read.filter(~may_change).select(*names, _main_text(F.col("blocks")).alias("text"))
-    owned_blocks = F.filter("blocks", lambda b: ~F.arrays_overlap(b["owners"], F.col("hit")))
-    other_articles = lambda kept: F.filter(kept, lambda b: b["article"].isNull() | ~F.array_contains(F.col("hit"), b["article"]))
-    in_articles = lambda kept: F.exists(kept, lambda b: b["article"].isNotNull())
-    less = let(owned_blocks, lambda kept: let(other_articles(kept), lambda some: F.when(in_articles(some), some).otherwise(kept)))
-    cut = read.filter(may_change).join(hit, F.col("row") == F.col("hit_row"), "left").select(
-        *names, _main_text(F.when(F.col("hit").isNull(), F.col("blocks")).otherwise(less)).alias("text"))
-    return plain.unionByName(cut).toDF(*keep, out)
-
-
-def _main_text(blocks: Column) -> Column:
-    """The text of the blocks in articles, or of all where those hold less than half of it."""
-    size = lambda some: F.aggregate(some, F.lit(0).cast("long"), lambda n, b: n + F.length(b["text"]))
-    text = lambda some: F.array_join(F.transform(some, lambda b: b["text"]), "\n\n")
-    return let(blocks, lambda kept: let(F.filter(kept, lambda b: b["article"].isNotNull()), lambda own: text(
-        F.when(2 * size(own) >= size(kept), own).otherwise(kept))))
+    given = [*names, "blocks", "owners", "articles"]
+    plain = read.filter(F.size("subtrees") == 0).select(*given, F.lit(None).cast("array<long>").alias("hit"))
+    cut = plain.unionByName(read.filter(F.size("subtrees") > 0).join(hit, F.col("row") == F.col("hit_row"), "left").select(*given, "hit"))
+    kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in read.select(*names).schema.fields)
+    return cut.mapInArrow(_cut_pages(len(names)), f"{kept}, text string" if kept else "text string").toDF(*keep, out)

@@ -3,13 +3,12 @@
 import hashlib
 
 from sluice.llm import warc as W
-from sluice.llm.html_extract import blocks_of, extract_text, host_of
+from sluice.llm.html_extract import extract_text, host_of, page_text
 from sluice.llm.license_rules import RULES, SENTENCES, scan, sentence_ids
 
 
 def text_of(page):
-    blocks, longest = blocks_of(page)
-    return "\n\n".join(b[0] for b in blocks if not longest or b[1] == longest)
+    return page_text(page)
 
 
 def test_blocks_of_pages():
@@ -18,8 +17,8 @@ def test_blocks_of_pages():
         "<body><nav><ul><li>m</ul></nav><p>one<script>var a='</p>'</script> two</p></body>": "one two", "<p>cut off &am": "cut off &am",
         "<article>a<div class='cookie-notice'>c</div>b<section id=comments><p>r</p></section><form>f</form></article>": "a\n\nb",
         "<!-- <p>no --><p title=\"a>b\">yes</p><!-- open <p>x": "yes", "<ul><li>a<li>b</ul>": "a\n\nb", "<p>a</b>b</p></div>c": "ab\n\nc",
-        "<style>p{}</style><textarea><p>x</textarea>t": "t", "<main><p>m</p></main><aside>s</aside><p>out": "m", "<table><tr><td>1<td>2<tr><td>3</table>": "1\n\n2\n\n3",
-        "<article>short</article><article>the longer one</article>": "the longer one", "a <span>b</span>c\n\n d": "a bc d", "<p>a<b>b</p><p>c": "ab\n\nc",
+        "<style>p{}</style><textarea><p>x</textarea>t": "t", "<main><p>main</p></main><aside>s</aside><p>out": "main", "<table><tr><td>1<td>2<tr><td>3</table>": "1\n\n2\n\n3",
+        "<article>short</article><article>the longer one</article>": "short\n\nthe longer one", "a <span>b</span>c\n\n d": "a bc d", "<p>a<b>b</p><p>c": "ab\n\nc",
     }
     for page, want in cases.items():
         assert text_of(page) == want, page
@@ -30,6 +29,79 @@ def test_deep_and_broken_pages_end():
     assert text_of("<a href='" * 3000) == "" and text_of("<" * 5000 + "p") .startswith("<")
 
 
+def test_time_and_memory_are_linear_in_a_page_of_any_depth():
+    import time
+    import tracemalloc
+
+    n = 200_000
+    for page, size in (("<div>x" * n, 3 * n - 2), ("<section>" * (n // 2) + "</i>" * n + "x", 1), ("<i><div>" + "<b>" * n + "</i>" * n, 0),
+                       ("<div>" + "<b>" * n + "<hr>x" * n, 3 * n - 2), ("<article>x" * n, 3 * n - 2), ("<h2>Comments</h2><p>x" * n, 0),
+                       ("<div><time>1:00</time>x" * n, 7 * n - 2)):
+        began = time.thread_time()
+        assert len(text_of(page)) == size, page[:40]
+        assert time.thread_time() - began < 30
+    tracemalloc.start()
+    text_of("<div>x" * n)
+    assert tracemalloc.get_traced_memory()[1] < 500 << 20
+    tracemalloc.stop()
+
+
+def test_wrappers_never_hide_the_main_content():
+    cases = {
+        '<form id="aspnetForm"><div><article><p>a</p></article></div></form>': "a", "<form><div class=menu>m</div><p>a page in a form</p></form>": "a page in a form",
+        "<header><main>a</main></header>": "a", "<div role=dialog><article>a</article></div>": "a", "<article>a<aside><article>b</article></aside></article>": "a",
+        "<div>the long body of the page</div><aside><article>related</article></aside>": "the long body of the page",
+        "<p>the page text</p><form><input><label>Name</label></form>": "the page text", "<p>a <button>Click</button> b <svg><text>s</text></svg>c</p>": "a b c",
+    }
+    for page, want in cases.items():
+        assert text_of(page) == want, page
+
+
+def test_classes_mark_by_their_head_word():
+    gone = ("left-sidebar related-posts ad-container google-ads adsbygoogle cookie-law-info top-nav-wrap user-comments fb-comments "
+            "commentlist sidebar sidebar-left footer-links social-share-buttons newsletter-signup comment-list").split()
+    kept = "has-sidebar with-menu comments-open sidebar-layout post entry-content no-ads story-share-price-report social-science menu-recipes main-content".split()
+    for name in gone:
+        assert text_of(f"<p>the text</p><div class='x1 {name}'><p>gone</p></div>") == "the text", name
+        assert text_of(f"<article><p>the text</p><div id='{name}'><p>gone</p></div></article>") == "the text", name
+    for name in kept:
+        assert text_of(f"<p>the</p><div class='{name}'><p>text</p></div>") == "the\n\ntext", name
+
+
+def test_reader_comments_go_by_structure():
+    body = "<p>" + "the article says many things " * 20 + "</p>"
+    text = ("the article says many things " * 20).strip()
+    item = "<li><b>Name {i}</b><p>May {i}, 2021</p><p>I do not agree with this, number {i}</p></li>"
+    items = "".join(item.format(i=i) for i in range(4))
+    timed = "".join(f"<div><div>Ann {i}</div><time>yesterday</time><p>so true {i}</p></div>" for i in range(3))
+    for page in (f"<article>{body}<ul>{items}</ul></article>", f"<main>{body}{timed}</main>", f"{body}<div>{timed}</div>",
+                 f"{body}<div><h3>3 Comments</h3><p>first!</p></div>", f"<article>{body}<h2>Leave a reply</h2><p>Your name</p></article>",
+                 f"{body}<section><h4>Kommentare (2)</h4><div>a</div></section>", f"{body}<div itemprop=comment><p>x</p></div>",
+                 f"{body}<div itemscope itemtype='https://schema.org/Comment'><p>x</p></div>"):
+        assert text_of(page) == text, page[-80:]
+    posts = "".join(f"<div><h2>Post {i}</h2><time>2021</time><p>{'words of a post ' * 9}</p></div>" for i in range(4))
+    assert text_of(f"<p>My blog</p>{posts}").count("words of a post") == 36  # a list of posts is the page's text
+    assert "Comments on a law" in text_of(f"{body}<h2>Comments on a law</h2><p>more</p>")
+
+
+def test_query_reads_the_given_pages_as_a_plain_reading_does(spark, sf):
+    """The generated pages: one article with its title and paragraphs; everything else is boilerplate."""
+    import html as H
+    import re
+
+    from sluice.llm import queries
+
+    got = {r.page_id: r for r in queries.queries()["op1_html_extract"](spark, sf).collect()}
+    pages = spark.read.parquet(f"{sf}/pages.parquet").collect()
+    assert len(got) == len(pages)
+    for p in pages:
+        inner = re.search(r"<article>(.*?)</article>", p.html, re.S)[1]
+        parts = re.split(r"</?(?:p|h\d|div|ul|ol|li|table|tr|td|blockquote|pre|section)\b[^>]*>", re.sub(r"<br[^>]*>", " ", inner))
+        blocks = [" ".join(H.unescape(re.sub(r"<[^>]+>", "", x)).split()) for x in parts]
+        want = "\n\n".join(b for b in blocks if b)
+        assert (got[p.page_id].text, got[p.page_id].n_chars, got[p.page_id].url) == (want, len(want), p.url), p.page_id
+
+
 def test_classes_never_drop_the_article():
     cases = {
         "<article class='post comments-open'><p>a</p></article>": "a", "<div class='layout has-sidebar'><p>a</p></div>": "a",
