@@ -48,6 +48,8 @@ def drop_saved(*frames: DataFrame) -> None:
 #: A key is hot if it has over this many rows and over one thousandth of all rows.
 HOT_ROWS = 100_000
 HOT_SHARE = 1000
+#: Where keys are counted already, splitting them costs no pass over the rows.
+HOT_LEAST = 1000
 
 
 def join_one(rows: DataFrame, one: DataFrame, key: list[str], hot_rows: int = HOT_ROWS, how: str = "inner") -> DataFrame:
@@ -70,6 +72,19 @@ def join_one(rows: DataFrame, one: DataFrame, key: list[str], hot_rows: int = HO
         rows.join(F.broadcast(hot), key, "left_anti").join(one, key, how))
 
 
+def join_counted(rows: DataFrame, one: DataFrame, key: list[str], how: str = "inner", count: str = "n") -> DataFrame:
+    """``rows`` joined to ``one``, which has one row per ``key`` and in ``count`` (left out of the result) the number of the key's
+    rows; ``how`` is inner or left_semi. Pass saved tables. Keys with over a thousandth of all rows, fewer than a
+    thousand of them, are matched by a broadcast, so no key with a share of all rows meets in one task."""
+    total = one.agg(F.sum(count)).first()[0] or 0
+    least = max(HOT_LEAST, total // HOT_SHARE)
+    hot = one.filter(F.col(count) > least).drop(count)
+    if hot.isEmpty():
+        return rows.join(one.drop(count), key, how)
+    return rows.join(F.broadcast(hot), key, how).unionByName(
+        rows.join(F.broadcast(hot.select(*key)), key, "left_anti").join(one.filter(F.col(count) <= least).drop(count), key, how))
+
+
 def without(df: DataFrame, names: Iterable[str]) -> DataFrame:
     """``df`` without its columns of these names (upper and lower case alike)."""
     names = {n.lower() for n in names}

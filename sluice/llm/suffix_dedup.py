@@ -1,10 +1,4 @@
-"""Repeated-passage removal by anchored matching of content hashes.
-
-The method differs from bucket-pointer refinement of suffixes: no bucket is sorted on the
-identifiers of later offsets, and no refined bucket feeds the next level. Identifiers are
-hashes of the bytes at each offset, made in one pass; candidates share their least 64-gram,
-and equal hashes of 128 and of ``length`` bytes settle them. Ranks would need a total order
-of all suffixes, one row per byte, at each level; here about one row per 55 bytes moves.
+"""Repeated-passage removal by buckets of suffixes, refined from anchored blocks.
 
 A byte goes if some ``length``-byte string covers it that also starts at another place
 of the corpus, in the same text or another. Suffixes are compared by bucket identifiers:
@@ -22,24 +16,31 @@ of the corpus, in the same text or another. Suffixes are compared by bucket iden
    128 bytes from the 64-gram, or 128 bytes around it. Every window holds one or the
    other, so two blocks that share neither share no window.
 5. **Last refinement.** The windows that remain are bucketed by id200.
+6. **Confirmation.** Identifiers of steps 1 to 5 are 64-bit mixes; unequal bytes may share one, so they only
+   ever add candidates. What settles is equal in a 128-bit BLAKE2b digest of its bytes: of a whole block in
+   step 3, of each surviving window at the end.
+
+This is not the whole of bucket-pointer refinement: identifiers of later offsets come from the bytes, not from the
+numbers of sorted buckets, so no bucket waits for another. The README has the figures of the dense form.
 
-Identifiers are 64-bit mixes of the bytes, alike in every task, so no global numbering
-is needed and each level is a Spark grouping. Between levels, the surviving buckets are
+Between levels, the surviving buckets are
 written to the shared checkpoint folder and the level before is deleted. Counts are
-combined before each shuffle, joins go from many rows to one row per bucket, and windows
+combined before each shuffle, joins go from many rows to one row per bucket with hot buckets
+matched by a bounded broadcast, and windows
 of copied texts arrive as whole blocks, so no group is gathered in one task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import drop_saved, fresh, save, without
+from sluice.llm.common import drop_saved, fresh, join_counted, save
 
 GRAM = 64
 #: Bytes handled at once; a memory bound only, results do not depend on it.
@@ -93,6 +94,14 @@ def _buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8), offsets.astype(np.int64)
 
 
+def _digests(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
+    """The digests of the bytes in each span, as two columns of integers."""
+    view = memoryview(data)
+    made = b"".join([blake2b(view[a:b], digest_size=16).digest() for a, b in zip(starts.tolist(), ends.tolist())])
+    pairs = np.frombuffer(made, "<i8").reshape(-1, 2)
+    return [pairs[:, 0], pairs[:, 1]]
+
+
 def _middle(length: int) -> int:
     """A window whose gram is at most this far in holds 128 bytes from the gram on; any other
     holds the 64 before it and the gram."""
@@ -100,7 +109,7 @@ def _middle(length: int) -> int:
 
 
 def _find_blocks(length: int):
-    """Rows (gram, block, ahead, around, key columns, place) of every text's blocks.
+    """Rows (gram, block1, block2, ahead, around, key columns, place) of every text's blocks; ``block`` is their bytes' digest.
 
     ``place`` packs the block's first window, its number of windows less one and the
     gram's distance from the first window."""
@@ -120,12 +129,12 @@ def _find_blocks(length: int):
         anchor, text = at[first], text[first]
         first, last = windows[first], windows[last]
         gram = ids[GRAM][anchor]
-        block = _mix(_mix(ids[length][first], ids[length][last]), (last - first).astype(np.uint64))
+        block = _digests(data, first, last + length)
         most = len(ids[128]) - 1
         ahead = np.where(anchor - last <= middle, ids[128][np.minimum(anchor, most)], 0)
         around = np.where(anchor - first > middle, ids[128][np.maximum(anchor - GRAM, 0)], 0)
         place = (first + base - starts[text]) << 16 | (last - first) << 8 | anchor - first
-        return gram, block, ahead, around, text, place
+        return gram, *block, ahead, around, text, place
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -139,7 +148,7 @@ def _find_blocks(length: int):
                     *ids, text, place = found
                     yield pa.RecordBatch.from_arrays(
                         [*(pa.array(x.view(np.int64)) for x in ids), *(pa.array(k[text]) for k in keys), pa.array(place)],
-                        ["gram", "block", "ahead", "around", "key1", "key2", "place"])
+                        ["gram", "block1", "block2", "ahead", "around", "key1", "key2", "place"])
 
     return run
 
@@ -187,6 +196,28 @@ def _find_windows(length: int):
     return run
 
 
+def _confirm_windows(length: int):
+    """Rows (digest, key columns, start, copies) of the windows asked for in each text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
+        for batch in batches:
+            data, offsets = _buffer(batch.column(0))
+            keys = list(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True))
+            for i, asked in enumerate(batch.column(3)):
+                if keys[i] in seen:  # a copy of a text done before
+                    continue
+                seen.add(keys[i])
+                start, copies = (asked.values.field(k) for k in range(2))
+                at = start.to_numpy(zero_copy_only=False)
+                yield pa.RecordBatch.from_arrays(
+                    [*(pa.array(d) for d in _digests(data[offsets[i]: offsets[i + 1]], at, at + length)),
+                     *(pa.array(np.full(len(at), x)) for x in (np.int64(keys[i][0]), np.int32(keys[i][1]))), start, copies],
+                    ["d1", "d2", "key1", "key2", "start", "copies"])
+
+    return run
+
+
 def repeated_spans(docs: DataFrame, text: str = "text", length: int = 200) -> DataFrame:
     """One row per text that has bytes to remove: its key columns and ``spans``, an array of
     (start, size) in no order, which may overlap. Repeated rows share a row."""
@@ -195,19 +226,18 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = 200) -> Da
     keyed = docs.select(*text_key(text), F.col(text).alias("text")).filter(F.octet_length("text") >= length)
     keyed = keyed.select("text", "key1", "key2")
     blocks = save(keyed.mapInArrow(
-        _find_blocks(length), "gram long, block long, ahead long, around long, key1 long, key2 int, place long"), "blocks")
+        _find_blocks(length), "gram long, block1 long, block2 long, ahead long, around long, key1 long, key2 int, place long"), "blocks")
     # q-gram buckets with two members or more; in `whole` ones all members are one block
-    grams = save(blocks.groupBy("gram").agg(
-        F.count(F.lit(1)).alias("n"), F.min("block").alias("low"), F.max("block").alias("high")).filter("n > 1").select(
-        "gram", (F.col("low") == F.col("high")).alias("whole")), "grams")
-    live = save(blocks.join(grams, "gram"), "live-blocks")
+    same = (F.min("block1") == F.max("block1")) & (F.min("block2") == F.max("block2"))
+    grams = save(blocks.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), same.alias("whole")).filter("n > 1"), "grams")
+    live = save(join_counted(blocks, grams, ["gram"]), "live-blocks")
     drop_saved(blocks, grams)
-    kinds = save(live.filter("not whole").groupBy("gram", "block").agg(
+    kinds = save(live.filter("not whole").groupBy("block1", "block2").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("key1", "key2", "place")).alias("at"),
         F.first("ahead").alias("ahead"), F.first("around").alias("around")).select(
-        "block", (F.col("n") > 1).alias("many"), "at.*", "ahead", "around"), "block-kinds")
-    settled = live.filter("whole").unionByName(
-        live.filter("not whole").join(kinds.filter("many").select("block"), "block", "left_semi"))
+        "block1", "block2", "n", (F.col("n") > 1).alias("many"), "at.*", "ahead", "around"), "block-kinds")
+    settled = live.filter("whole").drop("whole").unionByName(join_counted(
+        live.filter("not whole").drop("whole"), kinds.filter("many").select("block1", "block2", "n"), ["block1", "block2"], "left_semi"))
     settled = save(settled.select(
         "key1", "key2", F.struct(F.shiftright("place", 16).alias("start"), (
             F.shiftright("place", 8).bitwiseAND(255) + length).alias("size")).alias("span")).distinct(), "settled")
@@ -216,26 +246,35 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = 200) -> Da
         F.struct(F.lit(True).alias("ahead"), F.col("ahead").alias("bucket")),
         F.struct(F.lit(False).alias("ahead"), F.col("around").alias("bucket")))).alias("s")).select(
         "key1", "key2", "place", "many", "s.*").filter("bucket != 0")
-    shared = sides.groupBy("ahead", "bucket").agg(
-        F.count(F.lit(1)).alias("n"), F.min("many").alias("all_many")).filter("n > 1 and not all_many")
-    asked = sides.join(shared.select("ahead", "bucket"), ["ahead", "bucket"], "left_semi").groupBy("key1", "key2").agg(
-        F.collect_list(F.struct("place", "ahead", "many")).alias("asked"))
-    windows = save(keyed.join(save(asked, "asked").hint("shuffle_hash"), ["key1", "key2"]).select(
+    shared = save(sides.groupBy("ahead", "bucket").agg(
+        F.count(F.lit(1)).alias("n"), F.min("many").alias("all_many")).filter("n > 1 and not all_many").drop("all_many"), "shared-sides")
+    asked = save(join_counted(sides, shared, ["ahead", "bucket"], "left_semi").groupBy("key1", "key2").agg(
+        F.collect_list(F.struct("place", "ahead", "many")).alias("asked")), "asked")
+    drop_saved(kinds, shared)
+    windows = save(keyed.join(asked.hint("shuffle_hash"), ["key1", "key2"]).select(
         "text", "key1", "key2", "asked").mapInArrow(
         _find_windows(length), "id long, key1 long, key2 int, start long, copies int"), "windows")
-    drop_saved(kinds)
-    repeated = save(windows.groupBy("id").agg(
-        F.sum("copies").alias("n"), F.min("copies").alias("least")).filter("n > 1 and least = 1").select("id"), "repeated")
-    found = windows.filter("copies = 1").join(repeated, "id", "left_semi").select(
+    drop_saved(asked)
+    twice = [F.sum("copies").alias("n"), F.min("copies").alias("least")]
+    repeated = save(windows.groupBy("id").agg(*twice).filter("n > 1 and least = 1").drop("least"), "repeated")
+    claimed = save(join_counted(windows, repeated, ["id"], "left_semi").groupBy("key1", "key2").agg(
+        F.collect_list(F.struct("start", "copies")).alias("claimed")), "claimed")
+    drop_saved(windows, repeated)
+    exact = save(keyed.join(claimed.hint("shuffle_hash"), ["key1", "key2"]).select("text", "key1", "key2", "claimed").mapInArrow(
+        _confirm_windows(length), "d1 long, d2 long, key1 long, key2 int, start long, copies int"), "exact-windows")
+    confirmed = save(exact.groupBy("d1", "d2").agg(*twice).filter("n > 1 and least = 1").drop("least"), "confirmed")
+    found = join_counted(exact.filter("copies = 1"), confirmed, ["d1", "d2"], "left_semi").select(
         "key1", "key2", F.struct("start", F.lit(length).cast("long").alias("size")).alias("span"))
     spans = save(settled.unionByName(found).groupBy("key1", "key2").agg(F.collect_list("span").alias("spans")), "spans")
-    drop_saved(settled, windows, repeated)
+    drop_saved(settled, claimed, exact, confirmed)
     return spans
 
 
 def text_key(text: str, names: tuple[str, str] = ("key1", "key2")):
-    """96 bits that stand for a text; equal texts have equal spans, whatever their row."""
-    return F.xxhash64(text).alias(names[0]), F.hash(text).alias(names[1])
+    """The first 92 bits of a text's SHA-256 stand for it; equal texts have equal spans, whatever their row."""
+    digest = F.sha2(F.col(text), 256)
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long").alias(names[0]), (
+        F.conv(F.substring(digest, 16, 8), 16, 10).cast("long") - (1 << 31)).cast("int").alias(names[1])
 
 
 def _union(spans: pa.StructArray) -> np.ndarray:

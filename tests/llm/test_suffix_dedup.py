@@ -62,3 +62,46 @@ def test_empty_table_and_text_form(spark):
     body = "é" * 100  # 200 bytes, found at odd places too
     df = spark.createDataFrame([("x" + body + "z",), ("yy" + body,)], "text string")
     assert sorted(r.kept for r in remove_repeats(df, as_text=True).collect()) == ["xz", "yy"]
+
+
+def test_equal_identifiers_of_unequal_bytes_are_no_repeat(spark):
+    """Two texts whose first 16 bytes are made to share every 64-bit identifier that holds them."""
+    import numpy as np
+
+    from sluice.llm import suffix_dedup as D
+
+    tail = "".join(random.Random(1).choice("abcdefgh ") for _ in range(184))
+    pair = ["abcdefghijklmnop" + tail, "=e^HX8&>5j]'0`pi" + tail]
+    ids = [D._identifiers(np.frombuffer(t.encode(), np.uint8), 200)[200].tolist() for t in pair]
+    assert ids[0] == ids[1]  # the collision is there
+    df = spark.createDataFrame(list(enumerate(pair)), "i int, text string")
+    assert [r.n_removed for r in remove_repeats(df).collect()] == [0, 0]
+    # The same pair beside true copies of one of them, and as the ends of longer texts.
+    texts = [*pair, pair[0], "x" * 300 + pair[1], "y" * 300 + pair[1] + "z"]
+    got = {r.i: (bytes(r.kept), r.n_removed, len(r.removed)) for r in remove_repeats(
+        spark.createDataFrame(list(enumerate(texts)), "i int, text string")).collect()}
+    assert got == dict(enumerate(brute(texts)))
+
+
+def test_hot_buckets_are_split(spark, monkeypatch):
+    """Every counted join with a broadcast of its hot keys: the same result."""
+    from sluice.llm import common
+
+    monkeypatch.setattr(common, "HOT_LEAST", 1)
+    monkeypatch.setattr(common, "HOT_SHARE", 1 << 40)
+    texts = corpus()
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string").repartition(3)
+    got = {r.i: (bytes(r.kept), r.n_removed, len(r.removed)) for r in remove_repeats(df).collect()}
+    assert got == dict(enumerate(brute(texts)))
+
+
+def test_registered_query_is_brute_force(spark, sf):
+    import hashlib
+
+    from sluice.llm import queries
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
+    got = {r.doc_id: tuple(r)[1:] for r in queries.queries()["op10_suffix_dedup"](spark, sf).collect()}
+    want = {d.doc_id: (len((d.text or "").encode()), n, runs, hashlib.sha256(kept).hexdigest())
+            for d, (kept, n, runs) in zip(docs, brute([d.text for d in docs]))}
+    assert got == want
