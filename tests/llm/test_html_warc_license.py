@@ -4,7 +4,7 @@ import hashlib
 
 from sluice.llm import warc as W
 from sluice.llm.html_extract import extract_text, host_of, page_text
-from sluice.llm.license_rules import RULES, SENTENCES, scan, sentence_ids
+from sluice.llm.license_rules import HINT, NAMES, RULES, SENTENCES, expand, licenses_of, scan, tries
 
 
 def text_of(page):
@@ -270,11 +270,26 @@ def test_license_sentences_and_rules(spark):
     assert scan(df.limit(0)).count() == 0
 
 
+def filled(words, name="mit license"):
+    """A template's words with its slots filled."""
+    fill = {"#": "2.0", "<url>": "https://example.org/x", "<name>": name, "<spdx>": "MIT OR Apache-2.0"}
+    return " ".join(fill.get(w, "acme labs" if w[0] == "<" else w) for w in words)
+
+
 def test_license_tables_are_consistent():
-    ids = sentence_ids()
-    assert len(ids) == sum(map(len, SENTENCES.values())) and all(i in SENTENCES for _, rule in RULES for i in rule)
-    for k, (_, rule) in enumerate(RULES):  # a rule never stands before a longer one that starts with it
-        assert not any(longer[: len(rule)] == rule for _, longer in RULES[k + 1:])
+    import re
+
+    assert all(i in SENTENCES for _, rule, _ in RULES for i in rule) and set(SENTENCES) == {i for _, rule, _ in RULES for i in rule}
+    for k, (_, rule, closed) in enumerate(RULES):  # a rule stands before a longer one that starts with it only if it is closed
+        assert closed or not any(longer[: len(rule)] == rule and len(longer) > len(rule) for _, longer, _ in RULES[k + 1:])
+    for known in SENTENCES.values():
+        for t in known:
+            assert all(re.search(HINT, filled(w), re.IGNORECASE) for w in expand(t)), t
+    owner = {}
+    for name, forms in NAMES.items():
+        for words in (tuple(w) for f in forms for w in expand(f)):
+            assert owner.setdefault(words, name) == name or name == "BSD-2-Clause", words
+    assert expand("a? (b|c) d") == [["b", "d"], ["c", "d"], ["a", "b", "d"], ["a", "c", "d"]] and tries()[0]["all"]["rights"]["reserved"]
 
 
 GPL3 = """# This program is free software: you can redistribute it and/or modify
@@ -311,23 +326,100 @@ APACHE = """// Licensed under the Apache License, Version 2.0 (the "License");
 
 def test_license_headers_and_wraps(spark):
     wrapped = MIT.replace("portions of the Software", "portions of the\n * Software").replace("FOR A PARTICULAR", "FOR A\n * PARTICULAR")
-    cases = {GPL3: [("GPL-3-or-later", 6)], GPL2: [("GPL-2-or-later", 3)], MPL2: [("MPL-2.0", 2)], MPL2.replace("v. 2.0", "v.\n * 2.0"): [("MPL-2.0", 2)],
+    cases = {GPL3: [("GPL-3-or-later", 6)], GPL2: [("GPL-2-or-later", 2)], MPL2: [("MPL-2.0", 2)], MPL2.replace("v. 2.0", "v.\n * 2.0"): [("MPL-2.0", 2)],
              APACHE: [("Apache-2.0", 5)], wrapped: [("MIT", 1), ("MIT", 4)], "MIT License\n2020 Someone\nAll rights\nReserved": [("MIT", 1), ("All-Rights-Reserved", 1)]}
     df = spark.createDataFrame(list(enumerate(cases)), "i int, text string")
     got = {r.i: [(x.license, len(x.sentences)) for x in r.licenses] for r in scan(df).collect()}
     assert got == dict(enumerate(cases.values()))
 
 
-def test_every_license_sentence_and_rule_is_found(spark):
-    texts = []
-    for name, ids in RULES:
+def test_every_license_sentence_and_rule_is_found():
+    for name, ids, _ in RULES:
+        notice = "apache license version 2.0" if name.startswith("Apache") else "mit license"
         for k, i in enumerate(ids):
-            for known in SENTENCES[i]:  # each known form at its place, plain, then every word in capitals on its own line
-                said = [(known if n == k else SENTENCES[j][0]).replace("#", "2.0") + "." for n, j in enumerate(ids)]
-                texts += [(name.replace("#", "2.0"), list(ids), " ".join(said)), (name.replace("#", "2.0"), list(ids), "\n".join(w[0].upper() + w[1:] for x in said for w in x.split()))]
-    df = spark.createDataFrame([(i, t[2]) for i, t in enumerate(texts)], "i int, text string")
-    got = {r.i: [(x.license, list(x.sentences)) for x in r.licenses] for r in scan(df).collect()}
-    assert [(i, got[i], texts[i][2]) for i in got if got[i] != [texts[i][:2]]] == []
+            for words in (w for t in SENTENCES[i] for w in expand(t)):  # each known form at its place, plain, then every word in capitals on its own line
+                said = [filled(words if n == k else expand(SENTENCES[j][0])[0], notice) + "." for n, j in enumerate(ids)]
+                for text in (" ".join(said), "\n".join(w[0].upper() + w[1:] for x in said for w in x.split()).replace("\n-\n", " -\n")):
+                    got = licenses_of(text)
+                    assert [x["sentences"] for x in got] == [list(ids)], (text, got)
+                    assert name in ("*", "BSD-Other") or got[0]["license"] == name.replace("#", "2.0"), (text, got)
+
+
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions
+are met:
+1. Redistributions of source code must retain the above copyright
+   notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright
+   notice, this list of conditions and the following disclaimer in the
+   documentation and/or other materials provided with the distribution.
+{more}
+THIS SOFTWARE IS PROVIDED BY THE REGENTS AND CONTRIBUTORS ``AS IS'' AND
+ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE
+ARE DISCLAIMED."""
+THIRD = """3. Neither the name of the {holder} nor the names of its contributors
+   may be used to endorse or promote products derived from this software
+   without specific prior written permission."""
+FOURTH = """3. All advertising materials mentioning features or use of this software
+   must display the following acknowledgement:
+   This product includes software developed by the University of
+   California, Berkeley and its contributors.
+"""
+ZLIB = """This software is provided 'as-is', without any express or implied
+warranty.  In no event will the authors be held liable for any damages
+arising from the use of this software.
+
+Permission is granted to anyone to use this software for any purpose,
+including commercial applications, and to alter it and redistribute it
+freely, subject to the following restrictions:
+
+1. The origin of this software must not be misrepresented; you must not
+   claim that you wrote the original software. If you use this software
+   in a product, an acknowledgment in the product documentation would be
+   appreciated but is not required.
+2. Altered source versions must be plainly marked as such, and must not be
+   misrepresented as being the original software.
+3. This notice may not be removed or altered from any source distribution."""
+
+
+def test_bsd_texts_by_their_clauses():
+    for holder in ("University", "copyright holder", "Acme Software Company of Springfield, Inc."):
+        assert [x["license"] for x in licenses_of(BSD.format(more=THIRD.format(holder=holder)))] == ["BSD-3-Clause"], holder
+    assert [x["license"] for x in licenses_of(BSD.format(more=""))] == ["BSD-2-Clause"]
+    assert [x["license"] for x in licenses_of(BSD.format(more=FOURTH + THIRD.format(holder="University").replace("3.", "4.")))] == ["BSD-4-Clause"]
+    # An unknown clause where the third would stand makes it another licence.
+    for odd in ("3. You must send the author a postcard.", "   * Do not use this on Sundays.", "The name of nobody may appear anywhere at all."):
+        assert [x["license"] for x in licenses_of(BSD.format(more=odd))] == ["BSD-Other"], odd
+
+
+def test_common_notices_and_texts():
+    cases = {
+        "This software is licensed under the Apache License, Version 2.0.": "Apache-2.0", "Code is licensed under the MIT License.": "MIT",
+        "This article is licensed under a Creative Commons Attribution 4.0 International License.": "CC-BY-4.0",
+        "// SPDX-License-Identifier: Apache-2.0 OR MIT\nint x;": "Apache-2.0 OR MIT", "# SPDX-License-Identifier: GPL-2.0-only": "GPL-2.0-only",
+        "Released under the GPLv3 license.": "GPL-3", "This is available under the GNU GPL version 2 or later.": "GPL-2-or-later",
+        "Distributed under the Boost Software License, Version 1.0.\n(See accompanying file LICENSE_1_0.txt or copy at\nhttp://www.boost.org/LICENSE_1_0.txt)": "BSL-1.0",
+        "This program and the accompanying materials are made\navailable under the terms of the Eclipse Public License 2.0\nwhich is available at https://www.eclipse.org/legal/epl-2.0/": "EPL-2.0",
+        GPL2.replace("the GNU General Public License as published by\n * the Free Software Foundation; either version 2 of the License, or\n * (at your option) any later version.",
+                     "the GNU General Public License version 2 as\n * published by the Free Software Foundation."): "GPL-2",
+        GPL3.replace("General", "Affero General"): "AGPL-3-or-later", GPL3.replace("General", "Lesser General").replace("version 3", "version 2.1").replace("program", "library"): "LGPL-2.1-or-later",
+        ZLIB: "Zlib", "   Apache License\n   Version 2.0, January 2004\n   http://www.apache.org/licenses/\n\n   TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION": "Apache-2.0",
+        "Mozilla Public License Version 2.0\n==================================\n\n1. Definitions": "MPL-2.0",
+        "GNU GENERAL PUBLIC LICENSE\n Version 3, 29 June 2007\n\n Copyright (C) 2007 Free Software Foundation, Inc.\n Everyone is permitted to copy and distribute verbatim copies\n of this license document, but changing it is not allowed.": "GPL-3",
+        "Licensed under the BSD 3-Clause License.": "BSD-3-Clause", "This project is licensed under the ISC license.": "ISC", "This work is in the public domain.": "Public-Domain",
+    }
+    for text, want in cases.items():
+        assert [x["license"] for x in licenses_of(text)] == [want], text
+    for text in ("You need a license to drive.", "The license was released under pressure.", "He is licensed under the law of the land.", "Permission is a word. Copyright is another."):
+        assert licenses_of(text) == [], text
+
+
+def test_license_scan_of_repeated_rows_and_long_texts(spark):
+    long = "plain words of prose. " * 40000 + "\nLicensed under CC0 1.0.\n" + "more words\n" * 20000
+    df = spark.createDataFrame([(1, "MIT License"), (1, "MIT License"), (2, long), (3, "license " * 100000), (None, None)], "i int, text string")
+    got = sorted(((r.i or 0), [x.license for x in r.licenses]) for r in scan(df).collect())
+    assert got == [(0, []), (1, ["MIT"]), (1, ["MIT"]), (2, ["CC0-1.0"]), (3, [])]
 
 
 def plain_licenses(text):
