@@ -5,7 +5,7 @@ of the corpus, in the same text or another. Suffixes are compared by bucket iden
 
 1. **Initial q-gram buckets.** In each text, the bucket identifier of the 64 bytes at
    every offset is built from its 8-grams by pointer doubling: id16(p) = (id8(p),
-   id8(p + 8)), up to 128, then id200(p) = (id128(p), id128(p + 72)). Each level mixes
+   id8(p + 8)), up to 128. Each level mixes
    the identifiers that the level before has made. Each string start (a *window*) belongs to the least 64-gram within it, the
    leftmost of equals. Equal windows hold it at equal places, so they share its bucket.
    Neighbouring windows with the same 64-gram form a *block*, which is one row: about
@@ -15,10 +15,11 @@ of the corpus, in the same text or another. Suffixes are compared by bucket iden
 4. **Refinement.** Other blocks are bucketed by the identifiers at two later offsets:
    128 bytes from the 64-gram, or 128 bytes around it. Every window holds one or the
    other, so two blocks that share neither share no window.
-5. **Last refinement.** The windows that remain are bucketed by id200.
-6. **Confirmation.** Identifiers of steps 1 to 5 are 64-bit mixes; unequal bytes may share one, so they only
-   ever add candidates. What settles is equal in a 128-bit BLAKE2b digest of its bytes: of a whole block in
-   step 3, of each surviving window at the end.
+5. **Last refinement.** The windows that remain are bucketed by their bytes.
+
+Identifiers of 64 and 128 bytes are 64-bit mixes; unequal bytes may share one, so they only ever add
+candidates. What settles is equal in a 128-bit BLAKE2b digest of its bytes: of a whole block in
+step 3, of a window in step 5.
 
 This is not the whole of bucket-pointer refinement: identifiers of later offsets come from the bytes, not from the
 numbers of sorted buckets, so no bucket waits for another. The README has the figures of the dense form.
@@ -59,8 +60,8 @@ def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return h
 
 
-def _identifiers(data: np.ndarray, length: int) -> dict[int, np.ndarray]:
-    """Bucket identifiers of 64, 128 and ``length`` bytes at each offset that has so many."""
+def _identifiers(data: np.ndarray) -> dict[int, np.ndarray]:
+    """Bucket identifiers of 64 and 128 bytes at each offset that has so many."""
     n = len(data) - 7
     level = np.empty(n, np.uint64)
     for k in range(8):
@@ -71,7 +72,6 @@ def _identifiers(data: np.ndarray, length: int) -> dict[int, np.ndarray]:
         level = _mix(level[:-size], level[size:])
         size *= 2
         ids[size] = level
-    ids[length] = _mix(ids[128][: n + 8 - length], ids[128][length - 128:])
     return ids
 
 
@@ -116,8 +116,8 @@ def _find_blocks(length: int):
     width, middle = length - GRAM + 1, _middle(length)
 
     def blocks(data, starts, ends, base):
-        ids = _identifiers(data, length)
-        windows = np.arange(len(ids[length]))
+        ids = _identifiers(data)
+        windows = np.arange(len(data) - length + 1)
         text = np.searchsorted(ends, windows + base, side="right")
         inside = windows + base + length <= ends[text]
         windows, text = windows[inside], text[inside]
@@ -154,7 +154,7 @@ def _find_blocks(length: int):
 
 
 def _find_windows(length: int):
-    """Rows (window id, key columns, start, copies) of the windows asked for in each text."""
+    """Rows (digest, key columns, start, copies) of the windows asked for in each text."""
     middle = _middle(length)
 
     def wanted(place, ahead):
@@ -174,46 +174,16 @@ def _find_windows(length: int):
                 place, ahead, many = (asked.values.field(k).to_numpy(zero_copy_only=False) for k in range(3))
                 rows = [wanted(int(p), bool(a)) for p, a in zip(place, ahead, strict=True)]
                 order = sorted((s, n, bool(m)) for (s, n), m in zip(rows, many, strict=True) if n)
-                ids, starts, copies, text = [], [], [], data[offsets[i]: offsets[i + 1]]
-                k = 0
-                while k < len(order):  # neighbouring runs share one pass over their bytes
-                    low, high, stop = order[k][0], order[k][0] + order[k][1], k + 1
-                    while stop < len(order) and order[stop][0] <= high + length and order[stop][0] - low < CHUNK:
-                        high, stop = max(high, order[stop][0] + order[stop][1]), stop + 1
-                    level = _identifiers(text[low: high + length - 1], length)[length]
-                    for s, n, m in order[k:stop]:
-                        ids.append(level[s - low: s - low + n])
-                        starts.append(np.arange(s, s + n))
-                        copies.append(np.full(n, 2 if m else 1, np.int32))
-                    k = stop
-                if ids:
-                    n = sum(map(len, ids))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate(ids).view(np.int64)), *(pa.array(np.full(n, x)) for x in (np.int64(keys[i][0]), np.int32(keys[i][1]))),
-                         pa.array(np.concatenate(starts)), pa.array(np.concatenate(copies))],
-                        ["id", "key1", "key2", "start", "copies"])
-
-    return run
-
-
-def _confirm_windows(length: int):
-    """Rows (digest, key columns, start, copies) of the windows asked for in each text."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = set()
-        for batch in batches:
-            data, offsets = _buffer(batch.column(0))
-            keys = list(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True))
-            for i, asked in enumerate(batch.column(3)):
-                if keys[i] in seen:  # a copy of a text done before
+                if not order:
                     continue
-                seen.add(keys[i])
-                start, copies = (asked.values.field(k) for k in range(2))
-                at = start.to_numpy(zero_copy_only=False)
-                yield pa.RecordBatch.from_arrays(
-                    [*(pa.array(d) for d in _digests(data[offsets[i]: offsets[i + 1]], at, at + length)),
-                     *(pa.array(np.full(len(at), x)) for x in (np.int64(keys[i][0]), np.int32(keys[i][1]))), start, copies],
-                    ["d1", "d2", "key1", "key2", "start", "copies"])
+                starts = np.concatenate([np.arange(s, s + n, dtype=np.int32) for s, n, _ in order])
+                copies = np.repeat(np.array([2 if m else 1 for _, _, m in order], np.int32), [n for _, n, _ in order])
+                for low in range(0, len(starts), CHUNK):
+                    at = starts[low: low + CHUNK]
+                    yield pa.RecordBatch.from_arrays(
+                        [*(pa.array(d) for d in _digests(data[offsets[i]: offsets[i + 1]], at, at + length)),
+                         *(pa.array(np.full(len(at), x)) for x in (np.int64(keys[i][0]), np.int32(keys[i][1]))), pa.array(at), pa.array(copies[low: low + CHUNK])],
+                        ["d1", "d2", "key1", "key2", "start", "copies"])
 
     return run
 
@@ -253,20 +223,14 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = 200) -> Da
     drop_saved(kinds, shared)
     windows = save(keyed.join(asked.hint("shuffle_hash"), ["key1", "key2"]).select(
         "text", "key1", "key2", "asked").mapInArrow(
-        _find_windows(length), "id long, key1 long, key2 int, start long, copies int"), "windows")
+        _find_windows(length), "d1 long, d2 long, key1 long, key2 int, start int, copies int"), "windows")
     drop_saved(asked)
-    twice = [F.sum("copies").alias("n"), F.min("copies").alias("least")]
-    repeated = save(windows.groupBy("id").agg(*twice).filter("n > 1 and least = 1").drop("least"), "repeated")
-    claimed = save(join_counted(windows, repeated, ["id"], "left_semi").groupBy("key1", "key2").agg(
-        F.collect_list(F.struct("start", "copies")).alias("claimed")), "claimed")
-    drop_saved(windows, repeated)
-    exact = save(keyed.join(claimed.hint("shuffle_hash"), ["key1", "key2"]).select("text", "key1", "key2", "claimed").mapInArrow(
-        _confirm_windows(length), "d1 long, d2 long, key1 long, key2 int, start long, copies int"), "exact-windows")
-    confirmed = save(exact.groupBy("d1", "d2").agg(*twice).filter("n > 1 and least = 1").drop("least"), "confirmed")
-    found = join_counted(exact.filter("copies = 1"), confirmed, ["d1", "d2"], "left_semi").select(
-        "key1", "key2", F.struct("start", F.lit(length).cast("long").alias("size")).alias("span"))
+    repeated = save(windows.groupBy("d1", "d2").agg(F.sum("copies").alias("n"), F.min("copies").alias("least")).filter(
+        "n > 1 and least = 1").drop("least"), "repeated")
+    found = join_counted(windows.filter("copies = 1").drop("copies"), repeated, ["d1", "d2"], "left_semi").select(
+        "key1", "key2", F.struct(F.col("start").cast("long").alias("start"), F.lit(length).cast("long").alias("size")).alias("span"))
     spans = save(settled.unionByName(found).groupBy("key1", "key2").agg(F.collect_list("span").alias("spans")), "spans")
-    drop_saved(settled, claimed, exact, confirmed)
+    drop_saved(settled, windows, repeated)
     return spans
 
 
