@@ -96,10 +96,11 @@ def host_rates(measured: DataFrame, host: str, failed: str) -> DataFrame:
     variance of the hosts' rates less what binomial noise alone would give, kept within
     1 and 1,000,000 (one host, or hosts that do not differ: 1,000,000). The shrunk rate
     is (failures + s m) / (documents + s). A null host is a host of its own.
+    The hosts' counts are written once, so ``measured`` is read once.
     """
     n, f = F.col("host_docs"), F.col("host_failures")
-    hosts = measured.groupBy(F.col(host).alias("host")).agg(
-        F.count(F.lit(1)).alias("host_docs"), F.sum(F.col(failed).cast("long")).alias("host_failures"))
+    hosts = save(measured.groupBy(F.col(host).alias("host")).agg(
+        F.count(F.lit(1)).alias("host_docs"), F.sum(F.col(failed).cast("long")).alias("host_failures")), "host-counts")
     total = hosts.agg(
         (F.sum(f) / F.sum(n)).alias("m"), F.var_pop(f / n).alias("v"), F.avg(1 / n).alias("noise"))
     m, v, noise = total.first()  # one row of three numbers
