@@ -295,13 +295,18 @@ def _look_up(parts: list[tuple]):
     return run
 
 
+def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([pa.array(map(surt, batch.column(0).to_pylist()), pa.string()), batch.column(1)], ["key", "page"])
+
+
 def look_up(parts: DataFrame, wanted: DataFrame, page: str = "page_id", url: str = "url") -> DataFrame:
     """Where the records of the pages ``wanted`` lie: ``page, file, offset, length``.
 
     The parts' list, one row per partition of the index, goes to every task."""
     top = [tuple(r) for r in parts.collect()]  # as many rows as the sort had partitions
-    key = F.udf(surt, "string")
-    queries = wanted.select(key(F.col(url).cast("string")).alias("key"), F.coalesce(F.col(page).cast("string"), F.lit("")).alias("page")).distinct()
+    asked = wanted.select(F.col(url).cast("string").alias("url"), F.coalesce(F.col(page).cast("string"), F.lit("")).alias("page"))
+    queries = asked.mapInArrow(_keys, "key string, page string").distinct()
     ordered = queries.repartitionByRange("key", "page").sortWithinPartitions("key", "page")
     return ordered.mapInArrow(_look_up(top), "page string, file string, offset long, length long")
 
@@ -346,7 +351,10 @@ def archive_round_trip(spark: SparkSession, pages: DataFrame, page: str = "page_
                        least_bytes: int = 1000, block_lines: int = BLOCK_LINES) -> DataFrame:
     """Write ``pages`` to archives, index them, look every page up and read it back:
     ``page, payload_bytes, payload_digest, record_type, refers_to``, sizes and digests taken
-    from the payloads read, a revisit's from the response it refers to."""
+    from the payloads read, a revisit's from the response it refers to.
+
+    A null html is an empty payload, a null id stays null and a null URL has the empty key; repeated rows are
+    records of their own and come back as often; an empty table gives no rows."""
     parts = build_index(write_archives(pages, page, url, html, least_bytes), block_lines)
     read = read_records(look_up(parts, pages, page, url))
     read = save(read.select("page", "record_type", "digest", "refers_to", F.octet_length("payload").cast("long").alias("payload_bytes"),
