@@ -24,8 +24,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
-from sluice.llm.common import fresh, join_one, save, without
+from sluice.llm.common import drop_saved, fresh, join_counted, join_one, save, without
 from sluice.llm.components import components
 
 
@@ -58,12 +59,13 @@ def nearest_e8(x: np.ndarray) -> np.ndarray:
 
 
 def _cell_ids(points: np.ndarray, table: int, labels: np.ndarray) -> np.ndarray:
-    """64-bit bucket numbers of (label, table, lattice point)."""
+    """64-bit bucket numbers of (label, table, lattice point); the last byte is the table."""
     h = labels.astype(np.int64).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(table + 1)
     for k in range(8):
         h = (h ^ (h >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
         h += (2 * points[..., k]).astype(np.int64).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
-    return ((h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)).view(np.int64)
+    h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return (h & ~np.uint64(255) | np.uint64(table)).view(np.int64)
 
 
 def cells(vectors: np.ndarray, labels: np.ndarray, tables: int, probes: int, cell: float, seed: int) -> np.ndarray:
@@ -100,16 +102,16 @@ def _hash_nodes(tables: int, probes: int, cell: float, seed: int):
     return run
 
 
-def _links_of_unit(unit: dict, tables: int, probes: int, threshold: float):
+def _links_of_unit(unit: dict, probes: int, threshold: float):
     """Members of one bucket, or of two of its blocks: copies linked to each, and forest links.
 
     Only pairs of one own member and any other row count, and of two blocks only pairs
     across. ``unit`` has node, copies, own, block and vector, cells as arrays."""
-    node, own, cells_ = unit["node"], unit["own"], unit["cells"].reshape(-1, tables, 1 + probes)
+    node, own, cells_ = unit["node"], unit["own"], unit["cells"].reshape(len(unit["node"]), -1, 1 + probes)
     vec = unit["vector"]
     unit_vec = vec / np.linalg.norm(vec, axis=1, keepdims=True)
     n, key = len(node), unit["key"]
-    table = int((cells_[0] == key).any(axis=1).argmax())
+    table = cells_.shape[1] - 1
     linked, label = np.zeros(n, np.int64), np.arange(n)
     near_all = []
     rows = max(1, (1 << 20) // n)
@@ -117,6 +119,7 @@ def _links_of_unit(unit: dict, tables: int, probes: int, threshold: float):
         part = slice(low, min(low + rows, n))
         near = unit_vec[part] @ unit_vec.T >= threshold
         near &= own[part, None] | own[None, :]
+        near &= unit["label"][part, None] == unit["label"][None, :]
         near &= node[part, None] < node[None, :]
         if unit["across"]:
             near &= unit["block"][part, None] != unit["block"][None, :]
@@ -149,13 +152,13 @@ def _links_of_unit(unit: dict, tables: int, probes: int, threshold: float):
     return node[some], linked[some], node[label[some]]
 
 
-def _compare(tables: int, probes: int, threshold: float):
+def _compare(probes: int, threshold: float):
     """Runs of rows with equal (key, pair of blocks), in order, each a unit of comparison."""
-    names = ("key", "low", "high", "node", "copies", "own", "block")
+    names = ("key", "low", "high", "node", "copies", "own", "block", "label")
 
     def arrays(batch: pa.RecordBatch) -> dict:
         out = {n: batch.column(i).to_numpy(zero_copy_only=False) for i, n in enumerate(names)}
-        for i, n in ((7, "vector"), (8, "cells")):
+        for i, n in ((8, "vector"), (9, "cells")):
             lists = batch.column(i)
             ends = lists.offsets.to_numpy()
             out[n + "_at"] = ends - ends[0]
@@ -178,7 +181,7 @@ def _compare(tables: int, probes: int, threshold: float):
                 same = [p for p in pieces if p["vector"].shape[1] == width]
                 unit = {n: np.concatenate([p[n] for p in same]) for n in (*names, "vector", "cells")}
                 unit |= {"key": unit["key"][0], "across": unit["low"][0] != unit["high"][0]}
-                got = _links_of_unit(unit, tables, probes, threshold) if len(unit["node"]) > 1 else None
+                got = _links_of_unit(unit, probes, threshold) if len(unit["node"]) > 1 else None
                 if got is not None:
                     found.append(got)
             return found
@@ -233,22 +236,28 @@ def near_vectors(vectors: DataFrame, id: str = "vec_id", vector: str = "embeddin
     rows = save(vectors.withColumn(row, F.monotonically_increasing_id()), "vectors")
     groups = rows.filter(good).groupBy(F.col(vector).alias("vector"), F.col(label).alias("label")).agg(
         F.min(row).alias("node"), F.count(F.lit(1)).alias("copies"), F.min(id).alias("least"))
+    if not 1 <= tables <= 256:
+        raise ValueError("tables must be between 1 and 256")
     groups = save(groups, "distinct-vectors")
-    hashed = groups.select("node", "vector", F.xxhash64("label").alias("label"), "copies").mapInArrow(
+    # Whole numbers stand for themselves, other labels for their 64-bit hash.
+    number = F.col("label").cast("long") if isinstance(groups.schema["label"].dataType, IntegralType) else F.xxhash64("label")
+    hashed = groups.select("node", "vector", number.alias("label"), "copies").mapInArrow(
         _hash_nodes(tables, probes, cell, seed),
         f"node long, vector {groups.schema['vector'].dataType.simpleString()}, label long, copies long, cells array<long>")
-    hashed = save(hashed.drop("label"), "hashed-vectors")
+    hashed = save(hashed, "hashed-vectors")
     dealt = hashed.select("*", F.posexplode("cells").alias("at", "key")).withColumn("own", F.col("at") % (1 + probes) == 0)
     sizes = dealt.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("own").cast("long")).alias("owners"))
-    sizes = sizes.filter("n > 1 and owners > 0").select("key", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
-    mine = dealt.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    sizes = save(sizes.filter("n > 1 and owners > 0").select("key", "n", F.ceil(F.col("n") / block).cast("int").alias("blocks")), "cell-sizes")
+    # A comparison in a cell of table t asks about the cells of tables up to t only.
+    dealt = dealt.withColumn("cells", F.slice("cells", 1, (F.floor(F.col("at") / (1 + probes)) + 1).cast("int") * (1 + probes)))
+    mine = join_counted(dealt, sizes, ["key"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     units = mine.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "node", "copies",
-        "own", "block", "vector", "cells")
+        "own", "block", "label", "vector", "cells")
     units = units.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
-    found = save(units.mapInArrow(_compare(tables, probes, threshold), "node long, linked long, towards long"), "vector-links")
-    links = found.groupBy("node").agg(F.sum("linked").alias("linked"))
-    joined = components(found.select(F.col("node").alias("a"), F.col("towards").alias("b")))
+    links_found = save(units.mapInArrow(_compare(probes, threshold), "node long, linked long, towards long"), "vector-links")
+    links = links_found.groupBy("node").agg(F.sum("linked").alias("linked"))
+    joined = components(links_found.select(F.col("node").alias("a"), F.col("towards").alias("b")))
     per = groups.join(links, "node", "left").join(joined, "node", "left").select(
         "vector", "label", "node", "least", (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
         F.coalesce("component", "node").alias("component"))
@@ -256,6 +265,7 @@ def near_vectors(vectors: DataFrame, id: str = "vec_id", vector: str = "embeddin
     least = save(per.groupBy("component").agg(F.min("least").alias("least_id")), "least-of-component")
     per = save(join_one(per.drop("least"), least, ["component"]).select(
         F.col("vector").alias(vector), F.col("label").alias(label), "n_links", F.col("least_id").alias("component_id")), "vector-classes")
+    drop_saved(groups, hashed, sizes, links_found, least)
     found = join_one(rows.filter(good), per, [vector, label])
     alone = rows.filter(~good).withColumns({"n_links": F.lit(0).cast("long"), "component_id": F.col(id)})
     return found.unionByName(alone).withColumn("kept", F.col(id).eqNullSafe(F.col("component_id"))).drop(row, vector)
