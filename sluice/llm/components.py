@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import drop_saved, save
+from sluice.llm.common import drop_saved, join_one, save
 
 
 def _size(links: DataFrame) -> tuple:
@@ -19,7 +19,7 @@ def components(links: DataFrame) -> DataFrame:
     Alternating large-star and small-star steps (Kiveris et al., 2014): every node's
     neighbours are tied to the least node around it until each component is one star.
     A step is an aggregate with map-side combining and a join with its one row per node.
-    That join is shuffled by node: a hub's links meet in one task. Every round is written to the shared
+    In a large table the links of hubs are joined apart (``join_one``). Every round is written to the shared
     checkpoint folder; the driver sees two numbers a round. Null ends and links of a node
     to itself count for nothing; an empty table has no components.
     """
@@ -29,10 +29,10 @@ def components(links: DataFrame) -> DataFrame:
     while before[0]:
         both = at.unionByName(at.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = save(both.filter("b > a").join(least, "a").select(
+        large = save(join_one(both.filter("b > a"), least, ["a"]).select(
             F.col("b").alias("a"), F.col("m").alias("b")).distinct(), "large-star")
         least = large.groupBy("a").agg(F.min("b").alias("m"))
-        tied = large.join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        tied = join_one(large, least, ["a"]).filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         small = save(tied.unionByName(least.select("a", F.col("m").alias("b"))).distinct(), "small-star")
         drop_saved(at, large)
         at, after = small, _size(small)

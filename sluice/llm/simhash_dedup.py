@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import fresh, join_one, save, without
+from sluice.llm.common import drop_saved, fresh, join_counted, join_one, save, without
 from sluice.llm.components import components
 
 
@@ -138,8 +138,9 @@ def fingerprint_links(fps: DataFrame, radius: int = 4, max_bucket: int = 4096) -
     keys = [F.struct(F.lit(i).alias("mask"), F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(_signed(m)))).alias("bucket"))
             for i, m in enumerate(masks)]
     dealt = fps.select("fp", F.explode(F.array(*keys)).alias("k")).select("k.mask", "k.bucket", "fp")
-    sizes = dealt.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    shared = save(dealt.join(sizes, "bucket"), "shared-buckets")
+    sizes = save(dealt.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").withColumn("rows", F.col("n")), "bucket-sizes")
+    shared = save(join_counted(dealt, sizes, ["bucket"], count="rows"), "shared-buckets")
+    drop_saved(sizes)
     small = shared.filter(F.col("n") <= max_bucket).groupBy("bucket").agg(F.collect_list("fp").alias("members"))
     links = small.select("members").mapInArrow(_forest(radius), "a long, b long").distinct()
     large = shared.filter(F.col("n") > max_bucket).select("mask", "fp")
