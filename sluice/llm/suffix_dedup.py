@@ -46,6 +46,8 @@ from sluice.llm.common import drop_saved, fresh, join_counted, save
 GRAM = 64
 #: Bytes handled at once; a memory bound only, results do not depend on it.
 CHUNK = 1 << 16
+#: Shares of the last buckets that are settled one after another; a disk bound only.
+PARTS = 4
 _K1, _K2, _K3 = (np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93))
 _PLACE = np.uint64(CHUNK * 2 - 1)
 
@@ -225,12 +227,18 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = 200) -> Da
         "text", "key1", "key2", "asked").mapInArrow(
         _find_windows(length), "d1 long, d2 long, key1 long, key2 int, start int, copies int"), "windows")
     drop_saved(asked)
-    repeated = save(windows.groupBy("d1", "d2").agg(F.sum("copies").alias("n"), F.min("copies").alias("least")).filter(
-        "n > 1 and least = 1").drop("least"), "repeated")
-    found = join_counted(windows.filter("copies = 1").drop("copies"), repeated, ["d1", "d2"], "left_semi").select(
-        "key1", "key2", F.struct(F.col("start").cast("long").alias("start"), F.lit(length).cast("long").alias("size")).alias("span"))
-    spans = save(settled.unionByName(found).groupBy("key1", "key2").agg(F.collect_list("span").alias("spans")), "spans")
-    drop_saved(settled, windows, repeated)
+    found, parts = settled, []
+    for part in range(PARTS):  # one share of the buckets at a time, so that only its rows lie in shuffle files
+        mine = windows.filter(F.pmod("d1", F.lit(PARTS)) == part)
+        repeated = save(mine.groupBy("d1", "d2").agg(F.sum("copies").alias("n"), F.min("copies").alias("least")).filter(
+            "n > 1 and least = 1").drop("least"), "repeated")
+        some = save(join_counted(mine.filter("copies = 1").drop("copies"), repeated, ["d1", "d2"], "left_semi").select(
+            "key1", "key2", F.struct(F.col("start").cast("long").alias("start"), F.lit(length).cast("long").alias("size")).alias("span")), "repeated-windows")
+        drop_saved(repeated)
+        found, parts = found.unionByName(some), [*parts, some]
+    drop_saved(windows)
+    spans = save(found.groupBy("key1", "key2").agg(F.collect_list("span").alias("spans")), "spans")
+    drop_saved(settled, *parts)
     return spans
 
 
