@@ -33,6 +33,7 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -189,6 +190,15 @@ class Lexicon(dict):
         lists = {"G": TARGETS, "K": THREATS, "N": NEGATIONS, "R": REPORTS}
         self.units, self.fixed = units, {w: s for s, words in lists.items() for w in words} | {e: e for e in _ENDS}
 
+        # What a word of a symbol S, W or K holds: texts without any of it have no pattern.
+        self.cores = ahocorasick.Automaton()
+        for core in {*(u.strip("*") for u in units), *THREATS}:
+            self.cores.add_word(core, True)
+        self.cores.make_automaton()
+
+    def may_match(self, text: str | None) -> bool:
+        return bool(text) and next(self.cores.iter(text.lower()), None) is not None
+
     def __missing__(self, word: str) -> str:
         found = {self.units[u] for u in units_of(word) if u in self.units}
         symbol = "S" if "S" in found else "W" if "W" in found else self.fixed.get(word, "o")
@@ -218,9 +228,10 @@ def clauses_of(symbols: list[str]) -> list[tuple[int, int, list[str]]]:
 
 def features_of(text: str | None, lexicon: Lexicon) -> dict[str, float]:
     """How far each part counts: 1, 1.25 or 1.5 for one, two, or three clauses and more that have it."""
+    if not lexicon.may_match(text):  # every pattern needs an insult or a threat
+        return {}
     symbols = [lexicon[t] for t in tokens_of(text)]
-    held = set(symbols)
-    if held.isdisjoint("SWK"):  # every pattern needs an insult or a threat
+    if set(symbols).isdisjoint("SWK"):
         return {}
     counts = Counter(p for _, _, events in clauses_of(symbols) for p in parts_of(events))
     return {e: 1 + (min(n, COUNT_CAP) - 1) / 4 for e, n in counts.items()}
@@ -289,6 +300,7 @@ def _contexts(rows: DataFrame, units: set[str]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, cache, seen = shared.value, {}, set()
+        cores = Lexicon({u: "S" for u in known})
 
         def out():
             cols = list(zip(*seen)) or [(), (), (), ()]
@@ -298,7 +310,8 @@ def _contexts(rows: DataFrame, units: set[str]) -> DataFrame:
 
         for batch in batches:
             for value, toxic in zip(batch.column(0), batch.column(1).to_pylist()):
-                words = tokens_of(value.as_py())
+                text = value.as_py()
+                words = tokens_of(text) if cores.may_match(text) else []
                 for i, w in enumerate(words):
                     found = cache.get(w)
                     if found is None:
