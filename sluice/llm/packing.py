@@ -195,7 +195,9 @@ def pack(pieces: DataFrame, capacity: int = 4096, length: str = "length", shard_
     """``pieces`` with ``sequence_id`` and ``offset``: every piece lies whole in one sequence
     of at most ``capacity`` tokens, without gaps from 0 on.
 
-    Lengths must be within 1 and ``capacity``. Repeated rows are pieces of their own, ties
+    Lengths must be within 1 and ``capacity``, as ``cut_pieces`` makes them; they are not checked, and a longer piece would
+    overfill its sequence. Sequences filled to 95 % (``FULL``) are final once packed, so with more than one shard at worst
+    5 % of the room stays empty. Repeated rows are pieces of their own, ties
     are free. Columns of the result's names are replaced; an empty table stays empty."""
     pieces = without(pieces, ["sequence_id", "offset"])
     row = fresh(pieces.columns, "row")

@@ -471,10 +471,13 @@ def test_pipeline_runs_whole_and_on_nothing(spark, sf):
         fill[r.sequence_id] = fill.get(r.sequence_id, 0) + r.length
     assert max(fill.values()) <= 4096 and len(fill) == -(-sum(fill.values()) // 4096)
     nothing = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
-    odd = spark.createDataFrame([(None, None, None, None, None), (1, "", "x", None, 0), (1, "word " * 20, None, "s", 5), (1, "word " * 20, None, "s", 5)], nothing.schema)
+    odd = spark.createDataFrame([(None, None, None, None, None), (1, "", "x", None, 0), (1, "word " * 20, None, "s", 5), (1, "word " * 20, None, "s", 5),
+                                 (2, " ".join(f"w{i}" for i in range(400_000)), "x", "s", None)], nothing.schema)
     for start in (nothing, odd):
         docs = start
         for _, stage in P.STAGES[:-1]:
             docs = stage(spark, docs, sf)
             assert docs.columns == start.columns
-        P.packing(spark, docs, sf).collect()
+        pieces = P.packing(spark, docs, sf).collect()
+    long = sorted((r.piece, r.start, r.length) for r in pieces if r.doc_id == 2)
+    assert len(long) > 100 and all(n == 4096 for _, _, n in long[:-1]) and [s for _, s, _ in long] == [4096 * k for k in range(len(long))]
