@@ -472,7 +472,7 @@ def test_pipeline_runs_whole_and_on_nothing(spark, sf):
     assert max(fill.values()) <= 4096 and len(fill) == -(-sum(fill.values()) // 4096)
     nothing = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
     odd = spark.createDataFrame([(None, None, None, None, None), (1, "", "x", None, 0), (1, "word " * 20, None, "s", 5), (1, "word " * 20, None, "s", 5),
-                                 (2, " ".join(f"w{i}" for i in range(400_000)), "x", "s", None)], nothing.schema)
+                                 (2, " ".join(f"w{i}" for i in range(400_000)), "x", "a host of its own", None)], nothing.schema)
     for start in (nothing, odd):
         docs = start
         for _, stage in P.STAGES[:-1]:
