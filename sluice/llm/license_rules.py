@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import without
+from sluice.llm.common import let, without
 
 # Names of licences by identifier. `#` is a version; `a?` may be missing, `(a|b)` is one of both.
 NAMES: dict[str, tuple[str, ...]] = {
@@ -234,6 +234,9 @@ RULES: tuple[tuple[str, tuple[str, ...], bool], ...] = (
 #: Every known sentence has one of these words; texts without any have no licence.
 HINT = (r"licen[cs]e|\b[al]?gpl|public\W+licence|permission|copyright|redistribut|warrant|liable|public\W+domain|rights\W+reserved|\bmpl\b|endorse|advertising|spdx|"
         r"free\W+software|use[, ]+reproduction|restrictions|damages|misrepresented|this notice|developed by|free software foundation")
+#: Each text with a hint holds one of these in lower case; they are cheap to look for.
+CORES = ("licen gpl permission copyright redistribut warrant liable domain reserved mpl endorse advertising spdx software reproduction "
+         "restrictions damages misrepresented notice developed").split()
 _LINES = re.compile(r"\r\n|[\n\r\x0b\x0c]")
 _LEAD = re.compile(r"[ \t]*(?:(?:[#*/%;>|!-]+|REM\b|dnl\b|<!--)[ \t]*)*")
 _ITEM = re.compile(r"(?:\(?(?:\d{1,2}|[a-z])[.)]|[*•-])(?=[ \t]+\S)[ \t]*", re.IGNORECASE)
@@ -486,7 +489,8 @@ def scan(docs: DataFrame, text: str = "text", max_gap: int = 2) -> DataFrame:
             found = [licenses_of(v.as_py(), max_gap) for v in batch.column(at)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, arrow)], [*batch.schema.names, "licenses"])
 
-    hinted = F.coalesce(F.col(text).rlike("(?i)" + HINT), F.lit(False))
+    cores = F.array(*[F.lit(c) for c in CORES])
+    hinted = F.coalesce(let(F.lower(F.col(text)), lambda low: F.exists(cores, lambda c: F.contains(low, c))), F.lit(False))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema.fields)
     rest = plain.where(~hinted).withColumn("licenses", F.array().cast(kind))
     return plain.where(hinted).mapInArrow(run, f"{fields}, licenses {kind}").unionByName(rest)
