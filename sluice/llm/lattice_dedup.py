@@ -18,6 +18,7 @@ first of them alone, which each bucket can tell from its members' cells.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations, product
 
 import numpy as np
@@ -217,7 +218,7 @@ def _compare(probes: int, threshold: float):
 
 def near_vectors(vectors: DataFrame, id: str = "vec_id", vector: str = "embedding", label: str = "label",
                  threshold: float = 0.93, tables: int = 6, probes: int = 2, cell: float = 0.5, block: int = 1024,
-                 seed: int = 0) -> DataFrame:
+                 seed: int = 0, tables_at_once: int = 2) -> DataFrame:
     """``vectors`` without the vector column, with ``n_links``, ``component_id``, ``kept``.
 
     Vectors link when their labels are equal and their cosine reaches ``threshold``.
@@ -225,6 +226,7 @@ def near_vectors(vectors: DataFrame, id: str = "vec_id", vector: str = "embeddin
     the least id reachable by links, ``kept`` marks the row that has it (of repeated rows
     each). A null label, and a vector that is null, empty, zero or holds null or non-finite
     numbers, links with nothing, copies of it included. A null id counts after all others.
+    Tables take turns, ``tables_at_once`` each, which bounds the disk that shuffled vectors need.
     """
     out = ("n_links", "component_id", "kept")
     vectors = without(vectors, [c for c in out if c not in (id, vector, label)])
@@ -246,16 +248,22 @@ def near_vectors(vectors: DataFrame, id: str = "vec_id", vector: str = "embeddin
         f"node long, vector {groups.schema['vector'].dataType.simpleString()}, label long, copies long, cells array<long>")
     hashed = save(hashed, "hashed-vectors")
     dealt = hashed.select("*", F.posexplode("cells").alias("at", "key")).withColumn("own", F.col("at") % (1 + probes) == 0)
-    sizes = dealt.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("own").cast("long")).alias("owners"))
-    sizes = save(sizes.filter("n > 1 and owners > 0").select("key", "n", F.ceil(F.col("n") / block).cast("int").alias("blocks")), "cell-sizes")
     # A comparison in a cell of table t asks about the cells of tables up to t only.
-    dealt = dealt.withColumn("cells", F.slice("cells", 1, (F.floor(F.col("at") / (1 + probes)) + 1).cast("int") * (1 + probes)))
-    mine = join_counted(dealt, sizes, ["key"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    units = mine.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "node", "copies",
-        "own", "block", "label", "vector", "cells")
-    units = units.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
-    links_found = save(units.mapInArrow(_compare(probes, threshold), "node long, linked long, towards long"), "vector-links")
+    table = F.floor(F.col("at") / (1 + probes)).cast("int")
+    dealt = dealt.withColumn("cells", F.slice("cells", 1, (table + 1) * (1 + probes))).withColumn("turn", F.floor(table / tables_at_once))
+    turns = []
+    for turn in range(-(-tables // tables_at_once)):  # only one turn's vectors lie in shuffle files
+        mine = dealt.filter(F.col("turn") == turn).drop("turn", "at")
+        sizes = mine.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("own").cast("long")).alias("owners"))
+        sizes = save(sizes.filter("n > 1 and owners > 0").select("key", "n", F.ceil(F.col("n") / block).cast("int").alias("blocks")), "cell-sizes")
+        mine = join_counted(mine, sizes, ["key"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+        units = mine.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+            "key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "node", "copies",
+            "own", "block", "label", "vector", "cells")
+        units = units.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
+        turns.append(save(units.mapInArrow(_compare(probes, threshold), "node long, linked long, towards long"), "vector-links"))
+        drop_saved(sizes)
+    links_found = reduce(DataFrame.unionByName, turns)
     links = links_found.groupBy("node").agg(F.sum("linked").alias("linked"))
     joined = components(links_found.select(F.col("node").alias("a"), F.col("towards").alias("b")))
     per = groups.join(links, "node", "left").join(joined, "node", "left").select(
@@ -265,7 +273,7 @@ def near_vectors(vectors: DataFrame, id: str = "vec_id", vector: str = "embeddin
     least = save(per.groupBy("component").agg(F.min("least").alias("least_id")), "least-of-component")
     per = save(join_one(per.drop("least"), least, ["component"]).select(
         F.col("vector").alias(vector), F.col("label").alias(label), "n_links", F.col("least_id").alias("component_id")), "vector-classes")
-    drop_saved(groups, hashed, sizes, links_found, least)
+    drop_saved(groups, hashed, *turns, least)
     found = join_one(rows.filter(good), per, [vector, label])
     alone = rows.filter(~good).withColumns({"n_links": F.lit(0).cast("long"), "component_id": F.col(id)})
     return found.unionByName(alone).withColumn("kept", F.col(id).eqNullSafe(F.col("component_id"))).drop(row, vector)
