@@ -370,6 +370,11 @@ def q_duplicate_key_counts(spark, d):
     return S.duplicate_keys(_t(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
+def q_duplicate_wide_keys(spark, d):
+    """Repeated texts: hashes are counted, and only texts whose hash recurs move, past a key filter here."""
+    return S.duplicate_keys(_t(spark, d, "documents"), ["text", "lang"], strategy="hashed", max_duplicate_keys=50)
+
+
 def q_distinct_values(spark, d):
     return S.distinct_values(_t(spark, d, "part"), "p_type")
 
@@ -790,6 +795,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sample_parent_large": q_sample_parent_large,
     "sample_parent_empty": q_sample_parent_empty,
     "profile_distinct_all": q_profile_distinct_all,
+    "duplicate_wide_keys": q_duplicate_wide_keys,
     "clinical_issues_partitioned": q_clinical_issues_partitioned,
 }
 
@@ -1035,6 +1041,7 @@ _ORACLE: dict[str, str] = {
         "WHEN o_orderkey % 11 = 2 THEN -o_orderkey WHEN o_orderkey % 13 = 3 THEN NULL ELSE o_custkey END AS fk FROM orders) "
         "SELECT o_orderkey, fk, c_name FROM c LEFT JOIN customer ON c_custkey = fk"
     ),
+    "duplicate_wide_keys": "SELECT text, lang, count(*) AS count FROM documents GROUP BY text, lang HAVING count(*) > 1",
     "fk_hot_beyond_bounds": (
         "WITH c AS (SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN -(o_custkey % 5) - 1 "
         "WHEN o_orderkey % 11 = 2 THEN -o_orderkey WHEN o_orderkey % 13 = 3 THEN NULL ELSE o_custkey END AS fk FROM orders) "

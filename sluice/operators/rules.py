@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 
 from sluice.functions.columns import ColumnOrName, col_of, key_text
 from sluice.operators import issues as I
+from sluice.operators.skew import KeyFilter
+from sluice.sources.scratch import materialize
 
 
 def _expr(c: ColumnOrName | None) -> Column | None:
@@ -183,13 +185,32 @@ def row_rule_issues(
     )
 
 
-def duplicate_keys(df: DataFrame, keys: Sequence[ColumnOrName]) -> DataFrame:
+def duplicate_keys(
+    df: DataFrame, keys: Sequence[ColumnOrName], strategy: str = "plain", max_duplicate_keys: int = 2_000_000
+) -> DataFrame:
     """Key values that occur more than once, with their ``count``.
 
     Null keys form one group. Partial aggregation runs before the shuffle, so
     a key holding a third of the table costs one row per map task.
+
+    ``strategy="plain"`` is one aggregate and runs no action. It moves every distinct key, which
+    for wide keys such as texts is most of the table. ``strategy="hashed"`` first counts
+    64-bit hashes (16 bytes a row, at most) and moves only the keys whose hash recurs: past a
+    broadcast of those hashes, or past a ``skew.KeyFilter`` of ``max_duplicate_keys`` words if they
+    are more. Whole keys are compared either way.
     """
     cols = [col_of(k) for k in keys]
+    if strategy == "hashed":
+        slim = df.select(*cols, F.xxhash64(*cols).alias("__hash"))
+        cols = [F.col(f"`{c}`") for c in slim.columns[:-1]]
+        again = materialize(slim.groupBy("__hash").agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > 1).select("__hash"))
+        n = again.count()
+        if n <= max_duplicate_keys:
+            df = slim.join(F.broadcast(again), "__hash", "left_semi")
+        else:
+            df = KeyFilter(again, ["__hash"], n, max_duplicate_keys).mark(slim, "__again").where("__again")
+    elif strategy != "plain":
+        raise ValueError(f"unknown strategy {strategy!r}")
     return (
         df.groupBy(*cols)
         .agg(F.count(F.lit(1)).alias("count"))
@@ -197,9 +218,9 @@ def duplicate_keys(df: DataFrame, keys: Sequence[ColumnOrName]) -> DataFrame:
     )
 
 
-def unique_issues(df: DataFrame, dataset: str, rule: UniqueRule) -> DataFrame:
-    """One DUPLICATE_RECORD issue per repeated key value."""
-    dups = duplicate_keys(df, list(rule.keys))
+def unique_issues(df: DataFrame, dataset: str, rule: UniqueRule, strategy: str = "plain") -> DataFrame:
+    """One DUPLICATE_RECORD issue per repeated key value (``strategy`` as in ``duplicate_keys``)."""
+    dups = duplicate_keys(df, list(rule.keys), strategy)
     return dups.select(
         *I.issue_fields(dataset, key_text(list(rule.keys), dups), rule.field, I.DUPLICATE_RECORD, rule.text(), rule.severity)
     )

@@ -64,3 +64,17 @@ def test_issue_summary(spark):
     ])
     assert rows(S.issue_summary(issues)) == [("DUPLICATE_RECORD", "HIGH", 1), ("INVALID_BUSINESS_VALUE", "HIGH", 2)]
     assert rows(S.issue_summary(issues, ["dataset_name", "issue_type", "severity"]))[0][0] == "m"
+
+
+def test_duplicate_keys_by_hash_match_the_plain_plan(spark):
+    import sluice as S
+
+    df = spark.range(0, 3000).selectExpr(
+        "case when id % 5 = 0 then 'text ' || id % 50 when id % 7 = 0 then null else 'own ' || id end as t", "case when id % 11 = 0 then null else id % 3 end as k")
+    want = sorted(map(str, S.duplicate_keys(df, ["t", "k"]).collect()))
+    for bound in (2_000_000, 3, 1):
+        assert sorted(map(str, S.duplicate_keys(df, ["t", "k"], "hashed", bound).collect())) == want
+    assert sorted(map(str, S.duplicate_keys(df, [F.upper("t").alias("u")], "hashed").collect())) == sorted(map(str, S.duplicate_keys(df, [F.upper("t").alias("u")]).collect()))
+    assert S.duplicate_keys(df.limit(0), ["t"], "hashed").count() == 0
+    rule = S.UniqueRule(("t",))
+    assert sorted(map(str, S.unique_issues(df, "d", rule, "hashed").collect())) == sorted(map(str, S.unique_issues(df, "d", rule).collect()))
