@@ -357,7 +357,7 @@ def q_dedup_duplicated_only(spark, d):
 def q_dedup_many_recurring(spark, d):
     """More recurring keys than the bound: a key filter of fixed size keeps rows of unique keys in place."""
     return S.dedup(_t(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"], order_by=["l_partkey"],
-                   strategy="duplicated", max_duplicate_keys=100)
+                   strategy="duplicated", max_duplicate_keys=1000)
 
 
 def q_dedup_wide_key(spark, d):
