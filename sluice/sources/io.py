@@ -145,6 +145,7 @@ def replace(df: DataFrame, path: str, save: Callable[[DataFrameWriter, str], Non
         files.rename(at(aside), final)
         raise OSError(f"could not publish {path}")
     files.delete(at(aside), True)
+    spark.catalog.refreshByPath(path)  # as an overwrite does for what is cached over it
 
 
 def _sibling(path: str, kind: str) -> str:
