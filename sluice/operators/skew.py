@@ -29,7 +29,7 @@ from pyspark.sql.types import BinaryType, BooleanType, DataType, DateType, Decim
 
 from sluice.sources.scratch import materialize
 
-#: Words of a filter, 16 bytes each: both halves of a broadcast row of 32 MB in all.
+#: Words of a filter at most: a row of 16 bytes each, 32 MB in all, is what is broadcast.
 MAX_WORDS = 2_000_000
 
 
