@@ -62,3 +62,22 @@ def test_query_matches_its_sql(spark, duck, sf):
         df, rel = queries.queries()[name](spark, sf), duck.sql(sql)
         assert sorted(df.columns) == sorted(rel.columns)
         assert canon(df.columns, [tuple(r) for r in df.collect()]) == canon(rel.columns, rel.fetchall()), name
+
+
+def test_texts_are_read_twice_at_most(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    rows = [(i, "plain words of a text number " + str(i) * 3, f"h{i % 5}") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").mapInArrow(count, "doc_id long, text string, source string")
+    assert Q.quality_rules(docs).count() == 400 and seen.value <= 800
+    seen.value = 0
+    Q.quality_rules(docs).collect()
+    assert seen.value == 800
+    seen.value = 0
+    Q.quality_rules(docs, carry_all=False).collect()
+    assert seen.value == 400
