@@ -162,12 +162,16 @@ def intervals(a: np.ndarray, wanted: int, per_interval: int = PER_INTERVAL) -> l
     bound = float(np.abs(a).sum(axis=1).max())  # Gershgorin
     step = 1e-7 * bound
 
+    counted = {-bound - step: len(a), bound + step: 0}  # every count narrows the later searches
+
     def place(n: int) -> float:
         """Where the ``n``-th largest eigenvalue lies, from above, by bisection."""
-        low, high = -bound - step, bound + step
+        low = max(s for s, c in counted.items() if c >= n)
+        high = min(s for s, c in counted.items() if c < n)
         while high - low > step:
             middle = (low + high) / 2
-            low, high = (middle, high) if count_above(a, middle) >= n else (low, middle)
+            counted[middle] = count_above(a, middle)
+            low, high = (middle, high) if counted[middle] >= n else (low, middle)
         return high
 
     # The lowest edge goes into the widest gap close below the wanted ones: near an eigenvalue a contour separates badly.
