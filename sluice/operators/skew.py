@@ -8,19 +8,21 @@ function of the key alone; false positives cost work, never rows.
 ``join_unique`` joins rows to a side with one row per key while some keys are hot:
 
 1. the hottest keys, as many as fit the broadcast bounds, are matched map-only;
-2. the hot keys that are left have a bounded number of rows each, and there may be any number of them.
-   A ``KeyFilter`` marks them on both sides: marked rows are dealt over ``salts`` buckets, marked
-   keys are copied into each, so no task gets more than about ``hot_rows`` rows of one key;
+2. there may be any number of hot keys left. A ``KeyFilter`` marks them on both sides and says how
+   many buckets each needs, one for ``hot_rows`` of its rows: marked rows are dealt over that many, marked
+   keys are copied into each, so no task gets more than about ``hot_rows`` rows of one key, and the copies
+   are about as many as all rows of hot keys by ``hot_rows``. The filter keeps few bits in many words, as a key that is
+   marked by mistake is copied too;
 3. all other keys take the same shuffled join with a single bucket.
 
-The salt of a row is its place in its input partition, so a repeated task deals the same rows to the
+The salt of a row is a hash of its place in its input partition, so a repeated task deals the same rows to the
 same buckets as long as it reads them in the same order, as scans and checkpoints do.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -68,11 +70,14 @@ class KeyFilter:
     """Marks rows whose key may be among ``keys`` (a frame of the key columns ``names``, no nulls).
 
     ``rows`` is the number of keys, ``false_share`` the expected share of other keys that
-    are marked. Words of the filter are checkpointed, at most ``max_words`` of them."""
+    are marked. Words of the filter are checkpointed, at most ``max_words`` of them.
 
-    def __init__(self, keys: DataFrame, names: Sequence[str], rows: int, max_words: int = MAX_WORDS):
+    ``buckets``, a column of ``keys``, makes it a filter for ``deal``: a word keeps the largest number of
+    its keys. Keys then have all ``max_words`` words to fall into, of which those without a key take no room."""
+
+    def __init__(self, keys: DataFrame, names: Sequence[str], rows: int, max_words: int = MAX_WORDS, buckets: str | None = None):
         self.names = list(names)
-        self.words = max(1, min(max_words, rows // 4))  # 16 bits a key, while the bound allows
+        self.words = max(1, max_words if buckets else min(max_words, rows // 4))  # 16 bits a key, while the bound allows
         load = max(rows, 1) / self.words
         self.bits = max(1, min(8, round(64 / load * 0.69)))
         self.false_share, chance = 0.0, math.exp(-min(load, 500))  # over the Poisson number of keys a word holds
@@ -80,7 +85,8 @@ class KeyFilter:
             chance *= min(load, 500) / held
             self.false_share += chance * (1 - (1 - 1 / 64) ** (held * self.bits)) ** self.bits
         word, mask = self._word(), self._mask()
-        self.table = materialize(keys.groupBy(word.alias("__word")).agg(F.bit_or(mask).alias("__bits")))
+        most = [F.max(buckets).alias("__buckets")] if buckets else []
+        self.table = materialize(keys.groupBy(word.alias("__word")).agg(F.bit_or(mask).alias("__bits"), *most))
 
     def _word(self) -> Column:
         return F.pmod(F.xxhash64(*self.names), F.lit(self.words))
@@ -94,11 +100,18 @@ class KeyFilter:
 
     def mark(self, df: DataFrame, column: str) -> DataFrame:
         """``df`` with boolean ``column``, map-only. A key with a null is never marked."""
+        return self._look_up(df, column, lambda hit: F.coalesce(hit, F.lit(False)))
+
+    def deal(self, df: DataFrame, column: str) -> DataFrame:
+        """``df`` with the number of buckets of each row's key in ``column``, map-only: 1 if it is not marked."""
+        return self._look_up(df, column, lambda hit: F.when(hit, F.col("__buckets")).otherwise(1))
+
+    def _look_up(self, df: DataFrame, column: str, value: Callable[[Column], Column]) -> DataFrame:
         mask = self._mask()
         hit = (F.col("__bits").bitwiseAND(mask) == mask)
         no_null = reduce(lambda a, b: a & b, [F.col(n).isNotNull() for n in self.names])
         joined = df.withColumn("__word", self._word()).join(F.broadcast(self.table), "__word", "left")
-        return joined.withColumn(column, F.coalesce(hit & no_null, F.lit(False))).drop("__word", "__bits")
+        return joined.withColumn(column, value(hit & no_null)).drop(*self.table.columns)
 
 
 def join_unique(
@@ -116,10 +129,20 @@ def join_unique(
     inner or left_semi. ``hot`` holds the keys with over ``hot_rows`` rows and their number
     ``__rows``; pass it checkpointed. ``max_keys`` and ``max_bytes`` bound what is broadcast."""
     names, hot_rows = list(names), max(1, hot_rows)
-    if hot.isEmpty():
+    if (n_hot := hot.count()) == 0:
         return rows.join(one, names, how)
+    # Both sides hash the same type: a number that the other side's type does not hold matches nothing.
+    for name in names:
+        kind, other = rows.schema[name].dataType, one.schema[name].dataType
+        if kind != other:
+            if not (isinstance(kind, NumericType) and isinstance(other, NumericType)):
+                return rows.join(one, names, how)
+            cast = F.col(name).try_cast(kind)
+            one = one.where(F.col(name) == cast).withColumn(name, cast)
     payload = names if how == "left_semi" else one.columns
-    found = materialize(hot.join(one.select(*payload).withColumn("__held", F.lit(True)), names, "left"))
+    # Of ``one``, only what may be hot is shuffled for that.
+    asked = KeyFilter(hot.select(*names), names, n_hot, max_words).mark(one.select(*payload), "__held").where("__held")
+    found = materialize(hot.join(asked, names, "left"))
     widths = [fixed_width(one.schema[c].dataType) for c in payload]
     size = sum(w or 16 for w in widths) + sum((variable_length(found, c) for c, w in zip(payload, widths) if w is None), F.lit(0))
     tier = F.floor(F.log2(F.col("__rows"))).cast("int")
@@ -143,13 +166,13 @@ def join_unique(
     if not rest:
         parts.append(others.join(one, names, how))
     else:
-        keys = found.join(F.broadcast(top.select(*names)), names, "left_anti") if least is not None else found
-        marks = KeyFilter(keys.select(*names), names, sum(t.n for t in rest), max_words)
-        salts = max(2, -(-(1 << (max(t.tier for t in rest) + 1)) // hot_rows))
-        place = F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int")
-        dealt = marks.mark(others, "__hot").withColumn("__salt", F.when(F.col("__hot"), place).otherwise(0)).drop("__hot")
-        copies = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-        spread = marks.mark(one, "__hot").withColumn("__salt", F.explode(copies)).drop("__hot")
+        keys = found.where(tier < least) if least is not None else found
+        needed = F.ceil(F.col("__rows") / hot_rows).cast("int").alias("__needed")
+        marks = KeyFilter(keys.select(*names, needed), names, sum(t.n for t in rest), max_words, "__needed")
+        place = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col("__dealt")).cast("int")
+        dealt = marks.deal(others, "__dealt").withColumn("__salt", place).drop("__dealt")
+        salts = F.sequence(F.lit(0), F.col("__dealt") - 1)
+        spread = marks.deal(one, "__dealt").withColumn("__salt", F.explode(salts)).drop("__dealt")
         # A plain shuffled join: the spread side may be small enough for Spark to broadcast, which is as even.
         parts.append(dealt.join(spread, [*names, "__salt"], how).drop("__salt"))
     out = parts[0]

@@ -64,6 +64,36 @@ def test_hot_keys_beyond_the_bounds_are_spread_over_tasks(spark, how):
             spark.conf.unset(k)
 
 
+def _nodes(plan):
+    """The nodes of an executed plan, its query stages included."""
+    kind = plan.getClass().getSimpleName()
+    inner = [plan.executedPlan()] if kind == "AdaptiveSparkPlanExec" else [plan.plan()] if kind.endswith("QueryStageExec") else []
+    yield plan
+    for child in inner or [plan.children().apply(i) for i in range(plan.children().size())]:
+        yield from _nodes(child)
+
+
+def test_few_copies_of_few_very_hot_keys(spark):
+    # Each key is copied for its own rows, and next to no other key is taken for a hot one.
+    rows = spark.range(0, 40_020, 1, 4).select(F.when(F.col("id") < 40_000, F.col("id") % 4).otherwise(100).alias("k"), F.col("id").alias("v"))
+    one = spark.range(0, 200_000).select(F.col("id").alias("k"), (F.col("id") * 10).alias("p"))
+    got = join_unique(rows, one, ["k"], "left", _hot(rows, ["k"], 10), 10, 0, 0)
+    assert sum(r.p == r.k * 10 for r in got.collect()) == 40_020
+    made = [n.metrics().apply("numOutputRows").value() for n in _nodes(got._jdf.queryExecution().executedPlan())
+            if n.getClass().getSimpleName() == "GenerateExec"]
+    assert made and max(made) <= 200_000 + 4 * 1000 + 1000
+
+
+@pytest.mark.parametrize("bounds", [(1000, 1 << 20), (0, 0)])
+def test_join_of_keys_of_two_number_types(spark, bounds):
+    rows = spark.range(0, 4000).select(F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id")).cast("int").alias("k"), F.col("id").alias("v"))
+    one = spark.range(0, 3000).select(F.when(F.col("id") == 5, (1 << 32) + 5).otherwise(F.col("id")).alias("k"), F.col("id").alias("p"))
+    got = join_unique(rows, one, ["k"], "left", _hot(rows, ["k"], 50), 50, *bounds)
+    want = rows.join(one, "k", "left")
+    assert got.schema["k"] == rows.schema["k"]
+    assert Counter(map(tuple, got.collect())) == Counter(map(tuple, want.collect()))
+
+
 def test_dedup_beyond_the_key_bound_moves_no_single_rows(spark):
     df = spark.range(0, 20000).select(F.when(F.col("id") < 4000, F.col("id") % 1000).otherwise(F.col("id")).alias("k"), F.col("id").alias("v"))
     got = S.dedup(df, ["k"], order_by=["v"], strategy="duplicated", max_duplicate_keys=200, count_col="n")
