@@ -100,6 +100,8 @@ DUPLICATED = {
 # Parents up to this many rows, and within the byte bound of the other broadcasts,
 # are broadcast to their children (both are measured before the join).
 BROADCAST_PARENT_ROWS = 1_000_000
+# Rows of one landing file (a compressed file is read by one task).
+LANDING_FILE_ROWS = 250_000
 _TWO_53 = float(2**53)
 
 
@@ -347,8 +349,9 @@ def clinical_tables(
 
 
 def save_landing(tables: Mapping[str, DataFrame], landing_path: Callable[[str], str]) -> None:
-    """Write every table as landing CSV with a header."""
+    """Write every table as landing CSV with a header: gzip files, as plain text would be over half of
+    all bytes that a promotion writes, of a size that many tasks can share."""
     from sluice.sources.io import write_csv
 
     for name, df in tables.items():
-        write_csv(df, landing_path(name))
+        write_csv(df, landing_path(name), compression="gzip", max_file_rows=LANDING_FILE_ROWS)

@@ -101,15 +101,20 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     replace(df, path, save)
 
 
-def write_csv(df: DataFrame, path: str) -> None:
+def write_csv(df: DataFrame, path: str, compression: str | None = None, max_file_rows: int = 0) -> None:
     """Replace a CSV folder with a header row; null cells are written empty.
 
+    ``compression`` is a codec of Spark's text files such as gzip. A compressed file is read by one
+    task, so give ``max_file_rows`` with it: a task begins a new file after that many rows.
+
     Values are written as they are: Spark's CSV writer trims leading and
     trailing spaces unless told not to, which would clean padded codes before
     the cleaners ever see them.
     """
     replace(df, path, lambda writer, to: (
         writer.option("header", True)
+        .option("compression", compression or "none")
+        .option("maxRecordsPerFile", max_file_rows)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .csv(to)

@@ -88,6 +88,18 @@ def test_csv_roundtrip_keeps_padding(spark, workdir):
     assert got == sorted([(" site_b ", "x,y", None), ("a\t", 'q"t', "z")], key=str)
 
 
+def test_landing_files_are_compressed_and_shared_among_tasks(spark, workdir, monkeypatch):
+    from sluice.operators import synth
+
+    monkeypatch.setattr(synth, "LANDING_FILE_ROWS", 300)
+    df = spark.range(0, 1000, 1, 1).selectExpr("id", "if(id % 7 = 0, null, concat(' site_', id % 3, ' ')) as site")
+    synth.save_landing({"t": df}, lambda name: f"{workdir}/{name}.csv")
+    parts = [f for f in os.listdir(f"{workdir}/t.csv") if f.startswith("part-")]
+    assert len(parts) == 4 and all(f.endswith(".csv.gz") for f in parts)
+    got = S.read_csv(spark, f"{workdir}/t.csv", df.schema)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, df.collect()))
+
+
 def test_csv_enforce_header(spark, workdir):
     import pytest
 
