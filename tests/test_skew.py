@@ -117,3 +117,17 @@ def test_orphans_and_lookups_with_hot_keys_beyond_the_bounds(spark):
     found = S.lookup_first(child, parent, "fk", ["name"], parent_key="pk", max_broadcast_rows=0, hot_key_rows=50)
     plain = child.join(parent.withColumnRenamed("pk", "fk"), "fk", "left")
     assert Counter(map(tuple, found.select("c", "fk", "name").collect())) == Counter(map(tuple, plain.select("c", "fk", "name").collect()))
+
+
+def test_lookup_copies_few_parents_for_very_hot_keys(spark):
+    # As lookup_hot_beyond_bounds: every hot key is over the bound, some have no parent. Copies are a part of the rows, not of their square.
+    child = spark.range(0, 60_000, 1, 4).select(F.col("id").alias("c"),
+        F.when(F.col("id") % 3 == 0, F.col("id") % 7 - 2).when(F.col("id") % 13 == 1, None).otherwise(F.col("id") % 20_000).alias("fk"))
+    parent = spark.range(0, 20_000).select(F.col("id").alias("pk"), F.concat(F.lit("n"), F.col("id")).alias("name"))
+    found = S.lookup_first(child, parent, "fk", ["name"], parent_key="pk", max_broadcast_rows=2, hot_key_rows=20)
+    assert Counter(map(tuple, found.select("c", "fk", "name").collect())) == Counter(
+        map(tuple, child.join(parent.withColumnRenamed("pk", "fk"), "fk", "left").select("c", "fk", "name").collect()))
+    rows = found.collect()
+    made = [n.metrics().apply("numOutputRows").value() for n in _nodes(found._jdf.queryExecution().executedPlan())
+            if n.getClass().getSimpleName() == "GenerateExec"]
+    assert len(rows) == 60_000 and made and max(made) <= 20_000 + 20_000 // 20 + 1000
